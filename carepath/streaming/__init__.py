@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analysed pipeline has no streams, event time, watermarks or stateful
+operators; its chunked CSV reads are out-of-core batch scans, which Spark's
+input splits already cover.  Nothing is built here (see README).
+"""
