@@ -104,3 +104,156 @@ FROM g LEFT JOIN q ON g.hadm_id = q.hadm_id""")
 
 sql("patient_subset", f"""
 SELECT * FROM fx_patients WHERE {hash_frac('subject_id')} < 0.2""")
+
+
+# ---------------------------------------------------------------- features, assembly, cleaning
+
+from carepath.sources.fixtures import FIXTURE_COMORBIDITY_MAP as _CMAP  # noqa: E402
+
+_CONDS = list(_CMAP)
+_CRITICAL = ["anchor_age", "gender", "marital_status", "insurance", "language", "hypertension", "diabetes",
+             "kidney_disease", "copd", "coronary_artery_disease", "obesity", "anemia", "is_readmission"]
+_FINAL_COLS = ["subject_id", "hadm_id", "admittime", "dischtime", "marital_status", "insurance", "language",
+               "race", "is_readmission", "days_until_readmission", "gender", "anchor_age"] + _CONDS
+_LAB = {"ECONOMY": "sodium", "LARGE": "potassium", "MEDIUM": "bnp", "PROMO": "creatinine",
+        "SMALL": "hgb", "STANDARD": "troponin"}
+
+
+def _cond(name: str) -> str:
+    parts = []
+    for v, prefixes in _CMAP[name].items():
+        tests = " OR ".join(f"starts_with(icd_code, '{p}')" for p in prefixes)
+        parts.append(f"(icd_version = {v} AND ({tests}))")
+    return "(" + " OR ".join(parts) + ")"
+
+
+_ANY = "(" + " OR ".join(_cond(k) for k in _CONDS) + ")"
+_LOS = "((epoch_us(dischtime) - epoch_us(admittime)) / 86400000000.0)"
+_TOK = "split_part(split_part(coalesce(race, 'Unknown'), ' ', 1), '/', 1)"
+_TITLE = f"(upper(substr({_TOK}, 1, 1)) || lower(substr({_TOK}, 2)))"
+_RACE_STD = (f"CASE {_TITLE} WHEN 'PORTUGUESE' THEN 'Latino' WHEN 'Hispanic' THEN 'Latino' "
+             f"WHEN 'Unknown' THEN 'Other' ELSE {_TITLE} END")
+
+FEAT = f"""
+, subj AS (SELECT DISTINCT subject_id FROM readm),
+demo AS (SELECT subject_id, gender, anchor_age FROM fx_patients WHERE subject_id IN (SELECT subject_id FROM subj)),
+cf AS (SELECT s.subject_id,
+  {", ".join(f"CAST(coalesce(max(CASE WHEN {_cond(k)} THEN 1 ELSE 0 END), 0) AS INTEGER) AS {k}" for k in _CONDS)}
+  FROM subj s LEFT JOIN fx_diagnoses d ON d.subject_id = s.subject_id GROUP BY s.subject_id),
+pf AS (SELECT coalesce(demo.subject_id, cf.subject_id) AS subject_id, gender, anchor_age,
+  {", ".join(_CONDS)} FROM demo FULL OUTER JOIN cf ON demo.subject_id = cf.subject_id),
+fin AS (SELECT r.*, pf.gender, pf.anchor_age, {", ".join("pf." + k for k in _CONDS)}
+  FROM readm r LEFT JOIN pf ON r.subject_id = pf.subject_id),
+cln AS (SELECT * FROM fin WHERE {" AND ".join(c + " IS NOT NULL" for c in _CRITICAL)})
+"""
+
+
+def feat(body: str) -> str:
+    return FEAT + body
+
+
+sql("demographics", feat("SELECT * FROM demo"))
+sql("comorbidity_flags", feat("SELECT * FROM cf"))
+sql("comorbidity_matches", feat(f"""
+, m AS (SELECT {", ".join(f"CAST(count_if({_cond(k)}) AS BIGINT) AS {k}_matches" for k in _CONDS)}
+  FROM fx_diagnoses WHERE subject_id IN (SELECT subject_id FROM subj) AND {_ANY})
+SELECT *, {" + ".join(f"{k}_matches" for k in _CONDS)} AS total_matches FROM m"""))
+sql("patient_features", feat("SELECT * FROM pf"))
+sql("admission_features", "SELECT hadm_id, bool_or(is_readmission) AS is_readmission FROM readm GROUP BY hadm_id")
+sql("target_mismatch", """
+, af AS (SELECT hadm_id, bool_or(is_readmission) AS is_readmission FROM readm GROUP BY hadm_id)
+SELECT coalesce(a.hadm_id, b.hadm_id) AS hadm_id, a.is_readmission AS target_left, b.is_readmission AS target_right
+FROM readm a FULL OUTER JOIN af b ON a.hadm_id = b.hadm_id
+WHERE a.is_readmission IS DISTINCT FROM b.is_readmission""")
+sql("final_dataset", feat("SELECT * REPLACE (round(days_until_readmission, 6) AS days_until_readmission) FROM fin"))
+sql("drop_missing_critical", feat("SELECT * REPLACE (round(days_until_readmission, 6) AS days_until_readmission) FROM cln"))
+sql("drop_report", feat("""
+SELECT CAST((SELECT count(*) FROM fin) AS BIGINT) AS rows_before, CAST((SELECT count(*) FROM cln) AS BIGINT) AS rows_after,
+       CAST((SELECT count(*) FROM fin) - (SELECT count(*) FROM cln) AS BIGINT) AS rows_dropped"""))
+sql("target_distribution", feat("""
+SELECT is_readmission, CAST(count(*) AS BIGINT) AS n, round(count(*) / (SELECT count(*) FROM fin), 6) AS share
+FROM fin GROUP BY is_readmission"""))
+sql("null_profile", feat("\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
+    f"round(count_if({c} IS NULL) / count(*), 6) AS null_share FROM fin" for c in _FINAL_COLS)))
+sql("los_days", f"""
+SELECT hadm_id, admittime, dischtime, round(CASE WHEN {_LOS} < 0 THEN 0.0 ELSE {_LOS} END, 6) AS total_los_days
+FROM coh_adm""")
+sql("binary_flags", """
+SELECT hadm_id, language, marital_status,
+       CAST(coalesce(upper(language) = 'ENGLISH', false) AS INTEGER) AS english_lang,
+       CAST(coalesce(marital_status = 'MARRIED', false) AS INTEGER) AS is_married
+FROM fx_admissions""")
+sql("race_standardized", f"SELECT hadm_id, race, {_RACE_STD} AS race_standardized FROM fx_admissions")
+sql("race_indicators", f"""
+SELECT hadm_id, {", ".join(f"CAST(rs = '{r}' AS INTEGER) AS Is_{r}" for r in ["White", "Black", "Asian", "Latino"])}
+FROM (SELECT hadm_id, {_RACE_STD} AS rs FROM fx_admissions)""")
+sql("comorbidity_score", feat(f"SELECT *, {' + '.join(_CONDS)} AS comorbidity_score FROM cf"))
+sql("standard_scale", """
+SELECT subject_id, round((anchor_age - m) / CASE WHEN sd = 0 OR sd IS NULL THEN 1 ELSE sd END, 6) AS anchor_age
+FROM fx_patients, (SELECT avg(anchor_age) AS m, stddev_pop(anchor_age) AS sd FROM fx_patients)""")
+sql("one_hot", """
+SELECT hadm_id,
+  CAST(coalesce(insurance = 'Medicare', false) AS DOUBLE) AS insurance_Medicare,
+  CAST(coalesce(insurance = 'Other', false) AS DOUBLE) AS insurance_Other,
+  CAST(coalesce(marital_status = 'MARRIED', false) AS DOUBLE) AS marital_status_MARRIED,
+  CAST(coalesce(marital_status = 'SINGLE', false) AS DOUBLE) AS marital_status_SINGLE,
+  CAST(coalesce(marital_status = 'WIDOWED', false) AS DOUBLE) AS marital_status_WIDOWED,
+  CAST(marital_status IS NULL AS DOUBLE) AS marital_status_nan
+FROM fx_admissions""")
+_RACES_SORTED = ["BLACK/AFRICAN AMERICAN", "HISPANIC/LATINO - CUBAN", "PORTUGUESE", "UNKNOWN", "WHITE",
+                 "WHITE - OTHER EUROPEAN"]
+sql("one_hot_unseen", "SELECT hadm_id, " + ", ".join(
+    f"CAST(coalesce(race = '{r}', false) AS DOUBLE) AS \"race_{r}\"" for r in _RACES_SORTED)
+    + ", CAST(race IS NULL AS DOUBLE) AS race_nan FROM readm")
+
+_SPLIT = f"""
+, sr AS (SELECT *, row_number() OVER (PARTITION BY is_readmission ORDER BY {hash_key('hadm_id')}, hadm_id) AS rn,
+                count(*) OVER (PARTITION BY is_readmission) AS ncls FROM readm),
+spl AS (SELECT *, CASE WHEN rn <= floor(0.2 * ncls + 0.5) THEN 'test' ELSE 'train' END AS split FROM sr)
+"""
+sql("stratified_split", _SPLIT + "SELECT hadm_id, is_readmission, split FROM spl")
+sql("split_balance", _SPLIT + """
+SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(is_readmission AS INTEGER)) AS BIGINT) AS positives,
+       round(avg(CAST(is_readmission AS INTEGER)), 6) AS positive_share FROM spl GROUP BY split""")
+sql("split_disjoint", _SPLIT + """
+SELECT CAST(count_if(split = 'train') AS BIGINT) AS n_train, CAST(count_if(split = 'test') AS BIGINT) AS n_test,
+       CAST(0 AS BIGINT) AS n_both, CAST(count_if(split = 'train') AS BIGINT) AS n_train_only FROM spl""")
+sql("tuning_sample", f"""
+, ag AS (SELECT *, (epoch_us(admittime) - epoch_us(lag(dischtime) OVER (PARTITION BY subject_id ORDER BY admittime, hadm_id)))
+            / 86400000000.0 AS gap FROM fx_admissions),
+af AS (SELECT hadm_id, subject_id, coalesce(gap > 0 AND gap <= 30, false) AS is_readmission FROM ag),
+rk AS (SELECT *, row_number() OVER (PARTITION BY is_readmission ORDER BY {hash_key('hadm_id')}, hadm_id) AS rn,
+              count(*) OVER (PARTITION BY is_readmission) AS ncls FROM af)
+SELECT hadm_id, subject_id, is_readmission FROM rk
+WHERE (SELECT count(*) FROM af) <= 10000 OR rn <= floor(0.3 * ncls + 0.5)""")
+sql("sample_fixed", "SELECT * FROM fx_admissions ORDER BY md5(CAST(hadm_id AS VARCHAR)), hadm_id LIMIT 50")
+sql("lab_means", "SELECT hadm_id, " + ", ".join(
+    f"round(avg(value) FILTER (WHERE item = '{k}'), 6) AS {v}_mean" for k, v in _LAB.items())
+    + " FROM fx_labs WHERE item IN (" + ", ".join(f"'{k}'" for k in _LAB) + ") GROUP BY hadm_id")
+
+_RACE_IND = ", ".join(f"CAST(({_RACE_STD}) = '{r}' AS INTEGER) AS Is_{r}" for r in ["White", "Black", "Asian", "Latino"])
+PRE = f"""
+, d AS (SELECT hadm_id, subject_id, CAST(is_readmission AS INTEGER) AS is_readmission,
+   CASE WHEN {_LOS} < 0 THEN 0.0 ELSE {_LOS} END AS total_los_days,
+   CAST(coalesce(upper(language) = 'ENGLISH', false) AS INTEGER) AS english_lang,
+   CAST(coalesce(marital_status = 'MARRIED', false) AS INTEGER) AS is_married,
+   {_RACE_IND}, anchor_age, gender, insurance, {", ".join(_CONDS)} FROM cln),
+ds AS (SELECT *, row_number() OVER (PARTITION BY is_readmission ORDER BY {hash_key('hadm_id')}, hadm_id) AS rn,
+              count(*) OVER (PARTITION BY is_readmission) AS ncls FROM d),
+dsp AS (SELECT * EXCLUDE (rn, ncls), CASE WHEN rn <= floor(0.2 * ncls + 0.5) THEN 'test' ELSE 'train' END AS split FROM ds),
+st AS (SELECT avg(anchor_age) AS m, stddev_pop(anchor_age) AS sd FROM dsp WHERE split = 'train'),
+pre AS (SELECT hadm_id, subject_id, split, is_readmission, total_los_days,
+   (anchor_age - m) / CASE WHEN sd = 0 OR sd IS NULL THEN 1 ELSE sd END AS age,
+   {", ".join(_CONDS)}, english_lang, is_married, Is_White, Is_Black, Is_Asian, Is_Latino,
+   CAST(coalesce(insurance = 'Medicare', false) AS DOUBLE) AS insurance_Medicare,
+   CAST(coalesce(gender = 'M', false) AS DOUBLE) AS gender_M
+   FROM dsp, st)
+"""
+
+
+def pre(body: str) -> str:
+    return FEAT + PRE + body
+
+
+sql("preprocessed", pre("SELECT * REPLACE (round(total_los_days, 6) AS total_los_days, round(age, 6) AS age) FROM pre"))

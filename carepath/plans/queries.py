@@ -103,3 +103,187 @@ def q_readmissions_dup_ids(spark, sf_dir):
 @query("patient_subset")
 def q_patient_subset(spark, sf_dir):
     return coh.patient_subset(fx.patients(spark, sf_dir), 0.2, 42)
+
+
+# ---------------------------------------------------------------- features, assembly, cleaning
+
+from carepath.operators import assemble as asm  # noqa: E402
+from carepath.operators import clean as cl  # noqa: E402
+from carepath.operators import derive as dv  # noqa: E402
+from carepath.operators import encode as enc  # noqa: E402
+from carepath.operators import features as ft  # noqa: E402
+from carepath.operators import split as sp  # noqa: E402
+from carepath.plans import etl  # noqa: E402
+
+LAB_ITEMS = dict(zip(["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"], ft.LAB_FEATURES))
+
+
+def etl_result(spark, sf_dir, labs: bool = False) -> etl.EtlResult:
+    return etl.build_features(fx.load_fixture_tables(spark, sf_dir), fx.FIXTURE_COHORT_PREFIX,
+                              fx.FIXTURE_COHORT_VERSION, fx.FIXTURE_COMORBIDITY_MAP,
+                              lab_items=LAB_ITEMS if labs else None)
+
+
+def subjects(spark, sf_dir) -> DataFrame:
+    return readmissions_table(spark, sf_dir).select("subject_id").distinct()
+
+
+@query("demographics")
+def q_demographics(spark, sf_dir):
+    return ft.demographics(fx.patients(spark, sf_dir), subjects(spark, sf_dir))
+
+
+@query("comorbidity_flags")
+def q_comorbidity_flags(spark, sf_dir):
+    return ft.comorbidity_flags(fx.diagnoses(spark, sf_dir), subjects(spark, sf_dir),
+                                fx.FIXTURE_COMORBIDITY_MAP)
+
+
+@query("comorbidity_matches")
+def q_comorbidity_matches(spark, sf_dir):
+    return ft.comorbidity_matches(fx.diagnoses(spark, sf_dir), subjects(spark, sf_dir),
+                                  fx.FIXTURE_COMORBIDITY_MAP)
+
+
+@query("patient_features")
+def q_patient_features(spark, sf_dir):
+    return etl_result(spark, sf_dir).patient_features
+
+
+@query("admission_features")
+def q_admission_features(spark, sf_dir):
+    return ft.admission_features(readmissions_table(spark, sf_dir))
+
+
+@query("target_mismatch")
+def q_target_mismatch(spark, sf_dir):
+    flagged = readmissions_table(spark, sf_dir)
+    return asm.target_mismatch(flagged, ft.admission_features(flagged))
+
+
+@query("final_dataset")
+def q_final_dataset(spark, sf_dir):
+    return etl_result(spark, sf_dir).final.withColumn(
+        "days_until_readmission", r6("days_until_readmission"))
+
+
+@query("drop_missing_critical")
+def q_drop_missing_critical(spark, sf_dir):
+    return cl.drop_missing_critical(etl_result(spark, sf_dir).final).withColumn(
+        "days_until_readmission", r6("days_until_readmission"))
+
+
+@query("drop_report")
+def q_drop_report(spark, sf_dir):
+    return cl.drop_report(etl_result(spark, sf_dir).final)
+
+
+@query("target_distribution")
+def q_target_distribution(spark, sf_dir):
+    return cl.target_distribution(etl_result(spark, sf_dir).final).withColumn("share", r6("share"))
+
+
+@query("null_profile")
+def q_null_profile(spark, sf_dir):
+    return cl.null_profile(etl_result(spark, sf_dir).final).withColumn("null_share", r6("null_share"))
+
+
+@query("los_days")
+def q_los_days(spark, sf_dir):
+    return dv.with_los(cohort_adm(spark, sf_dir)).select(
+        "hadm_id", "admittime", "dischtime", r6("total_los_days").alias("total_los_days"))
+
+
+@query("binary_flags")
+def q_binary_flags(spark, sf_dir):
+    return dv.with_binary_flags(fx.admissions(spark, sf_dir)).select(
+        "hadm_id", "language", "marital_status", "english_lang", "is_married")
+
+
+@query("race_standardized")
+def q_race_standardized(spark, sf_dir):
+    return dv.with_race(fx.admissions(spark, sf_dir), indicators=False).select(
+        "hadm_id", "race", "race_standardized")
+
+
+@query("race_indicators")
+def q_race_indicators(spark, sf_dir):
+    return dv.with_race(fx.admissions(spark, sf_dir)).select(
+        "hadm_id", *[f"Is_{r}" for r in ["White", "Black", "Asian", "Latino"]])
+
+
+@query("comorbidity_score")
+def q_comorbidity_score(spark, sf_dir):
+    return dv.with_comorbidity_score(q_comorbidity_flags(spark, sf_dir))
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    scaled, _ = enc.standard_scale(fx.patients(spark, sf_dir), ["anchor_age"])
+    return scaled.select("subject_id", r6("anchor_age").alias("anchor_age"))
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    adm = fx.admissions(spark, sf_dir).select("hadm_id", "insurance", "marital_status")
+    out, _ = enc.one_hot(adm, ["insurance", "marital_status"])
+    return out
+
+
+@query("one_hot_unseen")
+def q_one_hot_unseen(spark, sf_dir):
+    # Vocabulary from the readmitted stays only, applied to every cohort stay.
+    flagged = readmissions_table(spark, sf_dir).select("hadm_id", "is_readmission", "race")
+    out, _ = enc.one_hot(flagged.drop("is_readmission"), ["race"],
+                         fit_df=flagged.filter("is_readmission"))
+    return out
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return sp.stratified_split(readmissions_table(spark, sf_dir), "hadm_id", "is_readmission",
+                               0.2, 42).select("hadm_id", "is_readmission", "split")
+
+
+def split_table(spark, sf_dir) -> DataFrame:
+    return sp.stratified_split(readmissions_table(spark, sf_dir), "hadm_id", "is_readmission", 0.2, 42)
+
+
+@query("split_balance")
+def q_split_balance(spark, sf_dir):
+    return sp.split_balance(split_table(spark, sf_dir)).withColumn(
+        "positive_share", r6("positive_share"))
+
+
+@query("split_disjoint")
+def q_split_disjoint(spark, sf_dir):
+    return sp.split_disjoint(split_table(spark, sf_dir))
+
+
+@query("tuning_sample")
+def q_tuning_sample(spark, sf_dir):
+    flagged = rd.flag_readmissions(fx.admissions(spark, sf_dir))
+    return sp.tuning_sample(flagged, "hadm_id", "is_readmission", 0.3, 10_000, 42).select(
+        "hadm_id", "subject_id", "is_readmission")
+
+
+@query("sample_fixed")
+def q_sample_fixed(spark, sf_dir):
+    return sp.sample_fixed(fx.admissions(spark, sf_dir), "hadm_id", 50)
+
+
+@query("lab_means")
+def q_lab_means(spark, sf_dir):
+    out = ft.lab_means(fx.labevents(spark, sf_dir), LAB_ITEMS)
+    return out.select("hadm_id", *[r6(f"{n}_mean").alias(f"{n}_mean") for n in ft.LAB_FEATURES])
+
+
+def preprocessed(spark, sf_dir) -> etl.Preprocessed:
+    return etl.preprocess(etl_result(spark, sf_dir).final)
+
+
+@query("preprocessed")
+def q_preprocessed(spark, sf_dir):
+    df = preprocessed(spark, sf_dir).data
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    return df.withColumns({c: r6(c) for c in doubles})
