@@ -257,3 +257,117 @@ def pre(body: str) -> str:
 
 
 sql("preprocessed", pre("SELECT * REPLACE (round(total_los_days, 6) AS total_los_days, round(age, 6) AS age) FROM pre"))
+
+
+# ---------------------------------------------------------------- evaluation, LOS, resources
+
+SD = """
+, sd AS (SELECT l.doc_id, d.n_chars / 20000.0 AS score, CAST(l.quality AS INTEGER) AS label
+         FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+cc AS (SELECT CAST(count(*) AS BIGINT) AS n,
+              CAST(count_if(label = 1 AND score >= 0.5) AS BIGINT) AS tp,
+              CAST(count_if(label = 0 AND score >= 0.5) AS BIGINT) AS fp,
+              CAST(count_if(label = 1 AND score < 0.5) AS BIGINT) AS fn,
+              CAST(count_if(label = 0 AND score < 0.5) AS BIGINT) AS tn FROM sd),
+g AS (SELECT score, CAST(count_if(label = 1) AS BIGINT) AS pos, CAST(count_if(label = 0) AS BIGINT) AS neg
+      FROM sd GROUP BY score),
+gc AS (SELECT *, sum(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+                 sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+                 sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM g),
+gt AS (SELECT *, P - cum_pos + pos AS tp, N - cum_neg + neg AS fp FROM gc)
+"""
+
+
+def _dz(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE ({a}) / ({b}) END"
+
+
+sql("eval_classification", SD + f"""
+SELECT n, tp, fp, fn, tn, round({_dz('tp + tn', 'n')}, 6) AS accuracy, round({_dz('tp', 'tp + fp')}, 6) AS precision,
+       round({_dz('tp', 'tp + fn')}, 6) AS recall, round({_dz('2 * tp', '2 * tp + fp + fn')}, 6) AS f1_score FROM cc""")
+sql("confusion_matrix", SD + """
+SELECT 0 AS label, 0 AS predicted, tn AS n FROM cc UNION ALL SELECT 0, 1, fp FROM cc
+UNION ALL SELECT 1, 0, fn FROM cc UNION ALL SELECT 1, 1, tp FROM cc""")
+sql("classification_report", SD + f"""
+, pc AS (SELECT '0' AS class, {_dz('tn', 'tn + fn')} AS p, {_dz('tn', 'tn + fp')} AS r, tn + fp AS s, n FROM cc
+         UNION ALL SELECT '1', {_dz('tp', 'tp + fp')}, {_dz('tp', 'tp + fn')}, tp + fn, n FROM cc),
+pf AS (SELECT *, {_dz('2 * p * r', 'p + r')} AS f FROM pc)
+SELECT class, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1_score, CAST(s AS BIGINT) AS support FROM pf
+UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(max(n) AS BIGINT) FROM pf
+UNION ALL SELECT 'weighted avg', round({_dz('sum(p * s)', 'max(n)')}, 6), round({_dz('sum(r * s)', 'max(n)')}, 6),
+                 round({_dz('sum(f * s)', 'max(n)')}, 6), CAST(max(n) AS BIGINT) FROM pf""")
+sql("roc_auc", SD + """
+SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (cum_neg - neg * 0.5)) / (sum(pos) * sum(neg)) END, 6)
+       AS roc_auc, CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM gc""")
+sql("average_precision", SD + "SELECT round(sum(pos / P * tp / (tp + fp)), 6) AS average_precision FROM gt")
+sql("roc_points", SD + "SELECT round(score, 6) AS threshold, round(fp / N, 6) AS fpr, round(tp / P, 6) AS tpr FROM gt")
+sql("pr_points", SD + """
+SELECT round(score, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / P, 6) AS recall,
+       round(P / (P + N), 6) AS baseline FROM gt""")
+
+SP = f"""
+, spd AS (SELECT hadm_id, CASE WHEN {_LOS} < 0 THEN 0.0 ELSE {_LOS} END AS actual,
+                 total_charge / 25000.0 AS predicted, total_charge / 25000.0 AS q50,
+                 total_charge / 25000.0 * 1.3 AS q75, total_charge / 25000.0 * 1.7 AS q90
+          FROM (SELECT o_orderkey AS hadm_id, o_orderdate AS admittime, o_totalprice AS total_charge,
+                       o_orderdate + to_days(CAST(1 + o_orderkey % 14 AS INTEGER)) AS dischtime FROM orders)),
+rs AS (SELECT hadm_id, actual, predicted, actual - predicted AS residual FROM spd)
+"""
+sql("eval_regression", SP + """
+SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((actual - predicted) ^ 2)), 6) AS rmse,
+       round(avg(abs(actual - predicted)), 6) AS mae,
+       round(1 - sum((actual - predicted) ^ 2) / (var_pop(actual) * count(*)), 6) AS r2,
+       round(avg(abs((actual - predicted) / CASE WHEN actual = 0 THEN 1e-10 ELSE actual END)) * 100, 6) AS mape,
+       CAST(count_if(actual = 0) AS BIGINT) AS n_zero_actuals FROM spd""")
+sql("quantile_coverage", SP + """
+SELECT round(avg(CAST(actual <= q75 AS DOUBLE)), 6) AS q75_coverage,
+       round(avg(CAST(actual <= q90 AS DOUBLE)), 6) AS q90_coverage FROM spd""")
+sql("residuals", SP + "SELECT hadm_id, round(actual, 6) AS actual, round(predicted, 6) AS predicted, "
+                      "round(residual, 6) AS residual FROM rs")
+sql("residual_histogram", SP + """
+, mm AS (SELECT min(residual) AS lo, max(residual) AS hi FROM rs),
+w AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM mm),
+ww AS (SELECT lo, (hi - lo) / 30 AS width FROM w),
+b AS (SELECT CAST(least(29, floor((residual - lo) / width)) AS INTEGER) AS bin FROM rs, ww),
+bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(30))
+SELECT bins.bin, round(lo + bins.bin * width, 6) AS lower, round(lo + (bins.bin + 1) * width, 6) AS upper,
+       CAST(count(b.bin) AS BIGINT) AS n
+FROM bins CROSS JOIN ww LEFT JOIN b ON b.bin = bins.bin GROUP BY bins.bin, lo, width""")
+sql("pred_range", SP + """
+SELECT round(least(min(actual), min(predicted)), 6) AS range_min, round(greatest(max(actual), max(predicted)), 6) AS range_max
+FROM spd""")
+sql("resource_summary", SP + """
+SELECT 'charge_rule' AS model_name, 'total_los_days' AS target, round(avg(predicted), 6) AS mean_prediction,
+       round(median(predicted), 6) AS median_prediction, round(min(predicted), 6) AS min_prediction,
+       round(max(predicted), 6) AS max_prediction, round(sum(predicted), 6) AS total_resource_needs FROM spd""")
+sql("capacity_summary", SP + """
+SELECT 'charge_rule (q50)' AS model_name, 'total_los_days' AS target, round(avg(q50), 6) AS mean_prediction,
+       round(median(q50), 6) AS median_prediction, round(min(q50), 6) AS min_prediction,
+       round(max(q50), 6) AS max_prediction, round(sum(q50), 6) AS total_resource_needs,
+       round(avg(q50), 6) AS q50_mean, round(sum(q50), 6) AS q50_total,
+       round(avg(q75), 6) AS q75_mean, round(sum(q75), 6) AS q75_total, round(sum(q75), 6) AS q75_capacity_need,
+       round(avg(q90), 6) AS q90_mean, round(sum(q90), 6) AS q90_total, round(sum(q90), 6) AS q90_capacity_need
+FROM spd""")
+sql("quantile_curve", SP + "SELECT hadm_id, round(actual, 6) AS actual, round(q50, 6) AS q50, round(q75, 6) AS q75, "
+                           "round(q90, 6) AS q90 FROM spd ORDER BY actual, hadm_id")
+
+LOS = f"""
+, lo AS (SELECT hadm_id, CASE WHEN {_LOS} < 0 THEN 0.0 ELSE {_LOS} END AS total_los_days,
+                {" + ".join(f"coalesce({k}, 0)" for k in _CONDS)} AS comorbidity_score FROM fin),
+li AS (SELECT *, total_los_days * (0.2 + 0.3 * comorbidity_score / greatest((SELECT max(comorbidity_score) FROM lo), 1))
+              AS icu_los_days FROM lo),
+los AS (SELECT *, total_los_days - icu_los_days AS non_icu_los_days FROM li)
+"""
+sql("los_icu_split", feat(LOS + """
+SELECT hadm_id, round(total_los_days, 6) AS total_los_days, comorbidity_score, round(icu_los_days, 6) AS icu_los_days,
+       round(non_icu_los_days, 6) AS non_icu_los_days FROM los"""))
+sql("los_stats", feat(LOS + """
+SELECT round(avg(total_los_days), 6) AS mean_total_los_days, round(avg(icu_los_days), 6) AS mean_icu_los_days FROM los"""))
+sql("los_by_split", feat(LOS + _SPLIT + """
+SELECT los.hadm_id, round(total_los_days, 6) AS total_los_days, round(icu_los_days, 6) AS icu_los_days,
+       round(non_icu_los_days, 6) AS non_icu_los_days, spl.split FROM los JOIN spl ON los.hadm_id = spl.hadm_id"""))
+sql("class_weights", _SPLIT + """
+, tr AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(is_readmission) AS BIGINT) AS n_pos,
+                CAST(count_if(NOT is_readmission) AS BIGINT) AS n_neg FROM spl WHERE split = 'train')
+SELECT n, n_pos, n_neg, round(n_neg / n_pos, 6) AS scale_pos_weight,
+       round(n / (2.0 * n_neg), 6) AS weight_neg, round(n / (2.0 * n_pos), 6) AS weight_pos FROM tr""")

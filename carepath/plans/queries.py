@@ -287,3 +287,124 @@ def q_preprocessed(spark, sf_dir):
     df = preprocessed(spark, sf_dir).data
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
     return df.withColumns({c: r6(c) for c in doubles})
+
+
+# ---------------------------------------------------------------- evaluation, LOS, resources
+
+from carepath.operators import evaluate as ev  # noqa: E402
+
+QCOLS = {"q50": "q50", "q75": "q75", "q90": "q90"}
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: r6(c) for c in doubles}) if doubles else df
+
+
+@query("eval_classification")
+def q_eval_classification(spark, sf_dir):
+    return rounded(ev.classification_metrics(fx.scored_documents(spark, sf_dir)))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(fx.scored_documents(spark, sf_dir))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    return rounded(ev.classification_report(fx.scored_documents(spark, sf_dir)))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return rounded(ev.roc_auc(fx.scored_documents(spark, sf_dir)))
+
+
+@query("average_precision")
+def q_average_precision(spark, sf_dir):
+    return rounded(ev.average_precision(fx.scored_documents(spark, sf_dir)))
+
+
+@query("roc_points")
+def q_roc_points(spark, sf_dir):
+    return rounded(ev.roc_points(fx.scored_documents(spark, sf_dir)))
+
+
+@query("pr_points")
+def q_pr_points(spark, sf_dir):
+    return rounded(ev.pr_points(fx.scored_documents(spark, sf_dir)))
+
+
+@query("eval_regression")
+def q_eval_regression(spark, sf_dir):
+    return rounded(ev.regression_metrics(fx.stay_predictions(spark, sf_dir)))
+
+
+@query("quantile_coverage")
+def q_quantile_coverage(spark, sf_dir):
+    return rounded(ev.quantile_coverage(fx.stay_predictions(spark, sf_dir), "actual", QCOLS))
+
+
+@query("residuals")
+def q_residuals(spark, sf_dir):
+    return rounded(ev.residuals(fx.stay_predictions(spark, sf_dir), keys=["hadm_id"]))
+
+
+@query("residual_histogram")
+def q_residual_histogram(spark, sf_dir):
+    res = ev.residuals(fx.stay_predictions(spark, sf_dir), keys=["hadm_id"])
+    return rounded(ev.histogram(res, "residual", 30))
+
+
+@query("pred_range")
+def q_pred_range(spark, sf_dir):
+    return rounded(ev.prediction_range(fx.stay_predictions(spark, sf_dir)))
+
+
+@query("resource_summary")
+def q_resource_summary(spark, sf_dir):
+    return rounded(ev.prediction_summary(fx.stay_predictions(spark, sf_dir), "predicted",
+                                         "charge_rule", "total_los_days"))
+
+
+@query("capacity_summary")
+def q_capacity_summary(spark, sf_dir):
+    return rounded(ev.capacity_summary(fx.stay_predictions(spark, sf_dir), QCOLS,
+                                       "charge_rule", "total_los_days"))
+
+
+@query("quantile_curve")
+def q_quantile_curve(spark, sf_dir):
+    # Rows sorted by the actual value, carrying every quantile prediction.
+    return rounded(fx.stay_predictions(spark, sf_dir).select("hadm_id", "actual", *QCOLS)
+                   .orderBy("actual", "hadm_id"))
+
+
+def los_table(spark, sf_dir) -> DataFrame:
+    return dv.length_of_stay(etl_result(spark, sf_dir).final, list(fx.FIXTURE_COMORBIDITY_MAP))
+
+
+@query("los_icu_split")
+def q_los_icu_split(spark, sf_dir):
+    return rounded(los_table(spark, sf_dir).select(
+        "hadm_id", "total_los_days", "comorbidity_score", "icu_los_days", "non_icu_los_days"))
+
+
+@query("los_stats")
+def q_los_stats(spark, sf_dir):
+    return rounded(los_table(spark, sf_dir).agg(F.avg("total_los_days").alias("mean_total_los_days"),
+                                                F.avg("icu_los_days").alias("mean_icu_los_days")))
+
+
+@query("los_by_split")
+def q_los_by_split(spark, sf_dir):
+    los = los_table(spark, sf_dir).select("hadm_id", "total_los_days", "icu_los_days", "non_icu_los_days")
+    return rounded(sp.by_split(los, split_table(spark, sf_dir)))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    from carepath.operators.models import class_weights
+    return rounded(class_weights(split_table(spark, sf_dir).filter(F.col("split") == "train"),
+                                 "is_readmission"))

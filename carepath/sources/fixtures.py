@@ -76,7 +76,9 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def admissions(spark: SparkSession, sf_dir: str, with_charge: bool = False) -> DataFrame:
+    """One stay per order.  ``with_charge`` keeps ``o_totalprice`` as
+    ``total_charge`` (used to derive deterministic predictions)."""
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     stay_days = (F.lit(1) + ok % 14).cast("int")
     return _scan(spark, sf_dir, "orders").select(
@@ -93,6 +95,7 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(ok % 7 == 2, F.lit(LANGUAGE[2]))
          .otherwise(F.lit("ENGLISH")).alias("language"),
         _case_mod(ck, 8, dict(enumerate(RACE))).alias("race"),
+        *([F.col("o_totalprice").alias("total_charge")] if with_charge else []),
     )
 
 
@@ -133,6 +136,17 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stay_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual stay length with deterministic stand-in predictions for the
+    regression evaluators: predicted = charge / 25,000 days, and quantile
+    columns at 1.0x, 1.3x and 1.7x of it."""
+    from carepath.operators.derive import with_los
+    adm = with_los(admissions(spark, sf_dir, with_charge=True))
+    pred = F.col("total_charge") / F.lit(25000.0)
+    return adm.select("hadm_id", F.col("total_los_days").alias("actual"), pred.alias("predicted"),
+                      pred.alias("q50"), (pred * 1.3).alias("q75"), (pred * 1.7).alias("q90"))
+
+
 def load_fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "patients": patients(spark, sf_dir),
