@@ -371,3 +371,24 @@ sql("class_weights", _SPLIT + """
                 CAST(count_if(NOT is_readmission) AS BIGINT) AS n_neg FROM spl WHERE split = 'train')
 SELECT n, n_pos, n_neg, round(n_neg / n_pos, 6) AS scale_pos_weight,
        round(n / (2.0 * n_neg), 6) AS weight_neg, round(n / (2.0 * n_pos), 6) AS weight_pos FROM tr""")
+
+
+# ---------------------------------------------------------------- models (closed forms on one feature)
+
+_OLS = SP + """
+, st AS (SELECT regr_slope(actual, predicted) AS b, regr_intercept(actual, predicted) AS a,
+                regr_sxy(actual, predicted) AS sxy, regr_sxx(actual, predicted) AS sxx,
+                avg(actual) AS my, avg(predicted) AS mx, count(*) AS n FROM spd)
+"""
+sql("model_linear", _OLS + """
+SELECT 'intercept' AS term, round(a, 6) AS value FROM st UNION ALL SELECT 'x', round(b, 6) FROM st""")
+sql("model_ridge", _OLS + """
+, rg AS (SELECT sxy / (sxx + 1.0) AS w, my, mx FROM st)
+SELECT 'intercept' AS term, round(my - w * mx, 4) AS value FROM rg UNION ALL SELECT 'x', round(w, 4) FROM rg""")
+sql("model_elastic_net", _OLS + """
+, en AS (SELECT sign(sxy / n) * greatest(abs(sxy / n) - 0.5, 0) / (sxx / n + 0.5) AS w, my, mx FROM st)
+SELECT 'intercept' AS term, round(my - w * mx, 4) AS value FROM en UNION ALL SELECT 'x', round(w, 4) FROM en""")
+sql("explain_linear", _OLS + """
+SELECT hadm_id, 'x' AS feature, round(b * (predicted - mx), 6) AS attribution FROM spd, st""")
+sql("explain_summary", _OLS + """
+SELECT 'x' AS feature, round(avg(abs(b * (predicted - mx))), 6) AS mean_abs_attribution FROM spd, st""")

@@ -408,3 +408,98 @@ def q_class_weights(spark, sf_dir):
     from carepath.operators.models import class_weights
     return rounded(class_weights(split_table(spark, sf_dir).filter(F.col("split") == "train"),
                                  "is_readmission"))
+
+
+# ---------------------------------------------------------------- models
+
+from carepath.operators import models as md  # noqa: E402
+
+
+def model_data(spark, sf_dir):
+    """Preprocessed table with its feature list (readmission models)."""
+    pre = preprocessed(spark, sf_dir)
+    return pre.data, pre.feature_columns
+
+
+def _scored_test(spark, sf_dir, trainer, label="is_readmission", **params):
+    data, feats = model_data(spark, sf_dir)
+    fitted = trainer(data.filter(F.col("split") == "train"), feats, label, **params)
+    scored = fitted.score(data.filter(F.col("split") == "test"), "score")
+    return scored.select("hadm_id", F.col(label).alias("label"), r6("score").alias("score"))
+
+
+@query("model_logistic")
+def q_model_logistic(spark, sf_dir):
+    return _scored_test(spark, sf_dir, md.logistic_regression)
+
+
+@query("model_random_forest")
+def q_model_random_forest(spark, sf_dir):
+    return _scored_test(spark, sf_dir, md.random_forest_classifier)
+
+
+@query("model_gbt")
+def q_model_gbt(spark, sf_dir):
+    return _scored_test(spark, sf_dir, md.gbt_classifier)
+
+
+@query("model_gbt_sampled")
+def q_model_gbt_sampled(spark, sf_dir):
+    return _scored_test(spark, sf_dir, md.gbt_classifier_sampled)
+
+
+@query("model_rf_regressor")
+def q_model_rf_regressor(spark, sf_dir):
+    return _scored_test(spark, sf_dir, md.random_forest_regressor, label="total_los_days")
+
+
+@query("model_gbt_regressor")
+def q_model_gbt_regressor(spark, sf_dir):
+    return _scored_test(spark, sf_dir, md.gbt_regressor, label="total_los_days")
+
+
+def _one_feature(spark, sf_dir, trainer, **params):
+    data = fx.stay_predictions(spark, sf_dir).select("hadm_id", "actual", F.col("predicted").alias("x"))
+    return trainer(data, ["x"], "actual", **params), data
+
+
+@query("model_linear")
+def q_model_linear(spark, sf_dir):
+    fitted, _ = _one_feature(spark, sf_dir, md.linear_regression)
+    return md.coefficients(fitted).withColumn("value", r6("value"))
+
+
+@query("model_ridge")
+def q_model_ridge(spark, sf_dir):
+    fitted, _ = _one_feature(spark, sf_dir, md.ridge, alpha=1.0)
+    return md.coefficients(fitted).withColumn("value", F.round("value", 4))
+
+
+@query("model_elastic_net")
+def q_model_elastic_net(spark, sf_dir):
+    fitted, _ = _one_feature(spark, sf_dir, md.elastic_net, alpha=1.0, l1_ratio=0.5)
+    return md.coefficients(fitted).withColumn("value", F.round("value", 4))
+
+
+@query("top_importance")
+def q_top_importance(spark, sf_dir):
+    from carepath.operators import explain as xp
+    data, feats = model_data(spark, sf_dir)
+    fitted = md.random_forest_classifier(data.filter(F.col("split") == "train"), feats, "is_readmission")
+    return xp.importance_table(fitted, top=20).withColumn("importance", r6("importance"))
+
+
+@query("explain_linear")
+def q_explain_linear(spark, sf_dir):
+    from carepath.operators import explain as xp
+    fitted, data = _one_feature(spark, sf_dir, md.linear_regression)
+    return xp.linear_attribution(fitted, data, keys=["hadm_id"]).withColumn(
+        "attribution", r6("attribution"))
+
+
+@query("explain_summary")
+def q_explain_summary(spark, sf_dir):
+    from carepath.operators import explain as xp
+    fitted, data = _one_feature(spark, sf_dir, md.linear_regression)
+    att = xp.linear_attribution(fitted, data, keys=["hadm_id"])
+    return xp.attribution_summary(att, top=20).withColumn("mean_abs_attribution", r6("mean_abs_attribution"))
