@@ -56,7 +56,8 @@ def python_title(c: Column | str) -> Column:
     """Python's ``str.title()``: upper-case the first letter of every run of
     letters, lower-case the rest.  ``initcap`` only starts words after
     white space, so letters are re-cased position by position against an
-    ``initcap`` of the string with every non-letter turned into a space."""
+    ``initcap`` of the string with every non-letter turned into a space.
+    (Letters whose title case is several letters, such as 'ß', keep one.)"""
     c = _c(c)
     spaced = F.initcap(F.regexp_replace(c, r"[^\p{L}]", " "))
     orig_chars = F.split(c, "(?!^)")
