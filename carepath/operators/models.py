@@ -147,8 +147,11 @@ def gbt_classifier_sampled(train: DataFrame, features: list[str], label: str, ma
 
 # ---------------------------------------------------------------- regressors
 
-def _label_std(train: DataFrame, label: str) -> tuple[float, int]:
-    r = train.agg(F.stddev_samp(label).alias("s"), F.count(F.lit(1)).alias("n")).first()
+def _label_std(train: DataFrame, label: str, population: bool = False) -> tuple[float, int]:
+    """Label std as each Spark solver uses it: the normal-equation solver
+    standardises with the population std, L-BFGS with the sample std."""
+    std = F.stddev_pop(label) if population else F.stddev_samp(label)
+    r = train.agg(std.alias("s"), F.count(F.lit(1)).alias("n")).first()
     return float(r["s"] or 0.0), int(r["n"])
 
 
@@ -161,8 +164,9 @@ def linear_regression(train: DataFrame, features: list[str], label: str) -> Fitt
 
 def ridge(train: DataFrame, features: list[str], label: str, alpha: float = 1.0) -> Fitted:
     """M6: ``||y - Xw||² + α||w||²``.  Spark divides its penalty by the label's
-    std σ_y and the loss by 2n, so ``regParam = α σ_y / n``."""
-    sy, n = _label_std(train, label)
+    std σ_y and the loss by 2n, so ``regParam = α σ_y / n`` (population σ_y
+    for the exact normal-equation solver used here)."""
+    sy, n = _label_std(train, label, population=True)
     est = R.LinearRegression(featuresCol="features", labelCol=label, regParam=alpha * sy / max(n, 1),
                              elasticNetParam=0.0, solver="normal", standardization=False)
     return _fit("Ridge", "regressor", train, features, label, est)

@@ -503,3 +503,74 @@ def q_explain_summary(spark, sf_dir):
     fitted, data = _one_feature(spark, sf_dir, md.linear_regression)
     att = xp.linear_attribution(fitted, data, keys=["hadm_id"])
     return xp.attribution_summary(att, top=20).withColumn("mean_abs_attribution", r6("mean_abs_attribution"))
+
+
+@query("model_quantile")
+def q_model_quantile(spark, sf_dir):
+    """M10 + R5: quantile boosters (q50/q75/q90, 100 stages each) scored on
+    the test split."""
+    from carepath.operators import quantile_boost as qb
+    data, feats = model_data(spark, sf_dir)
+    models = qb.fit_quantile_set(data.filter(F.col("split") == "train"), feats, "total_los_days")
+    pred = qb.predict_quantiles(models, data.filter(F.col("split") == "test"), "total_los_days")
+    return rounded(pred.select("hadm_id", F.col("total_los_days").alias("actual"),
+                               *[f"predicted_total_los_days_{q}" for q in models]))
+
+
+@query("readmission_probability")
+def q_readmission_probability(spark, sf_dir):
+    """Out-of-fold readmission probability for training rows, and the
+    full-train model's probability for test rows, keyed by hadm_id."""
+    data, feats = model_data(spark, sf_dir)
+    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
+    oof = md.out_of_fold_scores(train, feats, "is_readmission")
+    full = md.logistic_regression(train, feats, "is_readmission").score(test, "readmission_probability")
+    cols = ["hadm_id", "split", "readmission_probability"]
+    return rounded(oof.select(*cols).unionByName(full.select(*cols)))
+
+
+# ---------------------------------------------------------------- tuning, selection, tree attribution
+
+from carepath.operators import tune as tn  # noqa: E402
+
+
+@query("tune_logistic")
+def q_tune_logistic(spark, sf_dir):
+    """H1: 14-map grid (whole grid, fewer than 20 draws), 5 hash folds, ROC AUC."""
+    data, feats = model_data(spark, sf_dir)
+    _, results = tn.random_search(data.filter(F.col("split") == "train"), feats, "is_readmission",
+                                  "classifier", "logistic")
+    return rounded(results)
+
+
+@query("tune_ridge")
+def q_tune_ridge(spark, sf_dir):
+    """H2: ridge over seven penalties, 5 hash folds, mean squared error."""
+    data, feats = model_data(spark, sf_dir)
+    _, results = tn.random_search(data.filter(F.col("split") == "train"), feats, "total_los_days",
+                                  "regressor", "ridge")
+    return rounded(results)
+
+
+@query("cv_r2")
+def q_cv_r2(spark, sf_dir):
+    """H3: five regressors, 5 hash folds, mean and std of R²."""
+    data, feats = model_data(spark, sf_dir)
+    return rounded(tn.cv_r2(data.filter(F.col("split") == "train"), feats, "total_los_days"))
+
+
+@query("feature_selection")
+def q_feature_selection(spark, sf_dir):
+    """F8: L1-logistic importances, keep those at or above the median."""
+    data, feats = model_data(spark, sf_dir)
+    return rounded(tn.select_features(data.filter(F.col("split") == "train"), feats, "is_readmission"))
+
+
+@query("explain_tree")
+def q_explain_tree(spark, sf_dir):
+    """Monte-Carlo Shapley values of the random forest for every test row."""
+    from carepath.operators import explain as xp
+    data, feats = model_data(spark, sf_dir)
+    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
+    fitted = md.random_forest_classifier(train, feats, "is_readmission")
+    return rounded(xp.monte_carlo_shapley(fitted, test, "hadm_id", train))
