@@ -50,6 +50,13 @@ def _condition(cmap: dict[str, dict[int, list[str]]], name: str):
 
 
 def _mapped_diagnoses(diagnoses: DataFrame, subjects: DataFrame, cmap) -> DataFrame:
+    """Diagnoses of ``subjects`` that match any condition.
+
+    The filter is kept as a raw OR of ``(version AND prefixes)`` terms on the
+    scanned columns: Catalyst then pushes the prefix tests into the scan (or,
+    behind a join, extracts a prefix-only predicate for the code side), so
+    unmapped rows are dropped before any join or shuffle.  The cohort semi
+    join follows on the reduced rows."""
     any_code = reduce(lambda a, b: a | b, [_condition(cmap, k) for k in cmap])
     dx = diagnoses.select("subject_id", "icd_version", "icd_code").filter(any_code)
     return semi_join(dx, subjects, "subject_id")
@@ -59,14 +66,13 @@ def comorbidity_flags(diagnoses: DataFrame, subjects: DataFrame,
                       cmap: dict[str, dict[int, list[str]]] | None = None) -> DataFrame:
     """One row per patient in ``subjects`` with a 0/1 column per condition (A4).
 
-    One scan of the diagnoses, filtered to rows matching any prefix (the OR
-    of prefix tests is pushed to the scan), then one grouped aggregate with
-    a conditional ``max`` per condition.  Patients without a mapped code get
-    zeros through the left join from ``subjects``.
+    One scan of the diagnoses, filtered to mapped codes of cohort patients,
+    then one grouped aggregate with a conditional ``max`` per condition,
+    combined map-side.  Patients without a mapped code get zeros through the
+    left join from ``subjects``.
     """
     cmap = cmap or COMORBIDITY_MAP
-    dx = _mapped_diagnoses(diagnoses, subjects, cmap)
-    flags = dx.groupBy("subject_id").agg(
+    flags = _mapped_diagnoses(diagnoses, subjects, cmap).groupBy("subject_id").agg(
         *[F.max(F.when(_condition(cmap, k), F.lit(1)).otherwise(F.lit(0))).alias(k) for k in cmap])
     return (subjects.select("subject_id").distinct()
             .join(flags, "subject_id", "left")
@@ -78,8 +84,7 @@ def comorbidity_matches(diagnoses: DataFrame, subjects: DataFrame,
     """Matching diagnosis rows per condition, and their total (A5)."""
     cmap = cmap or COMORBIDITY_MAP
     dx = _mapped_diagnoses(diagnoses, subjects, cmap)
-    per = [F.count_if(_condition(cmap, k)).cast("long").alias(f"{k}_matches") for k in cmap]
-    out = dx.agg(*per)
+    out = dx.agg(*[F.count_if(_condition(cmap, k)).cast("long").alias(f"{k}_matches") for k in cmap])
     return out.withColumn("total_matches",
                           reduce(lambda a, b: a + b, [F.col(f"{k}_matches") for k in cmap]))
 

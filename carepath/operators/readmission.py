@@ -12,7 +12,8 @@ from carepath.operators.sequence import DEFAULT_ROWS_PER_BUCKET, lag_within
 def flag_readmissions(admissions: DataFrame, window_days: float = 30,
                       propagate_ids: bool = False, keep_gap: bool = False,
                       order_cols: list[str] | None = None,
-                      rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                      rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                      stats_from: DataFrame | None = None) -> DataFrame:
     """Flag each stay that starts within ``window_days`` after the previous
     discharge of the same patient (W1, W2).
 
@@ -26,10 +27,12 @@ def flag_readmissions(admissions: DataFrame, window_days: float = 30,
     ``hadm_id`` (W3); only needed when admission ids can repeat.
     ``keep_gap=True`` keeps the raw ``gap_days`` column for audit.
     ``order_cols`` replaces the ``admittime, hadm_id`` stay order.
+    ``stats_from`` (e.g. the unfiltered admissions table) lets the hot-patient
+    check scan two columns of a base table (see ``lag_within``).
     """
     order_cols = order_cols or ["admittime", "hadm_id"]
     lagged = lag_within(admissions, "subject_id", order_cols, ["dischtime"],
-                        prev_col="_prev", rows_per_bucket=rows_per_bucket)
+                        prev_col="_prev", rows_per_bucket=rows_per_bucket, stats_from=stats_from)
     gap = days_between(F.col("_prev.dischtime"), F.col("admittime"))
     flag = F.coalesce((gap > F.lit(0)) & (gap <= F.lit(float(window_days))), F.lit(False))
     out = (lagged.withColumn("gap_days", gap)

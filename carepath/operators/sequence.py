@@ -37,17 +37,25 @@ def _maybe_broadcast(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
 
 def lag_within(df: DataFrame, key: str, order_cols: list[str], value_cols: list[str],
                prev_col: str = "_prev", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+               stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``prev_col``: a struct of ``value_cols`` from the previous row of the
     same ``key`` in ``order_cols`` order (NULL on a key's first row).
 
     The first order column must be a timestamp or number; later ones break
     ties.  Rows with a NULL first order column sort first, as in a window.
+
+    ``stats_from`` may name a cheaper table with the same rows per key (for
+    example the base table that ``df`` was semi-joined from): the hot-key
+    count then scans just ``key`` and the first order column of it instead
+    of recomputing ``df``'s lineage.  Counts from a superset only make more
+    keys "hot", which changes the plan, never the result.
     """
     t0 = order_cols[0]
     vals = F.struct(*[F.col(v) for v in value_cols])
 
-    hot = (df.groupBy(key)
+    src = (stats_from if stats_from is not None else df).select(key, t0)
+    hot = (src.groupBy(key)
              .agg(F.count(F.lit(1)).alias("_n"), F.min(t0).alias("_tmin"), F.max(t0).alias("_tmax"))
              .filter(F.col("_n") > F.lit(rows_per_bucket)))
     hot_stats = hot.agg(F.count(F.lit(1)).alias("k"),
@@ -68,6 +76,9 @@ def lag_within(df: DataFrame, key: str, order_cols: list[str], value_cols: list[
     bucket = F.when(F.col("_n").isNull() | F.col(t0).isNull(), F.lit(0)).otherwise(
         F.least(nb - 1, F.floor(nb * pos / (span + F.lit(1.0))))).cast("long")
 
+    if stats_from is not None:
+        # a superset may hold keys that are absent from df: keep only df's keys
+        hot = hot.join(df.select(key).distinct(), key, "left_semi")
     staged = (df.join(_maybe_broadcast(hot, n_hot, broadcast_limit), key, "left")
                 .withColumn("_bucket", bucket)
                 .withColumn("_hot", F.col("_n").isNotNull())

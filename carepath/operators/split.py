@@ -33,7 +33,8 @@ def class_targets(counts: dict, share: float) -> dict:
     return {k: int(math.floor(share * n + 0.5)) for k, n in counts.items()}
 
 
-def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int) -> dict:
+def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int,
+                 first_level: list | None = None) -> dict:
     """Return ``{class: (hash, key)}`` of each class's k-th smallest row, or
     ``None`` when k is 0."""
     cuts: dict = {}
@@ -58,10 +59,13 @@ def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int)
         for c in conds[1:]:
             cond = cond | c
         shift = HASH_BITS - depth - level
-        hist = (df.filter(cond)
-                  .groupBy(strata, F.shiftrightunsigned(F.col("_h"), shift).alias("_b"))
-                  .agg(F.count(F.lit(1)).alias("_n"))
-                  .collect())
+        if depth == 0 and first_level is not None and level == LEVEL_BITS:
+            hist = first_level
+        else:
+            hist = (df.filter(cond)
+                      .groupBy(strata, F.shiftrightunsigned(F.col("_h"), shift).alias("_b"))
+                      .agg(F.count(F.lit(1)).alias("_n"))
+                      .collect())
         by_class: dict = {}
         for r in hist:
             by_class.setdefault(r[strata], []).append((r["_b"], r["_n"]))
@@ -96,11 +100,16 @@ def stratified_flags(df: DataFrame, key: str, strata: str, share: float, seed: i
     with the smallest ``(hash(seed|key), key)``.  Rows sharing a key fall on
     the same side."""
     base = df.withColumn("_h", hash_key(F.col(key), seed)).withColumn("_k", F.col(key))
-    count_rows = base.groupBy(strata).agg(F.count(F.lit(1)).alias("n")).limit(MAX_STRATA + 1).collect()
-    if len(count_rows) > MAX_STRATA:
+    # The first histogram level also yields the class sizes: one job for both.
+    top = (base.groupBy(strata, F.shiftrightunsigned(F.col("_h"), HASH_BITS - LEVEL_BITS).alias("_b"))
+               .agg(F.count(F.lit(1)).alias("_n"))
+               .limit(MAX_STRATA * (1 << LEVEL_BITS) + 1).collect())
+    counts: dict = {}
+    for r in top:
+        counts[r[strata]] = counts.get(r[strata], 0) + r["_n"]
+    if len(counts) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata in {strata!r}")
-    counts = {r[strata]: r["n"] for r in count_rows}
-    cuts = _select_cuts(base, strata, class_targets(counts, share), collect_limit)
+    cuts = _select_cuts(base, strata, class_targets(counts, share), collect_limit, first_level=top)
     flag = F.lit(False)
     for s, cut in cuts.items():
         in_class = (F.col(strata) == F.lit(s)) if s is not None else F.col(strata).isNull()

@@ -57,8 +57,8 @@ def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
     rows = cohort.cohort_diagnoses(tables["diagnoses_icd"], prefix, version)
     ids = cohort.cohort_patient_ids(rows)
     adm = cohort.cohort_admissions(tables["admissions"], ids)
-    flagged = readmission.flag_readmissions(adm, window_days)
-    subjects = flagged.select("subject_id").distinct()
+    flagged = readmission.flag_readmissions(adm, window_days, stats_from=tables["admissions"])
+    subjects = cohort.cohort_patient_ids(adm)
     demo = features.demographics(tables["patients"], subjects)
     comorb = features.comorbidity_flags(tables["diagnoses_icd"], subjects, cmap)
     pfeat = features.patient_features(demo, comorb)

@@ -46,7 +46,7 @@ def cohort_adm(spark, sf_dir) -> DataFrame:
 
 
 def readmissions_table(spark, sf_dir) -> DataFrame:
-    return rd.flag_readmissions(cohort_adm(spark, sf_dir))
+    return rd.flag_readmissions(cohort_adm(spark, sf_dir), stats_from=fx.admissions(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- §2.1 – §2.5
@@ -95,7 +95,8 @@ def q_readmissions_dup_ids(spark, sf_dir):
         "subject_id", (F.col("hadm_id") / 4).cast("long").alias("hadm_id"),
         F.col("hadm_id").alias("source_id"), "admittime", "dischtime")
     out = rd.flag_readmissions(dup, propagate_ids=True,
-                               order_cols=["admittime", "hadm_id", "source_id"])
+                               order_cols=["admittime", "hadm_id", "source_id"],
+                               stats_from=fx.admissions(spark, sf_dir))
     return out.select("subject_id", "hadm_id", "source_id", "admittime", "dischtime",
                       "is_readmission", r6("days_until_readmission").alias("days_until_readmission"))
 
@@ -125,7 +126,8 @@ def etl_result(spark, sf_dir, labs: bool = False) -> etl.EtlResult:
 
 
 def subjects(spark, sf_dir) -> DataFrame:
-    return readmissions_table(spark, sf_dir).select("subject_id").distinct()
+    """Patients with a cohort stay (the same set the flagged table holds)."""
+    return coh.cohort_patient_ids(cohort_adm(spark, sf_dir))
 
 
 @query("demographics")
@@ -262,7 +264,8 @@ def q_split_disjoint(spark, sf_dir):
 
 @query("tuning_sample")
 def q_tuning_sample(spark, sf_dir):
-    flagged = rd.flag_readmissions(fx.admissions(spark, sf_dir))
+    adm = fx.admissions(spark, sf_dir)
+    flagged = rd.flag_readmissions(adm, stats_from=adm)
     return sp.tuning_sample(flagged, "hadm_id", "is_readmission", 0.3, 10_000, 42).select(
         "hadm_id", "subject_id", "is_readmission")
 

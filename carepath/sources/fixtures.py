@@ -100,17 +100,23 @@ def admissions(spark: SparkSession, sf_dir: str, with_charge: bool = False) -> D
 
 
 def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _scan(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus")
+    # The code is built on the (small) part side and the version on the
+    # line-item side, so predicates on them are plain column tests after the
+    # joins instead of re-evaluated string expressions.
+    li = _scan(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey",
+        F.when(F.col("l_linestatus") == "F", F.lit(9)).otherwise(F.lit(10)).alias("icd_version"))
     o = _scan(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    p = _scan(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    p = _scan(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat(F.substring("p_type", 1, 1),
+                 F.lpad(F.col("p_size").cast("string"), 2, "0")).alias("icd_code"))
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
            .join(p, li.l_partkey == p.p_partkey))
     return j.select(
         F.col("o_custkey").alias("subject_id"),
         F.col("o_orderkey").alias("hadm_id"),
-        F.when(F.col("l_linestatus") == "F", F.lit(9)).otherwise(F.lit(10)).alias("icd_version"),
-        F.concat(F.substring("p_type", 1, 1),
-                 F.lpad(F.col("p_size").cast("string"), 2, "0")).alias("icd_code"),
+        "icd_version", "icd_code",
     )
 
 
