@@ -7,7 +7,7 @@ the curve operators, per-range totals (see ``carepath.operators.cumulative``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carepath.functions.expressions import threshold_class, zero_safe
@@ -240,3 +240,22 @@ def capacity_summary(df: DataFrame, quantile_cols: dict[str, str], model_name: s
         if float(q[1:]) / 100 >= 0.75:
             aggs.append(F.sum(c).alias(f"{q}_capacity_need"))
     return df.agg(*aggs)
+
+
+def model_comparison(metric_rows: list[DataFrame], metric: str) -> DataFrame:
+    """E12 + O3: one row per model (union by name of one-row metric tables),
+    best first.  ``rank`` keeps the input order among equal metrics, so the
+    first model wins ties (O4)."""
+    out = None
+    for i, m in enumerate(metric_rows):
+        m = m.withColumn("_pos", F.lit(i))
+        out = m if out is None else out.unionByName(m, allowMissingColumns=True)
+    # A window without partition is fine here: one row per model.
+    w = Window.orderBy(F.desc_nulls_last(metric), F.asc("_pos"))
+    return out.withColumn("rank", F.row_number().over(w)).drop("_pos")
+
+
+def best_model(comparison: DataFrame, metric: str) -> str:
+    """Name of the model with the best ``metric`` (first on ties)."""
+    row = comparison.filter(F.col("rank") == 1).select("model_name").first()
+    return row["model_name"] if row else None

@@ -218,6 +218,15 @@ REGRESSORS = {
 }
 
 
+def fit_many(trainers: dict, train: DataFrame, features: list[str], label: str,
+             parallelism: int = 4) -> dict[str, Fitted]:
+    """Fit several independent models as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        futures = {n: ex.submit(t, train, features, label) for n, t in trainers.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 def coefficients(fitted: Fitted) -> DataFrame:
     """Intercept and coefficients of a linear model as rows ``(term, value)``."""
     from pyspark.sql import SparkSession
@@ -233,13 +242,19 @@ def out_of_fold_scores(df: DataFrame, features: list[str], label: str, trainer=l
     """Score every training row with a model that did not see it.  Folds
     are ``hash(seed|key) mod folds``; the union of the fold scores is keyed,
     so it can be joined back by ``key``."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from carepath.functions.expressions import hash_key
     fold = F.pmod(hash_key(F.col(key), seed), F.lit(folds))
     df = df.withColumn("_fold", fold)
-    parts = []
-    for k in range(folds):
+
+    def one(k):
         m = trainer(df.filter(F.col("_fold") != k), features, label)
-        parts.append(m.score(df.filter(F.col("_fold") == k), out).drop("_fold", WEIGHT))
+        return m.score(df.filter(F.col("_fold") == k), out).drop("_fold", WEIGHT)
+
+    # the fold models are independent: fit them as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=folds) as ex:
+        parts = list(ex.map(one, range(folds)))
     result = parts[0]
     for p in parts[1:]:
         result = result.unionByName(p)

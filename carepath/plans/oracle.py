@@ -392,3 +392,16 @@ sql("explain_linear", _OLS + """
 SELECT hadm_id, 'x' AS feature, round(b * (predicted - mx), 6) AS attribution FROM spd, st""")
 sql("explain_summary", _OLS + """
 SELECT 'x' AS feature, round(avg(abs(b * (predicted - mx))), 6) AS mean_abs_attribution FROM spd, st""")
+sql("regression_leaderboard", _OLS + """
+, rg AS (SELECT sxy / (sxx + 1.0) AS w, my, mx FROM st),
+en AS (SELECT sign(sxy / n) * greatest(abs(sxy / n) - 0.5, 0) / (sxx / n + 0.5) AS w, my, mx FROM st),
+coef AS (SELECT 'LinearRegression' AS model_name, a AS c0, b AS c1, 0 AS pos FROM st
+         UNION ALL SELECT 'Ridge', my - w * mx, w, 1 FROM rg
+         UNION ALL SELECT 'ElasticNet', my - w * mx, w, 2 FROM en),
+sc AS (SELECT model_name, pos, actual, c0 + c1 * predicted AS p FROM coef, spd),
+m AS (SELECT model_name, pos, round(sqrt(avg((actual - p) ^ 2)), 4) AS rmse, round(avg(abs(actual - p)), 4) AS mae,
+             round(1 - sum((actual - p) ^ 2) / (var_pop(actual) * count(*)), 4) AS r2,
+             round(avg(abs((actual - p) / CASE WHEN actual = 0 THEN 1e-10 ELSE actual END)) * 100, 4) AS mape
+      FROM sc GROUP BY model_name, pos)
+SELECT model_name, rmse, mae, r2, mape, CAST(row_number() OVER (ORDER BY r2 DESC NULLS LAST, pos) AS INTEGER) AS rank
+FROM m""")

@@ -577,3 +577,39 @@ def q_explain_tree(spark, sf_dir):
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     fitted = md.random_forest_classifier(train, feats, "is_readmission")
     return rounded(xp.monte_carlo_shapley(fitted, test, "hadm_id", train))
+
+
+@query("regression_leaderboard")
+def q_regression_leaderboard(spark, sf_dir):
+    """OLS, ridge and elastic net on one feature, scored on the
+    whole stay table, ranked by R² (first model wins ties)."""
+    rows = []
+    for name, trainer, kw in (("LinearRegression", md.linear_regression, {}),
+                              ("Ridge", md.ridge, {"alpha": 1.0}),
+                              ("ElasticNet", md.elastic_net, {"alpha": 1.0, "l1_ratio": 0.5})):
+        fitted, data = _one_feature(spark, sf_dir, trainer, **kw)
+        m = ev.regression_metrics(fitted.score(data, "p"), "actual", "p")
+        rows.append(m.select(F.lit(name).alias("model_name"),
+                             *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2", "mape")]))
+    return ev.model_comparison(rows, "r2")
+
+
+@query("readmission_leaderboard")
+def q_readmission_leaderboard(spark, sf_dir):
+    """Entry B: four classifiers trained on the train split, compared on the
+    test split by ROC AUC."""
+    from carepath.plans import readmission_plan as rp
+    data, feats = model_data(spark, sf_dir)
+    out = rp.run(data, feats, explain=False)
+    return rounded(out.leaderboard)
+
+
+@query("resource_leaderboard")
+def q_resource_leaderboard(spark, sf_dir):
+    """Entry C: five LOS regressors (with the out-of-fold readmission
+    probability as a feature), compared on the test split by R²."""
+    from carepath.plans import resource_plan as rs
+    data, feats = model_data(spark, sf_dir)
+    data, feats = rs.with_readmission_probability(data, feats)
+    out = rs.run(data, feats, "total_los_days", quantiles=None)
+    return rounded(out.leaderboard)
