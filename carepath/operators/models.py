@@ -108,7 +108,7 @@ def logistic_regression(train: DataFrame, features: list[str], label: str, C_: f
     wsum = df.agg(F.sum(WEIGHT)).first()[0] or 1.0
     est = C.LogisticRegression(featuresCol="features", labelCol=label, weightCol=WEIGHT,
                                regParam=1.0 / (C_ * wsum), elasticNetParam=0.0, standardization=False,
-                               maxIter=max_iter, tol=1e-8, family="binomial")
+                               maxIter=max_iter, tol=1e-6, family="binomial")
     return _fit("LogisticRegression", "classifier", df, features, label, est)
 
 

@@ -54,8 +54,18 @@ FIXTURE_COMORBIDITY_MAP: dict[str, dict[int, list[str]]] = {
 }
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Lazy scan handle, reused per session and path (like a catalog entry):
+    listing the file and reading its footer happen once, not per query."""
+    key = (spark._jsparkSession.hashCode(), os.path.abspath(sf_dir), name)
+    df = _SCANS.get(key)
+    if df is None:
+        df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+        _SCANS[key] = df
+    return df
 
 
 def _case_mod(key: Column, mod: int, values: dict[int, str]) -> Column:
