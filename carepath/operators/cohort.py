@@ -11,6 +11,11 @@ DEFAULT_PREFIX = "I50"
 DEFAULT_VERSION = 10
 
 
+def cohort_condition(prefix: str | list[str] = DEFAULT_PREFIX, version: int = DEFAULT_VERSION):
+    prefixes = [prefix] if isinstance(prefix, str) else list(prefix)
+    return any_prefix(F.col("icd_code"), prefixes) & (F.col("icd_version") == F.lit(version))
+
+
 def cohort_diagnoses(diagnoses: DataFrame, prefix: str | list[str] = DEFAULT_PREFIX,
                      version: int = DEFAULT_VERSION) -> DataFrame:
     """Diagnosis rows whose code starts with ``prefix`` under ``version``.
@@ -18,9 +23,7 @@ def cohort_diagnoses(diagnoses: DataFrame, prefix: str | list[str] = DEFAULT_PRE
     Row grain is kept.  Both predicates reach the Parquet scan as
     ``StringStartsWith`` / ``EqualTo`` pushed filters.
     """
-    prefixes = [prefix] if isinstance(prefix, str) else list(prefix)
-    return diagnoses.filter(any_prefix(F.col("icd_code"), prefixes)
-                            & (F.col("icd_version") == F.lit(version)))
+    return diagnoses.filter(cohort_condition(prefix, version))
 
 
 def cohort_patient_ids(cohort_rows: DataFrame) -> DataFrame:

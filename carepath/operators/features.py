@@ -79,6 +79,35 @@ def comorbidity_flags(diagnoses: DataFrame, subjects: DataFrame,
             .select("subject_id", *[F.coalesce(F.col(k), F.lit(0)).cast("int").alias(k) for k in cmap]))
 
 
+def any_condition(cmap: dict[str, dict[int, list[str]]] | None = None):
+    """True when a diagnosis row matches any condition of ``cmap``."""
+    cmap = cmap or COMORBIDITY_MAP
+    return reduce(lambda a, b: a | b, [_condition(cmap, k) for k in cmap])
+
+
+def comorbidity_flags_as_of(diagnoses: DataFrame, admissions: DataFrame,
+                            cmap: dict[str, dict[int, list[str]]] | None = None,
+                            stats_from: DataFrame | None = None) -> DataFrame:
+    """Per-admission flags from the diagnoses of the patient's stays admitted
+    no later than this one (ledger D6, ``as_of='admission'``), so no future
+    diagnosis leaks into a stay's features.
+
+    Flags per stay come from one grouped aggregate; the running max over a
+    patient's stays uses the skew-aware ``running_max_within``."""
+    from carepath.operators.sequence import running_max_within
+    cmap = cmap or COMORBIDITY_MAP
+    stays = admissions.select("subject_id", "hadm_id", "admittime")
+    dx = semi_join(diagnoses.select("hadm_id", "icd_version", "icd_code").filter(any_condition(cmap)),
+                   stays, "hadm_id")
+    per_stay = dx.groupBy("hadm_id").agg(
+        *[F.max(F.when(_condition(cmap, k), F.lit(1)).otherwise(F.lit(0))).alias(k) for k in cmap])
+    base = (stays.join(per_stay, "hadm_id", "left")
+                 .select("subject_id", "hadm_id", "admittime",
+                         *[F.coalesce(F.col(k), F.lit(0)).cast("int").alias(k) for k in cmap]))
+    out = running_max_within(base, "subject_id", "admittime", list(cmap), stats_from=stats_from)
+    return out.select("subject_id", "hadm_id", *[F.col(f"cum_{k}").alias(k) for k in cmap])
+
+
 def comorbidity_matches(diagnoses: DataFrame, subjects: DataFrame,
                         cmap: dict[str, dict[int, list[str]]] | None = None) -> DataFrame:
     """Matching diagnosis rows per condition, and their total (A5)."""

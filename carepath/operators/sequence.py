@@ -35,25 +35,13 @@ def _maybe_broadcast(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= limit else df
 
 
-def lag_within(df: DataFrame, key: str, order_cols: list[str], value_cols: list[str],
-               prev_col: str = "_prev", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-               stats_from: DataFrame | None = None) -> DataFrame:
-    """Add ``prev_col``: a struct of ``value_cols`` from the previous row of the
-    same ``key`` in ``order_cols`` order (NULL on a key's first row).
-
-    The first order column must be a timestamp or number; later ones break
-    ties.  Rows with a NULL first order column sort first, as in a window.
-
-    ``stats_from`` may name a cheaper table with the same rows per key (for
-    example the base table that ``df`` was semi-joined from): the hot-key
-    count then scans just ``key`` and the first order column of it instead
-    of recomputing ``df``'s lineage.  Counts from a superset only make more
-    keys "hot", which changes the plan, never the result.
-    """
-    t0 = order_cols[0]
-    vals = F.struct(*[F.col(v) for v in value_cols])
+def _bucketed(df: DataFrame, key: str, t0: str, rows_per_bucket: int, broadcast_limit: int,
+              stats_from: DataFrame | None):
+    """Attach ``_bucket`` (0 for ordinary keys, a time bucket for hot keys) and
+    ``_hot``; returns ``(staged, n_buckets)`` or ``None`` when no key is hot.
 
+    Buckets are monotone in ``t0``, so rows with equal ``t0`` share a bucket
+    and every bucket of a key precedes the next in the key's order."""
     src = (stats_from if stats_from is not None else df).select(key, t0)
     hot = (src.groupBy(key)
              .agg(F.count(F.lit(1)).alias("_n"), F.min(t0).alias("_tmin"), F.max(t0).alias("_tmax"))
@@ -61,11 +49,8 @@ def lag_within(df: DataFrame, key: str, order_cols: list[str], value_cols: list[
     hot_stats = hot.agg(F.count(F.lit(1)).alias("k"),
                         F.sum(F.ceil(F.col("_n") / F.lit(rows_per_bucket))).alias("b")).first()
     n_hot, n_buckets = int(hot_stats["k"]), int(hot_stats["b"] or 0)
-
     if n_hot == 0:
-        w = Window.partitionBy(key).orderBy(*order_cols)
-        return df.withColumn(prev_col, F.lag(vals).over(w))
-
+        return None
     nb = F.ceil(F.col("_n") / F.lit(rows_per_bucket))
     if isinstance(df.schema[t0].dataType, (T.TimestampType, T.TimestampNTZType)):
         pos = F.timestamp_diff("MICROSECOND", F.col("_tmin"), F.col(t0)).cast("double")
@@ -75,14 +60,35 @@ def lag_within(df: DataFrame, key: str, order_cols: list[str], value_cols: list[
         span = (F.col("_tmax") - F.col("_tmin")).cast("double")
     bucket = F.when(F.col("_n").isNull() | F.col(t0).isNull(), F.lit(0)).otherwise(
         F.least(nb - 1, F.floor(nb * pos / (span + F.lit(1.0))))).cast("long")
-
-    if stats_from is not None:
-        # a superset may hold keys that are absent from df: keep only df's keys
-        hot = hot.join(df.select(key).distinct(), key, "left_semi")
+    # Keys of a superset that are absent from df simply find no partner.
     staged = (df.join(_maybe_broadcast(hot, n_hot, broadcast_limit), key, "left")
-                .withColumn("_bucket", bucket)
-                .withColumn("_hot", F.col("_n").isNotNull())
+                .withColumns({"_bucket": bucket, "_hot": F.col("_n").isNotNull()})
                 .drop("_n", "_tmin", "_tmax"))
+    return staged, n_buckets
+
+
+def lag_within(df: DataFrame, key: str, order_cols: list[str], value_cols: list[str],
+               prev_col: str = "_prev", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+               stats_from: DataFrame | None = None) -> DataFrame:
+    """Add ``prev_col``: a struct of ``value_cols`` from the previous row of the
+    same ``key`` in ``order_cols`` order (NULL on a key's first row).
+
+    The first order column must be a timestamp or number; later ones break
+    ties.  Rows with a NULL first order column sort first, as in a window.
+
+    ``stats_from`` may name a cheaper table with the same rows per key (for
+    example the base table that ``df`` was semi-joined from): the hot-key
+    count then scans just ``key`` and the first order column of it instead
+    of recomputing ``df``'s lineage.  Counts from a superset only make more
+    keys "hot", which changes the plan, never the result.
+    """
+    vals = F.struct(*[F.col(v) for v in value_cols])
+    b = _bucketed(df, key, order_cols[0], rows_per_bucket, broadcast_limit, stats_from)
+    if b is None:
+        w = Window.partitionBy(key).orderBy(*order_cols)
+        return df.withColumn(prev_col, F.lag(vals).over(w))
+    staged, n_buckets = b
 
     w = Window.partitionBy(key, "_bucket").orderBy(*order_cols)
     windowed = staged.withColumn(prev_col, F.lag(vals).over(w))
@@ -96,8 +102,34 @@ def lag_within(df: DataFrame, key: str, order_cols: list[str], value_cols: list[
              .withColumn("_carry", F.lag("_last").over(wb))
              .select(key, "_bucket", "_carry"))
 
-    out = (windowed.join(_maybe_broadcast(carry, n_buckets, broadcast_limit),
-                         [key, "_bucket"], "left")
-           .withColumn(prev_col, F.coalesce(F.col(prev_col), F.col("_carry")))
-           .drop("_carry", "_bucket", "_hot"))
-    return out
+    return (windowed.join(_maybe_broadcast(carry, n_buckets, broadcast_limit), [key, "_bucket"], "left")
+            .withColumn(prev_col, F.coalesce(F.col(prev_col), F.col("_carry")))
+            .drop("_carry", "_bucket", "_hot"))
+
+
+def running_max_within(df: DataFrame, key: str, order_col: str, value_cols: list[str],
+                       rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                       broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                       stats_from: DataFrame | None = None, prefix: str = "cum_") -> DataFrame:
+    """Add ``cum_<v>``: the max of ``v`` over the rows of the same ``key`` whose
+    ``order_col`` is at most this row's (ties included, a RANGE frame).
+
+    Hot keys are split into time buckets as in ``lag_within``: the running max
+    runs per ``(key, bucket)`` and the max of all earlier buckets (a running
+    max over the small per-bucket summary) is folded in."""
+    frame = (Window.unboundedPreceding, Window.currentRow)
+    b = _bucketed(df, key, order_col, rows_per_bucket, broadcast_limit, stats_from)
+    if b is None:
+        w = Window.partitionBy(key).orderBy(order_col).rangeBetween(*frame)
+        return df.withColumns({f"{prefix}{v}": F.max(v).over(w) for v in value_cols})
+    staged, n_buckets = b
+    w = Window.partitionBy(key, "_bucket").orderBy(order_col).rangeBetween(*frame)
+    windowed = staged.withColumns({f"{prefix}{v}": F.max(v).over(w) for v in value_cols})
+    per_bucket = (staged.filter(F.col("_hot")).groupBy(key, "_bucket")
+                  .agg(*[F.max(v).alias(f"_m_{v}") for v in value_cols]))
+    wb = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(key, "_bucket", *[F.max(f"_m_{v}").over(wb).alias(f"_c_{v}") for v in value_cols])
+    out = windowed.join(_maybe_broadcast(carry, n_buckets, broadcast_limit), [key, "_bucket"], "left")
+    return (out.withColumns({f"{prefix}{v}": F.greatest(F.col(f"{prefix}{v}"), F.col(f"_c_{v}"))
+                             for v in value_cols})
+               .drop("_bucket", "_hot", *[f"_c_{v}" for v in value_cols]))

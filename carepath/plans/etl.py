@@ -51,18 +51,36 @@ class EtlResult:
 
 def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
                    cmap=None, window_days: float = 30, lab_items: dict[str, str] | None = None,
-                   check_target: bool = False) -> EtlResult:
-    """Stages A1 and A2 plus the assembly of A3."""
+                   check_target: bool = False, as_of: str = "patient",
+                   shared_scan: bool = False) -> EtlResult:
+    """Stages A1 and A2 plus the assembly of A3.
+
+    ``as_of='admission'`` builds comorbidities per stay from earlier-or-same
+    stays only (ledger D6).  ``shared_scan=True`` reads the diagnoses once:
+    rows matching the cohort or any condition are checkpointed (a small
+    share of the table) and both stages read that copy, which trades one
+    full scan of the largest table for one write of its matching rows.
+    """
     require_inputs(tables, ["patients", "admissions", "diagnoses_icd"])
-    rows = cohort.cohort_diagnoses(tables["diagnoses_icd"], prefix, version)
+    cmap = cmap or features.COMORBIDITY_MAP
+    dx = tables["diagnoses_icd"]
+    if shared_scan:
+        dx = materialize(dx.select("subject_id", "hadm_id", "icd_version", "icd_code")
+                           .filter(cohort.cohort_condition(prefix, version) | features.any_condition(cmap)))
+    rows = cohort.cohort_diagnoses(dx, prefix, version)
     ids = cohort.cohort_patient_ids(rows)
     adm = cohort.cohort_admissions(tables["admissions"], ids)
     flagged = readmission.flag_readmissions(adm, window_days, stats_from=tables["admissions"])
     subjects = cohort.cohort_patient_ids(adm)
     demo = features.demographics(tables["patients"], subjects)
-    comorb = features.comorbidity_flags(tables["diagnoses_icd"], subjects, cmap)
-    pfeat = features.patient_features(demo, comorb)
     afeat = features.admission_features(flagged)
+    if as_of == "admission":
+        comorb = features.comorbidity_flags_as_of(dx, adm, cmap, stats_from=tables["admissions"])
+        pfeat = demo
+        afeat = afeat.join(comorb.drop("subject_id"), "hadm_id", "left")
+    else:
+        comorb = features.comorbidity_flags(dx, subjects, cmap)
+        pfeat = features.patient_features(demo, comorb)
     if lab_items and "labevents" in tables:
         labs = features.lab_means(tables["labevents"], lab_items)
         afeat = afeat.join(labs, "hadm_id", "left")

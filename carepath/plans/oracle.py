@@ -405,3 +405,11 @@ m AS (SELECT model_name, pos, round(sqrt(avg((actual - p) ^ 2)), 4) AS rmse, rou
       FROM sc GROUP BY model_name, pos)
 SELECT model_name, rmse, mae, r2, mape, CAST(row_number() OVER (ORDER BY r2 DESC NULLS LAST, pos) AS INTEGER) AS rank
 FROM m""")
+sql("comorbidity_flags_as_of", f"""
+, ps AS (SELECT hadm_id, {", ".join(f"max(CASE WHEN {_cond(k)} THEN 1 ELSE 0 END) AS {k}" for k in _CONDS)}
+         FROM fx_diagnoses WHERE hadm_id IN (SELECT hadm_id FROM coh_adm) AND {_ANY} GROUP BY hadm_id),
+st AS (SELECT a.subject_id, a.hadm_id, a.admittime, {", ".join(f"CAST(coalesce(ps.{k}, 0) AS INTEGER) AS {k}" for k in _CONDS)}
+       FROM coh_adm a LEFT JOIN ps ON a.hadm_id = ps.hadm_id)
+SELECT subject_id, hadm_id, {", ".join(f"max({k}) OVER (PARTITION BY subject_id ORDER BY admittime RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {k}" for k in _CONDS)}
+FROM st""")
+ORACLE["final_dataset_shared_scan"] = ORACLE["final_dataset"]

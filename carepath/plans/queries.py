@@ -613,3 +613,19 @@ def q_resource_leaderboard(spark, sf_dir):
     data, feats = rs.with_readmission_probability(data, feats)
     out = rs.run(data, feats, "total_los_days", quantiles=None)
     return rounded(out.leaderboard)
+
+
+@query("comorbidity_flags_as_of")
+def q_comorbidity_flags_as_of(spark, sf_dir):
+    """Ledger D6: per-stay flags from the patient's stays admitted no later."""
+    adm = fx.admissions(spark, sf_dir)
+    return ft.comorbidity_flags_as_of(fx.diagnoses(spark, sf_dir), cohort_adm(spark, sf_dir),
+                                      fx.FIXTURE_COMORBIDITY_MAP, stats_from=adm)
+
+
+@query("final_dataset_shared_scan")
+def q_final_dataset_shared_scan(spark, sf_dir):
+    """F4 with one shared diagnoses scan (same rows as ``final_dataset``)."""
+    r = etl.build_features(fx.load_fixture_tables(spark, sf_dir), fx.FIXTURE_COHORT_PREFIX,
+                           fx.FIXTURE_COHORT_VERSION, fx.FIXTURE_COMORBIDITY_MAP, shared_scan=True)
+    return r.final.withColumn("days_until_readmission", r6("days_until_readmission"))
