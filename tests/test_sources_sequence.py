@@ -84,3 +84,18 @@ def test_readmission_with_stats_from_matches(spark):
     b = flag_readmissions(df, rows_per_bucket=9, stats_from=df).orderBy("hadm_id").collect()
     assert [(r.is_readmission, r.days_until_readmission) for r in a] == \
            [(r.is_readmission, r.days_until_readmission) for r in b]
+
+
+def test_write_run_reports(spark, tmp_path):
+    import dataclasses as dc
+    from carepath.plans.reports import write_run
+
+    @dc.dataclass
+    class Run:
+        board: object
+        extra: dict
+
+    board = spark.createDataFrame([("m", 0.7)], "model_name string, roc_auc double")
+    out = write_run(Run(board, {"cv": board, "note": "x"}), str(tmp_path), "r1")
+    assert sorted(out) == ["board", "extra_cv"]
+    assert spark.read.parquet(out["board"]).count() == 1
