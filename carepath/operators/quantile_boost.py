@@ -25,6 +25,8 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carepath.session import checkpoint as _ckpt
+
 EXACT_LIMIT = 2_000_000
 
 
@@ -71,7 +73,7 @@ def fit_quantile_boost(train: DataFrame, features: list[str], label: str, quanti
     init_q = F.percentile("_y", quantile) if exact else F.percentile_approx("_y", quantile, 100_000)
     init = float(data.agg(init_q).first()[0])
     model = QuantileBoostModel(features, label, quantile, learning_rate, init)
-    work = data.select("_qb_x", "_y", F.lit(init).alias("_pred")).checkpoint(eager=True)
+    work = _ckpt(data.select("_qb_x", "_y", F.lit(init).alias("_pred")))
     previous = None
     for m in range(n_stages):
         work = work.withColumn("_g", F.lit(quantile) - (F.col("_y") <= F.col("_pred")).cast("double"))
@@ -88,7 +90,7 @@ def fit_quantile_boost(train: DataFrame, features: list[str], label: str, quanti
                                  * F.coalesce(F.element_at(lookup, F.col("_leaf")), F.lit(0.0)))
                      .select("_qb_x", "_y", "_pred"))
         if (m + 1) % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+            nxt = _ckpt(nxt)
         else:
             nxt = nxt.persist()
             nxt.count()
@@ -105,7 +107,7 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str,
                      **params) -> dict[str, QuantileBoostModel]:
     """``train_quantile_regressor``: one booster per quantile, keyed 'q50' etc.
     The boosters are independent, so their Spark jobs run concurrently."""
-    train = train.select(*features, label).checkpoint(eager=True)
+    train = _ckpt(train.select(*features, label))
 
     def one(q):
         return f"q{int(round(q * 100))}", fit_quantile_boost(train, features, label, q, **params)

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carepath.session import checkpoint as _ckpt
+
 from carepath.functions.names import existing, string_columns
 from carepath.operators import assemble, clean, cohort, derive, encode, features, readmission, split
 from carepath.sources.tables import require_inputs
@@ -29,7 +31,7 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     loss); ``persist`` keeps it in executor memory/disk; ``none`` stays lazy.
     """
     if mode == "checkpoint":
-        return df.checkpoint(eager=True)
+        return _ckpt(df)
     if mode == "persist":
         return df.persist()
     return df

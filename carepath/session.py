@@ -68,6 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def checkpoint(df):
+    """Reliable, eager checkpoint into ``spark.checkpoint.dir`` (never a
+    local checkpoint): cuts the lineage so a lost executor recomputes from
+    the written copy."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
