@@ -46,11 +46,17 @@ class QuantileBoostModel:
     init: float
     stages: list[tuple[DecisionTreeRegressionModel, dict[float, float]]] = field(default_factory=list)
 
-    def predict(self, df: DataFrame, out: str) -> DataFrame:
-        """Add ``out``: init + learning_rate * sum of leaf steps."""
+    def predict(self, df: DataFrame, out: str, stages_per_plan: int = 25) -> DataFrame:
+        """Add ``out``: init + learning_rate * sum of leaf steps.
+
+        Every ``stages_per_plan`` stages the scored table is checkpointed:
+        Catalyst would otherwise collapse all stages into one nested
+        expression, too large for one generated method."""
         vec = VectorAssembler(inputCols=self.features, outputCol="_qb_x").transform(df)
         vec = vec.withColumn(out, F.lit(float(self.init)))
         for i, (tree, steps) in enumerate(self.stages):
+            if i and i % stages_per_plan == 0:
+                vec = _ckpt(vec)
             leaf = f"_qb_leaf{i}"
             t = tree.copy().setFeaturesCol("_qb_x").setPredictionCol(f"_qb_p{i}").setLeafCol(leaf)
             m = F.create_map(*[x for k, v in steps.items() for x in (F.lit(float(k)), F.lit(float(v)))])
