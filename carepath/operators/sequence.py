@@ -23,6 +23,8 @@ is below ``broadcast_limit`` and shuffled otherwise.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,25 @@ def _maybe_broadcast(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= limit else df
 
 
+# Hot-key statistics of an explicit base table, kept per DataFrame object
+# for the life of that object (a DataFrame over files sees a fixed listing,
+# so its statistics do not change while it lives).
+_HOT_CACHE: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
+def _hot_keys(src_df: DataFrame, key: str, t0: str, rows_per_bucket: int, cache: bool):
+    memo = _HOT_CACHE.setdefault(src_df, {}) if cache else {}
+    k = (key, t0, rows_per_bucket)
+    if k not in memo:
+        hot = (src_df.select(key, t0).groupBy(key)
+                 .agg(F.count(F.lit(1)).alias("_n"), F.min(t0).alias("_tmin"), F.max(t0).alias("_tmax"))
+                 .filter(F.col("_n") > F.lit(rows_per_bucket)))
+        st = hot.agg(F.count(F.lit(1)).alias("k"),
+                     F.sum(F.ceil(F.col("_n") / F.lit(rows_per_bucket))).alias("b")).first()
+        memo[k] = (hot, int(st["k"]), int(st["b"] or 0))
+    return memo[k]
+
+
 def _bucketed(df: DataFrame, key: str, t0: str, rows_per_bucket: int, broadcast_limit: int,
               stats_from: DataFrame | None):
     """Attach ``_bucket`` (0 for ordinary keys, a time bucket for hot keys) and
@@ -42,13 +63,8 @@ def _bucketed(df: DataFrame, key: str, t0: str, rows_per_bucket: int, broadcast_
 
     Buckets are monotone in ``t0``, so rows with equal ``t0`` share a bucket
     and every bucket of a key precedes the next in the key's order."""
-    src = (stats_from if stats_from is not None else df).select(key, t0)
-    hot = (src.groupBy(key)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min(t0).alias("_tmin"), F.max(t0).alias("_tmax"))
-             .filter(F.col("_n") > F.lit(rows_per_bucket)))
-    hot_stats = hot.agg(F.count(F.lit(1)).alias("k"),
-                        F.sum(F.ceil(F.col("_n") / F.lit(rows_per_bucket))).alias("b")).first()
-    n_hot, n_buckets = int(hot_stats["k"]), int(hot_stats["b"] or 0)
+    src = stats_from if stats_from is not None else df
+    hot, n_hot, n_buckets = _hot_keys(src, key, t0, rows_per_bucket, cache=stats_from is not None)
     if n_hot == 0:
         return None
     nb = F.ceil(F.col("_n") / F.lit(rows_per_bucket))

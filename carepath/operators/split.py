@@ -16,6 +16,7 @@ whole class into one task.  Instead the class cut point is *selected*:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,17 +100,24 @@ def stratified_flags(df: DataFrame, key: str, strata: str, share: float, seed: i
     """Add boolean ``out``: True for the exact per-class ``share`` of rows
     with the smallest ``(hash(seed|key), key)``.  Rows sharing a key fall on
     the same side."""
-    base = df.withColumn("_h", hash_key(F.col(key), seed)).withColumn("_k", F.col(key))
-    # The first histogram level also yields the class sizes: one job for both.
-    top = (base.groupBy(strata, F.shiftrightunsigned(F.col("_h"), HASH_BITS - LEVEL_BITS).alias("_b"))
-               .agg(F.count(F.lit(1)).alias("_n"))
-               .limit(MAX_STRATA * (1 << LEVEL_BITS) + 1).collect())
-    counts: dict = {}
-    for r in top:
-        counts[r[strata]] = counts.get(r[strata], 0) + r["_n"]
-    if len(counts) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in {strata!r}")
-    cuts = _select_cuts(base, strata, class_targets(counts, share), collect_limit, first_level=top)
+    base = df.withColumns({"_h": hash_key(F.col(key), seed), "_k": F.col(key)})
+    # The selection jobs need three narrow columns only; keep them for the
+    # few jobs instead of recomputing the input's lineage each time (the
+    # hash is deterministic, so a recomputed partition is identical).
+    narrow = base.select(strata, "_h", "_k").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # The first histogram level also yields the class sizes: one job for both.
+        top = (narrow.groupBy(strata, F.shiftrightunsigned(F.col("_h"), HASH_BITS - LEVEL_BITS).alias("_b"))
+                     .agg(F.count(F.lit(1)).alias("_n"))
+                     .limit(MAX_STRATA * (1 << LEVEL_BITS) + 1).collect())
+        counts: dict = {}
+        for r in top:
+            counts[r[strata]] = counts.get(r[strata], 0) + r["_n"]
+        if len(counts) > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata in {strata!r}")
+        cuts = _select_cuts(narrow, strata, class_targets(counts, share), collect_limit, first_level=top)
+    finally:
+        narrow.unpersist()
     flag = F.lit(False)
     for s, cut in cuts.items():
         in_class = (F.col(strata) == F.lit(s)) if s is not None else F.col(strata).isNull()
