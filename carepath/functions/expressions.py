@@ -125,3 +125,18 @@ HASH_SPACE = float(16 ** 15)
 def hash_fraction(key: Column | str, seed: int | str = 42) -> Column:
     """``hash_key`` mapped to [0, 1)."""
     return hash_key(key, seed) / F.lit(HASH_SPACE)
+
+
+def to_timestamp_col(c: Column | str, fmt: str | None = None) -> Column:
+    """Parse a string column to a timestamp; unparsable text gives NULL
+    (``try_to_timestamp``), an existing timestamp passes through."""
+    c = _c(c)
+    return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
+
+
+def parse_timestamps(df, cols: list[str], fmt: str | None = None):
+    """Parse the string-typed columns among ``cols``; others are left as they are."""
+    from pyspark.sql import types as T
+    types = {f.name: f.dataType for f in df.schema.fields}
+    todo = {c: to_timestamp_col(c, fmt) for c in cols if isinstance(types.get(c), T.StringType)}
+    return df.withColumns(todo) if todo else df

@@ -105,3 +105,11 @@ def test_clean_feature_names(spark):
     assert clean_feature_names(df).columns == ["a_b", "c_d"]
     with pytest.raises(ValueError):
         clean_feature_names(spark.createDataFrame([(1, 2)], "`a b` int, `a_b` int"))
+
+
+def test_parse_timestamps(spark):
+    from carepath.functions.expressions import parse_timestamps
+    df = spark.createDataFrame([("2020-01-01 12:00:00", "x"), ("garbage", "y"), (None, "z")], "admittime string, k string")
+    out = parse_timestamps(df, ["admittime", "missing"]).collect()
+    assert out[0].admittime == dt.datetime(2020, 1, 1, 12) and out[1].admittime is None and out[2].admittime is None
+    assert dict(parse_timestamps(df, ["admittime"]).dtypes)["admittime"] == "timestamp"
