@@ -65,7 +65,7 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return stacked.select(
         F.col("_s.column").alias("column"),
         F.col("_s.n_null").cast("long").alias("n_null"),
-        (F.col("_s.n_null") / F.col("_rows")).alias("null_share"))
+        F.try_divide(F.col("_s.n_null"), F.col("_rows")).alias("null_share"))
 
 
 def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -116,8 +116,8 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score")
     """Step-wise average precision Σ (R_i - R_{i-1}) P_i over descending
     thresholds (E4), as ``average_precision_score`` (no interpolation)."""
     t = _with_totals(score_table(df, label, score))
-    return t.agg(
-        F.sum(F.col("pos") / F.col("P") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
+    return t.agg(F.sum(F.try_divide(F.col("pos"), F.col("P")) * F.col("tp") / (F.col("tp") + F.col("fp")))
+                 .alias("average_precision"))
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -125,8 +125,8 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     rows with ``score >= threshold`` are called positive."""
     t = _with_totals(score_table(df, label, score))
     return t.select(F.col("score").alias("threshold"),
-                    (F.col("fp") / F.col("N")).alias("fpr"),
-                    (F.col("tp") / F.col("P")).alias("tpr"))
+                    F.try_divide(F.col("fp"), F.col("N")).alias("fpr"),
+                    F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))
 
 
 def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -135,8 +135,8 @@ def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> Data
     t = _with_totals(score_table(df, label, score))
     return t.select(F.col("score").alias("threshold"),
                     (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                    (F.col("tp") / F.col("P")).alias("recall"),
-                    (F.col("P") / (F.col("P") + F.col("N"))).alias("baseline"))
+                    F.try_divide(F.col("tp"), F.col("P")).alias("recall"),
+                    F.try_divide(F.col("P"), F.col("P") + F.col("N")).alias("baseline"))
 
 
 def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
@@ -153,7 +153,10 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
     return agg.select(
         F.col("n").cast("long").alias("n"),
         F.sqrt("_mse").alias("rmse"), "mae",
-        (F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("n"))).alias("r2"),
+        # a constant label: 1.0 for a perfect fit, else 0.0 (finite convention)
+        F.when(F.col("_var") * F.col("n") == 0,
+               F.when(F.col("_sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+         .otherwise(F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("n"))).alias("r2"),
         (F.col("_mape") * 100).alias("mape"),
         F.col("n_zero_actuals").cast("long").alias("n_zero_actuals"))
 

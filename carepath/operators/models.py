@@ -30,9 +30,9 @@ def class_weights(train: DataFrame, label: str) -> DataFrame:
                   F.count_if(y == 1).cast("long").alias("n_pos"),
                   F.count_if(y == 0).cast("long").alias("n_neg"))
     return c.select("n", "n_pos", "n_neg",
-                    (F.col("n_neg") / F.col("n_pos")).alias("scale_pos_weight"),
-                    (F.col("n") / (2.0 * F.col("n_neg"))).alias("weight_neg"),
-                    (F.col("n") / (2.0 * F.col("n_pos"))).alias("weight_pos"))
+                    F.try_divide(F.col("n_neg"), F.col("n_pos")).alias("scale_pos_weight"),
+                    F.try_divide(F.col("n"), 2.0 * F.col("n_neg")).alias("weight_neg"),
+                    F.try_divide(F.col("n"), 2.0 * F.col("n_pos")).alias("weight_pos"))
 
 
 def with_weights(df: DataFrame, label: str, mode: str | None, stats_df: DataFrame | None = None

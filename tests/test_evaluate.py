@@ -99,3 +99,20 @@ def test_quantile_coverage_and_capacity(spark):
     assert c.q75_coverage == pytest.approx(1 / 3) and c.q90_coverage == pytest.approx(2 / 3)
     s = ev.capacity_summary(df, qc, "qb", "total_los_days").first()
     assert s.median_prediction == 1.5 and s.q90_capacity_need == 10.0 and "q50_capacity_need" not in s
+
+
+def test_degenerate_inputs_do_not_raise(spark):
+    one_class = spark.createDataFrame([(0.2, 0), (0.7, 0)], "score double, label int")
+    assert ev.roc_auc(one_class).first().roc_auc is None
+    assert ev.average_precision(one_class).first().average_precision is None
+    assert all(r.tpr is None for r in ev.roc_points(one_class).collect())
+    assert all(r.recall is None for r in ev.pr_points(one_class).collect())
+    const = spark.createDataFrame([(3.0, 3.0), (3.0, 3.0)], "actual double, predicted double")
+    assert ev.regression_metrics(const).first().r2 == 1.0
+    off = spark.createDataFrame([(3.0, 2.0), (3.0, 4.0)], "actual double, predicted double")
+    assert ev.regression_metrics(off).first().r2 == 0.0
+    from carepath.operators.clean import null_profile
+    from carepath.operators.models import class_weights
+    empty = spark.createDataFrame([], "a int, label int")
+    assert {r.null_share for r in null_profile(empty).collect()} == {None}
+    assert class_weights(empty, "label").first().scale_pos_weight is None
