@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     if mode == "checkpoint":
         return _ckpt(df)
     if mode == "persist":
-        return df.persist()
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
 
 
@@ -54,7 +55,7 @@ class EtlResult:
 def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
                    cmap=None, window_days: float = 30, lab_items: dict[str, str] | None = None,
                    check_target: bool = False, as_of: str = "patient",
-                   shared_scan: bool = False) -> EtlResult:
+                   shared_scan: bool = False, id_tables: str = "persist") -> EtlResult:
     """Stages A1 and A2 plus the assembly of A3.
 
     ``as_of='admission'`` builds comorbidities per stay from earlier-or-same
@@ -70,10 +71,13 @@ def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
         dx = materialize(dx.select("subject_id", "hadm_id", "icd_version", "icd_code")
                            .filter(cohort.cohort_condition(prefix, version) | features.any_condition(cmap)))
     rows = cohort.cohort_diagnoses(dx, prefix, version)
-    ids = cohort.cohort_patient_ids(rows)
+    # The two id lists feed several semi joins each; kept once (one row per
+    # cohort patient, lazily cached), they spare repeated scans of the
+    # diagnoses and admissions tables.
+    ids = materialize(cohort.cohort_patient_ids(rows), id_tables)
     adm = cohort.cohort_admissions(tables["admissions"], ids)
     flagged = readmission.flag_readmissions(adm, window_days, stats_from=tables["admissions"])
-    subjects = cohort.cohort_patient_ids(adm)
+    subjects = materialize(cohort.cohort_patient_ids(adm), id_tables)
     demo = features.demographics(tables["patients"], subjects)
     afeat = features.admission_features(flagged)
     if as_of == "admission":
