@@ -3,6 +3,7 @@ and the ICU split (X2-X12, A13, R1)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,4 +68,7 @@ def length_of_stay(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Total LOS, comorbidity score, ICU and non-ICU days."""
     out = with_los(df) if "total_los_days" not in df.columns else df
     out = with_comorbidity_score(out, cols)
+    # The global max (one small job) and the rows share one computation of
+    # the input: cached lazily by the first of the two jobs.
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
     return with_icu_split(out)

@@ -35,22 +35,34 @@ def class_weights(train: DataFrame, label: str) -> DataFrame:
                     F.try_divide(F.col("n"), 2.0 * F.col("n_pos")).alias("weight_pos"))
 
 
+def weighted(df: DataFrame, label: str, mode: str | None, stats_df: DataFrame | None = None
+             ) -> tuple[DataFrame, float]:
+    """``df`` with a ``weight`` column, and the sum of the weights.
+
+    'balanced' gives class k the weight n / (2 n_k), 'scale_pos' weights
+    positives by n_neg / n_pos, None weights every row 1.  The class counts
+    are one aggregate applied as literals; the weight sum follows from them."""
+    w = class_weights(stats_df if stats_df is not None else df, label).first()
+    n, n_pos, n_neg = int(w["n"]), int(w["n_pos"]), int(w["n_neg"])
+    if mode is None:
+        return df.withColumn(WEIGHT, F.lit(1.0)), float(n)
+    y = F.col(label).cast("int")
+    if mode == "balanced":
+        wp, wn = float(w["weight_pos"] or 1.0), float(w["weight_neg"] or 1.0)
+    elif mode == "scale_pos":
+        wp, wn = float(w["scale_pos_weight"] or 1.0), 1.0
+    else:
+        raise ValueError(f"unknown weight mode {mode!r}")
+    total = wp * n_pos + wn * n_neg + (n - n_pos - n_neg)   # other labels keep weight wn
+    return df.withColumn(WEIGHT, F.when(y == 1, F.lit(wp)).otherwise(F.lit(wn))), float(total)
+
+
 def with_weights(df: DataFrame, label: str, mode: str | None, stats_df: DataFrame | None = None
                  ) -> DataFrame:
-    """Add a ``weight`` column: 'balanced' (n / 2 n_k), 'scale_pos'
-    (positives weighted n_neg / n_pos) or None (all 1).  The class counts
-    are one aggregate, applied as literals."""
+    """Add a ``weight`` column (see ``weighted``)."""
     if mode is None:
         return df.withColumn(WEIGHT, F.lit(1.0))
-    w = class_weights(stats_df if stats_df is not None else df, label).first()
-    y = F.col(label).cast("int")
-    if mode == "balanced":
-        return df.withColumn(WEIGHT, F.when(y == 1, F.lit(float(w["weight_pos"] or 1.0)))
-                                      .otherwise(F.lit(float(w["weight_neg"] or 1.0))))
-    if mode == "scale_pos":
-        return df.withColumn(WEIGHT, F.when(y == 1, F.lit(float(w["scale_pos_weight"] or 1.0)))
-                                      .otherwise(F.lit(1.0)))
-    raise ValueError(f"unknown weight mode {mode!r}")
+    return weighted(df, label, mode, stats_df)[0]
 
 
 def _pipeline(features: list[str], estimator) -> Pipeline:
@@ -104,8 +116,8 @@ def logistic_regression(train: DataFrame, features: list[str], label: str, C_: f
     """M1: L2 logistic regression.  scikit-learn minimises
     ``0.5||w||² + C Σ w_i loss_i``; Spark minimises ``Σ w_i loss_i / Σ w_i +
     λ/2 ||w||²``, so ``λ = 1 / (C Σ w_i)``; balanced weights sum to n."""
-    df = with_weights(train, label, weights)
-    wsum = df.agg(F.sum(WEIGHT)).first()[0] or 1.0
+    df, wsum = weighted(train, label, weights)
+    wsum = wsum or 1.0
     est = C.LogisticRegression(featuresCol="features", labelCol=label, weightCol=WEIGHT,
                                regParam=1.0 / (C_ * wsum), elasticNetParam=0.0, standardization=False,
                                maxIter=max_iter, tol=1e-6, family="binomial")

@@ -91,7 +91,8 @@ def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
         labs = features.lab_means(tables["labevents"], lab_items)
         afeat = afeat.join(labs, "hadm_id", "left")
     final = assemble.final_dataset(flagged, pfeat, afeat, TARGET, check=check_target)
-    return EtlResult(rows, ids, adm, flagged, demo, comorb, pfeat, afeat, final)
+    return EtlResult(rows, ids, adm, flagged, demo, comorb, pfeat, afeat, final,
+                     extra={"subjects": subjects})
 
 
 @dataclass

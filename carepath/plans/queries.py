@@ -132,18 +132,17 @@ def subjects(spark, sf_dir) -> DataFrame:
 
 @query("demographics")
 def q_demographics(spark, sf_dir):
-    return ft.demographics(fx.patients(spark, sf_dir), subjects(spark, sf_dir))
+    return etl_result(spark, sf_dir).demographics
 
 
 @query("comorbidity_flags")
 def q_comorbidity_flags(spark, sf_dir):
-    return ft.comorbidity_flags(fx.diagnoses(spark, sf_dir), subjects(spark, sf_dir),
-                                fx.FIXTURE_COMORBIDITY_MAP)
+    return etl_result(spark, sf_dir).comorbidities
 
 
 @query("comorbidity_matches")
 def q_comorbidity_matches(spark, sf_dir):
-    return ft.comorbidity_matches(fx.diagnoses(spark, sf_dir), subjects(spark, sf_dir),
+    return ft.comorbidity_matches(fx.diagnoses(spark, sf_dir), etl_result(spark, sf_dir).extra["subjects"],
                                   fx.FIXTURE_COMORBIDITY_MAP)
 
 
