@@ -125,11 +125,6 @@ def etl_result(spark, sf_dir, labs: bool = False) -> etl.EtlResult:
                               lab_items=LAB_ITEMS if labs else None)
 
 
-def subjects(spark, sf_dir) -> DataFrame:
-    """Patients with a cohort stay (the same set the flagged table holds)."""
-    return coh.cohort_patient_ids(cohort_adm(spark, sf_dir))
-
-
 @query("demographics")
 def q_demographics(spark, sf_dir):
     return etl_result(spark, sf_dir).demographics
