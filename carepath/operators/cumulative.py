@@ -28,8 +28,8 @@ def _range_id(col: str, cuts: list[float]) -> Column:
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], n_ranges: int | None = None,
                  descending: bool = False, prefix: str = "cum_") -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
-    order.  ``order_col`` must be unique per row (aggregate first) and
-    numeric."""
+    order, and the grand totals ``total_<c>`` (known from the range sums).
+    ``order_col`` must be unique per row (aggregate first) and numeric."""
     spark = df.sparkSession
     if n_ranges is None:
         n_ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
@@ -56,5 +56,6 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], n_ranges: i
     out = staged
     for c in sum_cols:
         off = F.create_map(*[x for rg, v in offsets[c].items() for x in (F.lit(rg), F.lit(v))])
-        out = out.withColumn(f"{prefix}{c}", F.sum(c).over(w) + F.element_at(off, F.col("_rg")))
+        out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + F.element_at(off, F.col("_rg")),
+                               f"total_{c}": F.lit(acc[c])})
     return out.drop("_ord", "_rg")

@@ -105,11 +105,11 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
 
 
 def _with_totals(t: DataFrame) -> DataFrame:
-    tot = t.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    P, N = int(tot["P"] or 0), int(tot["N"] or 0)
-    return (t.withColumn("tp", F.lit(P) - F.col("cum_pos") + F.col("pos"))
-             .withColumn("fp", F.lit(N) - F.col("cum_neg") + F.col("neg"))
-             .withColumn("P", F.lit(P)).withColumn("N", F.lit(N)))
+    """Rows at or above each threshold: tp/fp from the totals and running sums."""
+    P, N = F.col("total_pos"), F.col("total_neg")
+    return t.withColumns({"tp": P - F.col("cum_pos") + F.col("pos"),
+                          "fp": N - F.col("cum_neg") + F.col("neg"),
+                          "P": P, "N": N})
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
