@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from carepath.session import checkpoint as _ckpt
 
-from carepath.functions.names import existing, string_columns
+from carepath.functions.names import clean_feature_names, existing, string_columns
 from carepath.operators import assemble, clean, cohort, derive, encode, features, readmission, split
 from carepath.sources.tables import require_inputs
 
@@ -144,6 +144,9 @@ def preprocess(final: DataFrame, target: str = TARGET, test_size: float = 0.2, s
     if "anchor_age" in df.columns:
         df = df.withColumnRenamed("anchor_age", "age")
     df = clean.drop_columns(df, list(drop_dummies))
+    # Ledger D14: feature names are cleaned once here, so every model sees
+    # the same names (one-hot values may carry spaces or slashes).
+    df = clean_feature_names(df)
     non_features = set(clean.ID_COLUMNS + [target, "split", "total_los_days"])
     feats = [c for c in df.columns if c not in non_features]
     return Preprocessed(df, feats, scaler, encoder, categorical)
