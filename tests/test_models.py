@@ -135,3 +135,19 @@ def test_out_of_fold_scores_cover_every_row(spark):
                                "hadm_id long, a double, b double, y int")
     oof = md.out_of_fold_scores(df, ["a", "b"], "y", folds=3)
     assert oof.count() == 300 and oof.select("hadm_id").distinct().count() == 300
+
+
+def test_shapley_efficiency_for_tree_model(spark):
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(200, 3))
+    y = (X[:, 0] + X[:, 1] * X[:, 2] > 0).astype(int)
+    df = spark.createDataFrame([(i, *map(float, X[i]), int(y[i])) for i in range(200)],
+                               "hadm_id long, a double, b double, c double, y int")
+    f = md.random_forest_classifier(df, ["a", "b", "c"], "y", num_trees=10, max_depth=4)
+    bg = df.limit(1)                      # one background row: efficiency is exact
+    z = f.score(bg, "p").first().p
+    rows = df.limit(15)
+    att = explain.monte_carlo_shapley(f, rows, "hadm_id", bg, n_permutations=4)
+    sums = {r.hadm_id: r.s for r in att.groupBy("hadm_id").agg(F.sum("attribution").alias("s")).collect()}
+    for r in f.score(rows, "p").collect():
+        assert sums[r.hadm_id] == pytest.approx(r.p - z, abs=1e-9)
