@@ -31,12 +31,18 @@ def cohort_patient_ids(cohort_rows: DataFrame) -> DataFrame:
     return cohort_rows.select("subject_id").distinct()
 
 
-def cohort_counts(cohort_rows: DataFrame) -> DataFrame:
+def cohort_counts(cohort_rows: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Number of matching diagnosis rows and distinct patients.
 
-    One pass: a partial aggregate per ``subject_id`` then a global sum, so a
-    patient with very many rows is folded map-side.
+    Exact: a partial aggregate per ``subject_id`` then a global sum, so a
+    patient with very many rows is folded map-side.  ``approx=True`` uses a
+    HyperLogLog sketch (relative error ``rsd``) and needs no shuffle by
+    patient at all.
     """
+    if approx:
+        return cohort_rows.agg(
+            F.count(F.lit(1)).cast("long").alias("n_diagnoses"),
+            F.approx_count_distinct("subject_id", rsd).cast("long").alias("n_patients"))
     per_patient = cohort_rows.groupBy("subject_id").agg(F.count(F.lit(1)).alias("_rows"))
     return per_patient.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_diagnoses"),

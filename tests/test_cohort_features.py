@@ -70,3 +70,12 @@ def test_lab_means_pivot(spark):
                                  "hadm_id long, item string, value double")
     got = {r.hadm_id: r for r in features.lab_means(labs, {"NA": "sodium", "K": "potassium"}).collect()}
     assert got[1].sodium_mean == 138.0 and got[2].sodium_mean is None and got[2].potassium_mean == 5.0
+
+
+def test_cohort_counts_approx(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(5000).select((F.col("id") % 1234).alias("subject_id"))
+    exact = cohort.cohort_counts(rows).first()
+    approx = cohort.cohort_counts(rows, approx=True).first()
+    assert exact.n_patients == 1234 and abs(approx.n_patients - 1234) <= 50
+    assert approx.n_diagnoses == exact.n_diagnoses == 5000
