@@ -32,7 +32,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # The shuffle files behind a written table serve no one any more; Spark
+    # deletes them once the driver's collector has seen that.
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables of ``cut`` that no later step reads."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -96,7 +109,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.*").where("u <> v").distinct())
-        cur = cut(small, "cc")
+        old, cur = cur, cut(small, "cc")
+        discard(old)
         now = signature(cur)
         if now == last:
             break

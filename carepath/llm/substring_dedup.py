@@ -1,20 +1,17 @@
 """Substring dedup by seed and extend.
 
-Every 35-word window (``min_words``) holds the same winnowed anchors wherever
-it stands, so a repeated window can be found from repeated anchors alone:
-
-1. *Seed.*  Per document, hash all ``ANCHOR``-word grams and keep the minima of
-   every run of ``min_words - ANCHOR + 1`` grams (winnowing, all ties kept).
-   Each kept anchor carries a hash of its neighbourhood, the words that any
-   window through the anchor can reach.
-2. *Join documents on anchors.*  Occurrences of an anchor fall into classes of
-   equal neighbourhood.  Only class counts are joined: a class seen twice or
-   more repeats every window through the anchor, so a passage that thousands
-   of documents share costs one row per occurrence and never a pair.
-3. *Extend.*  Where one anchor has several classes, one occurrence per class is
-   extended both ways: its windows are hashed with their offset, and windows
-   met in two classes are marked.  The marks of a class are a bit mask over the
-   offsets; runs of set bits are the maximal repeats.
+Each 35-word window (``min_words``) is put down to one winnowed anchor, the
+leftmost least hash of its ``ANCHOR``-word grams, wherever the window stands.
+So a repeated window can be found from repeated anchors alone:
+
+1. *Seed.*  Per document, consecutive windows with the same anchor form a
+   stretch; a row holds the anchor's hash, the stretch's hash and its place.
+2. *Join documents on anchors.*  Anchors met once go.  Where all stretches of
+   an anchor are equal, every window in them is repeated: a passage that
+   thousands of documents share costs one row per occurrence and never a pair.
+3. *Extend.*  Where an anchor has different stretches, one occurrence of each is
+   extended window by window, and windows met in two stretches are marked: a
+   bit mask per stretch, whose runs of set bits are the maximal repeats.
 4. Marks go back to the documents, and covered words are removed.
 
 Hash keys are 128 bits throughout (anchor hash with window hash).
@@ -35,13 +32,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, cut, encoded, runs
+from .common import WordHasher, cut, discard, encoded, runs
 
 MIN_WORDS = 35
-ANCHOR = 10
+ANCHOR = 16
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93          # odd: invertible modulo 2**64
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
-_MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class _Powers:
@@ -75,40 +71,39 @@ def _span_hash(prefix, powers, start, end):
     return (prefix[end] - prefix[start]) * down[start]
 
 
-def _slide(x: np.ndarray, w: int, op) -> np.ndarray:
-    """op over x[i:i+w] for every i (len(x) - w + 1 values), by doubling."""
-    n, have, cur = len(x) - w + 1, 1, x
+def _leftmost(x: np.ndarray, w: int) -> np.ndarray:
+    """Position of the leftmost least of x[i:i+w] for every i, by doubling."""
+    at, have = np.arange(len(x)), 1
     while have < w:
         step = min(have, w - have)
-        cur = op(cur[:len(cur) - step], cur[step:])
+        a, b = at[:len(at) - step], at[step:]
+        at = np.where(x[a] <= x[b], a, b)
         have += step
-    return cur[:n]
+    return at
 
 
-def _anchors(words: np.ndarray, bounds: np.ndarray, min_words: int, k: int):
-    """(doc index, position in doc, anchor hash, neighbourhood hash) of the
-    winnowed anchors of documents laid end to end; ``bounds`` are their ends."""
-    n, w, ext = len(words), min_words - k + 1, min_words - k
+def _stretches(words: np.ndarray, bounds: np.ndarray, min_words: int, k: int):
+    """(doc index, first window, number of windows, anchor hash, stretch hash)
+    of documents laid end to end; ``bounds`` are their ends."""
+    n, w = len(words), min_words - k + 1
     sizes = np.diff(bounds)
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    start, end = bounds[:-1][doc], bounds[1:][doc]
     if n < min_words:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     p1, p2 = _prefix(words, _P1), _prefix(words, _P2)
     at = np.arange(n - k + 1)
     gram = _span_hash(p1, _P1, at, at + k)
-    gram[at + k > end[at]] = _MAX                                  # reaches into the next document
-    low = _slide(gram, w, np.minimum)                              # the least gram of each window
-    s = np.arange(len(low))
-    low[s + min_words > end[s]] = 0                                # not a window of one document
-    padded = np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
-    best = _slide(padded, w, np.maximum)                           # over the windows through each gram
-    pos = np.flatnonzero((gram == best[:len(gram)]) & (best[:len(gram)] != 0))
-    a, b = np.maximum(pos - ext, start[pos]), np.minimum(pos + k + ext, end[pos])
-    near = _span_hash(p2, _P2, a, b)
-    shape = ((pos - a) * 1024 + (b - pos)).astype(np.uint64)       # how far it reaches left and right
+    s = np.arange(n - min_words + 1)
+    s = s[s + min_words <= bounds[1:][doc[s]]]                     # windows inside one document
+    anchor = _leftmost(gram, w)[s]
+    new = np.ones(len(s), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (doc[s[1:]] != doc[s[:-1]])
+    i = np.flatnonzero(new)
+    first, count = s[i], np.diff(np.append(i, len(s)))
+    near = _span_hash(p2, _P2, first, first + count - 1 + min_words)
+    shape = ((anchor[i] - first) * 1024 + count).astype(np.uint64)  # where the anchor stands in it
     near = (near ^ (shape * np.uint64(0xA24BAED4963EE407))) * np.uint64(_B2)
-    return doc[pos], pos - start[pos], gram[pos], near
+    return doc[first], first - bounds[:-1][doc[first]], count, gram[anchor[i]], near
 
 
 def _hashed(texts, hasher):
@@ -118,8 +113,8 @@ def _hashed(texts, hasher):
     return hasher([w for p in parts for w in p]), bounds
 
 
-def find_anchors(docs: DataFrame, min_words: int = MIN_WORDS, k: int = ANCHOR) -> DataFrame:
-    """(_key, pos, h, near) of every winnowed anchor of ``docs`` (_key, _text)."""
+def find_stretches(docs: DataFrame, min_words: int = MIN_WORDS, k: int = ANCHOR) -> DataFrame:
+    """(_key, first, h, near) of every stretch of ``docs`` (_key, _text)."""
 
     def task(batches):
         hasher = WordHasher(1)
@@ -127,120 +122,122 @@ def find_anchors(docs: DataFrame, min_words: int = MIN_WORDS, k: int = ANCHOR) -
             keys, texts = pdf["_key"].to_numpy(), pdf["_text"].tolist()
             for i, j in runs(texts):
                 words, bounds = _hashed(texts[i:j], hasher)
-                d, pos, h, near = _anchors(words, bounds, min_words, k)
-                yield pd.DataFrame({"_key": keys[i:j][d], "pos": pos.astype(np.int32),
+                d, first, count, h, near = _stretches(words, bounds, min_words, k)
+                yield pd.DataFrame({"_key": keys[i:j][d], "first": first.astype(np.int32), "n": count.astype(np.int32),
                                     "h": h.view(np.int64), "near": near.view(np.int64)})
 
-    return docs.select("_key", "_text").mapInPandas(task, "_key long, pos int, h long, near long")
+    return docs.select("_key", "_text").mapInPandas(task, "_key long, first int, n int, h long, near long")
 
 
-def extend(docs: DataFrame, reps: DataFrame, min_words: int, k: int) -> DataFrame:
-    """(h, near, off, win): windows through one occurrence per class.
+def extend(docs: DataFrame, spots: DataFrame, min_words: int) -> DataFrame:
+    """(h, near, j, win): the windows of one occurrence per stretch.
 
-    ``reps`` holds (_key, spots: array of (pos, h, near))."""
-    ext = min_words - k
+    ``spots`` holds (_key, spots: array of (first, n, h, near))."""
 
     def task(batches):
         hasher = WordHasher(1)
         for pdf in batches:
             texts = pdf["_text"].tolist()
-            at, hs, nears = (pdf[c].tolist() for c in ("pos", "h", "near"))
+            cols = [pdf[c].tolist() for c in ("first", "n", "h", "near")]
             for i, j in runs(texts):
                 words, bounds = _hashed(texts[i:j], hasher)
                 prefix = _prefix(words, _P2)
-                counts = [len(x) for x in at[i:j]]
-                pos, h, near = (np.concatenate(c[i:j]).astype(np.int64) for c in (at, hs, nears))
-                base = np.repeat(bounds[:-1], counts)
-                top = np.repeat(bounds[1:], counts)
-                off = np.arange(ext + 1)
-                s = (base + pos - ext)[:, None] + off[None, :]
-                ok = (s >= base[:, None]) & (s + min_words <= top[:, None])
-                r, o = np.nonzero(ok)
-                win = _span_hash(prefix, _P2, s[r, o], s[r, o] + min_words)
-                yield pd.DataFrame({"h": h[r], "near": near[r], "off": o.astype(np.int32), "win": win.view(np.int64)})
+                base = np.repeat(bounds[:-1], [len(x) for x in cols[0][i:j]])
+                first, n, h, near = (np.concatenate(c[i:j]).astype(np.int64) for c in cols)
+                r = np.repeat(np.arange(len(n)), n)
+                step = np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n)
+                s = (base + first)[r] + step
+                win = _span_hash(prefix, _P2, s, s + min_words)
+                yield pd.DataFrame({"h": h[r], "near": near[r], "j": step.astype(np.int32), "win": win.view(np.int64)})
 
-    joined = docs.select("_key", "_text").join(reps, "_key").select("_text", "spots.pos", "spots.h", "spots.near")
-    return joined.mapInPandas(task, "h long, near long, off int, win long")
+    joined = (docs.select("_key", "_text").join(spots, "_key")
+              .select("_text", "spots.first", "spots.n", "spots.h", "spots.near"))
+    return joined.mapInPandas(task, "h long, near long, j int, win long")
 
 
 def _marks(docs: DataFrame, min_words: int, k: int) -> DataFrame:
-    """(_key, spots: array of (pos, mask)): bit j of a mask says that the
-    window starting ``min_words - k - j`` words before pos is repeated."""
-    anchors = cut(find_anchors(docs, min_words, k), "anchors")
-    full = (1 << (min_words - k + 1)) - 1
-    classes = cut(anchors.groupBy("h", "near")
-                  .agg(F.count("*").alias("n"), F.min(F.struct("_key", "pos")).alias("rep"))
-                  .join(anchors.groupBy("h").agg(F.count("*").alias("total")).where("total > 1"), "h"), "classes")
-    whole = classes.where("n > 1").select("h", "near", F.lit(full).cast("long").alias("mask"))
-    # Anchors with several classes: one occurrence of each is extended.
-    reps = (classes.where("n < total")
-            .select(F.col("rep._key").alias("_key"), F.struct(F.col("rep.pos").alias("pos"), "h", "near").alias("s"))
-            .groupBy("_key").agg(F.collect_list("s").alias("spots")))     # at most the anchors of one text
-    windows = cut(extend(docs, reps, min_words, k), "windows")
-    shared = (windows.groupBy("h", "off", "win").agg(F.min("near").alias("x"), F.max("near").alias("y"))
-              .where("x < y").drop("x", "y"))                              # met in two classes
-    part = (windows.join(shared, ["h", "off", "win"])
-            .groupBy("h", "near").agg(F.expr("bit_or(shiftleft(1L, off))").alias("mask")))
-    masks = whole.union(part).groupBy("h", "near").agg(F.bit_or("mask").alias("mask"))
-    return (anchors.join(masks, ["h", "near"]).select("_key", F.struct("pos", "mask").alias("s"))
-            .groupBy("_key").agg(F.collect_set("s").alias("spots")))      # a set: repeated rows share a key
-
-
-def _covered(n: int, pos, mask, min_words: int, k: int) -> np.ndarray:
+    """(_key, spots: array of (first, mask)): bit j of a mask says that the
+    window beginning at word first + j is repeated."""
+    found = cut(find_stretches(docs, min_words, k), "stretches")
+    again = cut(found.groupBy("h").agg(F.count("*").alias("c"), F.min("near").alias("x"), F.max("near").alias("y"))
+                .where("c > 1").select("h", (F.col("x") < F.col("y")).alias("mixed")), "anchors")
+    seen = cut(found.join(again, "h"), "repeated")
+    discard(found, again)
+    mixed = seen.where("mixed")
+    classes = cut(mixed.groupBy("h", "near").agg(F.count("*").alias("c"), F.min(F.struct("_key", "first", "n")).alias("rep")), "classes")
+    spots = (classes.select("rep._key", F.struct("rep.first", "rep.n", "h", "near").alias("s"))
+             .groupBy("_key").agg(F.collect_list("s").alias("spots")))          # at most the stretches of one text
+    windows = cut(extend(docs, spots, min_words), "windows")
+    shared = (windows.groupBy("h", "win").agg(F.min("near").alias("x"), F.max("near").alias("y"))
+              .where("x < y").drop("x", "y"))                                   # met in two stretches
+    part = (windows.join(shared, ["h", "win"]).groupBy("h", "near").agg(F.expr("bit_or(shiftleft(1L, j))").alias("mask")))
+    masks = cut(part.union(classes.where("c > 1").select("h", "near", F.lit(-1).cast("long")))
+                .groupBy("h", "near").agg(F.bit_or("mask").alias("mask")), "masks")
+    discard(windows, classes)
+    every = F.when(F.col("n") < 63, F.expr("shiftleft(1L, n) - 1")).otherwise(F.lit(-1).cast("long"))
+    marked = (seen.where("not mixed").select("_key", "first", every.alias("mask"))
+              .union(mixed.join(masks, ["h", "near"]).select("_key", "first", F.col("mask").bitwiseAND(every))))
+    out = cut(marked.groupBy("_key").agg(F.collect_set(F.struct("first", "mask")).alias("spots")), "marks")   # a set: repeated rows share a key
+    discard(seen, masks)
+    return out
+
+
+def _covered(n: int, first, mask, min_words: int) -> np.ndarray:
     """Which of n words lie in a marked window."""
     edge = np.zeros(n + 1, np.int32)
-    if pos is not None and len(pos):
-        pos, mask = np.asarray(pos, np.int64), np.asarray(mask, np.int64)
-        for j in range(min_words - k + 1):
-            s = pos[(mask >> j) & 1 == 1] - (min_words - k) + j
-            s = s[(s >= 0) & (s + min_words <= n)]
+    if first is not None and len(first):
+        first, mask = np.asarray(first, np.int64), np.asarray(mask, np.int64)
+        for j in range(int(mask.max()).bit_length()):
+            s = first[(mask >> j) & 1 == 1] + j
             np.add.at(edge, s, 1)
             np.add.at(edge, s + min_words, -1)
     return np.cumsum(edge[:n]) > 0
 
 
-def _with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.xxhash64(F.lit(17), F.col(id_col), F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
+def _applied(docs: DataFrame, id_col: str, text_col: str, min_words: int, anchor: int, texts: bool) -> DataFrame:
+    """Input rows as the struct ``_row``, with the outcome as the struct ``_out``."""
+    if not anchor <= min_words < anchor + 62:
+        raise ValueError("anchor must be no longer than min_words, nor shorter by 62 words or more")
+    # Repeated rows share a key and, being alike, the marks.
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text_col].alias("_text"),
+                        F.xxhash64(F.lit(17), docs[id_col], docs[text_col]).alias("_key"))
+    marks = _marks(keyed, min_words, anchor)
+
+    def work(column: pd.Series, firsts: pd.Series, masks: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, first, mask in zip(column, firsts, masks):
+            raw = encoded(text)
+            words = raw.split()
+            cov = _covered(len(words), first, mask, min_words)
+            removed = int(cov.sum())
+            kept = [w for w, c in zip(words, cov) if not c] if removed else words
+            if texts and removed:
+                pieces, last = [], 0
+                for m, c in zip(_WORDS.finditer(raw), cov):
+                    if not c:
+                        pieces.append(raw[last:m.end()])
+                    last = m.end()
+                text = b"".join([*pieces, raw[last:]]).decode("utf-8", "surrogatepass")
+            out.append((len(words), removed, hashlib.sha256(b" ".join(kept)).hexdigest(), text if texts else None))
+        return pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256", "kept_text"])
+
+    udf = F.pandas_udf(work, "n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return (keyed.join(marks, "_key", "left")
+            .select("_row", udf("_text", F.col("spots.first"), F.col("spots.mask")).alias("_out")))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_words: int = MIN_WORDS, anchor: int = ANCHOR) -> DataFrame:
-    """Rows (``id_col``, kept_text, n_words, n_removed, kept_sha256), one per row of ``docs``.
-
-    ``kept_text`` is the text without the covered words (white space before a
-    removed word goes with it); ``kept_sha256`` digests the kept words joined
-    by one space."""
-    if not anchor < min_words <= anchor + 62:
-        raise ValueError("anchor must be shorter than min_words, by 62 words at most")
-    docs = docs.select(F.col(id_col), F.col(text_col))
-    keyed = _with_key(docs, id_col, text_col)
-    marks = _marks(keyed, min_words, anchor)
-
-    def task(batches):
-        for pdf in batches:
-            out = []
-            for text, pos, mask in zip(pdf["_text"], pdf["pos"], pdf["mask"]):
-                raw = encoded(text)
-                words = raw.split()
-                cov = _covered(len(words), pos, mask, min_words, anchor)
-                removed = int(cov.sum())
-                if removed:
-                    kept = [w for w, c in zip(words, cov) if not c]
-                    pieces, last = [], 0
-                    for m, c in zip(_WORDS.finditer(raw), cov):
-                        if not c:
-                            pieces.append(raw[last:m.end()])
-                        last = m.end()
-                    text = b"".join([*pieces, raw[last:]]).decode("utf-8", "surrogatepass")
-                else:
-                    kept = words
-                out.append((text, len(words), removed, hashlib.sha256(b" ".join(kept)).hexdigest()))
-            body = pd.DataFrame(out, columns=["kept_text", "n_words", "n_removed", "kept_sha256"])
-            yield pd.concat([pdf[["_id"]].reset_index(drop=True), body], axis=1)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    both = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
-                        F.xxhash64(F.lit(17), F.col(id_col), F.col(text_col)).alias("_key"))
-            .join(marks, "_key", "left").select("_id", "_text", "spots.pos", "spots.mask"))
-    return (both.mapInPandas(task, f"_id {kind}, kept_text string, n_words long, n_removed long, kept_sha256 string")
-            .withColumnRenamed("_id", id_col))
+    """(``id_col``, n_words, n_removed, kept_sha256), one row per row of ``docs``;
+    ``kept_sha256`` digests the kept words joined by one space."""
+    out = _applied(docs.select(id_col, text_col), id_col, text_col, min_words, anchor, texts=False)
+    return out.select(F.col("_row")[id_col].alias(id_col), "_out.n_words", "_out.n_removed", "_out.kept_sha256")
+
+
+def deduped_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  min_words: int = MIN_WORDS, anchor: int = ANCHOR) -> DataFrame:
+    """``docs`` with the covered words cut out of the texts (white space before
+    a cut word goes with it; ``n_chars``, where there is one, is counted anew)."""
+    out = _applied(docs, id_col, text_col, min_words, anchor, texts=True)
+    new = {text_col: F.col("_out.kept_text"), "n_chars": F.length("_out.kept_text")}
+    return out.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col("_row")[c]).alias(c) for c in docs.columns])
