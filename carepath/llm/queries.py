@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .minhash_dedup import minhash_dedup
+from .mixing import mix
+from .packing import pack
 from .substring_dedup import substring_dedup
+from .toxicity import toxicity
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,4 +19,20 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup,)}
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_minhash_dedup, op5_packing, op7_mixing, op9_toxicity)}
