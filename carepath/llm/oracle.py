@@ -1,3 +1,44 @@
 """DuckDB SQL for the corpus queries that SQL can express on whole tables."""
 
 ORACLE: dict[str, str] = {}
+
+_SAID = "'<|im_end|><|im_start|>assistant ok'"
+
+ORACLE["op3_chat_format"] = f"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {_SAID} UNION ALL SELECT -1, 1, 'assistant', {_SAID}),
+e AS (
+  SELECT *, replace(t, '<', '<;') AS x,
+         11 + 12 + 1 + length(replace(t, '<', '<;')) + length(replace(replace(r, '<', '<;'), chr(10), '<n')) AS size FROM m)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
+       CAST(coalesce(sum(length(t)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+_LINKED = """
+adj AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+walk AS (SELECT id AS node, id AS root FROM ids UNION SELECT adj.b, walk.root FROM walk JOIN adj ON adj.a = walk.node),
+comp AS (SELECT node, min(root) AS component_id FROM walk GROUP BY node)"""
+
+ORACLE["op1_rp_forest_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_sum(list_transform(embedding, x -> CAST(x AS DOUBLE) * x))) AS n
+  FROM embeddings),
+ids AS (SELECT DISTINCT vec_id AS id FROM v),
+ok AS (SELECT * FROM v WHERE n > 0 AND isfinite(n)),
+pairs AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM ok p JOIN ok q ON p.vec_id < q.vec_id
+  WHERE list_dot_product(p.e, q.e) / (p.n * q.n) >= 0.95),
+{_LINKED}
+SELECT v.vec_id, (SELECT count(*) FROM adj WHERE adj.a = v.vec_id) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN comp ON comp.node = v.vec_id"""
+
+ORACLE["op10_hilbert_ann"] = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20"""
