@@ -3,7 +3,6 @@ and the ICU split (X2-X12, A13, R1)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,16 +49,15 @@ def with_comorbidity_score(df: DataFrame, cols: list[str] | None = None,
 
 
 def with_icu_split(df: DataFrame, los: str = "total_los_days",
-                   score: str = "comorbidity_score") -> DataFrame:
+                   score: str = "comorbidity_score", score_rows: DataFrame | None = None) -> DataFrame:
     """Estimated ICU and non-ICU days.
 
-    The global maximum score is a one-row aggregate fetched as a scalar and
-    folded into the expression as a literal, so no join or single-partition
-    window touches the row data.
+    The global maximum score is a scalar subquery, so the plan stays lazy and
+    joins nothing.  ``score_rows`` may name a narrower table with the same
+    scores to take the maximum from.
     """
-    max_score = df.agg(F.max(score)).first()[0]
-    denom = float(max(max_score if max_score is not None else 0, 1))
-    frac = F.lit(ICU_BASE) + F.lit(ICU_SPAN) * F.col(score) / F.lit(denom)
+    top = (score_rows if score_rows is not None else df).agg(F.greatest(F.coalesce(F.max(score), F.lit(0)), F.lit(1)).cast("double").alias("top"))
+    frac = F.lit(ICU_BASE) + F.lit(ICU_SPAN) * F.col(score) / top.scalar()
     return (df.withColumn("icu_los_days", F.col(los) * frac)
               .withColumn("non_icu_los_days", F.col(los) - F.col("icu_los_days")))
 
@@ -68,7 +66,5 @@ def length_of_stay(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Total LOS, comorbidity score, ICU and non-ICU days."""
     out = with_los(df) if "total_los_days" not in df.columns else df
     out = with_comorbidity_score(out, cols)
-    # The global max (one small job) and the rows share one computation of
-    # the input: cached lazily by the first of the two jobs.
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    return with_icu_split(out)
+    # Only the flag columns reach the maximum's scan.
+    return with_icu_split(out, score_rows=out.select("comorbidity_score"))

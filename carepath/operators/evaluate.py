@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from carepath.functions.expressions import threshold_class, zero_safe
 from carepath.operators.cumulative import running_sums
-
-EXACT_MEDIAN_LIMIT = 5_000_000
+from carepath.operators.quantiles import exact_quantile
 
 
 def _safe_div(a, b):
@@ -206,36 +205,29 @@ def prediction_range(df: DataFrame, actual: str = "actual", predicted: str = "pr
                   F.greatest(F.max(actual), F.max(predicted)).cast("double").alias("range_max"))
 
 
-def median(df: DataFrame, col: str, exact_limit: int = EXACT_MEDIAN_LIMIT):
-    """Exact (interpolated) median up to ``exact_limit`` rows; above it the
-    bounded-memory ``percentile_approx`` (an exact percentile keeps every
-    distinct value of the column in one task)."""
-    n = df.filter(F.col(col).isNotNull()).count()
-    if n <= exact_limit:
-        return F.median(col)
-    return F.percentile_approx(col, 0.5, 100_000)
+def median(df: DataFrame, col: str):
+    """Exact (interpolated) median as a literal: the same method at every size."""
+    return F.lit(exact_quantile(df, col, 0.5)).cast("double")
 
 
-def prediction_summary(df: DataFrame, predicted: str, model_name: str, target: str,
-                       exact_limit: int = EXACT_MEDIAN_LIMIT) -> DataFrame:
+def prediction_summary(df: DataFrame, predicted: str, model_name: str, target: str) -> DataFrame:
     """Mean, median, min, max and total of a prediction column."""
     return df.agg(F.lit(model_name).alias("model_name"), F.lit(target).alias("target"),
                   F.avg(predicted).alias("mean_prediction"),
-                  median(df, predicted, exact_limit).alias("median_prediction"),
+                  median(df, predicted).alias("median_prediction"),
                   F.min(predicted).alias("min_prediction"),
                   F.max(predicted).alias("max_prediction"),
                   F.sum(predicted).alias("total_resource_needs"))
 
 
-def capacity_summary(df: DataFrame, quantile_cols: dict[str, str], model_name: str, target: str,
-                     exact_limit: int = EXACT_MEDIAN_LIMIT) -> DataFrame:
+def capacity_summary(df: DataFrame, quantile_cols: dict[str, str], model_name: str, target: str) -> DataFrame:
     """Summary of a quantile model set (R7): the q50 column (else the first)
     gives the headline figures; every quantile adds its mean and total, and
     quantiles of 0.75 and above add ``<q>_capacity_need`` = total."""
     head_q = "q50" if "q50" in quantile_cols else next(iter(quantile_cols))
     head = quantile_cols[head_q]
     aggs = [F.lit(f"{model_name} ({head_q})").alias("model_name"), F.lit(target).alias("target"),
-            F.avg(head).alias("mean_prediction"), median(df, head, exact_limit).alias("median_prediction"),
+            F.avg(head).alias("mean_prediction"), median(df, head).alias("median_prediction"),
             F.min(head).alias("min_prediction"), F.max(head).alias("max_prediction"),
             F.sum(head).alias("total_resource_needs")]
     for q, c in quantile_cols.items():

@@ -56,21 +56,25 @@ def monte_carlo_shapley(fitted, df: DataFrame, key: str, background: DataFrame,
     ``transform``; consecutive differences are attributed to the switched
     feature and averaged per ``(key, feature)``, with their standard error.
 
-    The background is a fixed-size set (the ``n_background`` rows of
-    ``background`` with the smallest key hash, a bounded broadcast of
-    ``n_background x p`` numbers); each permutation draws one of them by
-    hash.  Scored rows are never capped: every row of ``df`` is explained.
+    The background is a sample of ``n_background`` rows of ``background``,
+    those with the smallest seeded hash of their key (``key``, ties by the row),
+    so repeated feature vectors keep their weight; it is a numbered table of
+    bounded size, joined by number, and each permutation draws one of its rows
+    by hash.  Scored rows are never capped: every row of ``df`` is explained.
     """
     feats = fitted.features
     p = len(feats)
-    bg_rows = (background.select(*feats, F.xxhash64(*[F.col(f) for f in feats]).alias("_h"))
-               .orderBy("_h").limit(n_background).collect())
-    if not bg_rows:
+    numeric = [F.col(f).cast("double").alias(f) for f in feats]
+    drawn = (background.select(F.xxhash64(F.lit(seed), F.col(key)).alias("_h"), F.col(key).alias("_key"), *numeric)
+             .orderBy("_h", "_key", *feats).limit(n_background))
+    # One row per background row: at most n_background x p numbers.
+    bg = (drawn.withColumn("_no", F.row_number().over(Window.orderBy("_h", "_key", *feats)) - 1)
+          .select("_no", F.array(*feats).alias("_z")))
+    m = drawn.count()
+    if not m:
         raise ValueError("empty background")
-    bg = F.array(*[F.struct(*[F.lit(float(r[f])).alias(f) for f in feats]) for r in bg_rows])
-    m = len(bg_rows)
 
-    base = df.select(F.col(key).alias("_key"), *[F.col(f).cast("double").alias(f) for f in feats])
+    base = df.select(F.col(key).alias("_key"), F.array(*[F.col(f).cast("double") for f in feats]).alias("_x"))
     perm = base.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))))
     order = F.transform(
         F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(p - 1)),
@@ -78,20 +82,18 @@ def monte_carlo_shapley(fitted, df: DataFrame, key: str, background: DataFrame,
                                                     j.alias("j")))),
         lambda s: s["j"])
     perm = (perm.withColumn("_order", order)
-                .withColumn("_z", F.element_at(bg, (F.pmod(F.xxhash64(F.col("_key"), F.col("_k"), F.lit(seed + 1)),
-                                                           F.lit(m)) + 1).cast("int"))))
+                .withColumn("_no", F.pmod(F.xxhash64(F.col("_key"), F.col("_k"), F.lit(seed + 1)), F.lit(m)).cast("int"))
+                .join(F.broadcast(bg), "_no").drop("_no"))
+    # A feature takes the row's value once its position is below the step number, else the background value.
     steps = perm.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(p))))
-    # position of feature j in the order; a feature takes the row's value once its
-    # position is below the step number, else the background value
     hybrid = steps.select(
-        "_key", "_k", "_t", "_order",
-        *[F.when(F.array_position(F.col("_order"), F.lit(j)) - 1 < F.col("_t"), F.col(f))
-           .otherwise(F.col("_z")[f]).alias(f) for j, f in enumerate(feats)])
-    scored = fitted.score(hybrid, "_f")
+        "_key", "_k", "_t", F.when(F.col("_t") > 0, F.get("_order", F.col("_t") - 1)).alias("_j"),
+        *[F.when(F.array_position(F.col("_order"), F.lit(j)) - 1 < F.col("_t"), F.get("_x", F.lit(j)))
+           .otherwise(F.get("_z", F.lit(j))).alias(f) for j, f in enumerate(feats)])
+    # Only these five narrow columns are shuffled.
+    scored = fitted.score(hybrid, "_f").select("_key", "_k", "_t", "_j", "_f")
     w = Window.partitionBy("_key", "_k").orderBy("_t")
-    diffs = (scored.withColumn("_d", F.col("_f") - F.lag("_f").over(w))
-                   .filter(F.col("_t") > 0)
-                   .withColumn("_j", F.element_at(F.col("_order"), F.col("_t"))))
+    diffs = scored.withColumn("_d", F.col("_f") - F.lag("_f").over(w)).filter(F.col("_t") > 0)
     names = F.array(*[F.lit(f) for f in feats])
     return (diffs.groupBy(F.col("_key").alias(key), F.element_at(names, F.col("_j") + 1).alias("feature"))
                  .agg(F.avg("_d").alias("attribution"),

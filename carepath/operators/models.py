@@ -142,7 +142,7 @@ def gbt_classifier(train: DataFrame, features: list[str], label: str, max_iter:
     31 leaves is approximated by depth 5."""
     est = C.GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step_size,
                           maxDepth=max_depth, seed=seed, **params)
-    return _fit("LightGBM", "classifier", train, features, label, est)
+    return _fit("BoostedTrees", "classifier", train, features, label, est)
 
 
 def gbt_classifier_sampled(train: DataFrame, features: list[str], label: str, max_iter: int = 100,
@@ -154,7 +154,7 @@ def gbt_classifier_sampled(train: DataFrame, features: list[str], label: str, ma
     est = C.GBTClassifier(featuresCol="features", labelCol=label, weightCol=WEIGHT, maxIter=max_iter,
                           maxDepth=max_depth, stepSize=step_size, subsamplingRate=subsample,
                           featureSubsetStrategy=str(colsample), seed=seed, **params)
-    return _fit("XGBoost", "classifier", df, features, label, est)
+    return _fit("BoostedTreesSampled", "classifier", df, features, label, est)
 
 
 # ---------------------------------------------------------------- regressors
@@ -212,7 +212,7 @@ def gbt_regressor(train: DataFrame, features: list[str], label: str, max_iter: i
     """M9: boosted regression trees, 100 rounds, learning rate 0.1."""
     est = R.GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step_size,
                          maxDepth=max_depth, seed=seed, **params)
-    return _fit("LightGBM", "regressor", train, features, label, est)
+    return _fit("BoostedTrees", "regressor", train, features, label, est)
 
 
 CLASSIFIERS = {

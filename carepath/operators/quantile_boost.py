@@ -6,7 +6,7 @@ booster is staged by hand from Spark ML pieces:
 * start from the q-quantile of the label;
 * each stage fits a ``DecisionTreeRegressor`` (depth 4) to the negative
   gradient ``q - 1[y <= pred]``, asking the tree for its ``leafCol``;
-* each leaf's step is the q-quantile of the residuals ``y - pred`` of its
+* each leaf's step is the sketched q-quantile of the residuals ``y - pred`` of its
   rows (a grouped aggregate: at most 2^depth rows reach the driver);
 * ``pred += learning_rate * step[leaf]`` as a literal map lookup.
 
@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 
 from carepath.session import checkpoint as _ckpt
 
-EXACT_LIMIT = 2_000_000
+ACCURACY = 100_000
 
 
-def _leaf_quantile(col: str, q: float, exact: bool):
-    if exact:
-        # Inverse-CDF quantile (an actual residual, no interpolation).
-        return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {col})")
-    return F.percentile_approx(col, q, 100_000)
+def _quantile(col: str, q: float):
+    """Inverse-CDF quantile (an actual value, no interpolation) from one
+    mergeable sketch, at every size: the rank is off by a share of at most
+    1 / ``ACCURACY``."""
+    return F.percentile_approx(col, q, ACCURACY)
 
 
 @dataclass
@@ -69,15 +69,11 @@ class QuantileBoostModel:
 
 def fit_quantile_boost(train: DataFrame, features: list[str], label: str, quantile: float,
                        n_stages: int = 100, max_depth: int = 4, learning_rate: float = 0.1,
-                       checkpoint_every: int = 10, seed: int = 42,
-                       exact_limit: int = EXACT_LIMIT) -> QuantileBoostModel:
+                       checkpoint_every: int = 10, seed: int = 42) -> QuantileBoostModel:
     """Fit one quantile booster; ``train`` holds ``features`` and ``label``."""
     data = VectorAssembler(inputCols=features, outputCol="_qb_x").transform(
         train.select(*features, F.col(label).cast("double").alias("_y")))
-    n = data.count()
-    exact = n <= exact_limit
-    init_q = F.percentile("_y", quantile) if exact else F.percentile_approx("_y", quantile, 100_000)
-    init = float(data.agg(init_q).first()[0])
+    init = float(data.agg(_quantile("_y", quantile)).first()[0])
     model = QuantileBoostModel(features, label, quantile, learning_rate, init)
     work = _ckpt(data.select("_qb_x", "_y", F.lit(init).alias("_pred")))
     previous = None
@@ -87,7 +83,7 @@ def fit_quantile_boost(train: DataFrame, features: list[str], label: str, quanti
                                      leafCol="_leaf", seed=seed + m).fit(work)
         leafed = tree.transform(work)
         per_leaf = (leafed.withColumn("_r", F.col("_y") - F.col("_pred"))
-                          .groupBy("_leaf").agg(_leaf_quantile("_r", quantile, exact).alias("s"))
+                          .groupBy("_leaf").agg(_quantile("_r", quantile).alias("s"))
                           .collect())
         steps = {float(r["_leaf"]): float(r["s"]) for r in per_leaf}
         model.stages.append((tree, steps))

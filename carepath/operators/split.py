@@ -141,11 +141,10 @@ def stratified_split(df: DataFrame, key: str = "hadm_id", target: str = "is_read
 
 
 def tuning_sample(df: DataFrame, key: str = "hadm_id", target: str | None = "is_readmission",
-                  share: float = 0.3, min_rows: int = 10_000, seed: int = 42) -> DataFrame:
-    """Keep ``share`` of the rows (exact per class) when there are more than
-    ``min_rows`` rows, else all of them (F7)."""
-    n = df.count()
-    if n <= min_rows:
+                  share: float = 1.0, seed: int = 42) -> DataFrame:
+    """Keep ``share`` of the rows, exact per class (F7).  The caller states the
+    share; it never depends on the number of rows."""
+    if share >= 1.0:
         return df
     if target is None:
         df = df.withColumn("_one", F.lit(1))

@@ -53,14 +53,15 @@ class EtlResult:
 
 
 def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
-                   cmap=None, window_days: float = 30, lab_items: dict[str, str] | None = None,
+                   cmap=None, window_days: float = 30, lab_items: dict | None = None, lab_columns: tuple[str, str] = ("itemid", "valuenum"),
                    check_target: bool = False, as_of: str = "patient",
-                   shared_scan: bool = False, id_tables: str = "persist") -> EtlResult:
+                   shared_scan: bool = True, id_tables: str = "checkpoint") -> EtlResult:
     """Stages A1 and A2 plus the assembly of A3.
 
     ``as_of='admission'`` builds comorbidities per stay from earlier-or-same
-    stays only (ledger D6).  ``shared_scan=True`` reads the diagnoses once:
-    rows matching the cohort or any condition are checkpointed (a small
+    stays only (ledger D6).  ``lab_items`` maps lab items to feature names and
+    ``lab_columns`` names the item and value columns of ``labevents``.
+    ``shared_scan`` (the default) reads the diagnoses once: rows matching the cohort or any condition are checkpointed (a small
     share of the table) and both stages read that copy, which trades one
     full scan of the largest table for one write of its matching rows.
     """
@@ -71,9 +72,9 @@ def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
         dx = materialize(dx.select("subject_id", "hadm_id", "icd_version", "icd_code")
                            .filter(cohort.cohort_condition(prefix, version) | features.any_condition(cmap)))
     rows = cohort.cohort_diagnoses(dx, prefix, version)
-    # The two id lists feed several semi joins each; kept once (one row per
-    # cohort patient, lazily cached), they spare repeated scans of the
-    # diagnoses and admissions tables.
+    # The two id lists feed several semi joins each; written once (one row per
+    # cohort patient), they spare repeated scans of the diagnoses and
+    # admissions tables, and no cached table stays behind.
     ids = materialize(cohort.cohort_patient_ids(rows), id_tables)
     adm = cohort.cohort_admissions(tables["admissions"], ids)
     flagged = readmission.flag_readmissions(adm, window_days, stats_from=tables["admissions"])
@@ -88,7 +89,7 @@ def build_features(tables: dict[str, DataFrame], prefix="I50", version=10,
         comorb = features.comorbidity_flags(dx, subjects, cmap)
         pfeat = features.patient_features(demo, comorb)
     if lab_items and "labevents" in tables:
-        labs = features.lab_means(tables["labevents"], lab_items)
+        labs = features.lab_means(tables["labevents"], lab_items, item_col=lab_columns[0], value_col=lab_columns[1])
         afeat = afeat.join(labs, "hadm_id", "left")
     final = assemble.final_dataset(flagged, pfeat, afeat, TARGET, check=check_target)
     return EtlResult(rows, ids, adm, flagged, demo, comorb, pfeat, afeat, final,
@@ -138,6 +139,9 @@ def preprocess(final: DataFrame, target: str = TARGET, test_size: float = 0.2, s
     fit_df = df.filter(F.col("split") == "train") if fit_on == "train" else df
     numerical = existing(final, NUMERICAL_COLUMNS)
     df, scaler = encode.standard_scale(df, numerical, fit_df)
+    # A stay without a lab gets the training mean, which is 0 once scaled, and says so.
+    for c in [c for c in numerical if c.endswith("_mean") and c in df.columns]:
+        df = df.withColumns({f"{c}_missing": F.col(c).isNull().cast("int"), c: F.coalesce(F.col(c), F.lit(0.0))})
     df, encoder = encode.one_hot(df, categorical, fit_df)
 
     df = clean.drop_columns(df, excluded)

@@ -166,6 +166,13 @@ SELECT coalesce(a.hadm_id, b.hadm_id) AS hadm_id, a.is_readmission AS target_lef
 FROM readm a FULL OUTER JOIN af b ON a.hadm_id = b.hadm_id
 WHERE a.is_readmission IS DISTINCT FROM b.is_readmission""")
 sql("final_dataset", feat("SELECT * REPLACE (round(days_until_readmission, 6) AS days_until_readmission) FROM fin"))
+_LAB_MEANS = ("lab AS (SELECT hadm_id AS lab_id, " + ", ".join(
+    f"avg(value) FILTER (WHERE item = '{k}') AS {v}_mean" for k, v in _LAB.items())
+    + " FROM fx_labs WHERE item IN (" + ", ".join(f"'{k}'" for k in _LAB) + ") GROUP BY hadm_id)")
+sql("final_dataset_labs", feat(", " + _LAB_MEANS + """
+SELECT fin.* REPLACE (round(days_until_readmission, 6) AS days_until_readmission), """
+    + ", ".join(f"round({v}_mean, 6) AS {v}_mean" for v in _LAB.values())
+    + " FROM fin LEFT JOIN lab ON lab.lab_id = fin.hadm_id"))
 sql("drop_missing_critical", feat("SELECT * REPLACE (round(days_until_readmission, 6) AS days_until_readmission) FROM cln"))
 sql("drop_report", feat("""
 SELECT CAST((SELECT count(*) FROM fin) AS BIGINT) AS rows_before, CAST((SELECT count(*) FROM cln) AS BIGINT) AS rows_after,
@@ -218,7 +225,9 @@ SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(is_readmission AS INT
        round(avg(CAST(is_readmission AS INTEGER)), 6) AS positive_share FROM spl GROUP BY split""")
 sql("split_disjoint", _SPLIT + """
 SELECT CAST(count_if(split = 'train') AS BIGINT) AS n_train, CAST(count_if(split = 'test') AS BIGINT) AS n_test,
-       CAST(0 AS BIGINT) AS n_both, CAST(count_if(split = 'train') AS BIGINT) AS n_train_only FROM spl""")
+       CAST((SELECT count(DISTINCT hadm_id) FROM spl AS t WHERE split = 'train'
+             AND EXISTS (SELECT 1 FROM spl AS e WHERE e.hadm_id = t.hadm_id AND e.split = 'test')) AS BIGINT) AS n_both,
+       CAST(count_if(split = 'train') AS BIGINT) AS n_train_only FROM spl""")
 sql("tuning_sample", f"""
 , ag AS (SELECT *, (epoch_us(admittime) - epoch_us(lag(dischtime) OVER (PARTITION BY subject_id ORDER BY admittime, hadm_id)))
             / 86400000000.0 AS gap FROM fx_admissions),
@@ -226,7 +235,7 @@ af AS (SELECT hadm_id, subject_id, coalesce(gap > 0 AND gap <= 30, false) AS is_
 rk AS (SELECT *, row_number() OVER (PARTITION BY is_readmission ORDER BY {hash_key('hadm_id')}, hadm_id) AS rn,
               count(*) OVER (PARTITION BY is_readmission) AS ncls FROM af)
 SELECT hadm_id, subject_id, is_readmission FROM rk
-WHERE (SELECT count(*) FROM af) <= 10000 OR rn <= floor(0.3 * ncls + 0.5)""")
+WHERE rn <= floor(0.3 * ncls + 0.5)""")
 sql("sample_fixed", "SELECT * FROM fx_admissions ORDER BY md5(CAST(hadm_id AS VARCHAR)), hadm_id LIMIT 50")
 sql("lab_means", "SELECT hadm_id, " + ", ".join(
     f"round(avg(value) FILTER (WHERE item = '{k}'), 6) AS {v}_mean" for k, v in _LAB.items())
@@ -256,6 +265,11 @@ def pre(body: str) -> str:
     return FEAT + PRE + body
 
 
+sql("preprocessed_labs", pre(", " + _LAB_MEANS + ", pl AS (SELECT * FROM pre LEFT JOIN lab ON lab.lab_id = pre.hadm_id)"
+    ", lst AS (SELECT " + ", ".join(f"avg({v}_mean) AS {v}_m, stddev_pop({v}_mean) AS {v}_s" for v in _LAB.values())
+    + " FROM pl WHERE split = 'train') SELECT hadm_id, split, " + ", ".join(
+        f"round(coalesce(({v}_mean - coalesce({v}_m, 0)) / CASE WHEN {v}_s = 0 OR {v}_s IS NULL THEN 1 ELSE {v}_s END, 0.0), 6) AS {v}_mean, "
+        f"CAST({v}_mean IS NULL AS INTEGER) AS {v}_mean_missing" for v in _LAB.values()) + " FROM pl, lst"))
 sql("preprocessed", pre("SELECT * REPLACE (round(total_los_days, 6) AS total_los_days, round(age, 6) AS age) FROM pre"))
 
 

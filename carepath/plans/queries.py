@@ -122,7 +122,7 @@ LAB_ITEMS = dict(zip(["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"
 def etl_result(spark, sf_dir, labs: bool = False) -> etl.EtlResult:
     return etl.build_features(fx.load_fixture_tables(spark, sf_dir), fx.FIXTURE_COHORT_PREFIX,
                               fx.FIXTURE_COHORT_VERSION, fx.FIXTURE_COMORBIDITY_MAP,
-                              lab_items=LAB_ITEMS if labs else None)
+                              lab_items=LAB_ITEMS if labs else None, lab_columns=("item", "value"))
 
 
 @query("demographics")
@@ -163,6 +163,13 @@ def q_final_dataset(spark, sf_dir):
         "days_until_readmission", r6("days_until_readmission"))
 
 
+@query("final_dataset_labs")
+def q_final_dataset_labs(spark, sf_dir):
+    """F4 with lab means (F10), which takes the admission-feature join."""
+    df = etl_result(spark, sf_dir, labs=True).final
+    return df.withColumns({c: r6(c) for c in df.columns if c == "days_until_readmission" or c.endswith("_mean")})
+
+
 @query("drop_missing_critical")
 def q_drop_missing_critical(spark, sf_dir):
     return cl.drop_missing_critical(etl_result(spark, sf_dir).final).withColumn(
@@ -260,7 +267,7 @@ def q_split_disjoint(spark, sf_dir):
 def q_tuning_sample(spark, sf_dir):
     adm = fx.admissions(spark, sf_dir)
     flagged = rd.flag_readmissions(adm, stats_from=adm)
-    return sp.tuning_sample(flagged, "hadm_id", "is_readmission", 0.3, 10_000, 42).select(
+    return sp.tuning_sample(flagged, "hadm_id", "is_readmission", 0.3, 42).select(
         "hadm_id", "subject_id", "is_readmission")
 
 
@@ -286,6 +293,14 @@ def q_preprocessed(spark, sf_dir):
     return df.withColumns({c: r6(c) for c in doubles})
 
 
+@query("preprocessed_labs")
+def q_preprocessed_labs(spark, sf_dir):
+    """F5 with lab means: scaled by the training rows, missing labs marked."""
+    df = etl.preprocess(etl_result(spark, sf_dir, labs=True).final).data
+    labs = [c for c in df.columns if c.endswith("_mean") or c.endswith("_missing")]
+    return df.select("hadm_id", "split", *[r6(c).alias(c) if c.endswith("_mean") else F.col(c) for c in labs])
+
+
 # ---------------------------------------------------------------- evaluation, LOS, resources
 
 from carepath.operators import evaluate as ev  # noqa: E402

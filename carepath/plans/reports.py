@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 import time
+import uuid
 
 from pyspark.sql import DataFrame
 
@@ -16,7 +17,7 @@ from carepath.sources.tables import write_table
 
 
 def run_id() -> str:
-    return time.strftime("%Y%m%d-%H%M%S")
+    return f"{time.strftime('%Y%m%d-%H%M%S')}-{uuid.uuid4().hex[:8]}"
 
 
 def write_run(run, out_dir: str, rid: str | None = None, fmt: str = "parquet") -> dict[str, str]:

@@ -8,7 +8,6 @@ masters (tests, bench).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -74,9 +73,3 @@ def checkpoint(df):
     the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name

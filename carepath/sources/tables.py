@@ -7,7 +7,6 @@ pushdown are left to Catalyst, so ``load_tables(...)["diagnoses_icd"]
 
 from __future__ import annotations
 
-import os
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,31 +71,39 @@ def read_table(spark: SparkSession, path: str, name: str | None = None,
             schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType()))
                                    for c in header])
             reader = reader.schema(schema)
-        else:
-            reader = reader.option("inferSchema", True)
+        # Columns of an undeclared table stay strings: inferring types would read it whole.
         return reader.csv(path)
     return spark.read.parquet(path)
 
 
-def _resolve(root: str, name: str) -> tuple[str, str] | None:
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in whatever store Spark resolves it to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _resolve(spark: SparkSession, root: str, name: str) -> tuple[str, str] | None:
     for ext, fmt in ((".parquet", "parquet"), (".csv", "csv"), (".csv.gz", "csv"), ("", "parquet")):
-        p = os.path.join(root, name + ext)
-        if os.path.exists(p):
+        p = f"{root.rstrip('/')}/{name}{ext}"
+        if _exists(spark, p):
             return p, fmt
     return None
 
 
-def load_tables(spark: SparkSession, root: str, names: list[str] | None = None
-                ) -> dict[str, DataFrame]:
+def load_tables(spark: SparkSession, root: str, names: list[str] | None = None,
+                required: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Lazy scans for the named tables under ``root``.
 
-    A missing table is skipped with a warning, as the reference's loader
-    does; nothing is read until an action runs.
+    ``root`` may be in any store Spark reads.  A missing table is skipped with
+    a warning, or an error if it is ``required``; nothing is read until an
+    action runs.
     """
     out: dict[str, DataFrame] = {}
     for name in names or DEFAULT_TABLES:
-        hit = _resolve(root, name)
+        hit = _resolve(spark, root, name)
         if hit is None:
+            if name in required:
+                raise FileNotFoundError(f"table {name!r} not found under {root}")
             warnings.warn(f"table {name!r} not found under {root}; skipped")
             continue
         out[name] = read_table(spark, hit[0], name, hit[1])

@@ -116,3 +116,18 @@ def test_degenerate_inputs_do_not_raise(spark):
     empty = spark.createDataFrame([], "a int, label int")
     assert {r.null_share for r in null_profile(empty).collect()} == {None}
     assert class_weights(empty, "label").first().scale_pos_weight is None
+
+
+def test_exact_quantile_has_one_method_at_every_size(spark):
+    import random
+    from carepath.operators.quantiles import exact_quantile, order_statistics
+    r = random.Random(5)
+    for values in ([3.0], [1.0, 2.0], [5.0] * 50, [r.gauss(0, 1) for _ in range(999)] + [1e300, -1e300],
+                   [r.choice([0.0, 1e-300, 7.0]) for _ in range(500)], list(range(10_001))):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+        s = sorted(map(float, values))
+        ranks = sorted({0, len(s) // 2, len(s) - 1})
+        assert order_statistics(df, "v", ranks) == [s[k] for k in ranks]
+        mid = (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
+        assert exact_quantile(df, "v", 0.5) == pytest.approx(mid)
+    assert exact_quantile(df.where("v > 1e9"), "v", 0.5) is None

@@ -44,9 +44,9 @@ def test_disjoint_and_balance(spark):
 
 def test_tuning_sample_threshold(spark):
     small = spark.range(100).select(F.col("id").alias("hadm_id"), F.lit(0).alias("is_readmission"))
-    assert split.tuning_sample(small, min_rows=10_000).count() == 100
+    assert split.tuning_sample(small).count() == 100
     big = spark.range(20_000).select(F.col("id").alias("hadm_id"), (F.col("id") % 4 == 0).cast("int").alias("is_readmission"))
-    assert split.tuning_sample(big, min_rows=10_000).count() == 6000
+    assert split.tuning_sample(big, share=0.3).count() == 6000
 
 
 def test_sample_fixed_deterministic(spark):
