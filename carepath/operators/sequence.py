@@ -10,8 +10,8 @@ single straggler task sorting a third of the table.
 1. counts rows per key with a partial (map-side combined) aggregate and
    keeps only *hot* keys, those above ``rows_per_bucket`` rows;
 2. if there are none, runs the plain window (one shuffle, as usual);
-3. otherwise cuts each hot key into ``ceil(n / rows_per_bucket)`` time
-   buckets (monotone in the first order column), runs the window per
+3. otherwise cuts each hot key into about ``ceil(n / rows_per_bucket)`` buckets
+   of equal counts at quantiles of its first order column, runs the window per
    ``(key, bucket)``, and stitches bucket borders: the last row of every
    hot bucket is found with a partial ``max_by`` aggregate, shifted one
    bucket with a window over that small summary, and joined back.
@@ -43,23 +43,41 @@ def _maybe_broadcast(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
 _HOT_CACHE: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
 
 
+#: Cut points of a hot key are chosen among this many quantiles of its order column.
+QUANTILES = 1000
+
+
+def _position(df: DataFrame, t0: str):
+    """The first order column as a number."""
+    if isinstance(df.schema[t0].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(t0).cast("timestamp")).cast("double")
+    return F.col(t0).cast("double")
+
+
 def _hot_keys(src_df: DataFrame, key: str, t0: str, rows_per_bucket: int, cache: bool):
     memo = _HOT_CACHE.setdefault(src_df, {}) if cache else {}
     k = (key, t0, rows_per_bucket)
     if k not in memo:
-        hot = (src_df.select(key, t0).groupBy(key)
-                 .agg(F.count(F.lit(1)).alias("_n"), F.min(t0).alias("_tmin"), F.max(t0).alias("_tmax"))
-                 .filter(F.col("_n") > F.lit(rows_per_bucket)))
-        st = hot.agg(F.count(F.lit(1)).alias("k"),
-                     F.sum(F.ceil(F.col("_n") / F.lit(rows_per_bucket))).alias("b")).first()
+        narrow = src_df.select(key, _position(src_df, t0).alias("_p"))
+        # Cut at quantiles, so that buckets hold equal counts, not equal spans.
+        probs = [i / QUANTILES for i in range(1, QUANTILES)]
+        counts = narrow.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(rows_per_bucket))
+        st = counts.agg(F.count(F.lit(1)).alias("k"),
+                        F.sum(F.ceil(F.col("_n") / F.lit(rows_per_bucket))).alias("b")).first()
+        cuts = (narrow.join(counts, key).groupBy(key)
+                .agg(F.first("_n").alias("_n"), F.percentile_approx("_p", probs, 10 * QUANTILES).alias("_q")))
+        nb = F.least(F.ceil(F.col("_n") / F.lit(rows_per_bucket)), F.lit(QUANTILES)).cast("int")
+        hot = cuts.select(key, F.array_distinct(F.transform(
+            F.sequence(F.lit(1), nb), lambda i: F.get("_q", (i * QUANTILES / nb).cast("int") - 1))).alias("_cuts"))
         memo[k] = (hot, int(st["k"]), int(st["b"] or 0))
     return memo[k]
 
 
 def _bucketed(df: DataFrame, key: str, t0: str, rows_per_bucket: int, broadcast_limit: int,
               stats_from: DataFrame | None):
-    """Attach ``_bucket`` (0 for ordinary keys, a time bucket for hot keys) and
-    ``_hot``; returns ``(staged, n_buckets)`` or ``None`` when no key is hot.
+    """Attach ``_bucket`` (0 for ordinary keys, a bucket of about
+    ``rows_per_bucket`` rows for hot keys) and ``_hot``; returns
+    ``(staged, n_buckets)`` or ``None`` when no key is hot.
 
     Buckets are monotone in ``t0``, so rows with equal ``t0`` share a bucket
     and every bucket of a key precedes the next in the key's order."""
@@ -67,19 +85,13 @@ def _bucketed(df: DataFrame, key: str, t0: str, rows_per_bucket: int, broadcast_
     hot, n_hot, n_buckets = _hot_keys(src, key, t0, rows_per_bucket, cache=stats_from is not None)
     if n_hot == 0:
         return None
-    nb = F.ceil(F.col("_n") / F.lit(rows_per_bucket))
-    if isinstance(df.schema[t0].dataType, (T.TimestampType, T.TimestampNTZType)):
-        pos = F.timestamp_diff("MICROSECOND", F.col("_tmin"), F.col(t0)).cast("double")
-        span = F.timestamp_diff("MICROSECOND", F.col("_tmin"), F.col("_tmax")).cast("double")
-    else:
-        pos = (F.col(t0) - F.col("_tmin")).cast("double")
-        span = (F.col("_tmax") - F.col("_tmin")).cast("double")
-    bucket = F.when(F.col("_n").isNull() | F.col(t0).isNull(), F.lit(0)).otherwise(
-        F.least(nb - 1, F.floor(nb * pos / (span + F.lit(1.0))))).cast("long")
+    pos = _position(df, t0)
+    bucket = F.when(F.col("_cuts").isNull() | pos.isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_cuts", lambda c: c < pos))).cast("long")
     # Keys of a superset that are absent from df simply find no partner.
     staged = (df.join(_maybe_broadcast(hot, n_hot, broadcast_limit), key, "left")
-                .withColumns({"_bucket": bucket, "_hot": F.col("_n").isNotNull()})
-                .drop("_n", "_tmin", "_tmax"))
+                .withColumns({"_bucket": bucket, "_hot": F.col("_cuts").isNotNull()})
+                .drop("_cuts"))
     return staged, n_buckets
 
 

@@ -1,6 +1,7 @@
 """Deterministic, exact stratified splits and their checks.
 
-Rows are ordered inside each class by ``(md5-hash of seed|key, key)``; the
+Rows are ordered inside each class by the md5-hash of seed|key (rows that
+share a key, by a hash of the row); the
 first ``round(share * n_class)`` rows of each class form the test side.
 That is exact (like a stratified ``train_test_split``) and reproducible in
 any engine, but an ordinary ``row_number`` window per class would put a
@@ -9,8 +10,8 @@ whole class into one task.  Instead the class cut point is *selected*:
 1. a histogram of the hash's top 16 bits per class (partial aggregate,
    at most classes x 65,536 rows reach the driver);
 2. the bin that holds the cut is refined on the next 16 bits, and so on,
-   until it holds at most ``collect_limit`` rows, which are fetched;
-3. the cut ``(hash, key)`` per class becomes a literal, and the split is a
+   until it holds at most ``collect_limit`` rows, of which Spark picks one;
+3. the cut ``(hash, row hash)`` per class becomes a literal, and the split is a
    plain per-row comparison: no shuffle of the row data at all.
 """
 
@@ -36,61 +37,57 @@ def class_targets(counts: dict, share: float) -> dict:
 
 def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int,
                  first_level: list | None = None) -> dict:
-    """Return ``{class: (hash, key)}`` of each class's k-th smallest row, or
-    ``None`` when k is 0."""
-    cuts: dict = {}
-    # state per class: (prefix value, prefix bits, rank still to skip)
-    todo = {s: (0, 0, k) for s, k in targets.items() if k > 0}
-    for s, k in targets.items():
-        if k <= 0:
-            cuts[s] = None
+    """Return ``{class: (h, t)}`` of each class's k-th smallest row in the order
+    ``(_h, _t)``, or ``None`` when k is 0, or ``"all"``.
+
+    ``_h`` and ``_t`` together are one key of 2 * HASH_BITS bits, refined level
+    by level: a key that many rows share is refined on through ``_t``, so the
+    driver receives histogram bins and one row per class, never rows."""
+    cuts: dict = {s: None for s, k in targets.items() if k <= 0}
+
+    def prefix_is(bits, value):
+        if bits <= HASH_BITS:
+            return F.shiftrightunsigned(F.col("_h"), HASH_BITS - bits) == F.lit(value)
+        low = bits - HASH_BITS
+        return ((F.col("_h") == F.lit(value >> low))
+                & (F.shiftrightunsigned(F.col("_t"), HASH_BITS - low) == F.lit(value & ((1 << low) - 1))))
+
+    # state per class: (prefix value, rank inside it); all open classes are at the same depth
+    todo, depth = {s: (0, k) for s, k in targets.items() if k > 0}, 0
     while todo:
-        # One histogram job for every class still open, each restricted to
-        # its current prefix.
-        conds = []
-        for s, (prefix, bits, _) in todo.items():
-            c = (F.col(strata) == F.lit(s)) if s is not None else F.col(strata).isNull()
-            if bits:
-                c = c & (F.shiftrightunsigned(F.col("_h"), HASH_BITS - bits) == F.lit(prefix))
-            conds.append(c)
-        # every open class is at the same depth: they advance together
-        depth = next(iter(todo.values()))[1]
-        level = min(LEVEL_BITS, HASH_BITS - depth)
-        cond = conds[0]
-        for c in conds[1:]:
-            cond = cond | c
-        shift = HASH_BITS - depth - level
-        if depth == 0 and first_level is not None and level == LEVEL_BITS:
+        column, used = ("_h", depth) if depth < HASH_BITS else ("_t", depth - HASH_BITS)
+        level = min(LEVEL_BITS, HASH_BITS - used)
+        digit = F.shiftrightunsigned(F.col(column), HASH_BITS - used - level).bitwiseAND(F.lit((1 << level) - 1))
+        if depth == 0 and first_level is not None:
             hist = first_level
         else:
-            hist = (df.filter(cond)
-                      .groupBy(strata, F.shiftrightunsigned(F.col("_h"), shift).alias("_b"))
-                      .agg(F.count(F.lit(1)).alias("_n"))
-                      .collect())
+            cond = F.lit(False)
+            for s, (prefix, _) in todo.items():
+                cond = cond | (F.col(strata).eqNullSafe(F.lit(s)) & prefix_is(depth, prefix))
+            hist = df.filter(cond).groupBy(strata, digit.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).collect()
         by_class: dict = {}
         for r in hist:
             by_class.setdefault(r[strata], []).append((r["_b"], r["_n"]))
+        depth += level
         nxt = {}
-        for s, (prefix, bits, k) in todo.items():
-            rows = sorted(by_class.get(s, []))
+        for s, (prefix, k) in todo.items():
             acc = 0
-            for b, n in rows:
+            for b, n in sorted(by_class.get(s, [])):
                 if acc + n >= k:
-                    rank, size = k - acc, n
                     break
                 acc += n
             else:  # fewer rows than asked: everything is selected
-                cuts[s] = ("all", None)
+                cuts[s] = "all"
                 continue
-            new_bits = depth + level
-            if size <= collect_limit or new_bits >= HASH_BITS:
-                c = (F.col(strata) == F.lit(s)) if s is not None else F.col(strata).isNull()
-                cand = (df.filter(c & (F.shiftrightunsigned(F.col("_h"), HASH_BITS - new_bits) == F.lit(b)))
-                          .select("_h", "_k").orderBy("_h", "_k").limit(rank).collect())
-                last = cand[-1]
-                cuts[s] = (last["_h"], last["_k"])
+            rank, value = k - acc, (prefix << level) | b
+            if n <= collect_limit or depth >= 2 * HASH_BITS:
+                rows = df.filter(F.col(strata).eqNullSafe(F.lit(s)) & prefix_is(depth, value)).select("_h", "_t")
+                if n <= collect_limit:
+                    rows = rows.orderBy("_h", "_t").limit(rank)
+                last = rows.agg(F.max(F.struct("_h", "_t")).alias("m")).first()["m"]
+                cuts[s] = (last["_h"], last["_t"])
             else:
-                nxt[s] = (b, new_bits, rank)
+                nxt[s] = (value, rank)
         todo = nxt
     return cuts
 
@@ -98,38 +95,38 @@ def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int,
 def stratified_flags(df: DataFrame, key: str, strata: str, share: float, seed: int = 42,
                      out: str = "is_test", collect_limit: int = COLLECT_LIMIT) -> DataFrame:
     """Add boolean ``out``: True for the exact per-class ``share`` of rows
-    with the smallest ``(hash(seed|key), key)``.  Rows sharing a key fall on
-    the same side."""
-    base = df.withColumns({"_h": hash_key(F.col(key), seed), "_k": F.col(key)})
+    with the smallest hash of seed and key.  Rows that share a key are ordered
+    by a hash of the whole row, so the share holds whatever the keys; only
+    rows equal in every column stay together."""
+    tie = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in df.columns]), 64 - HASH_BITS)
+    base = df.withColumns({"_h": hash_key(F.col(key), seed), "_t": tie})
     # The selection jobs need three narrow columns only; keep them for the
     # few jobs instead of recomputing the input's lineage each time (the
     # hash is deterministic, so a recomputed partition is identical).
-    narrow = base.select(strata, "_h", "_k").persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = base.select(strata, "_h", "_t").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # A class is a value of the target; their number is counted before any bins are fetched.
+        if narrow.select(strata).distinct().limit(MAX_STRATA + 1).count() > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata in {strata!r}")
         # The first histogram level also yields the class sizes: one job for both.
         top = (narrow.groupBy(strata, F.shiftrightunsigned(F.col("_h"), HASH_BITS - LEVEL_BITS).alias("_b"))
-                     .agg(F.count(F.lit(1)).alias("_n"))
-                     .limit(MAX_STRATA * (1 << LEVEL_BITS) + 1).collect())
+                     .agg(F.count(F.lit(1)).alias("_n")).collect())
         counts: dict = {}
         for r in top:
             counts[r[strata]] = counts.get(r[strata], 0) + r["_n"]
-        if len(counts) > MAX_STRATA:
-            raise ValueError(f"more than {MAX_STRATA} strata in {strata!r}")
         cuts = _select_cuts(narrow, strata, class_targets(counts, share), collect_limit, first_level=top)
     finally:
         narrow.unpersist()
     flag = F.lit(False)
     for s, cut in cuts.items():
-        in_class = (F.col(strata) == F.lit(s)) if s is not None else F.col(strata).isNull()
         if cut is None:
             continue
-        if cut[0] == "all":
-            sel = F.lit(True)
-        else:
-            h, k = cut
-            sel = (F.col("_h") < F.lit(h)) | ((F.col("_h") == F.lit(h)) & (F.col("_k") <= F.lit(k)))
-        flag = F.when(in_class, sel).otherwise(flag)
-    return base.withColumn(out, flag).drop("_h", "_k")
+        sel = F.lit(True)
+        if cut != "all":
+            h, t = cut
+            sel = (F.col("_h") < F.lit(h)) | ((F.col("_h") == F.lit(h)) & (F.col("_t") <= F.lit(t)))
+        flag = F.when(F.col(strata).eqNullSafe(F.lit(s)), sel).otherwise(flag)
+    return base.withColumn(out, flag).drop("_h", "_t")
 
 
 def stratified_split(df: DataFrame, key: str = "hadm_id", target: str = "is_readmission",

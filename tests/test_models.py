@@ -151,3 +151,17 @@ def test_shapley_efficiency_for_tree_model(spark):
     sums = {r.hadm_id: r.s for r in att.groupBy("hadm_id").agg(F.sum("attribution").alias("s")).collect()}
     for r in f.score(rows, "p").collect():
         assert sums[r.hadm_id] == pytest.approx(r.p - z, abs=1e-9)
+
+
+def test_shapley_background_counts_repeated_rows(spark):
+    """Repeating the input a hundred times leaves the attributions within their error."""
+    rows = [(i, float(i % 10), float(i % 3)) for i in range(100)]
+    df = spark.createDataFrame(rows, "hadm_id long, a double, b double").withColumn("y", F.expr("2 * a + b"))
+    f = md.linear_regression(df, ["a", "b"], "y")
+    many = spark.range(100).crossJoin(df).select((F.col("id") * 1000 + F.col("hadm_id")).alias("hadm_id"), "a", "b")
+    one = df.limit(1)
+    for background in (df, many):
+        att = {r.feature: r for r in explain.monte_carlo_shapley(f, one, "hadm_id", background, n_permutations=200).collect()}
+        z = one.first()
+        for name, coef, mean in (("a", 2.0, 4.5), ("b", 1.0, 0.99)):
+            assert abs(att[name].attribution - coef * (z[name] - mean)) < 5 * att[name].std_error + 0.6

@@ -99,3 +99,20 @@ def test_write_run_reports(spark, tmp_path):
     out = write_run(Run(board, {"cv": board, "note": "x"}), str(tmp_path), "r1")
     assert sorted(out) == ["board", "extra_cv"]
     assert spark.read.parquet(out["board"]).count() == 1
+
+
+def test_outlier_date_leaves_buckets_even(spark):
+    from carepath.operators.sequence import _bucketed
+    rows = [(1, 0.0)] + [(1, 1e9 + i) for i in range(999)] + [(2, 5.0)]
+    df = spark.createDataFrame(rows, "k long, t double")
+    staged, _ = _bucketed(df, "k", "t", 50, 1000, None)
+    sizes = [r["count"] for r in staged.where("k = 1").groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 19 and max(sizes) <= 100
+
+
+def test_loader_takes_any_root(spark, tmp_path):
+    from carepath.sources.tables import load_tables
+    spark.range(3).write.parquet(str(tmp_path / "patients.parquet"))
+    assert load_tables(spark, f"file://{tmp_path}", ["patients"])["patients"].count() == 3
+    with pytest.raises(FileNotFoundError):
+        load_tables(spark, f"file://{tmp_path}", ["admissions"], required=("admissions",))

@@ -54,3 +54,11 @@ def test_sample_fixed_deterministic(spark):
     a = [r.k for r in split.sample_fixed(df, "k", 50).collect()]
     b = [r.k for r in split.sample_fixed(df.repartition(7), "k", 50).collect()]
     assert len(a) == 50 and a == b
+
+
+def test_repeated_key_keeps_the_share(spark):
+    """One key on all rows: the share holds, and no bin of rows is fetched."""
+    df = spark.range(4000).select(F.lit(7).alias("hadm_id"), (F.col("id") % 2).alias("y"), F.col("id").alias("other"))
+    out = split.stratified_flags(df, "hadm_id", "y", 0.2, collect_limit=10)
+    got = {r.y: (r.n, r.t) for r in out.groupBy("y").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()}
+    assert got == {0: (2000, 400), 1: (2000, 400)}
