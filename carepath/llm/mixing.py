@@ -3,7 +3,8 @@
 1. Every source's target is its weight's share of all words, stopped at
    ``max_repeat`` times its size; what is over goes to the other sources by
    weight until none is above.
-2. The targets, in equal blocks of ``block`` words, are apportioned to the
+2. The targets, in equal blocks of ``block`` words (one, unless told otherwise:
+   then sources of a few words meet their targets too), are apportioned to the
    sources by highest quotients target / (2 q + 1), then each source's blocks
    to its hash shards by highest quotients size / (2 q + 1): integer quotas.
 3. Inside a shard the documents lie end to end in a seeded order.  A quota of
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import cut, encoded, global_rank, word_count
 
 WEIGHTS = (5, 2, 1)
-MAX_REPEAT, BLOCK, SHARD_WORDS, SEED = 3, 16, 1 << 22, 71
+MAX_REPEAT, BLOCK, SHARD_WORDS, SEED = 3, 1, 1 << 22, 71
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
