@@ -25,7 +25,7 @@ comp AS (SELECT node, min(root) AS component_id FROM walk GROUP BY node)"""
 
 ORACLE["op1_rp_forest_dedup"] = f"""
 WITH RECURSIVE v AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_sum(list_transform(embedding, x -> CAST(x AS DOUBLE) * x))) AS n
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
   FROM embeddings),
 ids AS (SELECT DISTINCT vec_id AS id FROM v),
 ok AS (SELECT * FROM v WHERE n > 0 AND isfinite(n)),
@@ -42,3 +42,51 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+ORACLE["op2_substring_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+win AS (SELECT rid, i, array_to_string(list_slice(w, i, i + 34), ' ') AS k
+        FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+cov AS (SELECT DISTINCT rid, i + j AS p FROM (SELECT rid, i, unnest(range(0, 35)) AS j FROM win SEMI JOIN rep USING (k))),
+word AS (SELECT rid, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT rid, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN cov USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)"""
+
+ORACLE["op4_minhash_dedup"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+    FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+met AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS i FROM sh p JOIN sh q ON p.s = q.s AND p.doc_id < q.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+ids AS (SELECT doc_id AS id FROM d),
+{_LINKED}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN comp ON comp.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+_BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+_CHARS = " || ".join(f"substr({_BASE32}, ((v >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0))
+
+ORACLE["op6_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT x, min(page_id) AS first FROM p GROUP BY x),
+c AS (SELECT *, list_transform(range(0, 8), lambda k: CAST('0x' || substr(x, CAST(5 * k + 1 AS BIGINT), 5) AS BIGINT)) AS vs FROM p JOIN f USING (x))
+SELECT page_id, strlen(h) AS payload_bytes, array_to_string(list_transform(vs, lambda v: {_CHARS}), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM c"""
+
+# Every page of these tables marks its article, in plain tags; the general rules are tested on fixtures.
+ORACLE["op8_html_extract"] = r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?b>', '', 'g') AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(replace(regexp_replace(t, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM a),
+c AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM c"""
