@@ -161,9 +161,10 @@ SELECT *, {" + ".join(f"{k}_matches" for k in _CONDS)} AS total_matches FROM m""
 sql("patient_features", feat("SELECT * FROM pf"))
 sql("admission_features", "SELECT hadm_id, bool_or(is_readmission) AS is_readmission FROM readm GROUP BY hadm_id")
 sql("target_mismatch", """
-, af AS (SELECT hadm_id, bool_or(is_readmission) AS is_readmission FROM readm GROUP BY hadm_id)
+, rs AS (SELECT hadm_id // 32 AS hadm_id, is_readmission FROM readm),
+af AS (SELECT hadm_id, bool_or(is_readmission) AS is_readmission FROM rs GROUP BY hadm_id)
 SELECT coalesce(a.hadm_id, b.hadm_id) AS hadm_id, a.is_readmission AS target_left, b.is_readmission AS target_right
-FROM readm a FULL OUTER JOIN af b ON a.hadm_id = b.hadm_id
+FROM rs a FULL OUTER JOIN af b ON a.hadm_id = b.hadm_id
 WHERE a.is_readmission IS DISTINCT FROM b.is_readmission""")
 sql("final_dataset", feat("SELECT * REPLACE (round(days_until_readmission, 6) AS days_until_readmission) FROM fin"))
 _LAB_MEANS = ("lab AS (SELECT hadm_id AS lab_id, " + ", ".join(
