@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import encoded, runs
 
 BUCKETS, DIM, NGRAMS, WINDOW = 1 << 16, 8, (3, 4, 5), 10
-MAX_TOXIC, MAX_CLEAN, MAX_TRAIN_CHARS = 1500, 3000, 100_000
+MAX_TOXIC, MAX_CLEAN, MAX_TRAIN_CHARS, WINDOW_STEPS = 1500, 3000, 100_000, 450
 WARM_EPOCHS, WINDOW_EPOCHS, BATCH, RATE, SEED = 3, 12, 256, 0.5, 79
 THRESHOLD = 0.7
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -70,13 +70,18 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class _Bags:
     """Training documents as word numbers, with the n-grams of each word."""
 
-    def __init__(self, docs: list[list[bytes]]):
+    def __init__(self, texts: list[str]):
         number: dict[bytes, int] = {}
-        self.docs = [np.array([number.setdefault(w, len(number)) for w in d], np.int64) for d in docs]
-        who, what = subwords(list(number))
-        order = np.argsort(who, kind="stable")
-        self.bucket = what[order]
-        self.count = np.bincount(who, minlength=len(number))
+        self.docs = [np.array([number.setdefault(w, len(number)) for w in _words(t)], np.int32) for t in texts]
+        words, parts, counts = list(number), [], []
+        del number
+        for i in range(0, len(words), 1 << 15):                # a run of words at a time, for memory
+            run = words[i:i + (1 << 15)]
+            who, what = subwords(run)
+            parts.append(what[np.argsort(who, kind="stable")].astype(np.uint16))
+            counts.append(np.bincount(who, minlength=len(run)))
+        self.bucket = np.concatenate(parts) if parts else np.zeros(0, np.uint16)
+        self.count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         self.at = np.concatenate([[0], np.cumsum(self.count)])
 
     def grams(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +92,10 @@ class _Bags:
         return pos, self.bucket[np.repeat(self.at[words], n) + step]
 
     def word_scores(self, per_bucket: np.ndarray) -> np.ndarray:
-        total = np.add.reduceat(per_bucket[self.bucket], self.at[:-1])
+        total = np.zeros(len(self.count))
+        for i in range(0, len(total), 1 << 15):
+            at = self.at[i:i + (1 << 15) + 1]
+            total[i:i + (1 << 15)] = np.add.reduceat(per_bucket[self.bucket[at[0]:at[-1]]], at[:-1] - at[0])
         return total / self.count
 
 
@@ -127,12 +135,12 @@ def _step(bags: _Bags, model: dict, batch: list[np.ndarray], y: np.ndarray) -> N
 
 def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
     """(pull of each bucket, bias) of the log-odds of being toxic."""
-    docs = [_words(t) for t in texts]
-    kept = [i for i, d in enumerate(docs) if d]
+    bags = _Bags(texts)
+    kept = [i for i, d in enumerate(bags.docs) if len(d)]
+    bags.docs = [bags.docs[i] for i in kept]
     y = np.array([labels[i] for i in kept], np.int64)
     if len(set(y.tolist())) < 2:
         return np.zeros(BUCKETS), -np.inf
-    bags = _Bags([docs[i] for i in kept])
     rng = np.random.default_rng(SEED)
 
     def fresh():
@@ -156,7 +164,9 @@ def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
         for k in at:
             d = bags.docs[k]
             starts = [best_window((chooser if y[k] else own)[d])[1]]
-            if not y[k]:
+            if y[k]:
+                starts *= (each + 1) // 2                     # few clean documents give many windows each; keep the balance
+            else:
                 starts += rng.integers(0, max(1, len(d) - WINDOW + 1), each).tolist()
             examples += [d[i:i + WINDOW] for i in starts]
             wanted += [y[k]] * len(starts)
@@ -178,7 +188,8 @@ def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
             epoch(m, *windows(at, pulls[1 - f], pulls[f]))
     # The model proper begins with their choice and ends with its own.
     pulls = [pull(m) for m in models]
-    for turn in range(WINDOW_EPOCHS):
+    steps = -(-sum(len(windows(at, pulls[0], pulls[0])[1]) for at in folds) // BATCH)
+    for turn in range(max(WINDOW_EPOCHS, -(-WINDOW_STEPS // max(1, steps)))):      # few documents are seen more often
         own = pull(model)
         for f, at in enumerate(folds):
             epoch(model, *windows(at, pulls[1 - f] if turn < WINDOW_EPOCHS // 3 else own, own))
