@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import encoded, runs
 
-BUCKETS, DIM, NGRAMS, WINDOW = 1 << 16, 8, (3, 4, 5), 10
+BUCKETS, DIM, NGRAMS, WINDOW, SHOWN = 1 << 16, 8, (3, 4, 5), 5, 0.5
 MAX_TOXIC, MAX_CLEAN, MAX_TRAIN_CHARS, WINDOW_STEPS = 1500, 3000, 100_000, 450
 WARM_EPOCHS, WINDOW_EPOCHS, BATCH, RATE, SEED = 3, 12, 256, 0.5, 79
 THRESHOLD = 0.7
@@ -108,15 +108,19 @@ def best_window(scores: np.ndarray) -> tuple[float, int]:
     return float(means[i]), i
 
 
-def _step(bags: _Bags, model: dict, batch: list[np.ndarray], y: np.ndarray) -> None:
-    """One Adagrad step of vectors and softmax on a batch of bags."""
+def _step(bags: _Bags, model: dict, batch: list[np.ndarray], y: np.ndarray, rng) -> None:
+    """One Adagrad step of vectors and softmax on a batch of bags.  Each word
+    shows a random ``SHOWN`` of its n-grams, so that no few of them carry it
+    and a misspelling, which changes some, still weighs."""
     e, w, b = model["e"], model["w"], model["b"]
     sizes = np.array([len(x) for x in batch])
     words, inverse = np.unique(np.concatenate(batch), return_inverse=True)
     row = np.repeat(np.arange(len(batch)), sizes)
     weight = np.repeat(1.0 / sizes, sizes)
     pos, bucket = bags.grams(words)
-    share = 1.0 / bags.count[words]
+    shown = rng.random(len(pos)) < SHOWN
+    pos, bucket = pos[shown], bucket[shown]
+    share = 1.0 / np.maximum(1, np.bincount(pos, minlength=len(words)))
     vec = np.stack([np.bincount(pos, weights=e[bucket, d], minlength=len(words)) for d in range(DIM)], 1) * share[:, None]
     hidden = np.stack([np.bincount(row, weights=vec[inverse, d] * weight, minlength=len(batch)) for d in range(DIM)], 1)
     logits = hidden @ w + b
@@ -154,7 +158,7 @@ def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
         order = rng.permutation(len(examples))
         for i in range(0, len(order), BATCH):
             at = order[i:i + BATCH]
-            _step(bags, model, [examples[j] for j in at], np.asarray(wanted)[at])
+            _step(bags, model, [examples[j] for j in at], np.asarray(wanted)[at], rng)
 
     def windows(at, chooser, own):
         """Of toxic documents the window that ``chooser`` finds worst; of clean
