@@ -52,12 +52,12 @@ def with_icu_split(df: DataFrame, los: str = "total_los_days",
                    score: str = "comorbidity_score", score_rows: DataFrame | None = None) -> DataFrame:
     """Estimated ICU and non-ICU days.
 
-    The global maximum score is a scalar subquery, so the plan stays lazy and
-    joins nothing.  ``score_rows`` may name a narrower table with the same
+    The global maximum score is a one-row aggregate fetched as a scalar and
+    folded in as a literal; nothing is cached.  ``score_rows`` may name a narrower table with the same
     scores to take the maximum from.
     """
-    top = (score_rows if score_rows is not None else df).agg(F.greatest(F.coalesce(F.max(score), F.lit(0)), F.lit(1)).cast("double").alias("top"))
-    frac = F.lit(ICU_BASE) + F.lit(ICU_SPAN) * F.col(score) / top.scalar()
+    top = (score_rows if score_rows is not None else df).agg(F.max(score)).first()[0]
+    frac = F.lit(ICU_BASE) + F.lit(ICU_SPAN) * F.col(score) / F.lit(float(max(top or 0, 1)))
     return (df.withColumn("icu_los_days", F.col(los) * frac)
               .withColumn("non_icu_los_days", F.col(los) - F.col("icu_los_days")))
 
