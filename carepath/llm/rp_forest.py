@@ -2,7 +2,7 @@
 
 1. Equal vectors fold into one row with a count.
 2. Each tree has its own random directions, one per level.  A node splits its
-   rows at the sparsest of a few quantiles of their projection (one mergeable
+   rows at a sparse one of a few quantiles of their projection (one mergeable
    sketch per node); rows within ``SPILL`` of the split go to both sides.  A
    node stops when it has ``LEAF`` rows or fewer, or when the spill zone would
    hold most of them (a dense knot of near copies).
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, cut, discard
 
-TREES, DEPTH, LEAF, BLOCK, SPILL, SEED = 8, 24, 1024, 1024, 0.03, 83
+TREES, DEPTH, LEAF, BLOCK, SPILL, SEED = 8, 24, 1024, 1024, 0.02, 83
 STEPS = [x / 20 for x in range(4, 17)]      # quantiles a split is chosen from
 KNOT = 0.6                                  # a node whose spill zone holds more stops
 
@@ -71,13 +71,11 @@ def grow(points: DataFrame, dim: int, trees: int = TREES, depth: int = DEPTH, le
     for level in range(depth):
         x = F.get("p", F.lit(level)).cast("double")
         nodes = placed.where("open").groupBy("tree", "path").agg(F.count("*").alias("n"), F.percentile_approx(x, STEPS, 2000).alias("q"))
-        # The split: the quantile whose neighbours are farthest apart.
-        choice = F.array_max(F.array(*[F.struct((F.get("q", F.lit(i + 1)) - F.get("q", F.lit(i - 1))).alias("gap"),
-                                                F.lit(-abs(STEPS[i] - 0.5)).alias("mid"), F.get("q", F.lit(i)).alias("at"))
-                                       for i in range(1, len(STEPS) - 1)]))
-        nodes = nodes.withColumn("at", choice["at"])
-        in_zone = F.size(F.filter("q", lambda y: F.abs(y - F.col("at")) <= spill)) / len(STEPS)
-        nodes = nodes.where((F.col("n") > leaf) & (in_zone <= KNOT)).select("tree", "path", "at")
+        # The split: the quantile with the fewest rows around it, the middle if there's little between them.
+        zone = lambda y: F.size(F.filter("q", lambda z: F.abs(z - y) <= spill)) / len(STEPS)
+        choice = F.array_min(F.array(*[F.struct((zone(F.get("q", F.lit(i))) + 2 * (q - 0.5) ** 2).alias("cost"), F.get("q", F.lit(i)).alias("at"))
+                                       for i, q in enumerate(STEPS)]))["at"]
+        nodes = nodes.where(F.col("n") > leaf).withColumn("at", choice).where(zone(F.col("at")) <= KNOT).select("tree", "path", "at")
         sides = F.filter(F.array(F.when(x < F.col("at") + spill, F.col("path") * 2), F.when(x > F.col("at") - spill, F.col("path") * 2 + 1)),
                          lambda side: side.isNotNull())
         split = F.col("open") & F.col("at").isNotNull()
