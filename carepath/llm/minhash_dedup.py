@@ -12,13 +12,14 @@
    to differ at a similarity of 0.8), and most pairs beyond it as well: a pair
    at exactly 0.8 misses all keys with probability 0.345 ** 11 = 8e-6.
 3. *Links without all pairs.*  Under each key the most widely colliding
-   document is the hub.  Each document is confirmed against its nearest hub on
-   full sets, confirmed links are folded into components, and only documents
-   that share a key but not a component are then paired and confirmed.  Pairs
-   inside a component can't change the answer and are never made.
+   document is the hub.  Each document is confirmed on full sets against the
+   widest of its hubs, and links are folded into components.  Documents that
+   share a key share its hub; around hubs with several components, documents
+   are compared in bounded blocks inside tasks, on full sets, and only links
+   between components come out.  Pairs inside a component can't change the
+   answer, and no table of pairs is made.
 4. Confirming uses whole shingle sets and integers: 100 * |A & B| >= 80 * |A | B|.
-   Before it, a pair goes if its signatures differ in more than ``FAR`` values
-   (under 1e-6 for a pair at 0.8).
+   A document isn't tried on a hub whose signature differs in more than ``FAR`` values.
 
 Defined cases: null or empty text has an empty set, links with nothing and is
 kept; texts shorter than one shingle use the whole sequence; rows that share a doc_id
@@ -40,6 +41,7 @@ from .common import WordHasher, connected_components, cut, encoded, runs
 
 WIDTH, CHUNKS, ERRORS, BITS, FAR = 6, 11, 1, 16, 30
 SEED = 20240607
+BLOCK_ROWS, BLOCK_CHARS, COLUMNS = 256, 2 << 20, 1 << 14
 _C1, _C2, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -156,6 +158,52 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
             .sortWithinPartitions("b").mapInPandas(task, "a long, b long"))
 
 
+def _meet(pdf: pd.DataFrame, size: int, percent: int) -> pd.DataFrame:
+    """(a, b) links between different components in one pair of blocks, one for each pair of components."""
+    comp = pdf["comp"].to_numpy()
+    if (comp == comp[0]).all():
+        return pdf.iloc[:0][["a"]].assign(b=np.zeros(0, np.int64))
+    sets = _sets(pdf["_text"].tolist(), size, WordHasher(2))
+    n = np.array([len(x) for x in sets])
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    shingle, column, seen = np.unique(flat, return_inverse=True, return_counts=True)
+    row, column = row[seen[column] > 1], column[seen[column] > 1]       # shingles of one document alone add nothing
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        i, j = np.searchsorted(column, [start, start + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[i:j], column[i:j] - start] = 1
+        both += has @ has.T                                             # whole numbers: exact below 2 ** 24
+    union = n[:, None] + n[None, :] - both
+    x, y = np.nonzero(np.triu((100 * both.astype(np.int64) >= percent * union.astype(np.int64)) & (union > 0), 1) & (comp[:, None] != comp[None, :]))
+    out = pd.DataFrame({"a": pdf["a"].to_numpy()[x], "b": pdf["a"].to_numpy()[y], "x": np.minimum(comp[x], comp[y]), "y": np.maximum(comp[x], comp[y])})
+    return out.drop_duplicates(["x", "y"])[["a", "b"]]
+
+
+def _across(star: DataFrame, tested: DataFrame, folded: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Confirmed links between documents that share a key, hence a hub, but no component.
+
+    The documents around a hub are dealt out in blocks of bounded rows and
+    characters, and each task compares two blocks on full sets: work for a crowd
+    around one hub spreads over tasks, and no table of pairs arises."""
+    around = (star.join(tested.withColumn("done", F.lit(1)), ["a", "b"], "left").select(F.col("b").alias("hub"), "a", "done")
+              .union(star.select(F.col("b").alias("hub"), F.col("b").alias("a"), F.lit(None).cast("int").alias("done")).distinct()))
+    around = (around.join(folded, F.col("a") == F.col("node"), "left").select("hub", "a", "done", F.coalesce("component", "a").alias("comp"))
+              .join(texts.select(F.col("_id").alias("a"), F.length("_text").alias("chars")).groupBy("a").agg(F.sum("chars").alias("chars")), "a"))
+    crowds = (around.groupBy("hub").agg(F.count("*").alias("n"), F.count("done").alias("done"), F.sum("chars").alias("chars"),
+                                        F.min("comp").alias("x"), F.max("comp").alias("y"))
+              .where("x < y and not (n = 2 and done = 1)")
+              .select("hub", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("chars") / BLOCK_CHARS)).cast("int").alias("blocks")))
+    dealt = (around.join(crowds, "hub").withColumn("own", F.pmod(F.xxhash64(F.lit(SEED), "a", "hub"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("hub", "a", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+             .join(texts.select(F.col("_id").alias("a"), "_text"), "a"))
+    return dealt.groupBy("hub", "i", "j").applyInPandas(lambda pdf: _meet(pdf, size, percent), "a long, b long")
+
+
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle: int = 5, percent: int = 80) -> DataFrame:
     """(``id_col``, n_shingles, component_id, kept), one row per row of ``docs``."""
@@ -171,19 +219,12 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = cut(rows.join(wanted, "_id", "left_semi"), "texts")
 
     hubs = met.join(reach, "rep").groupBy("key").agg(F.max_by("rep", F.struct("reach", -F.col("rep"))).alias("b"))
-    star = met.join(hubs, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    nearest = (_near(star, classes).groupBy("a").agg(F.min_by("b", F.struct("dist", "b")).alias("b")))
-    first = cut(_confirmed(nearest, texts, shingle, percent), "links")
-    folded = connected_components(first)
-    part = cut(met.select("key", "rep").join(folded, met["rep"] == folded["node"], "left")
-               .select("key", "rep", F.coalesce("component", "rep").alias("comp")), "part")
-    mixed = part.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    left = part.join(mixed, "key", "left_semi")
-    cross = (left.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-             .join(left.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb")), "key")
-             .where("ca < cb").select("a", "b").distinct())
-    second = _confirmed(_near(cross, classes), texts, shingle, percent)
-    nodes = connected_components(cut(first.union(second), "links"))
+    star = cut(met.join(hubs, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "star")
+    widest = cut(_near(star, classes).join(reach.select(F.col("rep").alias("b"), "reach"), "b")
+                 .groupBy("a").agg(F.max_by("b", F.struct("reach", -F.col("b"))).alias("b")), "widest")
+    links = cut(_confirmed(widest, texts, shingle, percent), "links")
+    more = _across(star, widest, connected_components(links), texts, shingle, percent)
+    nodes = connected_components(cut(links.union(more), "links"))
 
     of = (signed.select("_id", "n", "d1", "d2")
           .join(classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "left")
