@@ -135,6 +135,18 @@ def test_rp_forest_dense_knot_is_dealt_in_blocks(spark):
     assert {(r.n_links, r.component_id) for r in got} == {(299, 0)}
 
 
+def test_rp_forest_links_within_a_large_group_of_near_copies(spark):
+    # Production parameters; pairs of a group have cosines on both sides of 0.95.
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal(64) / 8 + rng.standard_normal((5000, 64)) * np.sqrt((1 / 0.95 - 1) / 64)
+    x = np.vstack([x, rng.standard_normal((1500, 64))])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = [int((unit[i:i + 500] @ unit.T >= 0.95)[j].sum()) - 1 for i in range(0, len(x), 500) for j in range(min(500, len(x) - i))]
+    got = {r.vec_id: r.n_links for r in rp_forest_dedup(df).collect()}
+    assert [got[i] for i in range(len(x))] == want
+
+
 def test_rp_forest_null_ids_repeats_empty(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0]), (2, [2.0, 0.0])], "vec_id long, embedding array<double>")
     got = sorted((tuple(r) for r in rp_forest_dedup(df).collect()), key=str)
