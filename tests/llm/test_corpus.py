@@ -269,6 +269,19 @@ def test_html_extract_differences_pages_without_an_article(spark):
     assert html_extract.html_extract(df.limit(0)).collect() == []
 
 
+def test_html_extract_keeps_copies_and_pairs_with_marked_pages(spark):
+    page = "<body><div>Top</div><p>own {0}</p><div>Bottom</div></body>"
+    marked = "<body><div>Top</div><article>{0}</article><div>Bottom</div></body>"
+    rows = [(1, "http://c/a/1", page.format(1)), (2, "http://c/a/1b", page.format(1)), (2, "http://c/a/1b", page.format(1)), (3, "http://c/a/2", page.format(3)),
+            (4, "http://d/1", page.format(4)), (5, "http://d/2", page.format(4)), (6, "http://e/1", marked.format("x")),
+            (7, "http://e/2", page.format(7)), (8, "http://e/3", marked.format("y")), (9, "http://f/1", "<p>twin</p>"), (9, "http://f/1", "<p>twin</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((r.page_id, r.text) for r in html_extract.html_extract(df).collect()) == [
+        (1, "own 1"), (2, "own 1"), (2, "own 1"), (3, "own 3"), (4, "Top own 4 Bottom"), (5, "Top own 4 Bottom"), (6, "x"),
+        (7, "own 7"), (8, "y"), (9, "twin"), (9, "twin")]
+    assert html_extract.html_extract(df.limit(0)).collect() == []
+
+
 def test_html_extract_on_the_pages_table(spark):
     import html
     import re
