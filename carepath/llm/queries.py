@@ -15,6 +15,7 @@ from .mixing import mix
 from .packing import pack
 from .rp_forest import rp_forest_dedup
 from .substring_dedup import substring_dedup
+from .token_align import align_tokens
 from .toxicity import toxicity
 from .warc import archive
 
@@ -68,6 +69,10 @@ def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_ann(table(spark, sf_dir, "embeddings"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_rp_forest_dedup, op2_substring_dedup, op3_chat_format, op4_minhash_dedup, op5_packing, op6_warc, op7_mixing,
-    op8_html_extract, op9_toxicity, op10_hilbert_ann)}
+    op8_html_extract, op9_toxicity, op10_hilbert_ann, op11_token_align)}
