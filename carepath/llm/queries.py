@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from .chat_format import as_messages, format_chat, probe, read_back
 from .common import table
+from .hard_negatives import hard_negatives
 from .hilbert_ann import hilbert_ann
 from .html_extract import html_extract
 from .minhash_dedup import minhash_dedup
 from .mixing import mix
 from .packing import pack
+from .quality import quality
 from .rp_forest import rp_forest_dedup
 from .substring_dedup import substring_dedup
 from .token_align import align_tokens
@@ -73,6 +75,15 @@ def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(table(spark, sf_dir, "documents"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_rp_forest_dedup, op2_substring_dedup, op3_chat_format, op4_minhash_dedup, op5_packing, op6_warc, op7_mixing,
-    op8_html_extract, op9_toxicity, op10_hilbert_ann, op11_token_align)}
+    op8_html_extract, op9_toxicity, op10_hilbert_ann, op11_token_align, op12_quality,
+    op13_hard_negatives)}
