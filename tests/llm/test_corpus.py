@@ -265,7 +265,7 @@ def test_html_extract_differences_pages_without_an_article(spark):
     by = {r.page_id: r.text for r in got}
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     assert [by[i] for i in range(1, 5)] == [f"own {i} and {i}" for i in range(1, 5)]
-    assert by[10] == "Top own 10 and 10 Bottom" and by[11] == "Top kept" and by[12] == by[13] == by[14] == ""
+    assert by[10] == "Top own 10 and 10 Bottom" and by[11] == "Top kept" and by[12] == by[13] == "" and by[14] == "twin"
     assert html_extract.html_extract(df.limit(0)).collect() == []
 
 
@@ -282,6 +282,48 @@ def test_html_extract_keeps_copies_and_pairs_with_marked_pages(spark):
     assert html_extract.html_extract(df.limit(0)).collect() == []
 
 
+def test_html_names_drop_as_a_whole_and_on_containers_only():
+    kept = lambda page: " ".join(t for _, t in html_extract.blocks_of(page))
+    page = ("<article><section id='related-work'><h2>Related</h2></section><h1 id='alert-handling'>Alerts</h1><p class='notice'>Mind</p>"
+            "<div class='article-header'><h1>Title</h1></div><div class='ad'>buy</div><div class='box cookie-banner'>ok</div>"
+            "<div id='comments-area'>c</div><aside>s</aside>end</article>")
+    assert kept(page) == "Related Alerts Mind Title end"
+    for name in ("ad", "Ads", "site-footer", "main_nav", "x sidebar", "newsletter-box", "comments", "share"):
+        assert kept(f"<div class='{name}'>gone</div><div>stays</div>") == "stays", name
+    for name in ("related-work", "admin", "headers-and-more", "share-price", "navy", "reader-notice-history", "footnotes"):
+        assert kept(f"<div class='{name}'>here</div><div>stays</div>") == "here stays", name
+    assert kept("<article class='comment'>no</article><article class='related'>yes</article><p class='ad'>no</p>") == "yes"
+
+
+def test_html_missing_end_tags_do_not_empty_a_page():
+    kept = lambda page: " ".join(t for _, t in html_extract.blocks_of(page))
+    assert kept("<nav><a>menu</a><article><p>text</p></article>") == "text"
+    assert kept("<div class='ad'>buy <main>text</main>") == "text"
+    assert kept("<nav><a>menu</a><div><p>text</p></div>") == "menu text"          # nothing else would be left
+    assert kept("<aside><article>teaser</article></aside><p>text</p>") == "text"    # closed: the teaser goes with it
+    assert kept("<script>var a = 1; <p>text") == ""
+
+
+def test_html_extract_near_copies_and_teasers_keep_their_text(spark):
+    near = "<p>alpha one</p><p>beta two</p><p>gamma three{0}</p>"
+    long = ["".join(f"<p>paragraph {i} of a long text with its own words {i * i}</p>" for i in range(20))] * 2
+    long[1] = long[1].replace("paragraph 7 of a long", "something quite else, not")
+    page = "<div>Top of the site</div>{0}<div>Bottom of the site</div>"
+    texts = {i: f"<p>story {i} {'abcdefgh'[i % 8]}{i} about</p><p>thing{i} thing{i + 50}</p>" for i in range(12)}
+    teaser = "<article>teaser</article><div>the page's real text stands beside it</div>"
+    rows = [(1, "http://n/1", near.format("")), (2, "http://n/2", near.format(" changed")),
+            (3, "http://l/1", long[0]), (4, "http://l/2", long[1]),
+            (5, "http://t/1", teaser), (6, "http://u/x", "<article>whole article text here</article><div>side</div>")]
+    rows += [(100 + i, f"http://m/a/{i:02d}", page.format(texts[i // 3] + f"<p>version {i}</p>")) for i in range(12)]     # runs of near copies
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.html_extract(df).collect()}
+    assert got[1] == "alpha one beta two gamma three" and got[2] == "alpha one beta two gamma three changed"
+    assert got[3].count("paragraph") == 20 and got[4].count("paragraph") == 19 and "something quite else" in got[4]
+    assert got[5] == "teaser the page's real text stands beside it" and got[6] == "whole article text here"
+    for i in range(12):
+        assert got[100 + i] == f"story {i // 3} {'abcd'[i // 3]}{i // 3} about thing{i // 3} thing{i // 3 + 50} version {i}"
+
+
 def test_html_extract_on_the_pages_table(spark):
     import html
     import re
