@@ -232,3 +232,21 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
           .select("_id", "n", F.when(F.col("_id").isNotNull(), F.coalesce("component", "rep", "_id")).alias("component_id")))
     return of.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                      F.coalesce(F.col("_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` less all but one row of each near-duplicate group.
+
+    Rows are judged one by one, whatever their ids: of a group stays the row
+    with the smallest id (null last), of equal ids the one with the least text
+    hash, of equal rows the first written.  Rows without words all stay."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = cut(docs.withColumn(key, F.monotonically_increasing_id()), "rows")       # numbered once, hence written
+    judged = minhash_dedup(rows.select(F.col(key).alias("row"), F.col(text_col).alias("t")), "row", "t", shingle, percent)
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(key).alias("row"))
+    judged = judged.where("n_shingles > 0").select("row", "component_id").join(rows.select(place.alias("place"), F.col(key).alias("row")), "row")
+    first = judged.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = judged.join(first.select("component_id", F.col("first.row").alias("stays")), "component_id").where("row <> stays")
+    return rows.join(gone.select(F.col("row").alias(key)), key, "left_anti").select(*docs.columns)

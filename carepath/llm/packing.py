@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import global_rank, word_count
+from .common import cut, global_rank, word_count
 
 MAX_LEN, N_BUCKETS, TOKEN_BUDGET, SEED = 2048, 8, 16384, 73
 
@@ -58,6 +58,7 @@ def optimal_boundaries(histogram: dict[int, int], n_buckets: int) -> list[int]:
 def pieces(docs: DataFrame, id_col: str, text_col: str, max_len: int) -> DataFrame:
     """(_id, piece, n_tokens): runs of at most ``max_len`` words."""
     n = docs.select(F.col(id_col).alias("_id"), word_count(F.col(text_col)).alias("_n")).where("_n > 0")
+    n = cut(n, "sizes")                              # the texts are read once
     return (n.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {max_len}"))))
             .select("_id", "piece", F.least(F.lit(max_len), F.col("_n") - F.col("piece") * max_len).cast("long").alias("n_tokens")))
 

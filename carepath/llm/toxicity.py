@@ -18,8 +18,8 @@ the least id hashes) of at most ``MAX_TRAIN_CHARS`` characters; it runs on the
 driver, whose memory is bounded by these.  Scoring covers every row.
 
 Defined cases: a text without words scores 0; without labelled rows of both
-kinds every score is 0; of repeated labels the larger counts; null ids score like
-any other (held_out is null-safe false); other columns play no part.
+kinds every score is 0; of repeated labels the larger counts, of repeated ids the row
+with the least text hash is learnt from; null ids score like any other (held_out is null-safe false); other columns play no part.
 """
 
 from __future__ import annotations
@@ -210,7 +210,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     some = [fit.where(cond).orderBy(F.xxhash64(F.lit(SEED), "_id"), "_id").limit(n)
             for cond, n in (("_y > 0", MAX_TOXIC), ("_y <= 0", MAX_CLEAN))]
     sample = some[0].union(some[1])                            # at most MAX_TOXIC + MAX_CLEAN ids
-    return rows.join(F.broadcast(sample), "_id").dropDuplicates(["_id"]).select("_id", "_text", (F.col("_y") > 0).cast("int").alias("_y"))
+    chosen = F.min_by("_text", F.struct(F.xxhash64("_text"), "_text"))     # of rows that share an id the same one in every run
+    return (rows.join(F.broadcast(sample), "_id").groupBy("_id")
+            .agg(chosen.alias("_text"), (F.first("_y") > 0).cast("int").alias("_y")))
 
 
 def held_out(id_col: str) -> "F.Column":

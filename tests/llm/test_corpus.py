@@ -165,6 +165,27 @@ def test_sainte_lague_against_brute_force(spark):
         assert {i: got[g, i] for i in mine} == {i: q[i] for i in mine}
 
 
+def test_mixing_takes_seeded_blocks_spread_over_a_shard(spark):
+    """The rest of a quota is whole blocks, exactly as many, not one run; equal or missing ids spread over shards."""
+    rows = [(None if i % 2 else 7, " ".join(f"{i}_{j}" for j in range(50)), s) for i in range(2000) for s in (["big"] if i % 4 else ["big", "small"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(df, shard_words=8192).collect()
+    size = {"big": 100_000, "small": 25_000}
+    by = {r.source_size: (r.target, 0) for r in out}
+    for r in out:
+        by[r.source_size] = (r.target, by[r.source_size][1] + r.taken)
+        assert r.taken == r.passes * r.size + sum(x.n for x in r.runs) and all(0 < x.n <= 64 and 0 <= x.start <= r.size - x.n for x in r.runs)
+    for z, (target, taken) in by.items():
+        assert abs(taken - target) <= 64 * (z // 8192 + 2)          # less than a block a shard
+    assert set(by) == set(size.values())
+    taken = [r.taken / r.size for r in out if r.source_size == size["small"]]
+    assert len({round(t, 2) for t in taken}) > 5                      # some rows wholly, some in part
+    primes = mixing.primes_from(100, 4)
+    assert primes == [101, 103, 107, 109]
+    for blocks, stride in ((64, mixing.STRIDES[0]), (4097, mixing.STRIDES[3])):
+        assert sorted(b * stride % blocks for b in range(blocks)) == list(range(blocks))
+
+
 def test_mixing_empty_and_wordless(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert sorted((o.doc_id, o.size, o.source_size, o.target, o.taken) for o in mixing.mix(df).collect()) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
