@@ -5,6 +5,16 @@ weights, and the mix is packed into batches by length.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and reread as the next stage's ``docs``.  All but the last
 return the columns of ``documents``.
+
+Defined cases, in every stage: decisions are made row by row, so rows that share
+an id, or have none, are documents of their own; further columns, whatever
+their names, are carried along up to packing; an empty table stays empty.
+Toxicity keeps rows without words (score 0).  Near-dedup keeps all rows without
+words and one row of each group, equal rows included: the smallest id (null
+last), then the least text hash.  Substring dedup keeps every row and judges
+repeats within and across rows on the stage's input; a null text stays null.
+Mixing leaves out rows that it takes no word of, those without words among
+them.  Packing makes no piece of rows without words.
 """
 
 from __future__ import annotations
@@ -12,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from carepath.llm.common import cut, table
-from carepath.llm.minhash_dedup import minhash_dedup
+from carepath.llm.minhash_dedup import unique_documents
 from carepath.llm.mixing import mixed_texts
 from carepath.llm.packing import pack
 from carepath.llm.substring_dedup import deduped_texts
@@ -25,9 +35,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (five-word shingles, similarity 0.8)."""
-    gone = minhash_dedup(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate group (five-word shingles, similarity 0.8)."""
+    return unique_documents(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
