@@ -138,26 +138,41 @@ def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> Data
                     F.try_divide(F.col("P"), F.col("P") + F.col("N")).alias("baseline"))
 
 
+def _regression_sums(y, p, tag: str = "") -> list:
+    """The aggregates that the regression metrics of one prediction need."""
+    return [F.count(F.lit(1)).alias(f"n{tag}"),
+            F.avg((y - p) * (y - p)).alias(f"_mse{tag}"),
+            F.avg(F.abs(y - p)).alias(f"mae{tag}"),
+            F.sum((y - p) * (y - p)).alias(f"_sse{tag}"),
+            F.var_pop(y).alias(f"_var{tag}"),
+            F.avg(F.abs((y - p) / zero_safe(y))).alias(f"_mape{tag}"),
+            F.count_if(y == 0).alias(f"n_zero_actuals{tag}")]
+
+
+def _regression_columns(tag: str = "") -> list:
+    n, var, sse = F.col(f"n{tag}"), F.col(f"_var{tag}"), F.col(f"_sse{tag}")
+    return [n.cast("long").alias("n"), F.sqrt(f"_mse{tag}").alias("rmse"), F.col(f"mae{tag}").alias("mae"),
+            # a constant label: 1.0 for a perfect fit, else 0.0 (finite convention)
+            F.when(var * n == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+             .otherwise(F.lit(1.0) - sse / (var * n)).alias("r2"),
+            (F.col(f"_mape{tag}") * 100).alias("mape"),
+            F.col(f"n_zero_actuals{tag}").cast("long").alias("n_zero_actuals")]
+
+
 def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """RMSE, MAE, R² and MAPE ×100 with zero actuals replaced by 1e-10 (E7,
     X14), plus how many actuals were zero.  One aggregate."""
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    agg = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.avg((y - p) * (y - p)).alias("_mse"),
-                 F.avg(F.abs(y - p)).alias("mae"),
-                 F.sum((y - p) * (y - p)).alias("_sse"),
-                 F.var_pop(y).alias("_var"),
-                 F.avg(F.abs((y - p) / zero_safe(y))).alias("_mape"),
-                 F.count_if(y == 0).alias("n_zero_actuals"))
-    return agg.select(
-        F.col("n").cast("long").alias("n"),
-        F.sqrt("_mse").alias("rmse"), "mae",
-        # a constant label: 1.0 for a perfect fit, else 0.0 (finite convention)
-        F.when(F.col("_var") * F.col("n") == 0,
-               F.when(F.col("_sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-         .otherwise(F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("n"))).alias("r2"),
-        (F.col("_mape") * 100).alias("mape"),
-        F.col("n_zero_actuals").cast("long").alias("n_zero_actuals"))
+    return df.agg(*_regression_sums(y, p)).select(*_regression_columns())
+
+
+def regression_metrics_by_model(df: DataFrame, actual: str, predicted: dict[str, str]) -> DataFrame:
+    """E7 for several predictions of the same rows (model name -> column), a
+    row per model, from one aggregate over one scan."""
+    y = F.col(actual).cast("double")
+    sums = df.agg(*[a for i, c in enumerate(predicted.values()) for a in _regression_sums(y, F.col(c).cast("double"), f"_{i}")])
+    rows = [F.struct(F.lit(name).alias("model_name"), *_regression_columns(f"_{i}")) for i, name in enumerate(predicted)]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def quantile_coverage(df: DataFrame, actual: str, quantile_cols: dict[str, str]) -> DataFrame:
@@ -237,6 +252,14 @@ def capacity_summary(df: DataFrame, quantile_cols: dict[str, str], model_name: s
     return df.agg(*aggs)
 
 
+def ranked_models(rows: DataFrame, metric: str, order: list[str]) -> DataFrame:
+    """E12 + O3 for a table with a row per model: best first; ``rank`` keeps
+    ``order`` among equal metrics, so the first model wins ties (O4)."""
+    place = F.array_position(F.array(*[F.lit(n) for n in order]), F.col("model_name"))
+    # A window without partition is fine here: one row per model.
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last(metric), place)))
+
+
 def model_comparison(metric_rows: list[DataFrame], metric: str) -> DataFrame:
     """E12 + O3: one row per model (union by name of one-row metric tables),
     best first.  ``rank`` keeps the input order among equal metrics, so the

@@ -471,6 +471,34 @@ def q_model_gbt_regressor(spark, sf_dir):
     return _scored_test(spark, sf_dir, md.gbt_regressor, label="total_los_days")
 
 
+def _boosted_test(spark, sf_dir, trainer, label="is_readmission"):
+    data, feats = model_data(spark, sf_dir)
+    model = trainer(data.filter(F.col("split") == "train"), feats, label)
+    scored = model.score(data.filter(F.col("split") == "test"), "score")
+    return scored.select("hadm_id", F.col(label).alias("label"), r6("score").alias("score"))
+
+
+@query("model_leafwise")
+def q_model_leafwise(spark, sf_dir):
+    """M3: best-first boosting on binned histograms."""
+    from carepath.operators import hist_boost as hb
+    return _boosted_test(spark, sf_dir, hb.leafwise_classifier)
+
+
+@query("model_leafwise_regressor")
+def q_model_leafwise_regressor(spark, sf_dir):
+    """M9: the same on squared loss."""
+    from carepath.operators import hist_boost as hb
+    return _boosted_test(spark, sf_dir, hb.leafwise_regressor, "total_los_days")
+
+
+@query("model_newton_boost")
+def q_model_newton_boost(spark, sf_dir):
+    """M4: second-order trees with row and column sampling."""
+    from carepath.operators import hist_boost as hb
+    return _boosted_test(spark, sf_dir, hb.newton_classifier)
+
+
 def _one_feature(spark, sf_dir, trainer, **params):
     data = fx.stay_predictions(spark, sf_dir).select("hadm_id", "actual", F.col("predicted").alias("x"))
     return trainer(data, ["x"], "actual", **params), data
@@ -621,7 +649,7 @@ def q_resource_leaderboard(spark, sf_dir):
     from carepath.plans import resource_plan as rs
     data, feats = model_data(spark, sf_dir)
     data, feats = rs.with_readmission_probability(data, feats)
-    out = rs.run(data, feats, "total_los_days", quantiles=None)
+    out = rs.run(data, feats, "total_los_days", quantiles=None, summarize=False)
     return rounded(out.leaderboard)
 
 
