@@ -427,4 +427,29 @@ st AS (SELECT a.subject_id, a.hadm_id, a.admittime, {", ".join(f"CAST(coalesce(p
        FROM coh_adm a LEFT JOIN ps ON a.hadm_id = ps.hadm_id)
 SELECT subject_id, hadm_id, {", ".join(f"max({k}) OVER (PARTITION BY subject_id ORDER BY admittime RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {k}" for k in _CONDS)}
 FROM st""")
+# ---------------------------------------------------------------- searches on one feature, by fold
+
+_FOLDS = SP + f"""
+, fo AS (SELECT CAST({hash_key('hadm_id')} % 5 AS INTEGER) AS fold, actual, predicted AS x FROM spd),
+ks AS (SELECT DISTINCT fold AS k FROM fo),
+tr AS (SELECT k, regr_sxy(actual, x) AS sxy, regr_sxx(actual, x) AS sxx, avg(actual) AS my, avg(x) AS mx, count(*) AS n
+       FROM ks JOIN fo ON fold <> k GROUP BY k)
+"""
+_MSE = """
+mse AS (SELECT draw, k, avg((actual - (my + w * (x - mx))) ^ 2) AS mse FROM fit JOIN fo ON fold = k GROUP BY draw, k)
+SELECT CAST(draw AS INTEGER) AS draw, round(avg(mse), 4) AS mean_mse FROM mse GROUP BY draw"""
+sql("tune_ridge_one_feature", _FOLDS + """
+, al AS (SELECT e + 3 AS draw, pow(10.0, e) AS a FROM range(-3, 4) r(e)),
+fit AS (SELECT draw, k, my, mx, sxy / (sxx + a) AS w FROM tr, al),
+""" + _MSE)
+sql("tune_elastic_net_one_feature", _FOLDS + """
+, al AS (SELECT (e + 3) * 9 + i - 1 AS draw, pow(10.0, e) AS a, i / 10.0 AS r FROM range(-3, 4) t(e), range(1, 10) u(i)),
+fit AS (SELECT draw, k, my, mx, sign(sxy / n) * greatest(abs(sxy / n) - a * r, 0) / (sxx / n + a * (1 - r)) AS w FROM tr, al),
+""" + _MSE)
+sql("cv_r2_linear", _FOLDS + """
+, fit AS (SELECT 'Linear Regression' AS model, k, my, mx, sxy / sxx AS w FROM tr
+          UNION ALL SELECT 'Ridge Regression', k, my, mx, sxy / (sxx + 1.0) FROM tr
+          UNION ALL SELECT 'Elastic Net', k, my, mx, sign(sxy / n) * greatest(abs(sxy / n) - 0.5, 0) / (sxx / n + 0.5) FROM tr),
+r AS (SELECT model, k, 1 - sum((actual - (my + w * (x - mx))) ^ 2) / (var_pop(actual) * count(*)) AS r2 FROM fit JOIN fo ON fold = k GROUP BY model, k)
+SELECT model, round(avg(r2), 5) AS mean_r2, round(stddev_pop(r2), 5) AS std_r2 FROM r GROUP BY model""")
 ORACLE["final_dataset_shared_scan"] = ORACLE["final_dataset"]

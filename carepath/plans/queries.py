@@ -593,6 +593,41 @@ def q_tune_ridge(spark, sf_dir):
     return rounded(results)
 
 
+@query("tune_elastic_net")
+def q_tune_elastic_net(spark, sf_dir):
+    """H2: 20 seeded draws of penalty and l1 ratio, 5 hash folds, from one scan for moments."""
+    data, feats = model_data(spark, sf_dir)
+    _, results = tn.random_search(data.filter(F.col("split") == "train"), feats, "total_los_days",
+                                  "regressor", "elastic_net")
+    return rounded(results)
+
+
+def _one_feature_search(spark, sf_dir, model):
+    data = fx.stay_predictions(spark, sf_dir).select("hadm_id", "actual", F.col("predicted").alias("x"))
+    _, results = tn.linear_search(data, ["x"], "actual", model, n_iter=63)
+    return results.select("draw", F.round("mean_mse", 4).alias("mean_mse"))
+
+
+@query("tune_ridge_one_feature")
+def q_tune_ridge_one_feature(spark, sf_dir):
+    """H2 on one feature, where SQL has the closed form: seven penalties."""
+    return _one_feature_search(spark, sf_dir, "ridge")
+
+
+@query("tune_elastic_net_one_feature")
+def q_tune_elastic_net_one_feature(spark, sf_dir):
+    """H2 on one feature: the whole grid of 63 penalties and l1 ratios."""
+    return _one_feature_search(spark, sf_dir, "elastic_net")
+
+
+@query("cv_r2_linear")
+def q_cv_r2_linear(spark, sf_dir):
+    """H3 of the linear models on one feature, from one scan for moments."""
+    data = fx.stay_predictions(spark, sf_dir).select("hadm_id", "actual", F.col("predicted").alias("x"))
+    out = tn.cv_r2(data, ["x"], "actual", models={})
+    return out.select("model", F.round("mean_r2", 5).alias("mean_r2"), F.round("std_r2", 5).alias("std_r2"))
+
+
 @query("cv_r2")
 def q_cv_r2(spark, sf_dir):
     """H3: five regressors, 5 hash folds, mean and std of R²."""
