@@ -652,6 +652,16 @@ def q_explain_tree(spark, sf_dir):
     return rounded(xp.monte_carlo_shapley(fitted, test, "hadm_id", train))
 
 
+@query("explain_tree_exact")
+def q_explain_tree_exact(spark, sf_dir):
+    """Exact interventional attributions of the random forest for every test row."""
+    from carepath.operators import explain as xp
+    data, feats = model_data(spark, sf_dir)
+    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
+    fitted = md.random_forest_classifier(train, feats, "is_readmission")
+    return rounded(xp.exact_tree_attribution(fitted, test, "hadm_id", train))
+
+
 @query("regression_leaderboard")
 def q_regression_leaderboard(spark, sf_dir):
     """OLS, ridge and elastic net on one feature, scored on the
