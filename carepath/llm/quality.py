@@ -7,20 +7,20 @@ Bayes log-count ratios.
    same word stood and whether the same pair of words stood before; a line's
    is whether it was seen before.  So repetition counts in words never met.
 2. How many labelled documents of each class hold an indicator is counted in
-   Spark over every labelled row outside the held-out fold; the log of the ratio of
-   both classes' shares scales the indicator.  The table has ``BUCKETS`` rows
-   at any size of the corpus.
+   Spark over labelled rows outside the held-out fold, at most ``MAX_COUNTED`` of each
+   class; the log of the ratio of both classes' shares scales the indicator.  The
+   ids of these rows are broadcast (bounded by that), so texts aren't shuffled.
 3. A hinge-loss model on the scaled indicators (each document at length 1) is
    fitted by dual coordinate descent on a sample of at most ``MAX_GOOD`` +
-   ``MAX_BAD`` rows of at most ``MAX_FIT_CHARS`` characters, those with the
-   least id hashes, on the driver.  Both classes weigh the same.
+   ``MAX_BAD`` of these of at most ``MAX_FIT_CHARS`` characters, on the driver.
+   Both classes weigh the same.  All samples are the rows with the least id hashes.
 4. Margins become scores by a logistic curve, fitted to margins that two
    models, each trained on half of the sample, give the other half.
 5. Every whole text is scored in tasks that hold two numbers per bucket (2 MB).
 
 Defined cases: null and empty texts have no indicators and get the score of the
 bare bias; without labelled rows of both classes every score is the share of label 1 among the
-labelled rows outside the held-out fold (0.5 without any); of repeated labels the larger counts; rows that
+rows learnt from (0.5 without any); of repeated labels the larger counts; rows that
 share an id all count and are all scored, one of them (by text hash) may enter the sample; null
 ids are scored and not held out; other columns play no part.
 """
@@ -34,11 +34,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import encoded
+from .common import cut, encoded
 
 BITS = 18
 BUCKETS, BYTE_GRAMS, SHAPE_GRAMS, LINE_GRAMS = 1 << BITS, 3, 3, 3
-MAX_GOOD, MAX_BAD, MAX_FIT_CHARS = 3000, 3000, 20_000
+MAX_COUNTED, MAX_GOOD, MAX_BAD, MAX_FIT_CHARS = 50_000, 3000, 3000, 20_000
 COST, EPOCHS, SLICE, SEED, THRESHOLD = 1.0, 20, 1 << 20, 97, 0.3
 _MUL = np.uint32(0x9E3779B1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -223,13 +223,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where("_y is not null and _id is not null")
          .groupBy("_id").agg((F.max("_y") > 0).cast("int").alias("_y")).where(~held_out("_id")))
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).where(~held_out("_id"))
-    ratio, n = log_count_ratios(texts.join(y, "_id").select("_text", "_y"))
+    short = F.length("_text").between(1, MAX_FIT_CHARS)
+    ids = cut(texts.groupBy("_id").agg(F.max(short).alias("_short")).join(y, "_id"), "labelled")
+
+    def least(rows, good, bad):
+        """The ids of each class with the least hashes, at most so many: a side to broadcast."""
+        some = [rows.where(F.col("_y") == c).orderBy(F.xxhash64(F.lit(SEED), "_id"), "_id").limit(n) for c, n in ((1, good), (0, bad))]
+        return F.broadcast(some[0].union(some[1]).select("_id", "_y"))
+
+    ratio, n = log_count_ratios(texts.join(least(ids, MAX_COUNTED, MAX_COUNTED), "_id").select("_text", "_y"))
     if not n.all():
         return float(n[1] / n.sum()) if n.sum() else 0.5
-    short = texts.where(F.length("_text").between(1, MAX_FIT_CHARS))
-    ids = y.join(short.select("_id").distinct(), "_id", "left_semi")
-    some = [ids.where(F.col("_y") == c).orderBy(F.xxhash64(F.lit(SEED), "_id"), "_id").limit(most) for c, most in ((1, MAX_GOOD), (0, MAX_BAD))]
-    sample = (short.join(F.broadcast(some[0].union(some[1])), "_id")             # at most MAX_GOOD + MAX_BAD ids
+    sample = (texts.where(short).join(least(ids.where("_short"), MAX_GOOD, MAX_BAD), "_id")
               .groupBy("_id").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"), F.first("_y").alias("_y")))
     chosen = sorted(sample.collect(), key=lambda r: r["_id"])
     sign = np.array([1.0 if r["_y"] else -1.0 for r in chosen])
