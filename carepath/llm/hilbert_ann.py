@@ -8,9 +8,11 @@
    and numbered: a row's place on a curve is its global rank.
 3. The window is measured, not guessed: for a bounded sample of
    ``SAMPLE_QUERIES`` queries the exact neighbours are found by one pass over
-   all rows, and the half-width is the ``RECALL`` quantile of the least
-   distance in rank, over the curves, between a query and its neighbours.
-   So data without structure get wide windows and clustered data narrow ones.
+   all rows, and for 1, 2 ... curves the half-width is the ``RECALL`` quantile of the least
+   distance in rank, over these curves, between a query and its neighbours.
+   The number of curves is taken that makes curves times window least, so
+   data without structure come down to one curve read whole, which is exact
+   search, and never cost more than that; clustered data get narrow windows on several.
 4. Places are cut into blocks of ``BLOCK`` rows.  A query goes to every block
    its window touches, on every curve; a task multiplies one block by a bounded
    number of queries, in double precision, and returns each query's best.
@@ -19,10 +21,11 @@
 Scores are summed coordinate by coordinate on the original vectors, so they
 don't depend on the block.  Every vector is indexed.
 
-Defined cases: null, empty, zero or non-finite vectors, vectors whose length
-isn't the commonest, and null ids take no part; rows that share an id count as
-one; ties go to the smaller id; fewer candidates than ``k`` are all returned;
-other columns play no part.
+Defined cases: null, empty, zero or non-finite vectors and null ids take no part.
+Vectors of different length never meet: each length is searched by itself.
+Equal rows count once; other rows that share an id are queries and candidates
+of their own, only a query's own row is left out.  Ties go to the smaller id; fewer
+candidates than ``k`` are all returned; other columns play no part.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import cut, global_rank
 from .rp_forest import unit_vectors
 
-CURVES, DIMS, GRID_BITS, BLOCK, QUERIES_PER_TASK, SAMPLE_QUERIES, RECALL, SEED = 4, 6, 10, 8192, 4096, 128, 0.97, 89
+CURVES, DIMS, GRID_BITS, BLOCK, QUERIES_PER_TASK, SAMPLE_QUERIES, RECALL, SEED = 4, 6, 10, 2048, 4096, 128, 0.97, 89
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -91,14 +94,14 @@ def _keys(dim: int, norm: float, curves: int):
     return F.pandas_udf(keys, "array<long>")
 
 
-def _best(queries, q_ids, items, ids, k):
-    """(query row, item row, score) of the k best items of each query, its own id left out."""
+def _best(queries, q_keys, items, keys, ids, k):
+    """(query row, item row, score) of the k best items of each query, its own row left out."""
     take_q, take_i = [], []
     for s in range(0, len(queries), 256):
         score = queries[s:s + 256] @ items.T
-        score[q_ids[s:s + 256][:, None] == ids[None, :]] = -np.inf
-        n = min(k, len(ids))
-        least = np.partition(score, len(ids) - n, axis=1)[:, len(ids) - n]
+        score[q_keys[s:s + 256][:, None] == keys[None, :]] = -np.inf
+        n = min(k, len(keys))
+        least = np.partition(score, len(keys) - n, axis=1)[:, len(keys) - n]
         # Within rounding of the last place all stay until scored exactly.
         slack = 1e-12 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
         q, i = np.nonzero((score >= (least - slack)[:, None]) & np.isfinite(score))
@@ -108,7 +111,7 @@ def _best(queries, q_ids, items, ids, k):
     exact = np.zeros(len(q))
     for d in range(items.shape[1]):
         exact += queries[q, d] * items[i, d]
-    order = np.lexsort((ids[i], -exact, q))
+    order = np.lexsort((keys[i], ids[i], -exact, q))
     q, i, exact = q[order], i[order], exact[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)
     ok = place < k
@@ -116,74 +119,95 @@ def _best(queries, q_ids, items, ids, k):
 
 
 def _sample_neighbours(vectors: DataFrame, sample, k: int) -> DataFrame:
-    """(query_id, vec_id): exact neighbours of a bounded sample of queries, by one pass over all rows."""
-    q_ids = np.array([r["id"] for r in sample], np.int64)
+    """(asked, key): exact neighbours of a bounded sample of queries, by one pass over all rows."""
+    q_keys = np.array([r["key"] for r in sample], np.int64)
     queries = np.array([r["v"] for r in sample], float)
 
     def task(batches):
         held = None
         for pdf in batches:
             if len(pdf):
-                items, ids = np.stack(pdf["v"].to_list()).astype(float), pdf["id"].to_numpy()
-                q, i, s = _best(queries, q_ids, items, ids, k)
-                found = pd.DataFrame({"query_id": q_ids[q], "vec_id": ids[i], "score": s})
-                held = found if held is None else (pd.concat([held, found]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-                                                   .groupby("query_id").head(k))
+                items, keys, ids = np.stack(pdf["v"].to_list()).astype(float), pdf["key"].to_numpy(), pdf["id"].to_numpy()
+                q, i, s = _best(queries, q_keys, items, keys, ids, k)
+                found = pd.DataFrame({"asked": q_keys[q], "key": keys[i], "id": ids[i], "score": s})
+                held = found if held is None else (pd.concat([held, found]).sort_values(["asked", "score", "id", "key"], ascending=[True, False, True, True])
+                                                   .groupby("asked").head(k))
         if held is not None:
             yield held
 
-    found = vectors.select("id", "v").mapInPandas(task, "query_id long, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "vec_id")
+    found = vectors.select("key", "id", "v").mapInPandas(task, "asked long, key long, id long, score double")
+    w = Window.partitionBy("asked").orderBy(F.desc("score"), "id", "key")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("asked", "key")
 
 
-def hilbert_ann(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20,
-                curves: int = CURVES, block: int = BLOCK, recall: float = RECALL) -> DataFrame:
-    """(query_id, rank, ``id_col``, score): the ``k`` nearest found of every
-    row whose id is divisible by ``every``, among all other rows."""
-    spark = table.sparkSession
-    vectors = unit_vectors(table, id_col, vector_col)
-    usual = vectors.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
-    if not usual:
-        return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
-    dim = usual[0]["dim"]
-    vectors = cut(vectors.where(F.size("v") == dim), "vectors")
+def cheapest_curves(widths: list[int], block: int, places: int) -> int:
+    """Number of curves, given the half-width that 1, 2 ... of them need, that reads the fewest places per query."""
+    return 1 + min(range(len(widths)), key=lambda c: (c + 1) * min(2 * widths[c] + block, places))
+
+
+def _search(vectors: DataFrame, dim: int, every: int, k: int, curves: int, block: int, recall: float) -> DataFrame | None:
+    """(asked, key, score) lists of the vectors (key, id, v, norm) of one length, several per pair where curves share it."""
     norm = vectors.agg(F.max("norm")).first()[0]
     is_query = F.col("id") % every == 0
     n_rows, n_queries = vectors.agg(F.count("*"), F.count_if(is_query)).first()
-    placed = vectors.select("id", "v", F.explode(F.when(is_query, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("query"))
-    placed = placed.select("id", "query", F.posexplode(_keys(dim, norm, curves)("v", "query")).alias("curve", "key"))
-    ranks = global_rank(placed, ["curve", "key", "id", "query"])
-    ranks = ranks.select("id", "query", "curve", (F.col("_rank") - F.col("curve") * F.lit(n_rows + n_queries)).alias("at"))
-
-    sample = vectors.where(is_query).orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(SAMPLE_QUERIES).select("id", "v").collect()
-    if not sample:
-        return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
+    if not n_queries:
+        return None
+    placed = vectors.select("key", "v", F.explode(F.when(is_query, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("query"))
+    placed = placed.select("key", "query", F.posexplode(_keys(dim, norm, curves)("v", "query")).alias("curve", "place"))
+    ranks = global_rank(placed, ["curve", "place", "key", "query"])
+    places = n_rows + n_queries
+    ranks = ranks.select("key", "query", "curve", (F.col("_rank") - F.col("curve") * F.lit(places)).alias("at"))
+
+    sample = vectors.where(is_query).orderBy(F.xxhash64(F.lit(SEED), "id"), "id", "key").limit(SAMPLE_QUERIES).select("key", "v").collect()
     near = _sample_neighbours(vectors, sample, k)
-    away = (near.join(ranks.where("query").select(F.col("id").alias("query_id"), "curve", F.col("at").alias("here")), "query_id")
-            .join(ranks.where("not query").select(F.col("id").alias("vec_id"), "curve", "at"), ["vec_id", "curve"])
-            .groupBy("query_id", "vec_id").agg(F.min(F.abs(F.col("at") - F.col("here"))).alias("away")))
-    width = int(np.ceil(away.agg(F.percentile("away", recall)).first()[0] or 0))
+    away = (near.join(ranks.where("query").select(F.col("key").alias("asked"), "curve", F.col("at").alias("here")), "asked")
+            .join(ranks.where("not query").select("key", "curve", "at"), ["key", "curve"]).withColumn("away", F.abs(F.col("at") - F.col("here")))
+            .groupBy("asked", "key").agg(*[F.min(F.when(F.col("curve") <= c, F.col("away"))).alias(f"w{c}") for c in range(curves)]))
+    row = away.agg(*[F.percentile(f"w{c}", recall).alias(f"w{c}") for c in range(curves)]).first()
+    widths = [int(np.ceil(row[f"w{c}"] or 0)) for c in range(curves)]
+    used = cheapest_curves(widths, block, places)
+    width = widths[used - 1]
+    if used * (2 * width + block) >= places:                 # one curve read whole costs no more
+        used, width = 1, places
+    ranks = ranks.where(F.col("curve") < used)
 
     # Queries that one block can meet, dealt over as many tasks as needed.
-    salts = max(1, -(-(2 * width + block) * n_queries // (n_rows * QUERIES_PER_TASK)))
-    wide = vectors.select("id", "v")
+    salts = max(1, -(-min(2 * width + block, places) * n_queries // (n_rows * QUERIES_PER_TASK)))
+    wide = vectors.select("key", "id", "v")
     asked = (ranks.where("query").withColumn("block", F.explode(F.sequence(F.floor(F.greatest(F.col("at") - width, F.lit(0)) / block),
-                                                                           F.floor(F.least(F.col("at") + width, F.lit(n_rows + n_queries - 1)) / block))))
-             .withColumn("salt", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(salts)).cast("int")))
+                                                                           F.floor(F.least(F.col("at") + width, F.lit(places - 1)) / block))))
+             .withColumn("salt", F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(salts)).cast("int")))
     offered = (ranks.where("not query").withColumn("block", F.floor(F.col("at") / block))
                .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    dealt = asked.select("curve", "block", "salt", "id", "query").unionByName(offered.select("curve", "block", "salt", "id", "query")).join(wide, "id")
+    dealt = asked.select("curve", "block", "salt", "key", "query").unionByName(offered.select("curve", "block", "salt", "key", "query")).join(wide, "key")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         q = pdf["query"].to_numpy(bool)
         if q.all() or not q.any():
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=float).astype({"query_id": np.int64, "vec_id": np.int64})
-        x, ids = np.stack(pdf["v"].to_list()).astype(float), pdf["id"].to_numpy()
-        a, b, s = _best(x[q], ids[q], x[~q], ids[~q], k)
-        return pd.DataFrame({"query_id": ids[q][a], "vec_id": ids[~q][b], "score": s})
-
-    met = dealt.groupBy("curve", "block", "salt").applyInPandas(meet, "query_id long, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (met.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(id_col), "score"))
+            return pd.DataFrame({"asked": [], "key": [], "score": []}, dtype=float).astype({"asked": np.int64, "key": np.int64})
+        x, keys, ids = np.stack(pdf["v"].to_list()).astype(float), pdf["key"].to_numpy(), pdf["id"].to_numpy()
+        a, b, s = _best(x[q], keys[q], x[~q], keys[~q], ids[~q], k)
+        return pd.DataFrame({"asked": keys[q][a], "key": keys[~q][b], "score": s})
+
+    return dealt.groupBy("curve", "block", "salt").applyInPandas(meet, "asked long, key long, score double")
+
+
+def hilbert_ann(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20,
+                curves: int = CURVES, block: int = BLOCK, recall: float = RECALL) -> DataFrame:
+    """(query_id, rank, ``id_col``, score): the ``k`` nearest found of every
+    row whose id is divisible by ``every``, among all other rows."""
+    spark = table.sparkSession
+    vectors = cut(unit_vectors(table, id_col, vector_col).withColumn("key", F.monotonically_increasing_id()), "vectors")
+    lengths = vectors.groupBy(F.size("v").alias("dim")).agg(F.count_if(F.col("id") % every == 0).alias("n")).where("n > 0").orderBy("dim").collect()
+    parts = [_search(vectors.where(F.size("v") == r["dim"]), r["dim"], every, k, curves, block, recall) for r in lengths]
+    if not parts:
+        return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
+    met = parts[0]
+    for part in parts[1:]:
+        met = met.unionByName(part)
+    ids = vectors.select("key", "id")
+    met = met.dropDuplicates(["asked", "key"]).join(ids, "key")
+    w = Window.partitionBy("asked").orderBy(F.desc("score"), "id", "key")
+    best = met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (best.join(ids.select(F.col("key").alias("asked"), F.col("id").alias("query_id")), "asked")
+            .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score"))

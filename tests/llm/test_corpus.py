@@ -437,3 +437,22 @@ def test_ann_small_and_empty(spark):
     assert sorted(map(tuple, hilbert_ann.hilbert_ann(df).collect())) == [(20, 1, 22, 3.0), (20, 2, 21, 0.5)]
     assert hilbert_ann.hilbert_ann(df.limit(0)).collect() == []
     assert hilbert_ann.hilbert_ann(df.where("vec_id <> 20")).collect() == []
+
+
+def test_hilbert_ann_searches_every_length_and_every_row_of_an_id(spark):
+    rng = np.random.default_rng(21)
+    rows = [(int(i), [float(x) for x in rng.integers(-3, 4, dim)]) for dim in (2, 5) for i in rng.integers(0, 60, 80)]
+    rows += [rows[0], (20, [1.0, 2.0]), (20, [1.0, 2.0, 2.0, 2.0, 2.0]), (40, [9.0]), (41, None), (None, [1.0, 1.0])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, key string")
+    units = sorted({(i, tuple(v)) for i, v in rows if i is not None and v and any(v)})
+    want = []
+    for i, q in units:
+        if i % 20 == 0:
+            near = sorted((-sum(x * y for x, y in zip(q, v)), j) for j, v in units if len(v) == len(q) and (j, v) != (i, q))[:20]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(near)]
+    assert sorted(map(tuple, hilbert_ann.hilbert_ann(df).collect())) == sorted(want)
+
+
+def test_hilbert_ann_never_reads_more_than_exact_search():
+    assert hilbert_ann.cheapest_curves([5000, 4900, 4800, 4700], 1024, 10_000) == 1
+    assert hilbert_ann.cheapest_curves([4000, 300, 250, 240], 64, 10_000) == 2

@@ -152,3 +152,27 @@ def test_rp_forest_null_ids_repeats_empty(spark):
     got = sorted((tuple(r) for r in rp_forest_dedup(df).collect()), key=str)
     assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)]
     assert rp_forest_dedup(df.limit(0)).collect() == []
+
+
+def test_rp_forest_compares_every_length_and_every_row_of_an_id(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for dim in (3, 24, 40):
+        centre = rng.standard_normal(dim)
+        rows += [(centre + rng.standard_normal(dim) * s).tolist() for s in rng.choice([0.05, 0.3, 2.0], 60)]
+    rows += [[1.0, 2.0], [2.0, 4.0]]
+    ids = [i % 70 for i in range(len(rows))]                     # ids shared by different vectors, of different lengths too
+    data = list(zip(ids, rows)) + [(ids[3], rows[3]), (500, rows[3]), (501, rows[3])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in data], "vec_id long, embedding array<double>, key int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in rp_forest_dedup(df, leaf=16, block=10).collect())
+    units = sorted({(i, tuple(v)) for i, v in data})
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in units]
+    links = [(a, b) for a in range(len(units)) for b in range(a) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95]
+    comp = brute.components(range(len(units)), links)
+    least = {}
+    for a in range(len(units)):
+        least[comp[a]] = min(least.get(comp[a], 10 ** 9), units[a][0])
+    n = [sum(a in pair for pair in links) for a in range(len(units))]
+    want = {u: (n[a], least[comp[a]], units[a][0] == least[comp[a]]) for a, u in enumerate(units)}
+    assert got == sorted((i, *want[i, tuple(v)]) for i, v in data)
+    assert sum(w[0] for w in want.values()) > 500
