@@ -27,10 +27,12 @@ def _with_range_id(df: DataFrame, col: str, cuts: list[float], out: str = "_rg")
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], n_ranges: int | None = None,
-                 descending: bool = False, prefix: str = "cum_") -> DataFrame:
+                 descending: bool = False, prefix: str = "cum_", by: str | None = None) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
     order, and the grand totals ``total_<c>`` (known from the range sums).
-    ``order_col`` must be unique per row (aggregate first) and numeric."""
+    ``order_col`` must be unique per row (aggregate first) and numeric.  With
+    ``by`` every value of that column (a few: models, say) has sums of its own;
+    the ranges are shared, so all of them take one pass."""
     spark = df.sparkSession
     if n_ranges is None:
         n_ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
@@ -42,21 +44,34 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], n_ranges: i
     probs = [i / n_ranges for i in range(1, n_ranges)]
     cuts = sorted(set(x for x in df.approxQuantile("_ord", probs, 0.001) if x is not None)) if probs else []
     staged = _with_range_id(df, "_ord", cuts)
-    totals = staged.groupBy("_rg").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
-    by_range = {r["_rg"]: r for r in totals}
-    offsets: dict[str, dict[int, float]] = {c: {} for c in sum_cols}
-    acc = {c: 0 for c in sum_cols}
-    for rg in range(len(cuts) + 2):   # + the NaN bucket kept by the Bucketizer
-        for c in sum_cols:
-            offsets[c][rg] = acc[c]
-            row = by_range.get(rg)
-            if row is not None and row[c] is not None:
-                acc[c] += row[c]
-    w = (Window.partitionBy("_rg").orderBy("_ord")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    group = [by, "_rg"] if by else ["_rg"]
+    totals = staged.groupBy(*group).agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
+    by_range = {(r[by] if by else None, r["_rg"]): r for r in totals}
+    groups = sorted({g for g, _ in by_range}, key=str)
+    offsets: dict[str, dict[tuple, float]] = {c: {} for c in sum_cols}
+    sums = {}
+    for g in groups or [None]:
+        acc = {c: 0 for c in sum_cols}
+        for rg in range(len(cuts) + 2):   # + the NaN bucket kept by the Bucketizer
+            for c in sum_cols:
+                offsets[c][g, rg] = acc[c]
+                row = by_range.get((g, rg))
+                if row is not None and row[c] is not None:
+                    acc[c] += row[c]
+        sums[g] = acc
+    w = Window.partitionBy(*group).orderBy("_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def numbers(values: dict):
+        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])
+
     out = staged
     for c in sum_cols:
-        off = F.create_map(*[x for rg, v in offsets[c].items() for x in (F.lit(rg), F.lit(v))])
-        out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + F.element_at(off, F.col("_rg")),
-                               f"total_{c}": F.lit(acc[c])})
+        per_group = {g: numbers({rg: v for (h, rg), v in offsets[c].items() if h == g}) for g in sums}
+        if by and groups:
+            maps = F.create_map(*[x for g, m in per_group.items() for x in (F.lit(g), m)])
+            off = F.element_at(F.element_at(maps, F.col(by)), F.col("_rg"))
+            whole = F.element_at(numbers({g: s[c] for g, s in sums.items()}), F.col(by))
+        else:
+            off, whole = F.element_at(next(iter(per_group.values())), F.col("_rg")), F.lit(next(iter(sums.values()))[c])
+        out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + off, f"total_{c}": whole})
     return out.drop("_ord", "_rg")

@@ -159,6 +159,55 @@ def _regression_columns(tag: str = "") -> list:
             F.col(f"n_zero_actuals{tag}").cast("long").alias("n_zero_actuals")]
 
 
+def scores_by_model(df: DataFrame, scores: dict[str, str], label: str = "label") -> DataFrame:
+    """Long form (model, label, score) of several score columns of the same rows (model name -> column)."""
+    rows = [F.struct(F.lit(name).alias("model"), F.col(c).cast("double").alias("score")) for name, c in scores.items()]
+    return df.select(F.col(label).cast("int").alias("label"), F.inline(F.array(*rows)))
+
+
+def score_table_by_model(df: DataFrame) -> DataFrame:
+    """``score_table`` of every model of a long table (model, label, score), in one pass."""
+    g = df.groupBy("model", "score").agg(F.count_if(F.col("label") == 1).cast("long").alias("pos"),
+                                         F.count_if(F.col("label") == 0).cast("long").alias("neg"))
+    return running_sums(g, "score", ["pos", "neg"], by="model")
+
+
+def roc_points_by_model(df: DataFrame) -> DataFrame:
+    """E5 of every model of a long table (model, label, score)."""
+    t = _with_totals(score_table_by_model(df))
+    return t.select("model", F.col("score").alias("threshold"), F.try_divide(F.col("fp"), F.col("N")).alias("fpr"),
+                    F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))
+
+
+def pr_points_by_model(df: DataFrame) -> DataFrame:
+    """E6 of every model of a long table (model, label, score)."""
+    t = _with_totals(score_table_by_model(df))
+    return t.select("model", F.col("score").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                    F.try_divide(F.col("tp"), F.col("P")).alias("recall"), F.try_divide(F.col("P"), F.col("P") + F.col("N")).alias("baseline"))
+
+
+def curve_areas_by_model(df: DataFrame) -> DataFrame:
+    """E3 and E4 of every model of a long table: (model, roc_auc, average_precision)."""
+    t = _with_totals(score_table_by_model(df))
+    rank_sum = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5))
+    P, N = F.max("P"), F.max("N")
+    return t.groupBy("model").agg(
+        F.when((P > 0) & (N > 0), rank_sum / (P * N)).alias("roc_auc"),
+        F.sum(F.try_divide(F.col("pos"), F.col("P")) * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
+
+
+def classification_metrics_by_model(df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """E1, E3 and E4 of every model of a long table (model, label, score), a row each."""
+    y, p = F.col("label"), threshold_class("score", threshold)
+    c = df.groupBy("model").agg(
+        F.count(F.lit(1)).cast("long").alias("n"),
+        *[F.count_if((y == a) & (p == b)).cast("long").alias(name) for name, a, b in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))])
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    c = c.select("model", "n", "tp", "fp", "fn", "tn", _safe_div(tp + tn, F.col("n")).alias("accuracy"), _safe_div(tp, tp + fp).alias("precision"),
+                 _safe_div(tp, tp + fn).alias("recall"), _safe_div(2 * tp, 2 * tp + fp + fn).alias("f1_score"))
+    return c.join(curve_areas_by_model(df), "model", "left")
+
+
 def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """RMSE, MAE, R² and MAPE ×100 with zero actuals replaced by 1e-10 (E7,
     X14), plus how many actuals were zero.  One aggregate."""

@@ -79,6 +79,44 @@ def comorbidity_flags(diagnoses: DataFrame, subjects: DataFrame,
             .select("subject_id", *[F.coalesce(F.col(k), F.lit(0)).cast("int").alias(k) for k in cmap]))
 
 
+#: Largest dictionary (in entries) that is sent to every task; a larger one is joined by shuffle.
+MAX_BROADCAST_PREFIXES = 200_000
+
+
+def prefix_dictionary(spark, cmap: dict[str, dict[int, list[str]]]) -> tuple[DataFrame, list[int], int]:
+    """The map as a table (icd_version, prefix, condition), its distinct prefix lengths and its size."""
+    rows = sorted({(int(v), p, name) for name, versions in cmap.items() for v, prefixes in versions.items() for p in prefixes})
+    table = spark.createDataFrame(rows, "icd_version int, prefix string, condition string")
+    return table, sorted({len(p) for _, p, _ in rows}), len(rows)
+
+
+def dictionary_matches(diagnoses: DataFrame, cmap: dict[str, dict[int, list[str]]]) -> DataFrame:
+    """(subject_id, condition) of every diagnosis that begins with a prefix of the map.
+
+    For maps of thousands of prefixes, where an OR of prefix tests outgrows
+    generated code: a code is cut to each distinct prefix length, and each
+    cut is one equality join with the dictionary."""
+    spark = diagnoses.sparkSession
+    table, lengths, n = prefix_dictionary(spark, cmap)
+    dx = diagnoses.select("subject_id", F.col("icd_version").cast("int").alias("icd_version"), "icd_code")
+    cuts = F.array(*[F.lit(x) for x in lengths]) if lengths else F.array().cast("array<int>")
+    # A shorter code has the same cut at every greater length; only lengths it reaches can match.
+    keys = (dx.withColumn("_n", F.explode(F.filter(cuts, lambda x: x <= F.length("icd_code"))))
+            .select("subject_id", "icd_version", F.substring("icd_code", F.lit(1), F.col("_n")).alias("prefix")))
+    table = F.broadcast(table) if n <= MAX_BROADCAST_PREFIXES else table
+    return keys.join(table, ["icd_version", "prefix"]).select("subject_id", "condition")
+
+
+def comorbidity_flags_by_dictionary(diagnoses: DataFrame, subjects: DataFrame,
+                                    cmap: dict[str, dict[int, list[str]]] | None = None) -> DataFrame:
+    """The rows of ``comorbidity_flags`` (A4, X1) through the prefix dictionary."""
+    cmap = cmap or COMORBIDITY_MAP
+    found = dictionary_matches(semi_join(diagnoses.select("subject_id", "icd_version", "icd_code"), subjects, "subject_id"), cmap)
+    flags = found.groupBy("subject_id").agg(*[F.max((F.col("condition") == k).cast("int")).alias(k) for k in cmap])
+    return (subjects.select("subject_id").distinct().join(flags, "subject_id", "left")
+            .select("subject_id", *[F.coalesce(F.col(k), F.lit(0)).cast("int").alias(k) for k in cmap]))
+
+
 def any_condition(cmap: dict[str, dict[int, list[str]]] | None = None):
     """True when a diagnosis row matches any condition of ``cmap``."""
     cmap = cmap or COMORBIDITY_MAP

@@ -320,6 +320,27 @@ sql("pr_points", SD + """
 SELECT round(score, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / P, 6) AS recall,
        round(P / (P + N), 6) AS baseline FROM gt""")
 
+SDM = SD + """
+, lg AS (SELECT 'length' AS model, label, score FROM sd UNION ALL SELECT 'opposite', label, 1.0 - score FROM sd
+         UNION ALL SELECT 'ties', label, doc_id % 97 / 97.0 FROM sd),
+mg AS (SELECT model, score, count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM lg GROUP BY model, score),
+mc AS (SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg, sum(pos) OVER (PARTITION BY model) AS P, sum(neg) OVER (PARTITION BY model) AS N
+       FROM mg WINDOW w AS (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+mt AS (SELECT *, P - cum_pos + pos AS tp, N - cum_neg + neg AS fp FROM mc)
+"""
+sql("roc_points_by_model", SDM + "SELECT model, round(score, 6) AS threshold, round(fp / N, 6) AS fpr, round(tp / P, 6) AS tpr FROM mt")
+sql("pr_points_by_model", SDM + """
+SELECT model, round(score, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / P, 6) AS recall,
+       round(P / (P + N), 6) AS baseline FROM mt""")
+sql("classification_by_model", SDM + f"""
+, k AS (SELECT model, CAST(count(*) AS BIGINT) AS n, CAST(count_if(label = 1 AND score >= 0.5) AS BIGINT) AS tp,
+               CAST(count_if(label = 0 AND score >= 0.5) AS BIGINT) AS fp, CAST(count_if(label = 1 AND score < 0.5) AS BIGINT) AS fn,
+               CAST(count_if(label = 0 AND score < 0.5) AS BIGINT) AS tn FROM lg GROUP BY model),
+ar AS (SELECT model, sum(pos * (cum_neg - neg * 0.5)) / (max(P) * max(N)) AS auc, sum(pos / P * tp / (tp + fp)) AS ap FROM mt GROUP BY model)
+SELECT k.model, n, tp, fp, fn, tn, round({_dz('tp + tn', 'n')}, 6) AS accuracy, round({_dz('tp', 'tp + fp')}, 6) AS precision,
+       round({_dz('tp', 'tp + fn')}, 6) AS recall, round({_dz('2 * tp', '2 * tp + fp + fn')}, 6) AS f1_score,
+       round(auc, 6) AS roc_auc, round(ap, 6) AS average_precision FROM k JOIN ar USING (model)""")
+
 SP = f"""
 , spd AS (SELECT hadm_id, CASE WHEN {_LOS} < 0 THEN 0.0 ELSE {_LOS} END AS actual,
                  total_charge / 25000.0 AS predicted, total_charge / 25000.0 AS q50,
@@ -452,4 +473,5 @@ sql("cv_r2_linear", _FOLDS + """
           UNION ALL SELECT 'Elastic Net', k, my, mx, sign(sxy / n) * greatest(abs(sxy / n) - 0.5, 0) / (sxx / n + 0.5) FROM tr),
 r AS (SELECT model, k, 1 - sum((actual - (my + w * (x - mx))) ^ 2) / (var_pop(actual) * count(*)) AS r2 FROM fit JOIN fo ON fold = k GROUP BY model, k)
 SELECT model, round(avg(r2), 5) AS mean_r2, round(stddev_pop(r2), 5) AS std_r2 FROM r GROUP BY model""")
+ORACLE["comorbidity_flags_dictionary"] = ORACLE["comorbidity_flags"]
 ORACLE["final_dataset_shared_scan"] = ORACLE["final_dataset"]

@@ -135,6 +135,13 @@ def q_comorbidity_flags(spark, sf_dir):
     return etl_result(spark, sf_dir).comorbidities
 
 
+@query("comorbidity_flags_dictionary")
+def q_comorbidity_flags_dictionary(spark, sf_dir):
+    """A4 + X1 through the prefix dictionary (same rows as ``comorbidity_flags``)."""
+    return ft.comorbidity_flags_by_dictionary(fx.diagnoses(spark, sf_dir), coh.cohort_patient_ids(cohort_adm(spark, sf_dir)),
+                                              fx.FIXTURE_COMORBIDITY_MAP)
+
+
 @query("comorbidity_matches")
 def q_comorbidity_matches(spark, sf_dir):
     return ft.comorbidity_matches(fx.diagnoses(spark, sf_dir), etl_result(spark, sf_dir).extra["subjects"],
@@ -349,6 +356,24 @@ def q_pr_points(spark, sf_dir):
     return rounded(ev.pr_points(fx.scored_documents(spark, sf_dir)))
 
 
+@query("roc_points_by_model")
+def q_roc_points_by_model(spark, sf_dir):
+    """E5 of several classifiers from one scan of their scores."""
+    return rounded(ev.roc_points_by_model(fx.scored_documents_by_model(spark, sf_dir)))
+
+
+@query("pr_points_by_model")
+def q_pr_points_by_model(spark, sf_dir):
+    """E6 of several classifiers from one scan of their scores."""
+    return rounded(ev.pr_points_by_model(fx.scored_documents_by_model(spark, sf_dir)))
+
+
+@query("classification_by_model")
+def q_classification_by_model(spark, sf_dir):
+    """E1, E3, E4 of several classifiers from one scan of their scores."""
+    return rounded(ev.classification_metrics_by_model(fx.scored_documents_by_model(spark, sf_dir)))
+
+
 @query("eval_regression")
 def q_eval_regression(spark, sf_dir):
     return rounded(ev.regression_metrics(fx.stay_predictions(spark, sf_dir)))

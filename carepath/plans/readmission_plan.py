@@ -17,6 +17,7 @@ from carepath.operators import explain as xp
 from carepath.operators import models as md
 from carepath.operators import tune as tn
 from carepath.operators.clean import remove_leakage
+from carepath.session import checkpoint
 from carepath.sources.tables import save_model
 
 TARGET = "is_readmission"
@@ -33,15 +34,16 @@ class ReadmissionRun:
     extra: dict = field(default_factory=dict)
 
 
-def evaluate_classifier(fitted: md.Fitted, test: DataFrame, name: str, target: str = TARGET) -> DataFrame:
-    """E1, E3, E4 of one model as a one-row DataFrame."""
-    scored = fitted.score(test, "score").select(F.col(target).alias("label"), "score")
-    cls = ev.classification_metrics(scored)
-    auc = ev.roc_auc(scored).select("roc_auc")
-    ap = ev.average_precision(scored)
-    row = cls.first().asDict() | auc.first().asDict() | ap.first().asDict()
-    spark = test.sparkSession
-    return spark.createDataFrame([{"model_name": name, **row}])
+def evaluate_classifiers(fitted: dict[str, md.Fitted], test: DataFrame, target: str = TARGET) -> DataFrame:
+    """E1, E3, E4 of all models from one scoring of the test rows: their
+    scores are written once in long form (model, label, score), and every
+    metric of every model comes from it.  A row per model, collected."""
+    scored, cols = test, {name: f"_s_{name}" for name in fitted}
+    for name, c in cols.items():
+        scored = fitted[name].score(scored, c)
+    long = checkpoint(ev.scores_by_model(scored, cols, target))
+    rows = ev.classification_metrics_by_model(long).withColumnRenamed("model", "model_name")
+    return test.sparkSession.createDataFrame(rows.collect(), rows.schema)
 
 
 def run(data: DataFrame, features: list[str], models: tuple[str, ...] = tuple(md.CLASSIFIERS),
@@ -60,11 +62,12 @@ def run(data: DataFrame, features: list[str], models: tuple[str, ...] = tuple(md
             fitted[name], extra[f"tuning_{name}"] = tn.random_search(train, features, target, "classifier", name)
     else:
         fitted = md.fit_many({n: md.CLASSIFIERS[n] for n in models}, train, features, target)
+    rows = evaluate_classifiers({name: fitted[name] for name in models}, test, target)
     for name in models:
-        metrics[name] = evaluate_classifier(fitted[name], test, name, target)
+        metrics[name] = rows.filter(F.col("model_name") == name)
         if save_dir:
             save_model(fitted[name].model, f"{save_dir.rstrip('/')}/{name}")
-    board = ev.model_comparison(list(metrics.values()), "roc_auc")
+    board = ev.ranked_models(rows, "roc_auc", list(models))
     best = ev.best_model(board, "roc_auc")
     imp = xp.importance_table(fitted[best], top=20) if best else None
     att = None

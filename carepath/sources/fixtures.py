@@ -175,6 +175,14 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scored_documents_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deterministic stand-in classifiers of the same rows in long form
+    (model, label, score): by length, by its opposite, and by id in 97 classes (many ties)."""
+    from carepath.operators.evaluate import scores_by_model
+    rows = scored_documents(spark, sf_dir).withColumns({"opposite": 1.0 - F.col("score"), "ties": (F.col("doc_id") % 97) / F.lit(97.0)})
+    return scores_by_model(rows, {"length": "score", "opposite": "opposite", "ties": "ties"})
+
+
 def stay_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual stay length with deterministic stand-in predictions for the
     regression evaluators: predicted = charge / 25,000 days, and quantile

@@ -1,6 +1,9 @@
 """C1/C2, J1, A4-A6, J4 on literal frames."""
 
+from pyspark.sql import functions as F
+
 from carepath.operators import cohort, features
+from carepath.operators import features as ft
 
 DX = "subject_id long, hadm_id long, icd_code string, icd_version int"
 
@@ -79,3 +82,24 @@ def test_cohort_counts_approx(spark):
     approx = cohort.cohort_counts(rows, approx=True).first()
     assert exact.n_patients == 1234 and abs(approx.n_patients - 1234) <= 50
     assert approx.n_diagnoses == exact.n_diagnoses == 5000
+
+
+def test_prefix_dictionary_equals_prefix_tests_with_thousands_of_prefixes(spark):
+    import itertools
+    import random
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJ"
+    every = ["".join(t) for n in (2, 3, 4) for t in itertools.product(letters, repeat=n)]
+    chosen = rng.sample(every, 5000)
+    cmap = {f"c{i}": {9: chosen[i::8], 10: chosen[(i + 1) % 8::16]} for i in range(8)}
+    codes = ["".join(rng.choice(letters[:8]) for _ in range(rng.randint(0, 6))) for _ in range(3000)] + [None]
+    rows = [(rng.randint(0, 400), i, rng.choice([9, 10, None]), c) for i, c in enumerate(codes)]
+    dx = spark.createDataFrame(rows, "subject_id int, hadm_id int, icd_version int, icd_code string")
+    subjects = spark.range(350).select(F.col("id").cast("int").alias("subject_id"))
+    got = {r.subject_id: tuple(r)[1:] for r in ft.comorbidity_flags_by_dictionary(dx, subjects, cmap).collect()}
+    want = {s: tuple(int(any(v is not None and c is not None and s == p and any(c.startswith(x) for x in cmap[k].get(v, []))
+                             for p, _, v, c in rows)) for k in cmap) for s in range(0, 350, 25)}
+    assert len(got) == 350 and all(got[s] == w for s, w in want.items())
+    small = {"x": {9: ["A", "AB"]}, "y": {}}
+    assert (sorted(map(tuple, ft.comorbidity_flags_by_dictionary(dx, subjects, small).collect()))
+            == sorted(map(tuple, ft.comorbidity_flags(dx, subjects, small).collect())))

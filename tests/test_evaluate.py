@@ -131,3 +131,23 @@ def test_exact_quantile_has_one_method_at_every_size(spark):
         mid = (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
         assert exact_quantile(df, "v", 0.5) == pytest.approx(mid)
     assert exact_quantile(df.where("v > 1e9"), "v", 0.5) is None
+
+
+def test_curves_by_model_equal_the_single_model_ones(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.random() < 0.3), float(np.round(rng.random(), 2)), float(rng.random()), 0.5) for _ in range(500)]
+    df = spark.createDataFrame(rows, "label int, a double, b double, c double")
+    long = ev.scores_by_model(df, {"A": "a", "B": "b", "C": "c"})
+    roc, pr = ev.roc_points_by_model(long).collect(), ev.pr_points_by_model(long).collect()
+    both = {r.model: r for r in ev.classification_metrics_by_model(long).collect()}
+    for name, c in (("A", "a"), ("B", "b"), ("C", "c")):
+        one = df.select("label", F.col(c).alias("score"))
+        assert sorted(tuple(r)[1:] for r in roc if r.model == name) == sorted(map(tuple, ev.roc_points(one).collect()))
+        assert sorted(tuple(r)[1:] for r in pr if r.model == name) == sorted(map(tuple, ev.pr_points(one).collect()))
+        m = ev.classification_metrics(one).first()
+        assert all(both[name][k] == m[k] for k in ("n", "tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1_score"))
+        assert both[name].roc_auc == pytest.approx(ev.roc_auc(one).first().roc_auc, abs=1e-12)
+        assert both[name].average_precision == pytest.approx(ev.average_precision(one).first()[0], abs=1e-12)
+    plan = ev.roc_points_by_model(long)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert ev.roc_points_by_model(long.limit(0)).collect() == []
