@@ -280,15 +280,16 @@ def best_split(hist: np.ndarray, settings: Boosting, columns: np.ndarray):
     return float(gain[j, b]), int(columns[j]), int(b), left[:, j, b]
 
 
-def grow_tree(histograms, settings: Boosting, cuts: list[list[float]], columns: np.ndarray) -> Tree:
-    """One tree; ``histograms(tree, nodes)`` returns the histograms of leaves of ``tree``.
+def growing(settings: Boosting, cuts: list[list[float]], columns: np.ndarray):
+    """Generator of one tree: asks for histograms of nodes by yielding (draft
+    tree, nodes), is sent {node: histogram}, and returns the tree, so that several trees can grow in step on the same passes.
 
     Leaves are split on a draft that runs ahead of the tree proper: before a
     leaf can be chosen, the gains below it must be known, and one pass finds
     them for every node that the remaining choices may reach (no more than
     there are choices left, by gain)."""
     draft = Tree()
-    found = histograms(draft, [0])
+    found = yield draft, [0]
     sums, split, children, depth = {0: found[0][:, 0].sum(1)}, {0: best_split(found[0], settings, columns)}, {}, {0: 0}
     tree, place = Tree(), {0: 0}                                # draft node -> node of the tree proper
     budget = settings.max_leaves or 1 << 30
@@ -320,7 +321,7 @@ def grow_tree(histograms, settings: Boosting, cuts: list[list[float]], columns:
                 wanted.append(min(children[d], key=lambda c: (sums[c][2], c)))
             else:                                               # never split again: sums are all they need
                 split.update({c: None for c in children[d]})
-        new = histograms(draft, wanted) if wanted else {}
+        new = (yield draft, wanted) if wanted else {}
         for d in ahead:
             small = next((c for c in children[d] if c in new), None)
             if small is not None:
@@ -334,6 +335,27 @@ def grow_tree(histograms, settings: Boosting, cuts: list[list[float]], columns:
     return tree
 
 
+def grow_tree(histograms, settings: Boosting, cuts: list[list[float]], columns: np.ndarray) -> Tree:
+    """One tree; ``histograms(tree, nodes)`` returns the histograms of leaves of ``tree``."""
+    return grow_together([growing(settings, cuts, columns)], lambda asked: [histograms(*asked[0])])[0]
+
+
+def grow_together(trees: list, histograms) -> list[Tree]:
+    """Drive generators of ``growing`` in step: ``histograms`` answers one
+    request (or None, once a tree is done) of each at a time."""
+    done: list[Tree | None] = [None] * len(trees)
+    asked = [next(t) for t in trees]
+    while any(a is not None for a in asked):
+        answers = histograms(asked)
+        for i, answer in enumerate(answers):
+            if asked[i] is not None:
+                try:
+                    asked[i] = trees[i].send(answer)
+                except StopIteration as end:
+                    asked[i], done[i] = None, end.value
+    return done
+
+
 def base_score(df: DataFrame, label: str, settings: Boosting, weight: str | None = None) -> tuple[float, int]:
     """Weighted mean label (its log-odds for the logistic loss), and the number of rows."""
     y, w = F.col(label).cast("double"), F.col(weight).cast("double") if weight else F.lit(1.0)

@@ -1,128 +1,192 @@
-"""Gradient-boosted quantile regression on Spark.
+"""Gradient-boosted quantile regression, all quantiles at once.
 
-Spark ML's GBT offers squared and absolute loss only, so the pinball-loss
-booster is staged by hand from Spark ML pieces:
+Per round one tree for each quantile is fitted to the negative gradient of the
+pinball loss, ``q - 1[y <= prediction]``, and each of its leaves steps by the
+q-quantile of its residuals.  The trees grow in step on the binned matrix of
+``hist_boost``: a pass gives the histograms that every quantile's tree asks
+for, and one grouped sketch gives all leaf steps, so a round costs as many
+jobs for three quantiles as for one.
 
-* start from the q-quantile of the label;
-* each stage fits a ``DecisionTreeRegressor`` (depth 4) to the negative
-  gradient ``q - 1[y <= pred]``, asking the tree for its ``leafCol``;
-* each leaf's step is the sketched q-quantile of the residuals ``y - pred`` of its
-  rows (a grouped aggregate: at most 2^depth rows reach the driver);
-* ``pred += learning_rate * step[leaf]`` as a literal map lookup.
+Predictions never cross: a row's predictions are put in rising order over the
+quantiles (which can only lower the pinball loss).
 
-The working table is persisted per stage and checkpointed to
-``spark.checkpoint.dir`` every ``checkpoint_every`` stages, so the lineage
-stays short and a lost executor recomputes at most a few stages.
+Start values and leaf steps are actual values from one mergeable sketch, at
+every size: the rank is off by a share of at most 1 / ``ACCURACY``.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import sys
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carepath.session import checkpoint as _ckpt
+from carepath.operators import hist_boost as hb
+from carepath.session import checkpoint
+
+# Functions of this module go to the executors by value, so these need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ACCURACY = 100_000
+MAX_BINS = 64
 
 
-def _quantile(col: str, q: float):
-    """Inverse-CDF quantile (an actual value, no interpolation) from one
-    mergeable sketch, at every size: the rank is off by a share of at most
-    1 / ``ACCURACY``."""
-    return F.percentile_approx(col, q, ACCURACY)
+def quantile_name(q: float) -> str:
+    return f"q{int(round(q * 100))}"
 
 
 @dataclass
-class QuantileBoostModel:
+class QuantileTrees:
+    """Boosters of several quantiles: start value + learning rate x sum of leaf steps, in rising order."""
     features: list[str]
     label: str
-    quantile: float
+    quantiles: list[float]
     learning_rate: float
-    init: float
-    stages: list[tuple[DecisionTreeRegressionModel, dict[float, float]]] = field(default_factory=list)
-
-    def predict(self, df: DataFrame, out: str, stages_per_plan: int = 25) -> DataFrame:
-        """Add ``out``: init + learning_rate * sum of leaf steps.
-
-        Every ``stages_per_plan`` stages the scored table is checkpointed:
-        Catalyst would otherwise collapse all stages into one nested
-        expression, too large for one generated method."""
-        vec = VectorAssembler(inputCols=self.features, outputCol="_qb_x").transform(df)
-        vec = vec.withColumn(out, F.lit(float(self.init)))
-        for i, (tree, steps) in enumerate(self.stages):
-            if i and i % stages_per_plan == 0:
-                vec = _ckpt(vec)
-            leaf = f"_qb_leaf{i}"
-            t = tree.copy().setFeaturesCol("_qb_x").setPredictionCol(f"_qb_p{i}").setLeafCol(leaf)
-            m = F.create_map(*[x for k, v in steps.items() for x in (F.lit(float(k)), F.lit(float(v)))])
-            vec = (t.transform(vec)
-                   .withColumn(out, F.col(out) + F.lit(self.learning_rate)
-                               * F.coalesce(F.element_at(m, F.col(leaf)), F.lit(0.0)))
-                   .drop(leaf, f"_qb_p{i}"))
-        return vec.drop("_qb_x")
-
-
-def fit_quantile_boost(train: DataFrame, features: list[str], label: str, quantile: float,
-                       n_stages: int = 100, max_depth: int = 4, learning_rate: float = 0.1,
-                       checkpoint_every: int = 10, seed: int = 42) -> QuantileBoostModel:
-    """Fit one quantile booster; ``train`` holds ``features`` and ``label``."""
-    data = VectorAssembler(inputCols=features, outputCol="_qb_x").transform(
-        train.select(*features, F.col(label).cast("double").alias("_y")))
-    init = float(data.agg(_quantile("_y", quantile)).first()[0])
-    model = QuantileBoostModel(features, label, quantile, learning_rate, init)
-    work = _ckpt(data.select("_qb_x", "_y", F.lit(init).alias("_pred")))
-    previous = None
-    for m in range(n_stages):
-        work = work.withColumn("_g", F.lit(quantile) - (F.col("_y") <= F.col("_pred")).cast("double"))
-        tree = DecisionTreeRegressor(featuresCol="_qb_x", labelCol="_g", maxDepth=max_depth,
-                                     leafCol="_leaf", seed=seed + m).fit(work)
-        leafed = tree.transform(work)
-        per_leaf = (leafed.withColumn("_r", F.col("_y") - F.col("_pred"))
-                          .groupBy("_leaf").agg(_quantile("_r", quantile).alias("s"))
-                          .collect())
-        steps = {float(r["_leaf"]): float(r["s"]) for r in per_leaf}
-        model.stages.append((tree, steps))
-        lookup = F.create_map(*[x for k, v in steps.items() for x in (F.lit(k), F.lit(v))])
-        nxt = (leafed.withColumn("_pred", F.col("_pred") + F.lit(learning_rate)
-                                 * F.coalesce(F.element_at(lookup, F.col("_leaf")), F.lit(0.0)))
-                     .select("_qb_x", "_y", "_pred"))
-        if (m + 1) % checkpoint_every == 0:
-            nxt = _ckpt(nxt)
-        else:
-            nxt = nxt.persist()
-            nxt.count()
-        if previous is not None:
-            previous.unpersist()
-        previous, work = nxt, nxt
-    if previous is not None:
-        previous.unpersist()
-    return model
-
-
-def fit_quantile_set(train: DataFrame, features: list[str], label: str,
-                     quantiles: tuple[float, ...] = (0.5, 0.75, 0.9), parallel: bool = True,
-                     **params) -> dict[str, QuantileBoostModel]:
-    """``train_quantile_regressor``: one booster per quantile, keyed 'q50' etc.
-    The boosters are independent, so their Spark jobs run concurrently."""
-    train = _ckpt(train.select(*features, label))
+    base: list[float]
+    cuts: list[list[float]]
+    trees: list[list[hb.Tree]] = field(default_factory=list)        # by quantile, then round
+
+    def __iter__(self):
+        return iter(quantile_name(q) for q in self.quantiles)
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        """(row, quantile) predictions."""
+        out = np.tile(np.array(self.base), (len(x), 1))
+        for i, trees in enumerate(self.trees):
+            for t in trees:
+                out[:, i] += self.learning_rate * np.array(t.value)[t.leaves_of(hb._ByValue(t, x))]
+        # Rising over the quantiles, whatever order they were given in.
+        order = np.argsort(self.quantiles)
+        out[:, order] = np.sort(out, axis=1)
+        return out
+
+    def predict(self, df: DataFrame, target: str) -> DataFrame:
+        """Add ``predicted_<target>_<q>`` for every quantile."""
+        def work(rows: pd.DataFrame) -> pd.Series:
+            return pd.Series(list(self.raw(rows.to_numpy(float))), dtype=object)
+
+        columns = F.struct(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(self.features)])
+        out = df.withColumn("_quantiles", F.pandas_udf(work, "array<double>")(columns))
+        return out.withColumns({f"predicted_{target}_{name}": F.get("_quantiles", F.lit(i)) for i, name in enumerate(self)}).drop("_quantiles")
+
+
+def _rows(batch: pa.RecordBatch, p: int, n: int):
+    """(y, scores by quantile, bins) of a batch."""
+    get = lambda c: batch.column(batch.schema.get_field_index(c))
+    scores = np.frombuffer(b"".join(get("scores").to_pylist())).reshape(-1, n)
+    bins = np.frombuffer(b"".join(get("bins").to_pylist()), np.uint8).reshape(-1, p)
+    return get("y").to_numpy(zero_copy_only=False), scores, bins
+
+
+def _advanced(scores, bins, pending, rate):
+    out = scores.copy()
+    for i, trees in enumerate(pending):
+        out[:, i] = hb._advance(out[:, i], bins, trees, rate)
+    return out
 
-    def one(q):
-        return f"q{int(round(q * 100))}", fit_quantile_boost(train, features, label, q, **params)
 
-    if parallel and len(quantiles) > 1:
-        with ThreadPoolExecutor(max_workers=len(quantiles)) as ex:
-            return dict(ex.map(one, quantiles))
-    return dict(one(q) for q in quantiles)
+def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantiles: tuple[float, ...] = (0.5, 0.75, 0.9),
+                     n_stages: int = 100, max_depth: int = 4, learning_rate: float = 0.1, checkpoint_every: int = 10,
+                     max_bins: int = MAX_BINS) -> QuantileTrees:
+    """Fit the boosters of all ``quantiles`` together."""
+    quantiles = [float(q) for q in quantiles]
+    y = F.col(label).cast("double")
+    first = train.agg(F.percentile_approx(y, quantiles, ACCURACY).alias("q"), F.count(F.lit(1)).alias("n")).first()
+    if first["q"] is None:
+        raise ValueError("no training rows")
+    base, p, n = [float(v) for v in first["q"]], len(features), len(quantiles)
+    model = QuantileTrees(features, label, quantiles, learning_rate, base, hb.feature_cuts(train, features, max_bins), [[] for _ in quantiles])
+    n_bins = max(2, max(len(c) for c in model.cuts) + 1)
+    work = hb.binned(train, features, label, model.cuts, 0.0, most_parts=-(-first["n"] // hb.ROWS_PER_TASK))
+    work = work.select("y", "bins", F.lit(np.array(base).tobytes()).alias("scores"))
+    parts = work.rdd.getNumPartitions()                         # of the written table; nothing is run
+    settings = hb.Boosting(loss="squared", max_leaves=None, max_depth=max_depth, min_rows=1, min_hessian=1.0)
+    columns = np.arange(p)
+    pending: list[list[hb.Tree]] = [[] for _ in quantiles]
+
+    def histograms(asked):
+        """One pass for the requests of all quantiles' trees."""
+        orders, begin, size = [], [], 0
+        for a in asked:
+            orders.append(None)
+            begin.append(size)
+            if a is not None:
+                orders[-1] = np.full(len(a[0].feature), -1)
+                orders[-1][a[1]] = np.arange(len(a[1]))
+                size += len(a[1])
+        shape, at = (size, 3, p, n_bins), [list(x) for x in pending]
+
+        def task(batches):
+            from pyspark import TaskContext
+            total = np.zeros(shape)
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                truth, scores, bins = _rows(batch, p, n)
+                scores = _advanced(scores, bins, at, learning_rate)
+                for i, a in enumerate(asked):
+                    if a is None:
+                        continue
+                    node = orders[i][a[0].leaves_of(hb._ByBin(a[0], bins))]
+                    kept = node >= 0
+                    g = (truth[kept] <= scores[kept, i]) - quantiles[i]
+                    for j in range(p):
+                        cell = node[kept] * n_bins + bins[kept, j]
+                        mine = total[begin[i]:begin[i] + len(a[1])]
+                        rows = np.bincount(cell, minlength=len(a[1]) * n_bins).reshape(-1, n_bins)
+                        mine[:, 0, j] += np.bincount(cell, weights=g, minlength=len(a[1]) * n_bins).reshape(-1, n_bins)
+                        mine[:, 1, j] += rows
+                        mine[:, 2, j] += rows
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                             names=["part", "cells"])
+
+        sums = hb._summed(work.mapInArrow(task, hb._CELLS), parts, shape)
+        return [None if a is None else {node: sums[begin[i] + k] for k, node in enumerate(a[1])} for i, a in enumerate(asked)]
+
+    def leaf_steps(trees):
+        """{(quantile, leaf): quantile of the residuals of its rows}."""
+        at = [list(x) for x in pending]
+
+        def task(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    truth, scores, bins = _rows(batch, p, n)
+                    scores = _advanced(scores, bins, at, learning_rate)
+                    for i, t in enumerate(trees):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(truth), i, np.int32)), pa.array(t.leaves_of(hb._ByBin(t, bins))), pa.array(truth - scores[:, i])],
+                            names=["i", "leaf", "r"])
+
+        found = (work.mapInArrow(task, "i int, leaf long, r double").groupBy("i", "leaf")
+                 .agg(F.percentile_approx("r", quantiles, ACCURACY).alias("q")))
+        return {(r["i"], r["leaf"]): float(r["q"][r["i"]]) for r in found.collect()}       # at most 2^depth leaves a quantile
+
+    for _ in range(n_stages):
+        if len(pending[0]) >= checkpoint_every:
+            done = [list(x) for x in pending]
+
+            def advance(batches, done=done):
+                for batch in batches:
+                    if batch.num_rows:
+                        _, scores, bins = _rows(batch, p, n)
+                        new = [r.tobytes() for r in _advanced(scores, bins, done, learning_rate)]
+                        yield batch.set_column(batch.schema.get_field_index("scores"), "scores", pa.array(new, pa.binary()))
+
+            work, pending = checkpoint(work.mapInArrow(advance, work.schema)), [[] for _ in quantiles]
+        trees = hb.grow_together([hb.growing(settings, model.cuts, columns) for _ in quantiles], histograms)
+        steps = leaf_steps(trees)
+        for i, t in enumerate(trees):
+            t.value = [steps.get((i, node), 0.0) if f < 0 else 0.0 for node, f in enumerate(t.feature)]
+            model.trees[i].append(t)
+            pending[i].append(t)
+    return model
 
 
-def predict_quantiles(models: dict[str, QuantileBoostModel], df: DataFrame, target: str) -> DataFrame:
+def predict_quantiles(models: QuantileTrees, df: DataFrame, target: str) -> DataFrame:
     """``predicted_<target>_<q>`` per quantile beside the input columns."""
-    out = df
-    for name, m in models.items():
-        out = m.predict(out, f"predicted_{target}_{name}")
-    return out
+    return models.predict(df, target)

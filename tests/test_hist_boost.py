@@ -155,3 +155,25 @@ def test_staged_scores_equal_shorter_fits(spark):
     short = hb.leafwise_classifier(df, names, "y", rounds=3, max_leaves=5)
     a = [r.s for r in long.score(df, "s", rounds=3).orderBy("hadm_id").collect()]
     assert a == pytest.approx([r.s for r in short.score(df, "s").orderBy("hadm_id").collect()], abs=1e-12)
+
+
+def test_quantile_trees_of_one_quantile_and_of_several_are_the_same(spark):
+    """Growing together changes no tree; predictions don't cross; steps are leaf quantiles."""
+    from carepath.operators import quantile_boost as qb
+    rng = np.random.default_rng(12)
+    x = rng.uniform(size=(500, 2))
+    y = np.exp(x[:, 0] + 0.5 * rng.normal(size=500))
+    df = spark.createDataFrame([(i, float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))], "hadm_id long, a double, b double, y double")
+    many = qb.fit_quantile_set(df, ["a", "b"], "y", quantiles=(0.9, 0.5), n_stages=4, checkpoint_every=2, max_bins=16)
+    for i, q in enumerate(many.quantiles):
+        one = qb.fit_quantile_set(df, ["a", "b"], "y", quantiles=(q,), n_stages=4, max_bins=16)
+        assert [nested(t) for t in one.trees[0]] == [nested(t) for t in many.trees[i]]
+        first = many.trees[i][0]
+        leaf = first.leaves_of(hb._ByValue(first, x))
+        for n in np.unique(leaf):
+            residuals = np.sort(y[leaf == n] - many.base[i])
+            assert first.value[n] == pytest.approx(residuals[int(np.ceil(q * len(residuals))) - 1], abs=1e-9)
+    rows = many.predict(df, "y").collect()
+    assert list(many) == ["q90", "q50"] and all(r.predicted_y_q50 <= r.predicted_y_q90 for r in rows)
+    with pytest.raises(ValueError):
+        qb.fit_quantile_set(df.limit(0), ["a"], "y")
