@@ -62,9 +62,14 @@ def with_icu_split(df: DataFrame, los: str = "total_los_days",
               .withColumn("non_icu_los_days", F.col(los) - F.col("icu_los_days")))
 
 
-def length_of_stay(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Total LOS, comorbidity score, ICU and non-ICU days."""
+def length_of_stay(df: DataFrame, cols: list[str] | None = None, flags: DataFrame | None = None) -> DataFrame:
+    """Total LOS, comorbidity score, ICU and non-ICU days.
+
+    ``flags`` may name the table that the condition columns of ``df`` were joined
+    from (a row per patient, each with a stay in ``df``): the largest score then
+    comes from it, without the joins behind ``df``."""
     out = with_los(df) if "total_los_days" not in df.columns else df
     out = with_comorbidity_score(out, cols)
     # Only the flag columns reach the maximum's scan.
-    return with_icu_split(out, score_rows=out.select("comorbidity_score"))
+    scores = out if flags is None else with_comorbidity_score(flags, cols)
+    return with_icu_split(out, score_rows=scores.select("comorbidity_score"))

@@ -11,7 +11,9 @@ whole class into one task.  Instead the class cut point is *selected*:
    at most classes x 65,536 rows reach the driver);
 2. the bin that holds the cut is refined on the next 16 bits, and so on,
    until it holds at most ``collect_limit`` rows, of which Spark picks one;
-3. the cut ``(hash, row hash)`` per class becomes a literal, and the split is a
+3. only where the cut falls between rows that share a key are these rows
+   hashed as a whole: no other row's columns are read for it;
+4. the cut ``(hash, row hash)`` per class becomes a literal, and the split is a
    plain per-row comparison: no shuffle of the row data at all.
 """
 
@@ -35,10 +37,15 @@ def class_targets(counts: dict, share: float) -> dict:
     return {k: int(math.floor(share * n + 0.5)) for k, n in counts.items()}
 
 
-def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int,
+#: A row hash above every row hash: all rows of the key belong to the test side.
+WHOLE_KEY = 1 << HASH_BITS
+
+
+def _select_cuts(narrow: DataFrame, wide: DataFrame, strata: str, targets: dict, collect_limit: int,
                  first_level: list | None = None) -> dict:
     """Return ``{class: (h, t)}`` of each class's k-th smallest row in the order
-    ``(_h, _t)``, or ``None`` when k is 0, or ``"all"``.
+    ``(_h, _t)``, or ``None`` when k is 0, or ``"all"``.  ``narrow`` has the
+    class and ``_h``; ``wide`` has ``_t`` too and is read for rows of one key only.
 
     ``_h`` and ``_t`` together are one key of 2 * HASH_BITS bits, refined level
     by level: a key that many rows share is refined on through ``_t``, so the
@@ -55,7 +62,7 @@ def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int,
     # state per class: (prefix value, rank inside it); all open classes are at the same depth
     todo, depth = {s: (0, k) for s, k in targets.items() if k > 0}, 0
     while todo:
-        column, used = ("_h", depth) if depth < HASH_BITS else ("_t", depth - HASH_BITS)
+        column, used, df = ("_h", depth, narrow) if depth < HASH_BITS else ("_t", depth - HASH_BITS, wide)
         level = min(LEVEL_BITS, HASH_BITS - used)
         digit = F.shiftrightunsigned(F.col(column), HASH_BITS - used - level).bitwiseAND(F.lit((1 << level) - 1))
         if depth == 0 and first_level is not None:
@@ -80,12 +87,23 @@ def _select_cuts(df: DataFrame, strata: str, targets: dict, collect_limit: int,
                 cuts[s] = "all"
                 continue
             rank, value = k - acc, (prefix << level) | b
-            if n <= collect_limit or depth >= 2 * HASH_BITS:
-                rows = df.filter(F.col(strata).eqNullSafe(F.lit(s)) & prefix_is(depth, value)).select("_h", "_t")
+            here = F.col(strata).eqNullSafe(F.lit(s)) & prefix_is(depth, value)
+            if depth > HASH_BITS and (n <= collect_limit or depth >= 2 * HASH_BITS):
+                rows = wide.filter(here).select("_h", "_t")
                 if n <= collect_limit:
                     rows = rows.orderBy("_h", "_t").limit(rank)
                 last = rows.agg(F.max(F.struct("_h", "_t")).alias("m")).first()["m"]
                 cuts[s] = (last["_h"], last["_t"])
+            elif n <= collect_limit:
+                rows = narrow.filter(here)
+                h = rows.select("_h").orderBy("_h").limit(rank).agg(F.max("_h")).first()[0]
+                around = rows.agg(F.count_if(F.col("_h") < h).alias("less"), F.count_if(F.col("_h") == h).alias("same")).first()
+                missing = rank - around["less"]
+                if missing == around["same"]:
+                    cuts[s] = (h, WHOLE_KEY)
+                else:                      # the cut falls between rows of one key
+                    tied = wide.filter(F.col(strata).eqNullSafe(F.lit(s)) & (F.col("_h") == F.lit(h))).select("_t")
+                    cuts[s] = (h, tied.orderBy("_t").limit(missing).agg(F.max("_t")).first()[0])
             else:
                 nxt[s] = (value, rank)
         todo = nxt
@@ -100,10 +118,10 @@ def stratified_flags(df: DataFrame, key: str, strata: str, share: float, seed: i
     rows equal in every column stay together."""
     tie = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in df.columns]), 64 - HASH_BITS)
     base = df.withColumns({"_h": hash_key(F.col(key), seed), "_t": tie})
-    # The selection jobs need three narrow columns only; keep them for the
+    # The selection jobs need two narrow columns only; keep them for the
     # few jobs instead of recomputing the input's lineage each time (the
     # hash is deterministic, so a recomputed partition is identical).
-    narrow = base.select(strata, "_h", "_t").persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = base.select(strata, "_h").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # A class is a value of the target; their number is counted before any bins are fetched.
         if narrow.select(strata).distinct().limit(MAX_STRATA + 1).count() > MAX_STRATA:
@@ -114,7 +132,7 @@ def stratified_flags(df: DataFrame, key: str, strata: str, share: float, seed: i
         counts: dict = {}
         for r in top:
             counts[r[strata]] = counts.get(r[strata], 0) + r["_n"]
-        cuts = _select_cuts(narrow, strata, class_targets(counts, share), collect_limit, first_level=top)
+        cuts = _select_cuts(narrow, base, strata, class_targets(counts, share), collect_limit, first_level=top)
     finally:
         narrow.unpersist()
     flag = F.lit(False)
@@ -124,7 +142,9 @@ def stratified_flags(df: DataFrame, key: str, strata: str, share: float, seed: i
         sel = F.lit(True)
         if cut != "all":
             h, t = cut
-            sel = (F.col("_h") < F.lit(h)) | ((F.col("_h") == F.lit(h)) & (F.col("_t") <= F.lit(t)))
+            sel = F.col("_h") <= F.lit(h)
+            if t != WHOLE_KEY:
+                sel = (F.col("_h") < F.lit(h)) | ((F.col("_h") == F.lit(h)) & (F.col("_t") <= F.lit(t)))
         flag = F.when(F.col(strata).eqNullSafe(F.lit(s)), sel).otherwise(flag)
     return base.withColumn(out, flag).drop("_h", "_t")
 

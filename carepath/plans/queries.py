@@ -420,7 +420,8 @@ def q_quantile_curve(spark, sf_dir):
 
 
 def los_table(spark, sf_dir) -> DataFrame:
-    return dv.length_of_stay(etl_result(spark, sf_dir).final, list(fx.FIXTURE_COMORBIDITY_MAP))
+    r = etl_result(spark, sf_dir)
+    return dv.length_of_stay(r.final, list(fx.FIXTURE_COMORBIDITY_MAP), flags=r.comorbidities)
 
 
 @query("los_icu_split")
