@@ -16,7 +16,7 @@ from carepath.session import checkpoint as _ckpt
 
 from carepath.functions.names import clean_feature_names, existing, string_columns
 from carepath.operators import assemble, clean, cohort, derive, encode, features, readmission, split
-from carepath.sources.tables import require_inputs
+from carepath.sources.tables import require_inputs, write_colocated
 
 # Numeric columns that are scaled when present.
 NUMERICAL_COLUMNS = ["anchor_age", "total_los_days", "icu_los_days", "non_icu_los_days",
@@ -38,6 +38,15 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     return df
 
 
+def colocated(tables: dict[str, DataFrame], folder: str, key: str = "subject_id", buckets: int | None = None) -> dict[str, DataFrame]:
+    """The tables that hold ``key``, written in buckets of it (S5): the cohort semi
+    joins, stay gaps (W1), condition flags (A4) and the assembly by patient (J6) then
+    run without an exchange.  Worth it where the tables are read more than once."""
+    order = {"admissions": ["admittime", "hadm_id"]}
+    return {name: write_colocated(df, f"{folder.rstrip('/')}/{name}", key, [c for c in order.get(name, []) if c in df.columns], buckets)
+            if key in df.columns else df for name, df in tables.items()}
+
+
 @dataclass
 class EtlResult:
     cohort_rows: DataFrame

@@ -473,5 +473,6 @@ sql("cv_r2_linear", _FOLDS + """
           UNION ALL SELECT 'Elastic Net', k, my, mx, sign(sxy / n) * greatest(abs(sxy / n) - 0.5, 0) / (sxx / n + 0.5) FROM tr),
 r AS (SELECT model, k, 1 - sum((actual - (my + w * (x - mx))) ^ 2) / (var_pop(actual) * count(*)) AS r2 FROM fit JOIN fo ON fold = k GROUP BY model, k)
 SELECT model, round(avg(r2), 5) AS mean_r2, round(stddev_pop(r2), 5) AS std_r2 FROM r GROUP BY model""")
+ORACLE["readmissions_colocated"] = ORACLE["readmissions"]
 ORACLE["comorbidity_flags_dictionary"] = ORACLE["comorbidity_flags"]
 ORACLE["final_dataset_shared_scan"] = ORACLE["final_dataset"]

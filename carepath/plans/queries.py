@@ -82,6 +82,20 @@ def q_readmissions(spark, sf_dir):
         "days_until_readmission", r6("days_until_readmission"))
 
 
+@query("readmissions_colocated")
+def q_readmissions_colocated(spark, sf_dir):
+    """S5 + W1: the rows of ``readmissions`` from tables bucketed by patient, no exchange under the window."""
+    import uuid
+
+    from carepath.session import ensure_checkpoint_dir
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/colocated-{uuid.uuid4().hex}"
+    t = etl.colocated({"admissions": fx.admissions(spark, sf_dir), "diagnoses_icd": fx.diagnoses(spark, sf_dir)}, folder)
+    rows = coh.cohort_diagnoses(t["diagnoses_icd"], fx.FIXTURE_COHORT_PREFIX, fx.FIXTURE_COHORT_VERSION)
+    adm = coh.cohort_admissions(t["admissions"], coh.cohort_patient_ids(rows))
+    out = rd.flag_readmissions(adm, stats_from=t["admissions"])
+    return out.withColumn("days_until_readmission", r6("days_until_readmission"))
+
+
 @query("readmission_rate")
 def q_readmission_rate(spark, sf_dir):
     return rd.readmission_rate(readmissions_table(spark, sf_dir)).withColumn(

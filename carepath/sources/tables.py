@@ -7,6 +7,7 @@ pushdown are left to Catalyst, so ``load_tables(...)["diagnoses_icd"]
 
 from __future__ import annotations
 
+import uuid
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,6 +130,25 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         w.parquet(path)
 
 
+def write_colocated(df: DataFrame, path: str, key: str, sort: list[str] = (), buckets: int | None = None) -> DataFrame:
+    """Write ``df`` at ``path`` in buckets of ``key``, sorted, one file a bucket,
+    and return it as a table that remembers this (S5).
+
+    Joins on ``key``, groups by it and windows over it then need no exchange, between
+    tables with the same number of buckets.  ``buckets`` should put some hundred
+    megabytes in a file (default: the session's shuffle partitions).  The catalog entry
+    that Spark needs to write buckets is dropped again; the files stay."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"colocated_{uuid.uuid4().hex}"
+    (df.repartition(n, key).write.format("parquet").option("path", path).bucketBy(n, key).sortBy(key, *sort)
+       .mode("overwrite").saveAsTable(name))
+    out = spark.table(name)
+    out.schema                                     # resolved, with its buckets, before the entry goes
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def save_model(model, path: str) -> None:
     """Model sink (S9): Spark ML's own writer instead of pickle."""
     model.write().overwrite().save(path)
