@@ -165,3 +165,30 @@ def test_shapley_background_counts_repeated_rows(spark):
         z = one.first()
         for name, coef, mean in (("a", 2.0, 4.5), ("b", 1.0, 0.99)):
             assert abs(att[name].attribution - coef * (z[name] - mean)) < 5 * att[name].std_error + 0.6
+
+
+def test_tree_models_come_close_to_the_best_possible_score(spark):
+    """Bounds for M2-M4, M8, M9: labels drawn with known probabilities, so the
+    best AUC and R² that any model can reach are known; every model gets within a margin."""
+    from carepath.operators import evaluate as ev
+    from carepath.operators import hist_boost as hb
+    rng = np.random.default_rng(17)
+    n = 3000
+    X = rng.uniform(-1, 1, size=(n, 3))
+    signal = 2.5 * np.sign(X[:, 0]) * (X[:, 1] > -0.3)
+    p = 1 / (1 + np.exp(-signal))
+    y, z = (rng.random(n) < p).astype(int), signal + rng.normal(size=n)
+    df = spark.createDataFrame([(i, *map(float, X[i]), int(y[i]), float(z[i]), float(p[i]), float(signal[i])) for i in range(n)],
+                               "hadm_id long, a double, b double, c double, y int, z double, p double, s double")
+    train, test = df.filter("hadm_id % 3 > 0"), df.filter("hadm_id % 3 = 0")
+    best = ev.roc_auc(test, "y", "p").first().roc_auc
+    for trainer, kw in ((md.random_forest_classifier, {"num_trees": 20, "max_depth": 6}), (md.gbt_classifier, {"max_iter": 15}),
+                        (md.gbt_classifier_sampled, {"max_iter": 15}), (hb.leafwise_classifier, {"rounds": 15, "max_leaves": 6}),
+                        (hb.newton_classifier, {"rounds": 15})):
+        got = ev.roc_auc(trainer(train, ["a", "b", "c"], "y", **kw).score(test, "q"), "y", "q").first().roc_auc
+        assert best - 0.04 < got <= best + 0.02, trainer.__name__
+    best = ev.regression_metrics(test, "z", "s").first().r2
+    for trainer, kw in ((md.random_forest_regressor, {"num_trees": 20, "max_depth": 6}), (md.gbt_regressor, {"max_iter": 30}),
+                        (hb.leafwise_regressor, {"rounds": 40, "max_leaves": 6})):
+        got = ev.regression_metrics(trainer(train, ["a", "b", "c"], "z", **kw).score(test, "q"), "z", "q").first().r2
+        assert best - 0.08 < got <= best + 0.02, trainer.__name__
