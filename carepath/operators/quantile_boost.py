@@ -26,7 +26,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carepath.operators import hist_boost as hb
+# Names, not the module: what goes to the executors by value stays small.
+from carepath.operators.hist_boost import (_CELLS, ROWS_PER_TASK, Boosting, Tree, _advance, _ByBin, _ByValue, _summed, binned, feature_cuts,
+                                           grow_together, growing)
 from carepath.session import checkpoint
 
 # Functions of this module go to the executors by value, so these need not have the package.
@@ -49,7 +51,7 @@ class QuantileTrees:
     learning_rate: float
     base: list[float]
     cuts: list[list[float]]
-    trees: list[list[hb.Tree]] = field(default_factory=list)        # by quantile, then round
+    trees: list[list[Tree]] = field(default_factory=list)        # by quantile, then round
 
     def __iter__(self):
         return iter(quantile_name(q) for q in self.quantiles)
@@ -59,7 +61,7 @@ class QuantileTrees:
         out = np.tile(np.array(self.base), (len(x), 1))
         for i, trees in enumerate(self.trees):
             for t in trees:
-                out[:, i] += self.learning_rate * np.array(t.value)[t.leaves_of(hb._ByValue(t, x))]
+                out[:, i] += self.learning_rate * np.array(t.value)[t.leaves_of(_ByValue(t, x))]
         # Rising over the quantiles, whatever order they were given in.
         order = np.argsort(self.quantiles)
         out[:, order] = np.sort(out, axis=1)
@@ -86,7 +88,7 @@ def _rows(batch: pa.RecordBatch, p: int, n: int):
 def _advanced(scores, bins, pending, rate):
     out = scores.copy()
     for i, trees in enumerate(pending):
-        out[:, i] = hb._advance(out[:, i], bins, trees, rate)
+        out[:, i] = _advance(out[:, i], bins, trees, rate)
     return out
 
 
@@ -100,14 +102,14 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
     if first["q"] is None:
         raise ValueError("no training rows")
     base, p, n = [float(v) for v in first["q"]], len(features), len(quantiles)
-    model = QuantileTrees(features, label, quantiles, learning_rate, base, hb.feature_cuts(train, features, max_bins), [[] for _ in quantiles])
+    model = QuantileTrees(features, label, quantiles, learning_rate, base, feature_cuts(train, features, max_bins), [[] for _ in quantiles])
     n_bins = max(2, max(len(c) for c in model.cuts) + 1)
-    work = hb.binned(train, features, label, model.cuts, 0.0, most_parts=-(-first["n"] // hb.ROWS_PER_TASK))
+    work = binned(train, features, label, model.cuts, 0.0, most_parts=-(-first["n"] // ROWS_PER_TASK))
     work = work.select("y", "bins", F.lit(np.array(base).tobytes()).alias("scores"))
     parts = work.rdd.getNumPartitions()                         # of the written table; nothing is run
-    settings = hb.Boosting(loss="squared", max_leaves=None, max_depth=max_depth, min_rows=1, min_hessian=1.0)
+    settings = Boosting(loss="squared", max_leaves=None, max_depth=max_depth, min_rows=1, min_hessian=1.0)
     columns = np.arange(p)
-    pending: list[list[hb.Tree]] = [[] for _ in quantiles]
+    pending: list[list[Tree]] = [[] for _ in quantiles]
 
     def histograms(asked):
         """One pass for the requests of all quantiles' trees."""
@@ -132,7 +134,7 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
                 for i, a in enumerate(asked):
                     if a is None:
                         continue
-                    node = orders[i][a[0].leaves_of(hb._ByBin(a[0], bins))]
+                    node = orders[i][a[0].leaves_of(_ByBin(a[0], bins))]
                     kept = node >= 0
                     g = (truth[kept] <= scores[kept, i]) - quantiles[i]
                     for j in range(p):
@@ -145,7 +147,7 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
                                              names=["part", "cells"])
 
-        sums = hb._summed(work.mapInArrow(task, hb._CELLS), parts, shape)
+        sums = _summed(work.mapInArrow(task, _CELLS), parts, shape)
         return [None if a is None else {node: sums[begin[i] + k] for k, node in enumerate(a[1])} for i, a in enumerate(asked)]
 
     def leaf_steps(trees):
@@ -159,7 +161,7 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
                     scores = _advanced(scores, bins, at, learning_rate)
                     for i, t in enumerate(trees):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(truth), i, np.int32)), pa.array(t.leaves_of(hb._ByBin(t, bins))), pa.array(truth - scores[:, i])],
+                            [pa.array(np.full(len(truth), i, np.int32)), pa.array(t.leaves_of(_ByBin(t, bins))), pa.array(truth - scores[:, i])],
                             names=["i", "leaf", "r"])
 
         found = (work.mapInArrow(task, "i int, leaf long, r double").groupBy("i", "leaf")
@@ -178,7 +180,7 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
                         yield batch.set_column(batch.schema.get_field_index("scores"), "scores", pa.array(new, pa.binary()))
 
             work, pending = checkpoint(work.mapInArrow(advance, work.schema)), [[] for _ in quantiles]
-        trees = hb.grow_together([hb.growing(settings, model.cuts, columns) for _ in quantiles], histograms)
+        trees = grow_together([growing(settings, model.cuts, columns) for _ in quantiles], histograms)
         steps = leaf_steps(trees)
         for i, t in enumerate(trees):
             t.value = [steps.get((i, node), 0.0) if f < 0 else 0.0 for node, f in enumerate(t.feature)]
