@@ -45,7 +45,9 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], n_ranges: i
     cuts = sorted(set(x for x in df.approxQuantile("_ord", probs, 0.001) if x is not None)) if probs else []
     staged = _with_range_id(df, "_ord", cuts)
     group = [by, "_rg"] if by else ["_rg"]
-    totals = staged.groupBy(*group).agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
+    totals = staged.groupBy(*group).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    kinds = {c: totals.schema[c].dataType for c in sum_cols}
+    totals = totals.collect()
     by_range = {(r[by] if by else None, r["_rg"]): r for r in totals}
     groups = sorted({g for g, _ in by_range}, key=str)
     offsets: dict[str, dict[tuple, float]] = {c: {} for c in sum_cols}
@@ -61,17 +63,21 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], n_ranges: i
         sums[g] = acc
     w = Window.partitionBy(*group).orderBy("_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def numbers(values: dict):
-        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])
+    def number(c, v):
+        # Of the sum's own type: a literal of fewer bits would overflow in what is computed from it.
+        return F.lit(v).cast(kinds[c])
+
+    def numbers(c, values: dict):
+        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), number(c, v))])
 
     out = staged
     for c in sum_cols:
-        per_group = {g: numbers({rg: v for (h, rg), v in offsets[c].items() if h == g}) for g in sums}
+        per_group = {g: numbers(c, {rg: v for (h, rg), v in offsets[c].items() if h == g}) for g in sums}
         if by and groups:
             maps = F.create_map(*[x for g, m in per_group.items() for x in (F.lit(g), m)])
             off = F.element_at(F.element_at(maps, F.col(by)), F.col("_rg"))
-            whole = F.element_at(numbers({g: s[c] for g, s in sums.items()}), F.col(by))
+            whole = F.element_at(numbers(c, {g: s[c] for g, s in sums.items()}), F.col(by))
         else:
-            off, whole = F.element_at(next(iter(per_group.values())), F.col("_rg")), F.lit(next(iter(sums.values()))[c])
+            off, whole = F.element_at(next(iter(per_group.values())), F.col("_rg")), number(c, next(iter(sums.values()))[c])
         out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + off, f"total_{c}": whole})
     return out.drop("_ord", "_rg")

@@ -99,7 +99,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
     part = t.agg(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)).alias("_s"),
                  F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return part.select(
-        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_s") / (F.col("P") * F.col("N"))).alias("roc_auc"),
+        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_s") / (F.col("P").cast("double") * F.col("N"))).alias("roc_auc"),
         F.col("P").cast("long").alias("n_pos"), F.col("N").cast("long").alias("n_neg"))
 
 
@@ -192,7 +192,7 @@ def curve_areas_by_model(df: DataFrame) -> DataFrame:
     rank_sum = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5))
     P, N = F.max("P"), F.max("N")
     return t.groupBy("model").agg(
-        F.when((P > 0) & (N > 0), rank_sum / (P * N)).alias("roc_auc"),
+        F.when((P > 0) & (N > 0), rank_sum / (P.cast("double") * N)).alias("roc_auc"),
         F.sum(F.try_divide(F.col("pos"), F.col("P")) * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
 
 

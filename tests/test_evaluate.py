@@ -151,3 +151,14 @@ def test_curves_by_model_equal_the_single_model_ones(spark):
     plan = ev.roc_points_by_model(long)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert ev.roc_points_by_model(long.limit(0)).collect() == []
+
+
+def test_areas_where_positives_times_negatives_pass_32_bits(spark):
+    """60,000 of each class: their product is no 32-bit number."""
+    df = spark.range(120_000).select((F.col("id") % 2).cast("int").alias("label"), ((F.col("id") % 8) / 8.0).alias("score"))
+    rows = ev.classification_metrics_by_model(ev.scores_by_model(df, {"a": "score", "b": "score"})).collect()
+    one = ev.roc_auc(df).first()
+    assert one.n_pos * one.n_neg > 1 << 31
+    # Per pair of classes: scores 1, 3, 5, 7 against 0, 2, 4, 6 eighths.
+    assert [r.roc_auc for r in rows] == pytest.approx([10 / 16] * 2) and one.roc_auc == pytest.approx(10 / 16)
+    assert {r.model for r in rows} == {"a", "b"} and all(r.n == 120_000 for r in rows)
