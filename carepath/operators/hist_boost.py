@@ -1,8 +1,10 @@
 """Boosted trees on a binned matrix: leaf-wise (M3, M9) and second-order (M4).
 
 * Features are cut at approximate quantiles into at most ``max_bins`` bins; the
-  matrix of bin numbers (one byte a cell) is written once with label, weight
-  and running score.
+  matrix of bin numbers (one byte a cell, feature by feature) is written once
+  with label, weight and running score, in blocks of at most ``BLOCK`` rows: a
+  block is one table row of a few byte strings, so that a pass costs a copy of
+  these bytes and no work per row outside numpy.
 * A tree grows from histograms of gradient, second derivative and row count
   per (node, feature, bin).  Tasks add up the histograms of their rows and return
   one array each; arrays are added over groups of ``FAN`` partitions until few
@@ -35,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carepath.session import checkpoint
@@ -43,7 +45,8 @@ from carepath.session import checkpoint
 # Functions of this module go to the executors by value, so these need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FAN, ROWS_PER_TASK = 64, 1 << 17
+FAN, MOST_ROWS, LEAST_ROWS, BLOCK = 64, 1 << 18, 1 << 16, 1 << 15
+_BLOCK = "k binary, y binary, w binary, score binary, bins binary"
 _CELLS = "part int, cells binary"
 _SEED_MIX, _TREE_MIX = np.uint64(0xBF58476D1CE4E5B9), 0x9E3779B97F4A7C15
 
@@ -77,15 +80,6 @@ class Tree:
         return at
 
 
-class _ByBin:
-    """Steps by bin numbers (training)."""
-    def __init__(self, tree: Tree, bins: np.ndarray):
-        self.bins, self.at, self.n = bins, np.array(tree.bin), len(bins)
-
-    def __call__(self, rows, features, nodes):
-        return self.bins[rows, features] <= self.at[nodes]
-
-
 class _ByValue:
     """Steps by feature values (scoring)."""
     def __init__(self, tree: Tree, x: np.ndarray):
@@ -183,36 +177,86 @@ def feature_cuts(df: DataFrame, features: list[str], max_bins: int, accuracy: in
             for i in range(len(features))]
 
 
-def binned(df: DataFrame, features: list[str], label: str, cuts: list[list[float]], base: float, key: str | None = None,
-           weight: str | None = None, extra: list[str] = (), most_parts: int = 1 << 30) -> DataFrame:
-    """(k, y, w, score, bins, ``extra``): the binned matrix, written once, read in at most ``most_parts`` tasks."""
-    edges = [np.array(c) for c in cuts]
-
-    def place(rows: pd.DataFrame) -> pd.Series:
-        x = rows.to_numpy(float)
-        b = np.stack([np.where(np.isnan(x[:, j]), 0, np.searchsorted(e, x[:, j], side="left")) for j, e in enumerate(edges)], 1)
-        return pd.Series([r.tobytes() for r in b.astype(np.uint8)], dtype=object)
-
-    columns = F.struct(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
-    rows = df.select(*dict.fromkeys([*([key] if key else []), *features, label, *([weight] if weight else []), *extra]))
-    return checkpoint(rows.select(F.xxhash64(F.col(key) if key else columns).alias("k"), F.col(label).cast("double").alias("y"),
-                                (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"), F.lit(base).alias("score"),
-                                F.pandas_udf(place, "binary")(columns).alias("bins"), *extra)).coalesce(max(1, most_parts))
-
-
-def _matrix(batch: pa.RecordBatch, p: int):
-    """(k, y, w, score, bins) of a batch as arrays."""
-    get = lambda c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
-    data = b"".join(batch.column(batch.schema.get_field_index("bins")).to_pylist())
-    return get("k"), get("y"), get("w"), get("score"), np.frombuffer(data, np.uint8).reshape(-1, p)
+def binned(df: DataFrame, features: list[str], label: str, cuts: list[list[float]], base: list[float], rows: int, key: Column | None = None,
+           weight: str | None = None) -> DataFrame:
+    """The binned matrix of ``df`` (``rows`` rows) as blocks, written once, with a score
+    for each value of ``base``; ``k`` (a number per row) and ``w`` are empty without key and weight."""
+    edges, p, keyed, weighted = [np.array(c) for c in cuts], len(features), key is not None, weight is not None
+
+    def block(table: pa.Table):
+        get = lambda c: table.column(c).to_numpy()
+        bins = np.zeros((p, len(table)), np.uint8)
+        for j, e in enumerate(edges):
+            x = get(f"x{j}").astype(float)
+            bins[j] = np.where(np.isnan(x), 0, np.searchsorted(e, x, side="left"))
+        score = np.repeat(np.array(base, float), len(table))
+        cells = [get("k").astype(np.int64) if keyed else b"", get("y").astype(float), get("w").astype(float) if weighted else b"", score, bins]
+        return pa.RecordBatch.from_arrays([pa.array([bytes(c)], pa.binary()) for c in cells], names=["k", "y", "w", "score", "bins"])
+
+    def blocks(batches):
+        held, n = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, BLOCK - n)
+                batch = batch.slice(part.num_rows)
+                held.append(part)
+                n += part.num_rows
+                if n == BLOCK:
+                    yield block(pa.Table.from_batches(held))
+                    held, n = [], 0
+        if n:
+            yield block(pa.Table.from_batches(held))
+
+    columns = df.select(*([key.alias("k")] if keyed else []), F.col(label).cast("double").alias("y"),
+                        *([F.col(weight).cast("double").alias("w")] if weighted else []),
+                        *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    # Blocks are dealt evenly, however the rows came: over as many tasks as one reduction takes, or more of MOST_ROWS rows.
+    parts = max(1, -(-rows // MOST_ROWS), min(FAN, -(-rows // LEAST_ROWS)))
+    return checkpoint(columns.mapInArrow(blocks, _BLOCK).repartition(parts))
+
+
+def blocks_of(batch: pa.RecordBatch, p: int, scores: int = 1):
+    """(k, y, w, (score, row) scores, (feature, row) bins) of each block of a batch; k and w may be None."""
+    get = lambda c, i, t: np.frombuffer(batch.column(batch.schema.get_field_index(c))[i].as_buffer(), t)
+    for i in range(batch.num_rows):
+        k, y, w = get("k", i, np.int64), get("y", i, float), get("w", i, float)
+        yield (k if len(k) else None, y, w if len(w) else None, get("score", i, float).reshape(scores, -1), get("bins", i, np.uint8).reshape(p, -1))
+
+
+def ends_by_bin(tree: Tree, bins: np.ndarray) -> np.ndarray:
+    """Node where each column of ``bins`` ends: from the leaves up, every split
+    picks between what its children found, over the whole block at once."""
+    kind = np.uint8 if len(tree.feature) <= 256 else np.int32
+    found: dict[int, np.ndarray] = {}
+    for node in range(len(tree.feature) - 1, -1, -1):         # children have larger numbers than their parent
+        f = tree.feature[node]
+        if f < 0:
+            found[node] = kind(node)
+        else:                                                 # by bits, which is ten times as fast as np.where
+            left, right = found.pop(tree.left[node]), found.pop(tree.right[node])
+            goes_right = (bins[f] > tree.bin[node]).view(np.uint8).astype(kind, copy=False)
+            found[node] = left ^ ((left ^ right) & np.negative(goes_right))
+    return np.broadcast_to(found[0], bins.shape[1:])
 
 
 def _advance(score, bins, trees: list[Tree], rate: float):
     for t in trees:
-        score = score + rate * np.array(t.value)[t.leaves_of(_ByBin(t, bins))]
+        score = score + rate * np.array(t.value)[ends_by_bin(t, bins)]
     return score
 
 
+def refreshed(work: DataFrame, pending: list[list[Tree]], rate: float, p: int) -> DataFrame:
+    """The blocks with each score advanced by its pending trees, written anew."""
+    def advance(batches):
+        for batch in batches:
+            if batch.num_rows:
+                new = [np.stack([_advance(s, bins, trees, rate) for s, trees in zip(scores, pending)]).tobytes()
+                       for _, _, _, scores, bins in blocks_of(batch, p, len(pending))]
+                yield batch.set_column(batch.schema.get_field_index("score"), "score", pa.array(new, pa.binary()))
+
+    return checkpoint(work.mapInArrow(advance, _BLOCK))
+
+
 # --- histograms -------------------------------------------------------------------------
 
 def _summed(cells: DataFrame, parts: int, shape: tuple) -> np.ndarray:
@@ -232,6 +276,16 @@ def _summed(cells: DataFrame, parts: int, shape: tuple) -> np.ndarray:
     return total.reshape(shape)
 
 
+def add_up(total: np.ndarray, node: np.ndarray, bins: np.ndarray, rows: np.ndarray | None, values: tuple):
+    """Add ``values`` (None: 1) of the rows ``rows`` (None: all) of a block, which are at ``node``, to (node, value, feature, bin)."""
+    nodes, _, p, n_bins = total.shape
+    first = node.astype(np.intp) * n_bins
+    for j in range(p):
+        cell = first + (bins[j] if rows is None else bins[j][rows])
+        for i, v in enumerate(values):
+            total[:, i, j] += np.bincount(cell, weights=v, minlength=nodes * n_bins).reshape(-1, n_bins)
+
+
 def node_histograms(work: DataFrame, parts: int, settings: Boosting, pending: list[Tree], tree: Tree, wanted: list[int], number: int,
                     p: int, n_bins: int) -> dict[int, np.ndarray]:
     """{node: (3, feature, bin) sums of gradient, second derivative, rows} of nodes of a growing tree."""
@@ -243,20 +297,17 @@ def node_histograms(work: DataFrame, parts: int, settings: Boosting, pending: li
         from pyspark import TaskContext
         total = np.zeros(shape)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            k, y, w, score, bins = _matrix(batch, p)
-            seen = settings.sampled(k, number)
-            if seen is not None:
-                y, w, score, bins = y[seen], w[seen], score[seen], bins[seen]
-            node = order[tree.leaves_of(_ByBin(tree, bins))]
-            kept = node >= 0
-            node, bins = node[kept], bins[kept]
-            g, h = settings.gradients(y[kept], w[kept], _advance(score[kept], bins, pending, settings.learning_rate))
-            for j in range(p):
-                cell = node * n_bins + bins[:, j]
-                for i, v in enumerate((g, h, None)):
-                    total[:, i, j] += np.bincount(cell, weights=v, minlength=len(wanted) * n_bins).reshape(-1, n_bins)
+            for k, y, w, scores, bins in blocks_of(batch, p):
+                node = order[ends_by_bin(tree, bins)]
+                seen = settings.sampled(k, number) if k is not None else None
+                rows = np.flatnonzero(node >= 0 if seen is None else (node >= 0) & seen)
+                every = len(rows) == len(y)
+                score = _advance(scores[0], bins, pending, settings.learning_rate)
+                if not every:
+                    node, y, score = node[rows], y[rows], score[rows]
+                w = np.ones(len(y)) if w is None else w[rows]
+                g, h = settings.gradients(y, w, score)
+                add_up(total, node, bins, None if every else rows, (g, h, None))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
                                          names=["part", "cells"])
 
@@ -378,12 +429,13 @@ def fit_boosting(train: DataFrame, features: list[str], label: str, settings: Bo
         raise ValueError("a bin number is one byte, and one bin is for missing values")
     base, n = base_score(train, label, settings, weight)
     model = BoostedTrees(features, settings, base, feature_cuts(train, features, settings.max_bins))
-    work = binned(train, features, label, model.cuts, base, key, weight, most_parts=-(-n // ROWS_PER_TASK))
+    hashed = F.xxhash64(F.col(key) if key else F.struct(*[F.col(f).cast("double") for f in features]))
+    work = binned(train, features, label, model.cuts, [base], n, hashed if settings.subsample < 1 else None, weight)
     parts = work.rdd.getNumPartitions()                         # of the written table; nothing is run
     p, n_bins, pending = len(features), max(2, max(len(c) for c in model.cuts) + 1), []
     for number in range(settings.rounds):
         if len(pending) >= settings.refresh:
-            work, pending = _refreshed(work, pending, settings, p), []
+            work, pending = refreshed(work, [pending], settings.learning_rate, p), []
         columns = settings.columns(p, number)
         tree = grow_tree(lambda t, nodes: node_histograms(work, parts, settings, pending, t, nodes, number, p, n_bins),
                          settings, model.cuts, columns)
@@ -394,18 +446,6 @@ def fit_boosting(train: DataFrame, features: list[str], label: str, settings: Bo
     return model
 
 
-def _refreshed(work: DataFrame, pending: list[Tree], settings: Boosting, p: int) -> DataFrame:
-    """The table with its scores advanced by the pending trees, written anew."""
-    def advance(batches):
-        for batch in batches:
-            if batch.num_rows:
-                _, _, _, score, bins = _matrix(batch, p)
-                at = batch.schema.get_field_index("score")
-                yield batch.set_column(at, "score", pa.array(_advance(score, bins, pending, settings.learning_rate)))
-
-    return checkpoint(work.mapInArrow(advance, work.schema))
-
-
 # --- the analysed pipeline's boosters (fixed values) ------------------------------------
 
 def leafwise_classifier(train: DataFrame, features: list[str], label: str, **options) -> BoostedTrees:

@@ -4,14 +4,16 @@ Per round one tree for each quantile is fitted to the negative gradient of the
 pinball loss, ``q - 1[y <= prediction]``, and each of its leaves steps by the
 q-quantile of its residuals.  The trees grow in step on the binned matrix of
 ``hist_boost``: a pass gives the histograms that every quantile's tree asks
-for, and one grouped sketch gives all leaf steps, so a round costs as many
+for, and a few passes give all leaf steps, so a round costs as many
 jobs for three quantiles as for one.
 
 Predictions never cross: a row's predictions are put in rising order over the
 quantiles (which can only lower the pinball loss).
 
-Start values and leaf steps are actual values from one mergeable sketch, at
-every size: the rank is off by a share of at most 1 / ``ACCURACY``.
+Start values are actual values from one mergeable sketch, their rank off by a
+share of at most 1 / ``ACCURACY``.  Leaf steps are exact: tasks send the ends of
+a bounded number of sorted runs of their residuals, which bound the wanted rank's value;
+only values between the bounds are looked at again, until both are one value.
 """
 
 from __future__ import annotations
@@ -27,9 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Names, not the module: what goes to the executors by value stays small.
-from carepath.operators.hist_boost import (_CELLS, ROWS_PER_TASK, Boosting, Tree, _advance, _ByBin, _ByValue, _summed, binned, feature_cuts,
-                                           grow_together, growing)
-from carepath.session import checkpoint
+from carepath.operators.hist_boost import (_CELLS, Boosting, Tree, _advance, _ByValue, _summed, add_up, binned, blocks_of, ends_by_bin,
+                                           feature_cuts, grow_together, growing, refreshed)
 
 # Functions of this module go to the executors by value, so these need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -77,19 +78,27 @@ class QuantileTrees:
         return out.withColumns({f"predicted_{target}_{name}": F.get("_quantiles", F.lit(i)) for i, name in enumerate(self)}).drop("_quantiles")
 
 
-def _rows(batch: pa.RecordBatch, p: int, n: int):
-    """(y, scores by quantile, bins) of a batch."""
-    get = lambda c: batch.column(batch.schema.get_field_index(c))
-    scores = np.frombuffer(b"".join(get("scores").to_pylist())).reshape(-1, n)
-    bins = np.frombuffer(b"".join(get("bins").to_pylist()), np.uint8).reshape(-1, p)
-    return get("y").to_numpy(zero_copy_only=False), scores, bins
+def _chunks(values: np.ndarray, low: float, high: float, keep: int, name: tuple[int, int]) -> np.ndarray:
+    """A task's values of leaf ``name`` from ``low`` to ``high`` (NaN: any) as at most ``keep``
+    runs in rising order, and one of all that are less: rows (quantile, leaf, least, largest, number of values)."""
+    below = int((values < low).sum())
+    inside = np.sort(values if np.isnan(high) else values[(values >= low) & (values <= high)])
+    start = np.arange(0, len(inside), max(1, -(-len(inside) // keep)))
+    end = np.r_[start[1:], len(inside)] if len(start) else start
+    out = np.empty((len(start) + (below > 0), 5))
+    out[:, :2] = name
+    out[:len(start), 2], out[:len(start), 3], out[:len(start), 4] = inside[start], inside[end - 1], end - start
+    if below:
+        out[-1, 2:] = -np.inf, -np.inf, below
+    return out
 
 
-def _advanced(scores, bins, pending, rate):
-    out = scores.copy()
-    for i, trees in enumerate(pending):
-        out[:, i] = _advance(out[:, i], bins, trees, rate)
-    return out
+def _bracket(chunks: np.ndarray, rank: int) -> tuple[float, float]:
+    """Bounds of the ``rank``-th smallest (from 1) of the values that ``chunks`` stand for: equal once it is known."""
+    by_low, by_high = chunks[np.argsort(chunks[:, 2])], chunks[np.argsort(chunks[:, 3])]
+    before = np.cumsum(by_low[:, 4]) - by_low[:, 4]
+    low = by_low[np.searchsorted(before, rank - 1, side="right") - 1, 2]
+    return low, by_high[np.searchsorted(np.cumsum(by_high[:, 4]), rank), 3]
 
 
 def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantiles: tuple[float, ...] = (0.5, 0.75, 0.9),
@@ -104,8 +113,7 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
     base, p, n = [float(v) for v in first["q"]], len(features), len(quantiles)
     model = QuantileTrees(features, label, quantiles, learning_rate, base, feature_cuts(train, features, max_bins), [[] for _ in quantiles])
     n_bins = max(2, max(len(c) for c in model.cuts) + 1)
-    work = binned(train, features, label, model.cuts, 0.0, most_parts=-(-first["n"] // ROWS_PER_TASK))
-    work = work.select("y", "bins", F.lit(np.array(base).tobytes()).alias("scores"))
+    work = binned(train, features, label, model.cuts, base, first["n"])
     parts = work.rdd.getNumPartitions()                         # of the written table; nothing is run
     settings = Boosting(loss="squared", max_leaves=None, max_depth=max_depth, min_rows=1, min_hessian=1.0)
     columns = np.arange(p)
@@ -127,23 +135,17 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
             from pyspark import TaskContext
             total = np.zeros(shape)
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                truth, scores, bins = _rows(batch, p, n)
-                scores = _advanced(scores, bins, at, learning_rate)
-                for i, a in enumerate(asked):
-                    if a is None:
-                        continue
-                    node = orders[i][a[0].leaves_of(_ByBin(a[0], bins))]
-                    kept = node >= 0
-                    g = (truth[kept] <= scores[kept, i]) - quantiles[i]
-                    for j in range(p):
-                        cell = node[kept] * n_bins + bins[kept, j]
+                for _, truth, _, scores, bins in blocks_of(batch, p, n):
+                    for i, a in enumerate(asked):
+                        if a is None:
+                            continue
+                        node = orders[i][ends_by_bin(a[0], bins)]
+                        rows = np.flatnonzero(node >= 0)
+                        score = _advance(scores[i], bins, at[i], learning_rate)
+                        g = (truth <= score)[rows] - quantiles[i]
                         mine = total[begin[i]:begin[i] + len(a[1])]
-                        rows = np.bincount(cell, minlength=len(a[1]) * n_bins).reshape(-1, n_bins)
-                        mine[:, 0, j] += np.bincount(cell, weights=g, minlength=len(a[1]) * n_bins).reshape(-1, n_bins)
-                        mine[:, 1, j] += rows
-                        mine[:, 2, j] += rows
+                        add_up(mine, node[rows], bins, None if len(rows) == len(truth) else rows, (g, None))
+            total[:, 2] = total[:, 1]
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
                                              names=["part", "cells"])
 
@@ -151,35 +153,49 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
         return [None if a is None else {node: sums[begin[i] + k] for k, node in enumerate(a[1])} for i, a in enumerate(asked)]
 
     def leaf_steps(trees):
-        """{(quantile, leaf): quantile of the residuals of its rows}."""
-        at = [list(x) for x in pending]
+        """{(quantile, leaf): quantile of the residuals of its rows}, by rank: the ceil(q n)-th smallest."""
+        at, keep = [list(x) for x in pending], max(32, (1 << 13) // parts)
+        within: dict[tuple[int, int], tuple[float, float]] = {}
+        found: dict[tuple[int, int], float] = {}
+        rank: dict[tuple[int, int], int] = {}
 
-        def task(batches):
+        def task(batches, within=within):
+            from pyspark import TaskContext
+            held: dict[tuple[int, int], list] = {}
             for batch in batches:
-                if batch.num_rows:
-                    truth, scores, bins = _rows(batch, p, n)
-                    scores = _advanced(scores, bins, at, learning_rate)
+                for _, truth, _, scores, bins in blocks_of(batch, p, n):
                     for i, t in enumerate(trees):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(truth), i, np.int32)), pa.array(t.leaves_of(_ByBin(t, bins))), pa.array(truth - scores[:, i])],
-                            names=["i", "leaf", "r"])
-
-        found = (work.mapInArrow(task, "i int, leaf long, r double").groupBy("i", "leaf")
-                 .agg(F.percentile_approx("r", quantiles, ACCURACY).alias("q")))
-        return {(r["i"], r["leaf"]): float(r["q"][r["i"]]) for r in found.collect()}       # at most 2^depth leaves a quantile
+                        wanted = [w for w in within if w[0] == i]
+                        if within and not wanted:
+                            continue
+                        leaf, r = ends_by_bin(t, bins), truth - _advance(scores[i], bins, at[i], learning_rate)
+                        for w in wanted or [(i, int(x)) for x in np.flatnonzero(np.bincount(leaf))]:
+                            held.setdefault(w, []).append(r[leaf == w[1]])
+            chunks = [_chunks(np.concatenate(v), *within.get(w, (-np.inf, np.nan)), keep, w) for w, v in held.items()]
+            if chunks:
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                                  pa.array([np.concatenate(chunks).tobytes()], pa.binary())], names=["part", "cells"])
+
+        while not found or within:
+            rows = np.concatenate([np.frombuffer(r["cells"]).reshape(-1, 5) for r in work.mapInArrow(task, _CELLS).collect()])
+            order = np.lexsort((rows[:, 1], rows[:, 0]))
+            rows = rows[order]
+            starts = np.flatnonzero(np.r_[True, (np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)])
+            within.clear()
+            for c in np.split(rows, starts[1:]):
+                w = (int(c[0, 0]), int(c[0, 1]))
+                if w not in rank:
+                    rank[w] = max(1, int(np.ceil(quantiles[w[0]] * c[:, 4].sum())))
+                low, high = _bracket(c, rank[w])
+                if low == high or np.isnan(high):
+                    found[w] = high
+                else:
+                    within[w] = (low, high)
+        return found
 
     for _ in range(n_stages):
         if len(pending[0]) >= checkpoint_every:
-            done = [list(x) for x in pending]
-
-            def advance(batches, done=done):
-                for batch in batches:
-                    if batch.num_rows:
-                        _, scores, bins = _rows(batch, p, n)
-                        new = [r.tobytes() for r in _advanced(scores, bins, done, learning_rate)]
-                        yield batch.set_column(batch.schema.get_field_index("scores"), "scores", pa.array(new, pa.binary()))
-
-            work, pending = checkpoint(work.mapInArrow(advance, work.schema)), [[] for _ in quantiles]
+            work, pending = refreshed(work, pending, learning_rate, p), [[] for _ in quantiles]
         trees = grow_together([growing(settings, model.cuts, columns) for _ in quantiles], histograms)
         steps = leaf_steps(trees)
         for i, t in enumerate(trees):

@@ -177,3 +177,37 @@ def test_quantile_trees_of_one_quantile_and_of_several_are_the_same(spark):
     assert list(many) == ["q90", "q50"] and all(r.predicted_y_q50 <= r.predicted_y_q90 for r in rows)
     with pytest.raises(ValueError):
         qb.fit_quantile_set(df.limit(0), ["a"], "y")
+
+
+def test_blocks_hold_every_row_and_walk_like_single_rows(spark, monkeypatch):
+    """Blocks of 64 rows, dealt over tasks: every row once, in its bins, with the leaf that a walk from the root finds."""
+    monkeypatch.setattr(hb, "BLOCK", 64)
+    monkeypatch.setattr(hb, "LEAST_ROWS", 100)
+    x, y = made(500, 4, 7, "squared")
+    x[::9, 1] = np.nan
+    df, names = frame(spark, x, y)
+    cuts = hb.feature_cuts(df, names, 16)
+    work = hb.binned(df, names, "y", cuts, [0.5, -0.5], 500, F.col("hadm_id"))
+    assert work.rdd.getNumPartitions() == 5
+    rows = {}
+    tree = hb.Tree()
+    a, b = tree.split(0, 0, 7, cuts[0][7])
+    tree.split(a, 1, 0, cuts[1][0])
+    tree.split(b, 3, 1, cuts[3][1])
+    for batch in work.toArrow().to_batches():
+        for k, truth, w, scores, bins in hb.blocks_of(batch, 4, 2):
+            assert len(k) <= 64 and w is None and (scores.T == [0.5, -0.5]).all()
+            rows |= {int(i): (t, *b, leaf) for i, t, b, leaf in zip(k, truth, bins.T.tolist(), hb.ends_by_bin(tree, bins))}
+    walked = tree.leaves_of(hb._ByValue(tree, x))
+    for i in range(500):
+        want = [0 if np.isnan(x[i, j]) else int(np.searchsorted(c, x[i, j])) for j, c in enumerate(cuts)]
+        assert rows[i] == (y[i], *want, walked[i])
+
+
+def test_many_nodes_walk_by_bin():
+    """More nodes than a byte holds."""
+    tree, bins = hb.Tree(), np.arange(200, dtype=np.uint8)[None, :]
+    node = 0
+    for cut in range(150):
+        node = tree.split(node, 0, cut, float(cut))[1]
+    assert hb.ends_by_bin(tree, bins).tolist() == tree.leaves_of(hb._ByValue(tree, np.arange(200.0)[:, None])).tolist()

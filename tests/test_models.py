@@ -192,3 +192,22 @@ def test_tree_models_come_close_to_the_best_possible_score(spark):
                         (hb.leafwise_regressor, {"rounds": 40, "max_leaves": 6})):
         got = ev.regression_metrics(trainer(train, ["a", "b", "c"], "z", **kw).score(test, "q"), "z", "q").first().r2
         assert best - 0.08 < got <= best + 0.02, trainer.__name__
+
+
+def test_quantile_leaf_steps_are_exact_by_rank(spark):
+    """One stage without a split: base value plus the exact quantile of what is left, also over many tasks and few runs."""
+    rng = np.random.default_rng(5)
+    parts = [rng.normal(size=n) for n in (1, 40, 700, 3000)] + [np.full(900, 0.25)]
+    values = np.sort(np.concatenate(parts))
+    for rank in (1, 2, 1000, 2320, 4000, len(values)):
+        low, high, passes = -np.inf, np.nan, 0
+        while not low == high:
+            low, high = qb._bracket(np.concatenate([qb._chunks(v, low, high, 8, (0, 0)) for v in parts]), rank)
+            passes += 1
+        assert high == values[rank - 1] and passes < 12
+    y = rng.gamma(2.0, 3.0, 2501)
+    df = spark.createDataFrame([(float(v), 1.0) for v in y], "y double, a double").repartition(3)
+    m = qb.fit_quantile_set(df, ["a"], "y", quantiles=(0.5, 0.9), n_stages=1, learning_rate=1.0)
+    for q, base, trees in zip((0.5, 0.9), m.base, m.trees):
+        want = np.sort(y)[int(np.ceil(q * len(y))) - 1]
+        assert base + trees[0].value[0] == pytest.approx(want, abs=1e-12)
