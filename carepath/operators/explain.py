@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import sys
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,6 +116,11 @@ def monte_carlo_shapley(fitted, df: DataFrame, key: str, background: DataFrame,
 
 # --- exact attribution of tree ensembles -----------------------------------------------
 
+#: Patterns of so many conditions are numbered by a table of all of them.
+MOST_BITS = 12
+ROWS_AT_ONCE = 1 << 15
+
+
 @dataclass
 class LeafTable:
     """Every leaf of an ensemble as a box: its value and, per feature on its
@@ -206,20 +212,48 @@ def _interventional(table: LeafTable, background: np.ndarray):
         z, n = np.unique(table.inside(leaf, background), return_counts=True)
         known.append((z, n / len(background)))
 
+    # Every bound of every interval, once: a leaf's conditions are combined from whole columns of "is above the bound".
+    used = np.arange(most)[None, :] < table.size[:, None]
+    bounds = sorted({(int(f), float(v)) for side in (table.low, table.high) for f, v in zip(table.feature[used], side[used])})
+    place = {b: i for i, b in enumerate(bounds)}
+
     def attribute(x: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), len(table.features)))
+        out = np.zeros((len(table.features), len(x)))
+        above = np.array([x[:, f] > v if np.isfinite(v) else np.full(len(x), v < 0) for f, v in bounds], np.uint16).reshape(len(bounds), len(x))
         for leaf, (z, share) in enumerate(known):
             d = int(table.size[leaf])
             if not d:
                 continue
             bits = np.arange(d)
-            patterns, row = np.unique(table.inside(leaf, x), return_inverse=True)
-            not_x, not_z = 1 - ((patterns[:, None] >> bits) & 1), 1 - ((z[:, None] >> bits) & 1)
-            reached = share * ((patterns[:, None] | z[None, :]) == (1 << d) - 1)
-            a, b = not_z.sum(1)[None, :], not_x.sum(1)[:, None]
-            gains = (reached * for_a[a, b]) @ not_z - not_x * (reached * for_b[a, b]).sum(1)[:, None]
-            out[:, table.feature[leaf, :d]] += (table.value[leaf] * gains)[row]
-        return out
+            pattern = np.zeros(len(x), np.uint16 if d <= 16 else np.int64)
+            for k in range(d):
+                f = int(table.feature[leaf, k])
+                pattern |= (above[place[f, float(table.low[leaf, k])]] & ~above[place[f, float(table.high[leaf, k])]]).astype(pattern.dtype) << k
+            pattern = pattern.astype(np.int64)
+            if d <= MOST_BITS:
+                patterns = np.flatnonzero(np.bincount(pattern, minlength=1 << d))
+            else:                                              # too many patterns to number them all: those that occur
+                patterns, pattern = np.unique(pattern, return_inverse=True)
+            reaches = (patterns[:, None] | z[None, :]) == (1 << d) - 1
+            alive = reaches.any(1)
+            if not alive.any():
+                continue
+            at = np.flatnonzero(alive)
+            not_x, not_z = 1 - ((patterns[at, None] >> bits) & 1), 1 - ((z[:, None] >> bits) & 1)
+            reached = reaches[at].astype(float)
+            a, b, gains = not_z.sum(1), not_x.sum(1), np.zeros((len(at), d))
+            for n in np.unique(b):                             # weights depend on a pattern through their number only
+                some = np.flatnonzero(b == n)
+                gains[some] = reached[some] @ ((share * for_a[a, n])[:, None] * not_z) - not_x[some] * (reached[some] @ (share * for_b[a, n]))[:, None]
+            # Number of the pattern among those that gain anything, 0 for the others.
+            number = np.zeros(1 << d if d <= MOST_BITS else len(patterns), np.int64)
+            number[patterns[at] if d <= MOST_BITS else at] = np.arange(1, len(at) + 1)
+            mine = number[pattern]
+            rows = np.flatnonzero(mine)
+            mine = mine[rows] - 1
+            for k in range(d):
+                out[table.feature[leaf, k]][rows] += (table.value[leaf] * gains[:, k])[mine]
+        return out.T
 
     return attribute
 
@@ -241,12 +275,21 @@ def exact_tree_attribution(fitted, df: DataFrame, key: str, background: DataFram
     z = np.array([[np.nan if r[f] is None else r[f] for f in feats] for r in drawn], float)
     full = [(1 << int(d)) - 1 for d in table.size]
     base = table.constant + sum(v * float((table.inside(i, z) == full[i]).mean()) for i, v in enumerate(table.value))
-    made = []
-
-    def explain(rows: pd.DataFrame) -> pd.Series:
-        if not made:
-            made.append(_interventional(table, z))
-        return pd.Series(list(made[0](rows.to_numpy(float))), dtype=object)
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        # What a leaf's patterns gain is found once for many rows.
+        attribute, held, n = _interventional(table, z), [], 0
+
+        def done():
+            return pd.Series(list(attribute(np.concatenate(held))), dtype=object)
+
+        for rows in batches:
+            held.append(rows.to_numpy(float))
+            n += len(rows)
+            if n >= ROWS_AT_ONCE:
+                yield done()
+                held, n = [], 0
+        if n:
+            yield done()
 
     values = F.pandas_udf(explain, "array<double>")(F.struct(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(feats)]))
     names = F.array(*[F.lit(f) for f in feats])

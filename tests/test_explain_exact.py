@@ -83,3 +83,35 @@ def test_missing_values_and_empty_background(spark, df):
         assert r.t == pytest.approx(scores[r.hadm_id] - r.base_value, abs=1e-9)
     with pytest.raises(ValueError):
         xp.exact_tree_attribution(fitted, rows, "hadm_id", df.limit(0))
+
+
+def test_patterns_against_pairs_and_without_sorting_rows(monkeypatch):
+    """Leaves of few and of many conditions, missing values: pair by pair; rows are never sorted for short paths."""
+    import math
+
+    rng = np.random.default_rng(4)
+    p, sizes = 15, [3, 1, 14, 5, 0, 13]
+    feature, low, high = np.zeros((6, 14), np.int32), np.full((6, 14), -np.inf), np.full((6, 14), np.inf)
+    for i, d in enumerate(sizes):
+        feature[i, :d] = rng.permutation(p)[:d]
+        low[i, :d] = np.where(rng.random(d) < 0.5, -np.inf, -1.0)
+        high[i, :d] = np.where(rng.random(d) < 0.5, np.inf, 1.0)
+    table = xp.LeafTable([f"f{j}" for j in range(p)], 0.0, rng.normal(size=6), np.array(sizes, np.int64), feature, low, high)
+    x, z = rng.normal(size=(80, p)), rng.normal(size=(9, p))
+    x[::7, ::3] = np.nan
+    want = np.zeros((80, p))
+    for i, d in enumerate(sizes):
+        ins = lambda v: ~(v[:, feature[i, :d]] > high[i, :d]) & ((v[:, feature[i, :d]] > low[i, :d]) | np.isneginf(low[i, :d]))
+        for r, mine in enumerate(ins(x)):
+            for other in ins(z):
+                if (mine | other).all():
+                    a, b = int((~other).sum()), int((~mine).sum())
+                    for k in range(d):
+                        if mine[k] and not other[k]:
+                            want[r, feature[i, k]] += table.value[i] * math.factorial(a - 1) * math.factorial(b) / math.factorial(a + b) / 9
+                        if other[k] and not mine[k]:
+                            want[r, feature[i, k]] -= table.value[i] * math.factorial(a) * math.factorial(b - 1) / math.factorial(a + b) / 9
+    explain, calls, plain = xp._interventional(table, z), [], np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **k: (k.get("return_inverse") and calls.append(1)) or plain(*a, **k))
+    assert explain(x) == pytest.approx(want, abs=1e-12)
+    assert len(calls) == 2
