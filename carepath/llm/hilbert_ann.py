@@ -13,9 +13,11 @@
    The number of curves is taken that makes curves times window least, so
    data without structure come down to one curve read whole, which is exact
    search, and never cost more than that; clustered data get narrow windows on several.
-4. Places are cut into blocks of ``BLOCK`` rows.  A query goes to every block
-   its window touches, on every curve; a task multiplies one block by a bounded
-   number of queries, in double precision, and returns each query's best.
+4. Places are cut into blocks of ``BLOCK`` rows, and whole blocks into slabs, so
+   long that a window touches at most ``SLABS`` + 1 of them.  A query goes to every
+   slab its window touches, on every curve; a task multiplies the blocks of one slab, one
+   after the other, by a bounded number of queries, in double precision, and
+   returns each query's best of the slab: rows grow with queries, not with blocks.
 5. The lists of all curves merge, without repeats, into the ``k`` best.
 
 Scores are summed coordinate by coordinate on the original vectors, so they
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import cut, global_rank
 from .rp_forest import unit_vectors
 
-CURVES, DIMS, GRID_BITS, BLOCK, QUERIES_PER_TASK, SAMPLE_QUERIES, RECALL, SEED = 4, 6, 10, 2048, 4096, 128, 0.97, 89
+CURVES, DIMS, GRID_BITS, BLOCK, SLABS, TASKS, QUERIES_PER_TASK, SAMPLE_QUERIES, RECALL, SEED = 4, 6, 10, 2048, 4, 12, 4096, 128, 0.97, 89
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -118,6 +120,63 @@ def _best(queries, q_keys, items, keys, ids, k):
     return q[ok], i[ok], exact[ok]
 
 
+class _Lists:
+    """The ``k`` best items so far of each query of one slab."""
+
+    def __init__(self, queries: np.ndarray, keys: np.ndarray, k: int):
+        self.queries, self.keys, self.k = queries, keys, k
+        self.q, self.item, self.id, self.score = (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, float))
+
+    def add(self, items: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> None:
+        q, i, s = _best(self.queries, self.keys, items, keys, ids, self.k)
+        q, s = np.concatenate([self.q, q]), np.concatenate([self.score, s])
+        item, ids = np.concatenate([self.item, keys[i]]), np.concatenate([self.id, ids[i]])
+        order = np.lexsort((item, ids, -s, q))
+        order = order[np.arange(len(q)) - np.searchsorted(q[order], q[order]) < self.k]
+        self.q, self.item, self.id, self.score = q[order], item[order], ids[order], s[order]
+
+    def rows(self) -> pd.DataFrame:
+        return pd.DataFrame({"asked": self.keys[self.q], "key": self.item, "score": self.score})
+
+
+def _met(batches, k: int, block: int):
+    """Lists of a task's slabs: its rows come slab by slab, queries first, and are held a block at a time."""
+    at, asked, lists, held, n = None, [], None, [], 0
+
+    def arrays(parts):
+        pdf = pd.concat(parts)
+        return np.stack(pdf["v"].to_list()).astype(float), pdf["key"].to_numpy(np.int64), pdf["id"].to_numpy(np.int64)
+
+    def flush():
+        nonlocal lists, held, n
+        if held and asked:
+            if lists is None:
+                queries, keys, _ = arrays(asked)
+                lists = _Lists(queries, keys, k)
+            lists.add(*arrays(held))
+        held, n = [], 0
+
+    for pdf in batches:
+        for where, some in pdf.groupby(["curve", "slab", "salt"], sort=True):
+            if where != at:
+                flush()
+                if lists is not None:
+                    yield lists.rows()
+                at, asked, lists = where, [], None
+            query = some["part"].to_numpy() < 0
+            if query.any():
+                asked.append(some[query])
+            some = some[~query]
+            if len(some):
+                held.append(some)
+                n += len(some)
+                if n >= block:
+                    flush()
+    flush()
+    if lists is not None:
+        yield lists.rows()
+
+
 def _sample_neighbours(vectors: DataFrame, sample, k: int) -> DataFrame:
     """(asked, key): exact neighbours of a bounded sample of queries, by one pass over all rows."""
     q_keys = np.array([r["key"] for r in sample], np.int64)
@@ -140,9 +199,14 @@ def _sample_neighbours(vectors: DataFrame, sample, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("asked", "key")
 
 
+def slab_length(width: int, block: int, places: int) -> int:
+    """Places in a slab: whole blocks, so many that a window of this half-width touches at most ``SLABS`` + 1 slabs."""
+    return block * max(1, -(-min(2 * width + 1, places) // (SLABS * block)))
+
+
 def cheapest_curves(widths: list[int], block: int, places: int) -> int:
     """Number of curves, given the half-width that 1, 2 ... of them need, that reads the fewest places per query."""
-    return 1 + min(range(len(widths)), key=lambda c: (c + 1) * min(2 * widths[c] + block, places))
+    return 1 + min(range(len(widths)), key=lambda c: (c + 1) * min(2 * widths[c] + slab_length(widths[c], block, places), places))
 
 
 def _search(vectors: DataFrame, dim: int, every: int, k: int, curves: int, block: int, recall: float) -> DataFrame | None:
@@ -167,29 +231,28 @@ def _search(vectors: DataFrame, dim: int, every: int, k: int, curves: int, block
     widths = [int(np.ceil(row[f"w{c}"] or 0)) for c in range(curves)]
     used = cheapest_curves(widths, block, places)
     width = widths[used - 1]
-    if used * (2 * width + block) >= places:                 # one curve read whole costs no more
+    if used * (2 * width + slab_length(width, block, places)) >= places:    # one curve read whole costs no more
         used, width = 1, places
     ranks = ranks.where(F.col("curve") < used)
 
-    # Queries that one block can meet, dealt over as many tasks as needed.
-    salts = max(1, -(-min(2 * width + block, places) * n_queries // (n_rows * QUERIES_PER_TASK)))
+    slab = slab_length(width, block, places)
+    # Queries that one slab can meet, dealt over as many tasks as needed, and over a few where there are few slabs.
+    salts = max(-(-min(2 * width + slab, places) * n_queries // (n_rows * QUERIES_PER_TASK)), -(-TASKS * slab // (used * places)), 1)
     wide = vectors.select("key", "id", "v")
-    asked = (ranks.where("query").withColumn("block", F.explode(F.sequence(F.floor(F.greatest(F.col("at") - width, F.lit(0)) / block),
-                                                                           F.floor(F.least(F.col("at") + width, F.lit(places - 1)) / block))))
+    asked = (ranks.where("query").withColumn("slab", F.explode(F.sequence(F.floor(F.greatest(F.col("at") - width, F.lit(0)) / slab),
+                                                                          F.floor(F.least(F.col("at") + width, F.lit(places - 1)) / slab))))
              .withColumn("salt", F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(salts)).cast("int")))
-    offered = (ranks.where("not query").withColumn("block", F.floor(F.col("at") / block))
+    offered = (ranks.where("not query").withColumn("slab", F.floor(F.col("at") / slab))
                .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    dealt = asked.select("curve", "block", "salt", "key", "query").unionByName(offered.select("curve", "block", "salt", "key", "query")).join(wide, "key")
+    # Queries come first (part -1), then the slab's blocks, one part each.
+    dealt = (asked.select("curve", "slab", "salt", F.lit(-1).cast("long").alias("part"), "key")
+             .unionByName(offered.select("curve", "slab", "salt", F.floor(F.col("at") / block).alias("part"), "key")).join(wide, "key")
+             .repartition("curve", "slab", "salt").sortWithinPartitions("curve", "slab", "salt", "part"))
 
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf["query"].to_numpy(bool)
-        if q.all() or not q.any():
-            return pd.DataFrame({"asked": [], "key": [], "score": []}, dtype=float).astype({"asked": np.int64, "key": np.int64})
-        x, keys, ids = np.stack(pdf["v"].to_list()).astype(float), pdf["key"].to_numpy(), pdf["id"].to_numpy()
-        a, b, s = _best(x[q], keys[q], x[~q], keys[~q], ids[~q], k)
-        return pd.DataFrame({"asked": keys[q][a], "key": keys[~q][b], "score": s})
+    def meet(batches):
+        return _met(batches, k, block)
 
-    return dealt.groupBy("curve", "block", "salt").applyInPandas(meet, "asked long, key long, score double")
+    return dealt.select("curve", "slab", "salt", "part", "key", "id", "v").mapInPandas(meet, "asked long, key long, score double")
 
 
 def hilbert_ann(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20,

@@ -5,6 +5,7 @@ import itertools
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -456,3 +457,35 @@ def test_hilbert_ann_searches_every_length_and_every_row_of_an_id(spark):
 def test_hilbert_ann_never_reads_more_than_exact_search():
     assert hilbert_ann.cheapest_curves([5000, 4900, 4800, 4700], 1024, 10_000) == 1
     assert hilbert_ann.cheapest_curves([4000, 300, 250, 240], 64, 10_000) == 2
+
+
+def test_hilbert_ann_lists_grow_with_queries_not_with_blocks(spark):
+    # Vectors without structure are read whole: each query's lists come per slab, however many blocks these have.
+    rng = np.random.default_rng(5)
+    data = [(i, rng.standard_normal(16).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    vectors = hilbert_ann.cut(hilbert_ann.unit_vectors(df, "vec_id", "embedding").withColumn("key", F.monotonically_increasing_id()), "vectors")
+    met = hilbert_ann._search(vectors, 16, 20, 20, hilbert_ann.CURVES, 16, 1.0).groupBy("asked").count().collect()
+    assert len(met) == 100 and max(r["count"] for r in met) <= 20 * (hilbert_ann.SLABS + 1) * hilbert_ann.CURVES
+    got = collections.defaultdict(list)
+    for r in sorted(hilbert_ann.hilbert_ann(df, block=16, recall=1.0).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append(r.vec_id)
+    assert sum(len(set(got[q]) & {i for _, i in v}) for q, v in exact_neighbours(data).items()) >= 0.97 * 2000
+
+
+def test_met_streams_slabs_over_batches():
+    rng = np.random.default_rng(6)
+    rows = []
+    for slab in range(3):
+        rows += [(0, slab, 0, -1, 1000 * slab + i, i, rng.standard_normal(4)) for i in range(5)] * (slab != 1)
+        rows += [(0, slab, 0, i // 8, 1000 * slab + i, i, rng.standard_normal(4)) for i in range(40)]
+    pdf = pd.DataFrame(rows, columns=["curve", "slab", "salt", "part", "key", "id", "v"])
+    want = set()
+    for slab in (0, 2):
+        some = pdf[pdf.slab == slab]
+        for _, q in some[some.part < 0].iterrows():
+            near = sorted((-float(q.v @ r.v), r.id, r.key) for _, r in some[some.part >= 0].iterrows() if r.key != q.key)[:6]
+            want |= {(q.key, key) for _, _, key in near}
+    for size in (7, 1000):
+        met = pd.concat(hilbert_ann._met((pdf[i:i + size] for i in range(0, len(pdf), size)), 6, 8))
+        assert len(met) == len(want) and set(zip(met.asked, met.key)) == want
