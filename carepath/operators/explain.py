@@ -69,6 +69,8 @@ def monte_carlo_shapley(fitted, df: DataFrame, key: str, background: DataFrame,
     values one at a time.  The model scores all hybrid points in one
     ``transform``; consecutive differences are attributed to the switched
     feature and averaged per ``(key, feature)``, with their standard error.
+    Where both rows have the same value, the point is the one before: it isn't
+    scored again, and its difference of 0 counts like any other.
 
     The background is a sample of ``n_background`` rows of ``background``,
     those with the smallest seeded hash of their key (``key``, ties by the row),
@@ -98,16 +100,22 @@ def monte_carlo_shapley(fitted, df: DataFrame, key: str, background: DataFrame,
     perm = (perm.withColumn("_order", order)
                 .withColumn("_no", F.pmod(F.xxhash64(F.col("_key"), F.col("_k"), F.lit(seed + 1)), F.lit(m)).cast("int"))
                 .join(F.broadcast(bg), "_no").drop("_no"))
+    def same(j):
+        return F.get("_x", j).eqNullSafe(F.get("_z", j))
+
     # A feature takes the row's value once its position is below the step number, else the background value.
-    steps = perm.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(p))))
+    # Step 0 (the background row) carries the features whose switch changes nothing.
+    moved = F.filter(F.sequence(F.lit(1), F.lit(p)), lambda t: ~same(F.get("_order", t - 1)))
+    steps = perm.withColumn("_t", F.explode(F.concat(F.array(F.lit(0)), moved)))
     hybrid = steps.select(
-        "_key", "_k", "_t", F.when(F.col("_t") > 0, F.get("_order", F.col("_t") - 1)).alias("_j"),
+        "_key", "_k", "_t", F.when(F.col("_t") > 0, F.array(F.get("_order", F.col("_t") - 1))).otherwise(F.filter("_order", same)).alias("_js"),
         *[F.when(F.array_position(F.col("_order"), F.lit(j)) - 1 < F.col("_t"), F.get("_x", F.lit(j)))
            .otherwise(F.get("_z", F.lit(j))).alias(f) for j, f in enumerate(feats)])
     # Only these five narrow columns are shuffled.
-    scored = fitted.score(hybrid, "_f").select("_key", "_k", "_t", "_j", "_f")
+    scored = fitted.score(hybrid, "_f").select("_key", "_k", "_t", "_js", "_f")
     w = Window.partitionBy("_key", "_k").orderBy("_t")
-    diffs = scored.withColumn("_d", F.col("_f") - F.lag("_f").over(w)).filter(F.col("_t") > 0)
+    diffs = (scored.withColumn("_d", F.when(F.col("_t") > 0, F.col("_f") - F.lag("_f").over(w)).otherwise(0.0))
+             .select("_key", F.explode("_js").alias("_j"), "_d"))
     names = F.array(*[F.lit(f) for f in feats])
     return (diffs.groupBy(F.col("_key").alias(key), F.element_at(names, F.col("_j") + 1).alias("feature"))
                  .agg(F.avg("_d").alias("attribution"),

@@ -211,3 +211,34 @@ def test_quantile_leaf_steps_are_exact_by_rank(spark):
     for q, base, trees in zip((0.5, 0.9), m.base, m.trees):
         want = np.sort(y)[int(np.ceil(q * len(y))) - 1]
         assert base + trees[0].value[0] == pytest.approx(want, abs=1e-12)
+
+
+def test_shapley_scores_no_point_twice_where_a_switch_changes_nothing(spark):
+    class Counted:
+        features, seen = ["a", "b", "c"], []
+
+        def score(self, df, out):
+            self.seen.append(df)
+            return df.withColumn(out, F.expr("2 * a + 3 * b * c"))
+
+    bg = spark.createDataFrame([(9, 1.0, 0.0, 1.0)], "hadm_id long, a double, b double, c double")
+    rows = spark.createDataFrame([(1, 1.0, 0.0, 1.0), (2, 3.0, 0.0, 1.0), (3, 1.0, 1.0, 1.0), (4, 0.0, 1.0, 2.0)], bg.schema)
+    fitted = Counted()
+    att = {(r.hadm_id, r.feature): r for r in explain.monte_carlo_shapley(fitted, rows, "hadm_id", bg, n_permutations=8).collect()}
+    assert len(att) == 12
+    assert [(r["_key"], r["count"]) for r in fitted.seen[0].groupBy("_key").count().orderBy("_key").collect()] == [(1, 8), (2, 16), (3, 16), (4, 32)]
+    assert {k: r.attribution for k, r in att.items() if k[0] < 4 and r.attribution} == {(2, "a"): 4.0, (3, "b"): 3.0}
+    assert all(r.std_error == 0 for k, r in att.items() if k[0] < 4)
+    assert att[4, "a"].attribution == -2 and att[4, "b"].attribution + att[4, "c"].attribution == pytest.approx(6)
+    assert 3 <= att[4, "b"].attribution <= 6 and att[4, "b"].std_error >= 0
+
+
+def test_forests_keep_node_ids_and_grow_the_same_trees(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, float(a), float(b), int(a + b > 1), float(a * b)) for i, (a, b) in enumerate(rng.random((400, 2)))],
+                               "hadm_id long, a double, b double, y int, z double")
+    for trainer, label in ((md.random_forest_classifier, "y"), (md.random_forest_regressor, "z")):
+        kept = trainer(df, ["a", "b"], label, num_trees=5, max_depth=6).estimator
+        plain = trainer(df, ["a", "b"], label, num_trees=5, max_depth=6, cacheNodeIds=False).estimator
+        assert kept.getCacheNodeIds() and not plain.getCacheNodeIds()
+        assert [t.toDebugString.split("\n")[1:] for t in kept.trees] == [t.toDebugString.split("\n")[1:] for t in plain.trees]
