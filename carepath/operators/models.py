@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WEIGHT = "weight"
+# A row's node in each tree is kept from pass to pass, so that no pass walks the trees from their roots; the trees are the same.
+FOREST = {"cacheNodeIds": True}
 
 
 def class_weights(train: DataFrame, label: str) -> DataFrame:
@@ -132,7 +134,7 @@ def random_forest_classifier(train: DataFrame, features: list[str], label: str,
     df = with_weights(train, label, weights)
     est = C.RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=WEIGHT,
                                    numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt",
-                                   seed=seed, **params)
+                                   seed=seed, **{**FOREST, **params})
     return _fit("RandomForest", "classifier", df, features, label, est)
 
 
@@ -203,7 +205,7 @@ def random_forest_regressor(train: DataFrame, features: list[str], label: str, n
     """M8: 100 trees using all features at each split (scikit-learn's default
     for regression)."""
     est = R.RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                                  maxDepth=max_depth, featureSubsetStrategy="all", seed=seed, **params)
+                                  maxDepth=max_depth, featureSubsetStrategy="all", seed=seed, **{**FOREST, **params})
     return _fit("RandomForest", "regressor", train, features, label, est)
 
 
