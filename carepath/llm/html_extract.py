@@ -1,7 +1,7 @@
 """Main-text extraction with nearest-URL page differencing.
 
 1. Each page is parsed once into its text blocks in order.  A block knows its
-   role: *main* inside an article or main element, *dropped* inside menus,
+   role: *article* inside an article, *main* inside a main element else, *dropped* inside menus,
    headers, footers, sidebars, notices, adverts, forms, comments, scripts and
    the like, else *open*.  Elements are dropped by tag, ARIA role or a class or
    id that is as a whole such a name or made of such names and container words
@@ -9,25 +9,25 @@
    names count on containers only, never on headings, paragraphs or cells.  An
    element whose end tag is missing ends at the next article or main element,
    and drops nothing if the page would be empty otherwise.
-2. A page is *marked* where its main blocks hold at least half of the
-   characters that aren't dropped.  The others (no article, or a teaser beside
-   the text) are put in one total order of (host, path segments, url, id) by
+2. Every page with text is differenced.  Pages whose article and main blocks hold at
+   least half of the characters that aren't dropped (the *marked* side), and the others (no article, or
+   a teaser beside the text), are put in a total order of (host, side, path segments, url, id) by
    range partitions, so a page's neighbours in URL space are the rows next to it,
-   also on a host with a third of all pages.  Pages of a host with equal lines
+   also on a host with a third of all pages.  Pages of a host and side with equal lines
    (copies) are one page there, in the first one's place.  Neighbours that are near
-   copies (see 4) form runs; the pages next to a run on the same host are the
+   copies (see 4) form runs; the pages next to a run on the same host and side are the
    candidates of all its pages, and the one sharing more path segments (the
-   earlier one if equal) is the pair.  Where a host has no other such page, its marked
-   pages are put in order with it, and the pair is the nearest one's open blocks.
+   earlier one if equal) is the pair.  Where there is no such page, the host's pages of
+   the other side are put in order with it, and the pair is the nearest of these (of marked ones, the open blocks).
 3. The pair's lines are aligned by longest common subsequence, and lines that
    both pages share are template text and deleted.
 4. Two pages are near copies, and delete nothing from one another, where
    the shared lines hold more than ``NEAR_CHARS`` of both pages' characters, or what differs
-   shares more than ``NEAR_WORDS`` of its words.
-5. What is left of a marked page are its main blocks; else its undeleted blocks.
-
-Main blocks of marked pages are never deleted by differencing: articles that
-repeat on a site are wanted whole.
+   shares more than ``NEAR_WORDS`` of its words (a protected block of a marked page counts as one word).
+5. The check of every page that follows: where article and main blocks hold at least half of what is
+   left of a page with these whole, its open blocks go and its *protected* blocks (those in
+   articles, or in main where it has no article) come back, since articles that repeat on a site
+   are wanted whole; its other main blocks stay deleted.  Else what is left of the page is its text.
 
 Defined cases: null html is an empty page with empty text; a page alone on its
 host, or with near copies only, has no pair and loses no line; a null url is a host of its own;
@@ -38,6 +38,7 @@ the nearest page that differs; other columns play no part.
 from __future__ import annotations
 
 import re
+import zlib
 from html.parser import HTMLParser
 
 import numpy as np
@@ -46,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, global_rank
+from .common import connected_components, cut, discard, free_shuffles, global_rank
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -63,7 +64,7 @@ CONTAINERS = frozenset("area bar block body bottom box container content footer
                        "panel right section site slot thread top unit widget wrap wrapper".split())
 TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre td th tr table tbody li dt dd figure figcaption".split()) | INLINE
 _NAME = re.compile(r"[a-z0-9]+")
-MAIN, OPEN = 0, 1
+MAIN, OPEN, ARTICLE = 0, 1, 2
 NEAR_CHARS, NEAR_WORDS = 0.75, 0.5
 
 
@@ -79,19 +80,19 @@ class _Blocks(HTMLParser):
     def __init__(self, unclosed: frozenset = frozenset(), trusted: bool = True):
         super().__init__(convert_charrefs=True)
         self.unclosed, self.trusted = unclosed, trusted    # tags that lack end tags; whether these may drop anything
-        self.stack: list[tuple[str, bool, bool]] = []      # tag, dropped, main: with what stands above
+        self.stack: list[tuple[str, bool, int]] = []       # tag, dropped, role: with what stands above
         self.blocks: list[tuple[int, str]] = []
         self.text: list[str] = []
 
     def _state(self):
-        return self.stack[-1][1:] if self.stack else (False, False)
+        return self.stack[-1][1:] if self.stack else (False, OPEN)
 
     def flush(self):
         if self.text:
             words = " ".join("".join(self.text).split())
             self.text = []
             if words:
-                self.blocks.append((MAIN if self._state()[1] else OPEN, words))
+                self.blocks.append((self._state()[1], words))
 
     def _pop(self, i):
         self.flush()
@@ -120,16 +121,19 @@ class _Blocks(HTMLParser):
                     if above in self.unclosed:
                         self._pop(i)
                     break
-        dropped, main = self._state()
+        dropped, within = self._state()
         names = f"{named.get('class') or ''} {named.get('id') or ''}".split()
-        if tag in ("html", "body") or main and tag in TEXT_TAGS:
+        if tag in ("html", "body") or within != OPEN and tag in TEXT_TAGS:
             names = []
         elif tag in MAIN_TAGS:                              # an article may be a comment, not a menu
             names = [n for n in names if {"comment", "comments", "reply", "replies"} & set(_NAME.findall(n.lower()))]
         here = tag in DROP_TAGS or role in DROP_ROLES or "hidden" in named or any(map(drops, names))
         dropped = dropped or here and (self.trusted or tag not in self.unclosed or tag in ("script", "style", "head", "title"))
-        main = main or tag in MAIN_TAGS or role in MAIN_TAGS
-        self.stack.append((tag, dropped, main))
+        if "article" in (tag, role):
+            within = ARTICLE
+        elif within == OPEN and "main" in (tag, role):
+            within = MAIN
+        self.stack.append((tag, dropped, within))
 
     def handle_endtag(self, tag):
         for i in range(len(self.stack) - 1, -1, -1):
@@ -138,7 +142,7 @@ class _Blocks(HTMLParser):
                 return
 
     def _unwrap(self, i):
-        if any(t not in INLINE for t, _, _ in self.stack[i + 1:]) or self.stack[i][1:] != (self.stack[i - 1][1:] if i else (False, False)):
+        if any(t not in INLINE for t, _, _ in self.stack[i + 1:]) or self.stack[i][1:] != (self.stack[i - 1][1:] if i else (False, OPEN)):
             self.flush()
         del self.stack[i:]
 
@@ -179,9 +183,9 @@ def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out[len(a) - 1 - tail] = True
         tail += 1
     x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    keep_x, keep_y = np.isin(x, y), np.isin(y, x)          # lines of one page only can't be on it
-    at, x, y = np.flatnonzero(keep_x) + head, x[keep_x], y[keep_y]
-    if len(x) and len(y):
+    if not set(x.tolist()).isdisjoint(y.tolist()):
+        keep_x, keep_y = np.isin(x, y), np.isin(y, x)      # lines of one page only can't be on it
+        at, x, y = np.flatnonzero(keep_x) + head, x[keep_x], y[keep_y]
         _hirschberg(x, y, at, out)
     return out
 
@@ -210,41 +214,68 @@ def _hirschberg(x, y, at, out):
         todo += [(i, mid, k, best), (mid, j, best, m)]
 
 
-def near_copies(texts, lines, others, other_lines) -> bool:
-    """Whether two pages (texts and line hashes of their blocks) are copies but for small changes."""
+def near_copies(texts, lines, sizes, others, other_lines, other_sizes) -> bool:
+    """Whether two pages (texts, line hashes and lengths of their blocks) are copies but for
+    small changes; a block whose text is None is one word, its line."""
     mine, theirs = shared_lines(lines, other_lines), shared_lines(other_lines, lines)
 
-    def share(words, gone):
-        return sum(len(t) for t, g in zip(words, gone) if g) / max(1, sum(map(len, words)))
+    def share(lengths, gone):
+        return int(lengths[gone].sum()) / max(1, int(lengths.sum()))
+
+    def rest(words, hashes, gone):
+        out = set()
+        for t, h, g in zip(words, hashes.tolist(), gone):
+            if not g:
+                out.update((h,) if t is None else t.split())
+        return out
+
+    if min(share(sizes, mine), share(other_sizes, theirs)) > NEAR_CHARS:
+        return True
+    x, y = rest(texts, lines, mine), rest(others, other_lines, theirs)
+    return len(x & y) > NEAR_WORDS * len(x | y)
+
+
+def protected(kinds: np.ndarray) -> np.ndarray:
+    """Which blocks of a marked page differencing can't delete: its articles', else those of main."""
+    return kinds == (ARTICLE if (kinds == ARTICLE).any() else MAIN)
+
 
-    def rest(words, gone):
-        return {w for t, g in zip(words, gone) if not g for w in t.split()}
+def kept(kinds: np.ndarray, sizes: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Which blocks are a page's text, once differencing has deleted ``gone``."""
+    inside = kinds != OPEN
+    if inside.any() and sizes[inside].sum() >= sizes[~inside & ~gone].sum():
+        return inside & (~gone | protected(kinds))
+    return ~gone
 
-    x, y = rest(texts, mine), rest(others, theirs)
-    return min(share(texts, mine), share(others, theirs)) > NEAR_CHARS or len(x & y) > NEAR_WORDS * len(x | y)
 
+_PAGE = "packed binary, open boolean, kinds array<tinyint>, sizes array<int>, lines array<long>, texts array<string>, key long"
+_LINES = ["sizes", "lines", "texts"]                        # what the alignment of two pages reads
 
-def _hashes(lines) -> np.ndarray:
-    return np.asarray(lines, np.int64)
+
+def _hashed(data: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """Add blocks (the main blocks of a marked page, else all), open (not
-    marked), and texts and lines (hashes) of the blocks that differencing sees."""
+    """Add what each page's blocks are: their texts (``packed``), roles, lengths and line hashes, which
+    side the page is on, the words of blocks that aren't protected, and a hash of all its lines."""
 
     def parse(html: pd.Series) -> pd.DataFrame:
         out = []
         for h in html:
             blocks = blocks_of(h)
-            main = [t for role, t in blocks if role == MAIN]
-            marked = len(main) > 0 and 2 * sum(map(len, main)) >= sum(len(t) for _, t in blocks)
-            seen = [t for role, t in blocks if role == OPEN or not marked]
-            lines = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in seen]
-            out.append((main if marked else [], not marked, seen, lines))
-        return pd.DataFrame(out, columns=["blocks", "open", "texts", "lines"])
+            words = [t for _, t in blocks]
+            kinds, sizes = np.array([k for k, _ in blocks], np.int8), np.array([len(t) for t in words], np.int32)
+            inside = kinds != OPEN
+            marked = bool(inside.any()) and 2 * int(sizes[inside].sum()) >= int(sizes.sum())
+            seen = [None if p else t for t, p in zip(words, protected(kinds))] if marked else words
+            raw = [t.encode("utf-8", "surrogatepass") for t in words]
+            lines = np.array([_hashed(t) for t in raw], np.int64)
+            # A block holds no line break.
+            out.append((zlib.compress(b"\n".join(raw)), not marked, kinds, sizes, lines, seen, _hashed(lines.tobytes())))
+        return pd.DataFrame(out, columns=["packed", "open", "kinds", "sizes", "lines", "texts", "key"])
 
-    shape = "blocks array<string>, open boolean, texts array<string>, lines array<long>"
-    return pages.withColumn("_p", F.pandas_udf(parse, shape)("_html")).drop("_html")
+    return pages.withColumn("_p", F.pandas_udf(parse, _PAGE)("_html")).drop("_html")
 
 
 def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -254,6 +285,7 @@ def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = rows.withColumns({"_host": F.lower(F.regexp_extract(bare, r"^[^/]*", 0)),
                              "_path": F.filter(F.split(F.regexp_extract(bare, r"^[^/]*(.*)$", 1), "/"), lambda s: s != "")})
     parsed = cut(_parsed(rows).select("_id", "_url", "_host", "_path", "_p.*"), "pages")
+    where = ["_host", "open", "key"]                        # a page among its copies
 
     def same(p, q):
         """Path segments that two pages of one host share, before the first that differs."""
@@ -262,57 +294,79 @@ def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         return F.when(first > 0, first - 1).otherwise(F.size(pairs))
 
     def folded(some):
-        """One row per host and lines: copies share the first one's place."""
-        return (some.where(F.size("lines") > 0).groupBy("_host", "lines").agg(F.min(F.struct("_path", "_url", "_id", "texts")).alias("_r"))
-                .select("_host", "_r._path", "_r._url", "_r._id", "_r.texts", "lines"))
+        """One row per host, side and lines: copies share the first one's place."""
+        return (some.where(F.size("lines") > 0).groupBy(*where).agg(F.min(F.struct("_path", "_url", "_id", *_LINES)).alias("_r"))
+                .select(*where, "_r.*"))
 
     def ranked(some):
-        return cut(global_rank(some, ["_host", "_path", "_url", "_id", "lines"], "_at"), "order")
+        """Places in the order of (host, side, path, url, id)."""
+        return global_rank(some, ["_host", "open", "_path", "_url", "_id", "key"], "_at")
 
-    def beside(order):
-        return order.select(F.col("_host").alias("_h"), F.col("_path").alias("_q"), F.col("lines").alias("_l"), F.col("texts").alias("_t"),
-                            F.col("_at").alias("_n"))
+    def beside(order, *columns):
+        return order.select(F.col("_at").alias("_n"), F.col("_host").alias("_h"), F.col("open").alias("_o"), *[F.col(c).alias(f"_{c}_") for c in columns])
 
-    def paired(some, order):
-        """The pair of each row of ``some`` (with ``_first`` and ``_last``, the ends of its run of near copies)."""
-        return (some.withColumn("_n", F.explode(F.array(F.col("_first") - 1, F.col("_last") + 1))).join(beside(order), "_n").where("_h = _host")
-                .groupBy("_host", "lines").agg(F.max_by(F.struct("_l", "_t"), F.struct(same(F.col("_path"), F.col("_q")), -F.col("_n"))).alias("_r"))
-                .select("_host", "lines", "_r._l", "_r._t"))
+    near = F.expr("_h = _host and _o = open")
 
-    def alike(texts: pd.Series, lines: pd.Series, others: pd.Series, other_lines: pd.Series) -> pd.Series:
-        return pd.Series([near_copies(list(a), _hashes(x), list(b), _hashes(y)) for a, x, b, y in zip(texts, lines, others, other_lines)], dtype=bool)
+    def alike(texts: pd.Series, lines: pd.Series, sizes: pd.Series, others: pd.Series, other_lines: pd.Series, other_sizes: pd.Series) -> pd.Series:
+        return pd.Series([near_copies(*page) for page in zip(texts, lines, sizes, others, other_lines, other_sizes)], dtype=bool)
 
     def with_runs(order):
         """Add the first and last place of the row's run of neighbours that are near copies."""
-        links = (order.join(beside(order), F.col("_n") == F.col("_at") + 1).where("_h = _host")
-                 .where(F.pandas_udf(alike, "boolean")("texts", "lines", "_t", "_l")).select(F.col("_at").alias("a"), F.col("_n").alias("b")))
+        links = (order.select("_at", "_host", "open", *_LINES).join(beside(order, *_LINES), F.col("_n") == F.col("_at") + 1).where(near)
+                 .where(F.pandas_udf(alike, "boolean")("texts", "lines", "sizes", "_texts_", "_lines_", "_sizes_"))
+                 .select(F.col("_at").alias("a"), F.col("_n").alias("b")))
         runs = connected_components(links)
         ends = runs.groupBy("component").agg(F.max("node").alias("_end"))
         runs = runs.join(ends, "component").select(F.col("node").alias("_at"), F.col("component").alias("_start"), "_end")
-        return order.join(runs, "_at", "left").withColumns({"_first": F.coalesce("_start", "_at"), "_last": F.coalesce("_end", "_at")}).drop("_start", "_end")
-
-    order = ranked(folded(parsed.where("open")))
-    whole = parsed.where("not open").select("_id", "_url", F.array_join("blocks", " ").alias("text"))
-    if order.isEmpty():                                     # no page with text lacks a mark
-        rest = parsed.where("open").select("_id", "_url", F.lit("").alias("text"))
-    else:
-        found = cut(paired(with_runs(order), order), "pairs")
-        # What is left has no page that differs beside it; the pages next to it are marked ones.
-        lone = order.join(found.select("_host", "lines"), ["_host", "lines"], "left_anti").drop("_at").withColumn("_lone", F.lit(True))
-        marked = folded(parsed.where("not open")).join(lone.select("_host").distinct(), "_host", "left_semi").withColumn("_lone", F.lit(False))
-        mixed = ranked(lone.unionByName(marked))
+        return (order.select("_at", *where, "_path").join(runs, "_at", "left")
+                .withColumns({"_first": F.coalesce("_start", "_at"), "_last": F.coalesce("_end", "_at")}).drop("_start", "_end"))
+
+    def paired(some, order):
+        """The place of the pair of each row of ``some`` (with ``_first`` and ``_last``, the ends of its run of near copies)."""
+        return (some.withColumn("_n", F.explode(F.array(F.col("_first") - 1, F.col("_last") + 1))).join(beside(order, "_path"), "_n").where(near)
+                .groupBy("_at").agg(F.max_by("_n", F.struct(same(F.col("_path"), F.col("__path_")), -F.col("_n"))).alias("_n")))
+
+    def shared(texts: pd.Series, lines: pd.Series, sizes: pd.Series, others: pd.Series, other_lines: pd.Series, other_sizes: pd.Series) -> pd.Series:
+        """Places of the blocks that a page shares with its pair; none if they are near copies."""
+        return pd.Series([[] if near_copies(t, x, n, s, y, m) else np.flatnonzero(shared_lines(x, y)).astype(np.int32)
+                          for t, x, n, s, y, m in zip(texts, lines, sizes, others, other_lines, other_sizes)], dtype=object)
+
+    def differenced(pairs, order, name):
+        """What each page of ``pairs`` loses to its pair, written."""
+        sides = order.select("_at", *where, *_LINES).join(pairs, "_at").join(beside(order, *_LINES).drop("_h", "_o"), "_n")
+        gone = F.pandas_udf(shared, "array<int>")("texts", "lines", "sizes", "_texts_", "_lines_", "_sizes_")
+        return cut(sides.select(*where, gone.alias("_gone")), name)
+
+    order = ranked(folded(parsed))
+    found = differenced(paired(with_runs(order), order), order, "pairs")
+    # What is left has no page of its side that differs beside it; the pages next to it are the other side's.
+    lone = order.join(found.select(*where), where, "left_anti").drop("_at").withColumn("_lone", F.lit(True))
+    if not lone.isEmpty():
+        opens = lambda c: F.transform(F.filter(F.arrays_zip("kinds", c), lambda z: z["kinds"] == OPEN), lambda z: z[c])
+        other = parsed.withColumns({c: F.when(F.col("open"), F.col(c)).otherwise(opens(c)) for c in _LINES})
+        other = other.withColumn("key", F.when(F.col("open"), F.col("key")).otherwise(F.xxhash64("lines"))).withColumn("open", ~F.col("open"))
+        other = folded(other.join(lone.select("_host", "open").distinct(), ["_host", "open"], "left_semi")).withColumn("_lone", F.lit(False))
+        mixed = ranked(lone.unionByName(other))
         single = mixed.where("_lone").withColumns({"_first": F.col("_at"), "_last": F.col("_at")})
-        found = found.union(paired(single, mixed.where("not _lone"))).select(F.col("_host").alias("_h"), F.col("lines").alias("_m"), "_l", "_t")
-
-        def keep(texts: pd.Series, lines: pd.Series, others: pd.Series, other_lines: pd.Series) -> pd.Series:
-            out = []
-            for mine, x, theirs, y in zip(texts, lines, others, other_lines):
-                if theirs is not None and len(theirs) and len(mine) and not near_copies(list(mine), _hashes(x), list(theirs), _hashes(y)):
-                    mine = [t for t, g in zip(mine, shared_lines(_hashes(x), _hashes(y))) if not g]
-                out.append(" ".join(mine))
-            return pd.Series(out, dtype=object)
-
-        rest = (parsed.where("open").join(found, (F.col("_host") == F.col("_h")) & (F.col("lines") == F.col("_m")), "left")
-                .select("_id", "_url", F.pandas_udf(keep, "string")("texts", "lines", "_t", "_l").alias("text")))
-    return whole.union(rest).select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text",
-                                    F.length("text").cast("long").alias("n_chars"))
+        found = found.union(differenced(paired(single, mixed.where("not _lone")), mixed, "pairs"))
+        discard(mixed)
+    discard(order)
+    free_shuffles(pages.sparkSession)                       # before the last join, the largest
+
+    def compose(packed: pd.Series, kinds: pd.Series, gone: pd.Series) -> pd.Series:
+        out = []
+        for data, k, places in zip(packed, kinds, gone):
+            if len(k):
+                deleted = np.zeros(len(k), bool)
+                if places is not None:
+                    deleted[places] = True
+                words = zlib.decompress(data).decode("utf-8", "surrogatepass").split("\n")
+                stay = kept(k, np.array([len(t) for t in words]), deleted)
+                out.append(" ".join([t for t, stays in zip(words, stay) if stays]))
+            else:
+                out.append("")
+        return pd.Series(out, dtype=object)
+
+    texts = F.pandas_udf(compose, "string")("packed", "kinds", "_gone")
+    whole = parsed.select("_id", "_url", *where, "packed", "kinds").join(found, where, "left").select("_id", "_url", texts.alias("text"))
+    return whole.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

@@ -346,6 +346,23 @@ def test_html_extract_near_copies_and_teasers_keep_their_text(spark):
         assert got[100 + i] == f"story {i // 3} {'abcd'[i // 3]}{i // 3} about thing{i // 3} thing{i // 3 + 50} version {i}"
 
 
+def test_html_extract_differences_marked_pages_too(spark):
+    page = "<main><div>Read on paper</div><article><p>own {0} text</p><p>said again</p></article><div>Written by {0}</div></main><div>Bottom</div>"
+    short = "<div>Welcome to the long line on top</div><article><p>{0}</p><p>said again</p></article>"
+    rows = [(i, f"http://h/a/{i}", page.format(i)) for i in range(4)]
+    rows += [(10 + i, f"http://m/{i}", f"<main><p>{i} and its words</p><p>said again</p></main>") for i in range(3)]     # main without an article
+    rows += [(20 + i, f"http://s/{i}", short.format(t)) for i, t in enumerate(("alpha one stands here", "beta two lies below", "gamma 3 runs away"))]
+    rows += [(30, "http://x/1", "<div>Read on paper</div><p>all its own</p>"), (31, "http://x/2", page.format(31)), (32, "http://y/1", page.format(32))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.html_extract(df).collect()}
+    for i in range(4):
+        assert got[i] == f"own {i} text said again Written by {i}"      # lines around the article go where pages share them
+    assert [got[10 + i] for i in range(3)] == [f"{i} and its words said again" for i in range(3)]
+    assert [got[20 + i] for i in range(3)] == ["alpha one stands here said again", "beta two lies below said again", "gamma 3 runs away said again"]
+    assert got[30] == "Read on paper all its own" and got[31] == "own 31 text said again Written by 31"     # the only marked page pairs with another
+    assert got[32] == "Read on paper own 32 text said again Written by 32"                                      # a page alone loses nothing
+
+
 def test_html_extract_on_the_pages_table(spark):
     import html
     import re
