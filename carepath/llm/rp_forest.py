@@ -16,6 +16,11 @@
    spanning set of links.
 4. Counts are summed and links joined into components.
 
+Tables of about a row a vector are joined by sorting, as the hints say: their
+files are so much smaller than their rows (a list of leaves: 40 bytes in the
+file of memberships, 370 once broadcast) that Spark, which goes by files, would
+send them through the driver.
+
 With vectors scaled to length 1, a pair at cosine 0.95 is 0.316 apart, its
 projections differ by N(0, 0.316 ** 2 / dim); a tree parts it with a
 probability of some percent per level, ``TREES`` trees all part it hardly ever
@@ -169,7 +174,7 @@ def rp_forest_dedup(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     discard(*grown._written)
     sizes = members.groupBy("leaf").agg(F.count("*").alias("size")).where("size > 1")
     lists = members.groupBy("key").agg(F.collect_set("leaf").alias("leaves"))                  # at most the leaves of one vector
-    rows = members.join(sizes, "leaf").join(lists, "key").join(folded.select("key", "v", "norm", "copies"), "key")
+    rows = members.join(sizes, "leaf").join(lists.hint("merge"), "key").join(folded.select("key", "v", "norm", "copies").hint("merge"), "key")
     rows = rows.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(SEED), "key", "leaf"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -178,8 +183,9 @@ def rp_forest_dedup(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     found = cut(dealt.groupBy("leaf", "i", "j").applyInPandas(lambda pdf: _compare(pdf, cosine), "id long, n long, b long"), "links")
     counts = found.groupBy(F.col("id").alias("key")).agg(F.sum("n").alias("n"))
     nodes = connected_components(found.where("b is not null").select(F.col("id").alias("a"), "b")).withColumnRenamed("node", "key")
-    least = nodes.join(folded.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("c"))
-    known = (folded.select("v", "key", "rep", "copies").join(counts, "key", "left").join(nodes, "key", "left").join(least, "component", "left")
+    least = nodes.hint("merge").join(folded.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("c"))
+    nodes = nodes.join(least.hint("merge"), "component").select("key", "c")         # here, as most vectors are in no component
+    known = (folded.select("v", "key", "rep", "copies").join(counts.hint("merge"), "key", "left").join(nodes.hint("merge"), "key", "left")
              .select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("c", "rep").alias("c")))
     every = table.select(F.col(id_col).cast("long").alias("id"), F.when(F.col(id_col).isNotNull(), F.col(vector_col)).alias("v"))
     return (every.join(known, "v", "left")

@@ -176,3 +176,27 @@ def test_rp_forest_compares_every_length_and_every_row_of_an_id(spark):
     want = {u: (n[a], least[comp[a]], units[a][0] == least[comp[a]]) for a, u in enumerate(units)}
     assert got == sorted((i, *want[i, tuple(v)]) for i, v in data)
     assert sum(w[0] for w in want.values()) > 500
+
+
+def test_rp_forest_broadcasts_no_table_of_vectors(spark, monkeypatch):
+    # Their files are far smaller than their rows, and AQE keeps a broadcast that was planned by file size.
+    from carepath.llm import common, rp_forest
+    plans, cut = {}, common.cut
+
+    def joins(df):
+        lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+        return [x for x in lines if "BroadcastHashJoin" in x or "BroadcastNestedLoopJoin" in x]
+
+    def planned(df, name):
+        plans.setdefault(name, []).extend(joins(df))
+        return cut(df, name)
+
+    monkeypatch.setattr(common, "cut", planned)
+    monkeypatch.setattr(rp_forest, "cut", planned)
+    r = np.random.default_rng(5)
+    v = r.standard_normal((300, 16))
+    v[150:] = v[:150] + 0.01 * r.standard_normal((150, 16))
+    got = rp_forest_dedup(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>"))
+    assert (joins(got), plans["cc"]) == ([], [])
+    assert len(plans["links"]) <= 1 and all("[leaf#" in x for x in plans["links"])        # one row a leaf
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got.collect()} == {(i, 1, i % 150) for i in range(300)}
