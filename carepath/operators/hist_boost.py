@@ -46,6 +46,7 @@ from carepath.session import checkpoint
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FAN, MOST_ROWS, LEAST_ROWS, BLOCK = 64, 1 << 18, 1 << 16, 1 << 15
+PASS_ROWS = 2 * MOST_ROWS
 _BLOCK = "k binary, y binary, w binary, score binary, bins binary"
 _CELLS = "part int, cells binary"
 _SEED_MIX, _TREE_MIX = np.uint64(0xBF58476D1CE4E5B9), 0x9E3779B97F4A7C15
@@ -210,8 +211,9 @@ def binned(df: DataFrame, features: list[str], label: str, cuts: list[list[float
     columns = df.select(*([key.alias("k")] if keyed else []), F.col(label).cast("double").alias("y"),
                         *([F.col(weight).cast("double").alias("w")] if weighted else []),
                         *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
-    # Blocks are dealt evenly, however the rows came: over as many tasks as one reduction takes, or more of MOST_ROWS rows.
-    parts = max(1, -(-rows // MOST_ROWS), min(FAN, -(-rows // LEAST_ROWS)))
+    # Blocks are dealt evenly, however the rows came: over as many tasks as run at once and one reduction takes, or more of PASS_ROWS rows
+    # (a task of a pass costs a tenth of a second, whatever it reads).
+    parts = max(1, -(-rows // PASS_ROWS), min(FAN, -(-rows // LEAST_ROWS), df.sparkSession.sparkContext.defaultParallelism))
     return checkpoint(columns.mapInArrow(blocks, _BLOCK).repartition(parts))
 
 
@@ -240,8 +242,9 @@ def ends_by_bin(tree: Tree, bins: np.ndarray) -> np.ndarray:
 
 
 def _advance(score, bins, trees: list[Tree], rate: float):
-    for t in trees:
-        score = score + rate * np.array(t.value)[ends_by_bin(t, bins)]
+    for i, t in enumerate(trees):
+        step = (rate * np.array(t.value))[ends_by_bin(t, bins)]
+        score = np.add(score, step, out=score if i else None)      # the score given stays as it is
     return score
 
 

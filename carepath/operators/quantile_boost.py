@@ -5,7 +5,8 @@ pinball loss, ``q - 1[y <= prediction]``, and each of its leaves steps by the
 q-quantile of its residuals.  The trees grow in step on the binned matrix of
 ``hist_boost``: a pass gives the histograms that every quantile's tree asks
 for, and a few passes give all leaf steps, so a round costs as many
-jobs for three quantiles as for one.
+jobs for three quantiles as for one.  A gradient is one of two numbers, so a
+histogram is two counts; features of few bins are counted in joint cells.
 
 Predictions never cross: a row's predictions are put in rising order over the
 quantiles (which can only lower the pinball loss).
@@ -29,14 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Names, not the module: what goes to the executors by value stays small.
-from carepath.operators.hist_boost import (_CELLS, Boosting, Tree, _advance, _ByValue, _summed, add_up, binned, blocks_of, ends_by_bin,
-                                           feature_cuts, grow_together, growing, refreshed)
+from carepath.operators.hist_boost import (_CELLS, Boosting, Tree, _advance, _ByValue, _summed, binned, blocks_of, ends_by_bin, feature_cuts,
+                                           grow_together, growing, refreshed)
 
 # Functions of this module go to the executors by value, so these need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ACCURACY = 100_000
 MAX_BINS = 64
+JOINT = 1 << 9                      # most cells of features that are counted together
 
 
 def quantile_name(q: float) -> str:
@@ -78,12 +80,47 @@ class QuantileTrees:
         return out.withColumns({f"predicted_{target}_{name}": F.get("_quantiles", F.lit(i)) for i, name in enumerate(self)}).drop("_quantiles")
 
 
+def _packs(sizes: list[int]) -> list[list[int]]:
+    """Features (by their numbers of bins) dealt into packs of at most ``JOINT`` joint cells: flags are counted by the dozen."""
+    packs: list[list[int]] = []
+    room = 0
+    for j in sorted(range(len(sizes)), key=lambda j: (-sizes[j], j)):
+        if sizes[j] > room:
+            packs.append([])
+            room = JOINT
+        packs[-1].append(j)
+        room //= sizes[j]
+    return packs
+
+
+def _marginal(total: np.ndarray, joint: np.ndarray, pack: list[int], sizes: list[int]):
+    """Write a pack's counts by (node, below, joint cell) to (node, below, feature, bin)."""
+    joint = joint.reshape(len(total), 2, *[sizes[j] for j in pack])
+    for i, j in enumerate(pack):
+        total[:, :, j, :sizes[j]] = joint.sum(tuple(2 + k for k in range(len(pack)) if k != i))
+
+
+def _codes(bins: np.ndarray, sizes: list[int], packs: list[list[int]]) -> list[np.ndarray]:
+    """Each row's joint cell in every pack."""
+    out = []
+    for pack in packs:
+        code = bins[pack[0]].astype(np.int32)
+        for j in pack[1:]:
+            code *= sizes[j]
+            code += bins[j]
+        out.append(code)
+    return out
+
+
 def _chunks(values: np.ndarray, low: float, high: float, keep: int, name: tuple[int, int]) -> np.ndarray:
     """A task's values of leaf ``name`` from ``low`` to ``high`` (NaN: any) as at most ``keep``
-    runs in rising order, and one of all that are less: rows (quantile, leaf, least, largest, number of values)."""
+    runs in rising order, and one of all that are less: rows (quantile, leaf, least, largest, number of values).
+    A value that fills a run is a run of its own: one that shared it with others would bound the rank no better the next time."""
     below = int((values < low).sum())
     inside = np.sort(values if np.isnan(high) else values[(values >= low) & (values <= high)])
-    start = np.arange(0, len(inside), max(1, -(-len(inside) // keep)))
+    at = inside[::max(1, -(-2 * len(inside) // keep))]
+    start = np.unique(np.r_[np.searchsorted(inside, at, "left"), np.searchsorted(inside, at, "right")])
+    start = start[start < len(inside)]
     end = np.r_[start[1:], len(inside)] if len(start) else start
     out = np.empty((len(start) + (below > 0), 5))
     out[:, :2] = name
@@ -119,37 +156,45 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
     columns = np.arange(p)
     pending: list[list[Tree]] = [[] for _ in quantiles]
 
+    sizes = [max(2, len(c) + 1) for c in model.cuts]
+    packs = _packs(sizes)
+
     def histograms(asked):
-        """One pass for the requests of all quantiles' trees."""
+        """One pass for the requests of all quantiles' trees: rows at or below their prediction and above it
+        are counted, and gradients follow from the counts."""
         orders, begin, size = [], [], 0
         for a in asked:
             orders.append(None)
             begin.append(size)
             if a is not None:
-                orders[-1] = np.full(len(a[0].feature), -1)
-                orders[-1][a[1]] = np.arange(len(a[1]))
+                orders[-1] = np.full(len(a[0].feature), 2 * len(a[1]))
+                orders[-1][a[1]] = 2 * np.arange(len(a[1]))
                 size += len(a[1])
-        shape, at = (size, 3, p, n_bins), [list(x) for x in pending]
+        # A row's place is 2 x node + below; rows of other nodes are past the last one and left out.
+        shape, at = (size, 2, p, n_bins), [list(x) for x in pending]
 
         def task(batches):
             from pyspark import TaskContext
-            total = np.zeros(shape)
+            total, cells = np.zeros(shape), [int(np.prod([sizes[j] for j in pack])) for pack in packs]
+            joint = [[np.zeros(2 * len(a[1]) * size, np.int64) if a is not None else None for size in cells] for a in asked]
             for batch in batches:
                 for _, truth, _, scores, bins in blocks_of(batch, p, n):
+                    codes = _codes(bins, sizes, packs)
                     for i, a in enumerate(asked):
                         if a is None:
                             continue
-                        node = orders[i][ends_by_bin(a[0], bins)]
-                        rows = np.flatnonzero(node >= 0)
-                        score = _advance(scores[i], bins, at[i], learning_rate)
-                        g = (truth <= score)[rows] - quantiles[i]
-                        mine = total[begin[i]:begin[i] + len(a[1])]
-                        add_up(mine, node[rows], bins, None if len(rows) == len(truth) else rows, (g, None))
-            total[:, 2] = total[:, 1]
+                        place = orders[i][ends_by_bin(a[0], bins)] + (truth <= _advance(scores[i], bins, at[i], learning_rate))
+                        for found, code, size in zip(joint[i], codes, cells):
+                            found += np.bincount(place * size + code, minlength=len(found))[:len(found)]
+            for i, a in enumerate(asked):
+                for pack, found in zip(packs, joint[i] if a is not None else []):
+                    _marginal(total[begin[i]:begin[i] + len(a[1])], found, pack, sizes)
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
                                              names=["part", "cells"])
 
-        sums = _summed(work.mapInArrow(task, _CELLS), parts, shape)
+        above, below = _summed(work.mapInArrow(task, _CELLS), parts, shape).transpose(1, 0, 2, 3)
+        q = np.repeat(quantiles, [0 if a is None else len(a[1]) for a in asked])[:, None, None]
+        sums = np.stack([below * (1 - q) - above * q, below + above, below + above], axis=1)
         return [None if a is None else {node: sums[begin[i] + k] for k, node in enumerate(a[1])} for i, a in enumerate(asked)]
 
     def leaf_steps(trees):

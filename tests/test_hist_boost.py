@@ -211,3 +211,40 @@ def test_many_nodes_walk_by_bin():
     for cut in range(150):
         node = tree.split(node, 0, cut, float(cut))[1]
     assert hb.ends_by_bin(tree, bins).tolist() == tree.leaves_of(hb._ByValue(tree, np.arange(200.0)[:, None])).tolist()
+
+
+def test_leaf_step_of_values_shared_by_many_rows_is_found():
+    # More rows of few values than a task may send runs: a run of two values stayed what it was, pass after pass.
+    from carepath.operators import quantile_boost as qb
+    r = np.random.default_rng(3)
+    tasks = [np.repeat([-1.5, 0.0, 2.0], [1_000 + i, 900, 1_100]) for i in range(5)] + [np.r_[np.zeros(900), r.uniform(0.1, 4, 4_000)]]
+    every = np.sort(np.concatenate(tasks))
+    first = 5_010                                             # as many values of -1.5
+    for rank in (1, first - 60, first, first + 1, first + 60, 10_000, 12_000, len(every)):
+        bounds = (-np.inf, np.nan)
+        for _ in range(6):
+            chunks = [qb._chunks(t, *bounds, 32, (0, 3)) for t in tasks]
+            assert all(len(c) <= 33 + 1 for c in chunks) and sum(c[:, 4].sum() for c in chunks) <= len(every)
+            bounds = qb._bracket(np.concatenate(chunks), rank)
+            if bounds[0] == bounds[1]:
+                break
+        assert bounds == (every[rank - 1], every[rank - 1])
+
+
+def test_joint_counts_of_packed_features():
+    from carepath.operators import quantile_boost as qb
+    r = np.random.default_rng(4)
+    sizes = [64, 2, 2, 250, 3, 2, 2, 2, 2, 2, 2, 2, 2, 5]
+    bins = np.stack([r.integers(0, s, 3_000) for s in sizes]).astype(np.uint8)
+    place = r.integers(0, 2 * 3 + 2, 3_000)                   # places 6 and 7 are past the last node
+    packs = qb._packs(sizes)
+    assert sorted(j for pack in packs for j in pack) == list(range(len(sizes)))
+    got = np.zeros((3, 2, len(sizes), 250))
+    for pack, code in zip(packs, qb._codes(bins, sizes, packs)):
+        size = int(np.prod([sizes[j] for j in pack]))
+        assert size <= qb.JOINT
+        qb._marginal(got, np.bincount(place * size + code, minlength=6 * size)[:6 * size], pack, sizes)
+    want = np.zeros_like(got)
+    for j in range(len(sizes)):
+        np.add.at(want, (place[place < 6] // 2, place[place < 6] % 2, j, bins[j][place < 6]), 1)
+    assert (got == want).all()
