@@ -179,9 +179,10 @@ def feature_cuts(df: DataFrame, features: list[str], max_bins: int, accuracy: in
 
 
 def binned(df: DataFrame, features: list[str], label: str, cuts: list[list[float]], base: list[float], rows: int, key: Column | None = None,
-           weight: str | None = None) -> DataFrame:
+           weight: str | None = None, tasks: int | None = None) -> DataFrame:
     """The binned matrix of ``df`` (``rows`` rows) as blocks, written once, with a score
-    for each value of ``base``; ``k`` (a number per row) and ``w`` are empty without key and weight."""
+    for each value of ``base``; ``k`` (a number per row) and ``w`` are empty without key and weight.
+    ``tasks``: how many run at once; a task of a pass costs a tenth of a second, whatever it reads."""
     edges, p, keyed, weighted = [np.array(c) for c in cuts], len(features), key is not None, weight is not None
 
     def block(table: pa.Table):
@@ -211,9 +212,8 @@ def binned(df: DataFrame, features: list[str], label: str, cuts: list[list[float
     columns = df.select(*([key.alias("k")] if keyed else []), F.col(label).cast("double").alias("y"),
                         *([F.col(weight).cast("double").alias("w")] if weighted else []),
                         *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
-    # Blocks are dealt evenly, however the rows came: over as many tasks as run at once and one reduction takes, or more of PASS_ROWS rows
-    # (a task of a pass costs a tenth of a second, whatever it reads).
-    parts = max(1, -(-rows // PASS_ROWS), min(FAN, -(-rows // LEAST_ROWS), df.sparkSession.sparkContext.defaultParallelism))
+    # Blocks are dealt evenly, however the rows came: over as many tasks as one reduction takes (and run at once), or more of MOST_ROWS (PASS_ROWS) rows.
+    parts = max(1, -(-rows // (PASS_ROWS if tasks else MOST_ROWS)), min(FAN, -(-rows // LEAST_ROWS), tasks or FAN))
     return checkpoint(columns.mapInArrow(blocks, _BLOCK).repartition(parts))
 
 

@@ -150,7 +150,7 @@ def fit_quantile_set(train: DataFrame, features: list[str], label: str, quantile
     base, p, n = [float(v) for v in first["q"]], len(features), len(quantiles)
     model = QuantileTrees(features, label, quantiles, learning_rate, base, feature_cuts(train, features, max_bins), [[] for _ in quantiles])
     n_bins = max(2, max(len(c) for c in model.cuts) + 1)
-    work = binned(train, features, label, model.cuts, base, first["n"])
+    work = binned(train, features, label, model.cuts, base, first["n"], tasks=train.sparkSession.sparkContext.defaultParallelism)
     parts = work.rdd.getNumPartitions()                         # of the written table; nothing is run
     settings = Boosting(loss="squared", max_leaves=None, max_depth=max_depth, min_rows=1, min_hessian=1.0)
     columns = np.arange(p)
